@@ -9,7 +9,6 @@ from spark_triples.session import stage
 
 # Keys are short strings: this many make a broadcast of at most some 100 MB.
 BROADCAST_KEYS = 500_000
-SALTS = 32
 
 
 def key_join(
@@ -20,31 +19,30 @@ def key_join(
     and_also: Column | None = None,
     broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """``left_semi`` or ``left_anti`` of ``df`` with the distinct rows of ``keys``, which
-    match on one column (``and_also`` may compare others of theirs).
+    """``left_semi`` or ``left_anti`` of ``df`` with ``keys``, which match on one column.
 
-    The keys are written once and counted. A counted, small set is broadcast, so the
-    rows of ``df`` do not move. A larger set is joined by shuffle on (key, salt): the
-    salt comes from the row's own content and every key meets every salt, so a key
-    that holds a third of the rows is worked on by many tasks.
+    ``keys`` may repeat the column alone; if ``and_also`` compares others of theirs, a
+    key must come once. They are written and counted first. A small set is broadcast,
+    so the rows of ``df`` do not move. A larger one is joined by shuffle, except for the
+    keys with more than 1/``broadcast_keys`` of all rows: there are at most
+    ``broadcast_keys`` of those, so they are broadcast and their rows stay in place.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"how must be left_semi or left_anti, not {how!r}")
     keys = stage(keys.withColumnRenamed(on, "_key").distinct(), "join-keys")
     match = F.col(on) == F.col("_key")
-    if and_also is not None:
-        match = match & and_also
+    on_match = match if and_also is None else match & and_also
     if keys.count() <= broadcast_keys:
-        return df.join(F.broadcast(keys), match, how)
-    # maps cannot be hashed; a row's other columns are enough to spread it
-    hashable = [
-        F.col(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"
-    ]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    replicated = keys.withColumn("_key_salt", F.explode(salts))
-    match = match & (F.col("_salt") == F.col("_key_salt"))
-    return salted.join(replicated, match, how).select(*df.columns)
+        return df.join(F.broadcast(keys), on_match, how)
+    heavy_rows = df.count() // broadcast_keys
+    sizes = df.groupBy(F.col(on).alias("_heavy")).agg(F.count("*").alias("_rows"))
+    heavy = stage(sizes.filter(F.col("_rows") > heavy_rows).select("_heavy"), "heavy-keys")
+    heavy = F.broadcast(heavy)
+    is_heavy = F.col(on) == F.col("_heavy")
+    heavy_keys = keys.join(heavy, F.col("_key") == F.col("_heavy"), "left_semi")
+    light_rows = df.join(heavy, is_heavy, "left_anti").join(keys, on_match, how)
+    heavy_rows = df.join(heavy, is_heavy, "left_semi")
+    return light_rows.unionByName(heavy_rows.join(F.broadcast(heavy_keys), on_match, how))
 
 
 def preceding_total(

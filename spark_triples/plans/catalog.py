@@ -440,7 +440,7 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ensure_tables",
-    f"{WITH_G} select 'ns' as name, 0 as n union all select 'osp', count(*) from g "
+    f"{WITH_G} select 'ns' as name, cast(0 as bigint) as n union all select 'osp', count(*) from g "
     "union all select 'po', count(*) from g union all select 'spo', count(*) from g",
 )
 def ensure_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -835,7 +835,7 @@ def fulltext_docs_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fulltext_text",
-    f"{WITH_G}, l as ({listed_sql()}) select subject as id, 0 as part, "
+    f"{WITH_G}, l as ({listed_sql()}) select subject as id, cast(0 as bigint) as part, "
     f"string_agg(object, '|' order by {ROW_ORDER_SQL}) as text from l where {LITERAL_SQL} "
     "group by subject",
 )
@@ -904,7 +904,8 @@ UPSERTED_SQL = (
     f"old_rows as (select * from l where {EARLY_SQL}), "
     f"new_rows as (select * from l where not ({EARLY_SQL})), "
     "kept as (select * from old_rows where subject not in (select subject from new_rows)), "
-    "rows as (select *, 0 as part from kept union all select *, 0 from new_rows) "
+    "rows as (select *, cast(0 as bigint) as part from kept union all "
+    "select *, cast(0 as bigint) from new_rows) "
 )
 
 
