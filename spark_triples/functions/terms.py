@@ -106,10 +106,10 @@ ISO_DATE_TIME = (
 def iso_to_epoch_ms(text: Column) -> Column:
     """ISO date-time with offset → epoch milliseconds, fractions of a second dropped."""
     plain = F.upper(F.regexp_replace(text, r"\[[^\]]*\]$", ""))
-    ms = F.unix_seconds(F.to_timestamp(plain)) * F.lit(1000)
-    message = F.concat(F.lit("not an ISO date-time with offset: "), text)
-    return (
-        F.when(text.isNull(), F.lit(None).cast("bigint"))
-        .when(text.rlike(ISO_DATE_TIME), ms)
-        .otherwise(F.raise_error(message).cast("bigint"))
+    full = F.regexp_replace(plain, r"(T\d{2}:\d{2})(?=[Z+-])", "$1:00")
+    seconds = F.when(
+        text.rlike(ISO_DATE_TIME), F.unix_seconds(F.try_to_timestamp(full))
     )
+    message = F.concat(F.lit("not an ISO date-time with offset: "), text)
+    failure = F.raise_error(message).cast("bigint")
+    return F.when(text.isNotNull(), F.coalesce(seconds * F.lit(1000), failure))

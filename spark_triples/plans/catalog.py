@@ -33,7 +33,7 @@ from spark_triples.schema import (
     XSD,
     XSD_STRING,
 )
-from spark_triples.session import prepare, scratch_path
+from spark_triples.session import scratch_path
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import files
 from spark_triples.sources import tables as sources
@@ -196,10 +196,6 @@ def show_groups(groups: DataFrame) -> DataFrame:
     )
 
 
-def public_g(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return triples.visible(g(spark, sf_dir))
-
-
 _loaded: dict[tuple[str, str], str] = {}
 
 
@@ -214,6 +210,15 @@ def loaded_prefix(spark: SparkSession, sf_dir: str) -> str:
     return _loaded[key]
 
 
+def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph as jobs see it: a scan of its triple table."""
+    return sources.scan_index(spark, loaded_prefix(spark, sf_dir))
+
+
+def public_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triples.visible(graph(spark, sf_dir))
+
+
 def write_lines(df: DataFrame, line: Column, path: str) -> str:
     """Write the graph as text files named by the extension of ``path``'s last folder."""
     df.select(line.alias("value")).write.text(path)
@@ -267,7 +272,7 @@ PARSED = ["subject", "predicate", "object", "object_type", "lang"]
 @query("src_ntriples_parse", PARSED_SQL)
 def src_ntriples_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_lines(
-        g(spark, sf_dir), ntriples.render_line(), scratch_path(spark, "lines")
+        graph(spark, sf_dir), ntriples.render_line(), scratch_path(spark, "lines")
     )
     return show_triples(files.read_ntriples(spark, [path]), *PARSED)
 
@@ -279,7 +284,7 @@ def src_ntriples_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def src_nquads_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_lines(
-        g(spark, sf_dir), ntriples.render_line(quads=True), scratch_path(spark, "quads")
+        graph(spark, sf_dir), ntriples.render_line(quads=True), scratch_path(spark, "quads")
     )
     parsed = files.read_ntriples(spark, [path], quads=True)
     return show_triples(parsed, *PARSED, "context")
@@ -303,7 +308,7 @@ def write_turtle(df: DataFrame, path: str) -> str:
 
 @query("src_whole_files", PARSED_SQL)
 def src_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_turtle(g(spark, sf_dir), scratch_path(spark, "turtle"))
+    path = write_turtle(graph(spark, sf_dir), scratch_path(spark, "turtle"))
     return show_triples(files.read_whole_files(spark, [f"{path}/*.ttl"]), *PARSED)
 
 
@@ -313,9 +318,10 @@ def src_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def union_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routes")
-    graph = g(spark, sf_dir).withColumn("half", F.pmod(F.xxhash64("subject"), F.lit(2)))
-    write_lines(graph.filter("half = 0"), ntriples.render_line(), f"{path}/by-line.nt")
-    write_turtle(graph.filter("half = 1"), f"{path}/whole")
+    half = F.pmod(F.xxhash64("subject"), F.lit(2))
+    rows = graph(spark, sf_dir)
+    write_lines(rows.filter(half == 0), ntriples.render_line(), f"{path}/by-line.nt")
+    write_turtle(rows.filter(half == 1), f"{path}/whole")
     loaded = files.read_sources(spark, f"{path}/by-line.nt , {path}/whole/*.ttl,")
     return loaded.groupBy("predicate", "object_type").agg(F.count("*").alias("n"))
 
@@ -328,7 +334,7 @@ G_SQL_SHOWN = (
 
 @query("scan_index_spo", G_SQL_SHOWN + "g")
 def scan_index_spo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_ts(sources.scan_index(spark, loaded_prefix(spark, sf_dir), "spo"))
+    return with_ts(graph(spark, sf_dir))
 
 
 @query("filter_property", G_SQL_SHOWN + f"g where predicate in ({in_sql(PROPERTIES)})")
@@ -339,18 +345,18 @@ def filter_property(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("filter_visibility", G_SQL_SHOWN + "v")
 def filter_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_ts(public_g(spark, sf_dir))
+    return with_ts(public_graph(spark, sf_dir))
 
 
 @query("filter_visibility_auths", G_SQL_SHOWN + "g where visibility in ('', 'U')")
 def filter_visibility_auths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_ts(triples.visible(g(spark, sf_dir), ("U", "FOUO")))
+    return with_ts(triples.visible(graph(spark, sf_dir), ("U", "FOUO")))
 
 
 @query("filter_time_range", G_SQL_SHOWN + f"g where ts between {RANGE_SQL}")
 def filter_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = flows.epoch_ms(spark, RANGE_START), flows.epoch_ms(spark, RANGE_END)
-    return with_ts(triples.filter_time(g(spark, sf_dir), start, end))
+    return with_ts(triples.filter_time(graph(spark, sf_dir), start, end))
 
 
 SPLIT_POINTS = ["urn:event#", "urn:order#", "urn:order#5", "urn:part#", "urn:user#"]
@@ -363,7 +369,7 @@ SPLIT_POINTS = ["urn:event#", "urn:order#", "urn:order#5", "urn:part#", "urn:use
     "max(subject) as last_key from g group by all",
 )
 def key_range_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranged = triples.key_ranges(g(spark, sf_dir), F.col("subject"), SPLIT_POINTS)
+    ranged = triples.key_ranges(graph(spark, sf_dir), F.col("subject"), SPLIT_POINTS)
     return ranged.groupBy("range_id").agg(
         F.count("*").alias("n"),
         F.min("subject").alias("first_key"),
@@ -373,7 +379,7 @@ def key_range_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rebalance_rows", f"{WITH_G} select {SHOWN_TRIPLE_SQL} from g")
 def rebalance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show_triples(triples.rebalance(g(spark, sf_dir)))
+    return show_triples(triples.rebalance(graph(spark, sf_dir)))
 
 
 @query(
@@ -458,9 +464,9 @@ def ensure_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("write_table_runs", G_SQL_SHOWN + "g")
 def write_table_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = scratch_path(spark, "runs") + "/"
-    graph = g(spark, sf_dir).withColumn("half", F.pmod(F.xxhash64("subject"), F.lit(2)))
-    for half, run in ((0, "a"), (1, "b"), (0, "a")):
-        part = graph.filter(F.col("half") == half).drop("half")
+    half = F.pmod(F.xxhash64("subject"), F.lit(2))
+    for number, run in ((0, "a"), (1, "b"), (0, "a")):
+        part = graph(spark, sf_dir).filter(half == number)
         sinks.write_table(part, prefix + "spo", run)
     return with_ts(sources.scan_index(spark, prefix, "spo"))
 
@@ -472,7 +478,7 @@ def write_table_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def write_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
-    sinks.write_routed(g(spark, sf_dir), path, "predicate")
+    sinks.write_routed(graph(spark, sf_dir), path, "predicate")
     return (
         spark.read.schema(TRIPLE)
         .parquet(path)
@@ -494,7 +500,7 @@ def write_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"from (select object_type, lang, '' as visibility from g) group by all",
 )
 def normalise_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = g(spark, sf_dir).select(
+    parsed = graph(spark, sf_dir).select(
         "subject",
         "predicate",
         "object",
@@ -514,7 +520,7 @@ def normalise_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     "union all select 'osp', object, subject, predicate from g",
 )
 def index_rows_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return triples.index_rows(g(spark, sf_dir))
+    return triples.index_rows(graph(spark, sf_dir))
 
 
 @query(
@@ -525,16 +531,15 @@ def index_rows_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     "count(*) as n from k group by all",
 )
 def extract_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    graph = g(spark, sf_dir)
     keys = F.array(terms.encode_row_key("spo"), F.col("subject"))
-    rows = graph.select(F.explode(keys).alias("row_key"))
+    rows = graph(spark, sf_dir).select(F.explode(keys).alias("row_key"))
     subject = terms.extract_subject(F.col("row_key")).alias("subject")
     return rows.groupBy(subject).agg(F.count("*").alias("n"))
 
 
 @query("row_key_round_trip", f"{WITH_G} select subject, predicate, object from g")
 def row_key_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = g(spark, sf_dir)
+    rows = graph(spark, sf_dir)
     for layout in LAYOUTS:
         keys = rows.select(terms.encode_row_key(layout).alias("row_key"))
         rows = keys.select(*terms.decode_row_key(F.col("row_key"), layout))
@@ -547,7 +552,7 @@ def row_key_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "count(*) as n, min(data) as first_data, max(data) as last_data from p group by all",
 )
 def prospect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = show_prospects(prospects.explode_prospects(public_g(spark, sf_dir)))
+    rows = show_prospects(prospects.explode_prospects(public_graph(spark, sf_dir)))
     return rows.groupBy("triple_value_type", "data_type").agg(
         F.sum("count").alias("n"),
         F.min("data").alias("first_data"),
@@ -561,7 +566,7 @@ def prospect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def entity_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = terms.entity_namespace(F.col("subject")).alias("namespace")
-    return g(spark, sf_dir).groupBy(namespace).agg(F.count("*").alias("n"))
+    return graph(spark, sf_dir).groupBy(namespace).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -571,7 +576,7 @@ def entity_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     "cast(count(*) as varchar) as value from p group by triple_value_type, data, data_type, visibility",
 )
 def prospect_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prospects.prospect_counts(public_g(spark, sf_dir))
+    counts = prospects.prospect_counts(public_graph(spark, sf_dir))
     rows = prospects.prospect_to_row(counts).drop("updated_at")
     shown = F.replace("row_key", F.lit(DELIM), F.lit("|"))
     return rows.withColumn("row_key", shown)
@@ -584,7 +589,7 @@ def prospect_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def object_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = terms.object_kind(F.col("object_type"), F.col("lang")).alias("kind")
-    return g(spark, sf_dir).groupBy(kind, "object_type").agg(F.count("*").alias("n"))
+    return graph(spark, sf_dir).groupBy(kind, "object_type").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -593,7 +598,7 @@ def object_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def property_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = terms.property_field(F.col("predicate")).alias("field")
-    return g(spark, sf_dir).groupBy(field).agg(F.count("*").alias("n"))
+    return graph(spark, sf_dir).groupBy(field).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -616,7 +621,7 @@ def iso_epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("require_not_null", f"{WITH_G} select predicate, count(*) as n from g group by all")
 def require_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = triples.require_not_null(g(spark, sf_dir), TRIPLE.names[:4])
+    checked = triples.require_not_null(graph(spark, sf_dir), TRIPLE.names[:4])
     return checked.groupBy("predicate").agg(F.count("*").alias("n"))
 
 
@@ -655,7 +660,7 @@ for _name, _pattern in PATTERNS.items():
 
 def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.changed_subject_triples(
-        triples.visible(sources.scan_index(spark, loaded_prefix(spark, sf_dir))),
+        public_graph(spark, sf_dir),
         [DID],
         flows.epoch_ms(spark, RANGE_START),
         flows.epoch_ms(spark, RANGE_END),
@@ -721,7 +726,7 @@ COUNTED_SQL = (
     f"{COUNTED_SQL} select c.* from c join r using (triple_value_type, data, data_type)",
 )
 def lookup_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prospects.prospect_counts(public_g(spark, sf_dir))
+    counts = prospects.prospect_counts(public_graph(spark, sf_dir))
     return show_prospects(prospects.lookup_prospects(counts, requests(spark, sf_dir)))
 
 
@@ -732,7 +737,7 @@ def lookup_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
     "from r left join c using (triple_value_type, data, data_type)",
 )
 def cardinality_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prospects.prospect_counts(public_g(spark, sf_dir))
+    counts = prospects.prospect_counts(public_graph(spark, sf_dir))
     found = prospects.cardinality(counts, requests(spark, sf_dir))
     return found.withColumn("data", F.replace("data", F.lit(DELIM), F.lit("|")))
 
@@ -742,11 +747,11 @@ def cardinality_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("prospect_counts", counts_sql())
 def prospect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show_prospects(prospects.prospect_counts(public_g(spark, sf_dir)))
+    return show_prospects(prospects.prospect_counts(public_graph(spark, sf_dir)))
 
 
 def count_type(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show_prospects(prospects.count_by_type(public_g(spark, sf_dir), name))
+    return show_prospects(prospects.count_by_type(public_graph(spark, sf_dir), name))
 
 
 COUNT_QUERIES = {
@@ -794,14 +799,13 @@ def groups_sql(budget: int) -> str:
 
 @query("group_by_subject", groups_sql(documents.PART_CHARS))
 def group_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = sources.scan_index(spark, loaded_prefix(spark, sf_dir))
-    return show_groups(documents.group_by_subject(triples.visible(index)))
+    return show_groups(documents.group_by_subject(public_graph(spark, sf_dir)))
 
 
 @query("group_by_subject_parts", groups_sql(SMALL_PART))
 def group_by_subject_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = triples.visible(sources.scan_index(spark, loaded_prefix(spark, sf_dir)))
-    return show_groups(documents.group_by_subject(index, part_chars=SMALL_PART))
+    rows = public_graph(spark, sf_dir)
+    return show_groups(documents.group_by_subject(rows, part_chars=SMALL_PART))
 
 
 # --- documents --------------------------------------------------------------------
@@ -926,8 +930,8 @@ def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, late = early_and_late(spark, sf_dir)
     path = scratch_path(spark, "upserted")
-    sinks.write_documents(early, path, "1")
-    sinks.write_documents(late, path, "2")
+    sinks.write_documents(early, path)
+    sinks.write_documents(late, path)
     return show_documents(sources.read_documents(spark, path))
 
 
@@ -955,7 +959,7 @@ def merge_prospects_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "merged")
     half = F.pmod(F.xxhash64("subject"), F.lit(2))
     for number, run in ((0, "a"), (1, "b"), (1, "b")):
-        part = public_g(spark, sf_dir).filter(half == number)
+        part = public_graph(spark, sf_dir).filter(half == number)
         sinks.write_prospects(prospects.prospect_counts(part), path, run)
     return show_prospects(sources.read_prospects(spark, path))
 
@@ -999,4 +1003,5 @@ def stream_refresh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prospect_counts(prepare(spark), sf_dir)
+    """The prospect counts of the graph, straight from the driver's tables."""
+    return show_prospects(prospects.prospect_counts(triples.visible(g(spark, sf_dir))))

@@ -141,13 +141,12 @@ def fulltext_incremental(
     start: str | None = None,
 ) -> None:
     """Documents of the subjects changed since ``start``, else since the last stored
-    end, up to ``end``; then the end is stored. Repeating a run rewrites its own
-    documents only."""
+    end, up to ``end``; then the end is stored."""
     end_ms = epoch_ms(spark, end)
     if end_ms is None:
         raise ValueError("the end time must be set")
     start_ms = read_checkpoint(spark, checkpoint, epoch_ms(spark, start))
     triples = scan_index(spark, prefix, predicates=properties)
     docs = changed_documents(triples, properties, start_ms, end_ms)
-    write_documents(docs, destination, run=f"{end_ms:015d}")
+    write_documents(docs, destination)
     commit_checkpoint(spark, checkpoint, end_ms)

@@ -22,6 +22,7 @@ from spark_triples.sources.tables import (
     read_prospects,
     read_run,
     run_path,
+    run_paths,
     scan_index,
 )
 
@@ -125,12 +126,15 @@ def write_prospects(
     write_sorted(rows, table, keys, run, mode, partitions)
 
 
-def write_documents(
-    docs: DataFrame, table: str, run: str = FIRST_RUN, mode: str = "add"
-) -> str:
-    """Write documents; a document replaces those of the same id from earlier runs.
-    Only these documents are written, whatever the size of the table."""
-    return write_table(docs, table, run, mode)
+def write_documents(docs: DataFrame, table: str, mode: str = "add") -> str:
+    """Write documents as the table's next run; a document replaces those of the same id
+    from earlier runs. Only these documents are written, whatever the size of the table.
+
+    Writing the same documents again does no harm. The table has one writer at a time.
+    """
+    written = run_paths(docs.sparkSession, table) if mode == "add" else []
+    number = 1 + max((int(path.rsplit("=", 1)[1]) for path in written), default=-1)
+    return write_table(docs, table, f"{number:012d}", mode)
 
 
 def export_documents(docs: DataFrame, path: str) -> None:

@@ -34,11 +34,6 @@ def with_watermark(triples: DataFrame) -> DataFrame:
     return stamped.withWatermark("ts", STREAM_LAG)
 
 
-def run_name(batch: int) -> str:
-    """Micro-batches apply in the order of their names."""
-    return f"{batch:015d}"
-
-
 def ingest(
     triples: DataFrame, path: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
@@ -64,15 +59,15 @@ def refresh_documents(
     """Per micro-batch, rewrite the documents of the subjects it changed.
 
     Their triples of any age are read from the index table, so the stream keeps no
-    state; its checkpoint is the high-water mark. A repeated batch rewrites its run.
+    state; its checkpoint is the high-water mark. A repeated batch writes equal documents.
     """
 
-    def refresh(batch: DataFrame, number: int) -> None:
+    def refresh(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         changed = visible(filter_property(batch, properties)).select("subject")
         listed = visible(scan_index(spark, prefix, predicates=properties))
         triples = key_join(listed, changed, "subject", "left_semi")
-        write_documents(assemble_documents(triples), destination, run_name(number))
+        write_documents(assemble_documents(triples), destination)
 
     writer = changes.writeStream.foreachBatch(refresh).option(
         "checkpointLocation", checkpoint

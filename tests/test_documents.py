@@ -1,0 +1,249 @@
+import json
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from spark_triples.operators import documents, skew
+from spark_triples.operators.triples import filter_property, filter_time
+from spark_triples.plans import flows
+from spark_triples.schema import ANYURI, LANG_STRING, XSD_STRING
+from spark_triples.sinks import tables as sinks
+from spark_triples.sources import tables as sources
+
+from .fixtures import ENTITY_1, ENTITY_2, FIVE, INTEGER, PRED, PRED_1
+
+NOW = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
+OLD = NOW - timedelta(seconds=60_000)
+
+
+def row(subject, predicate, obj, object_type=XSD_STRING, lang=None, ts=OLD):
+    return (subject, predicate, obj, object_type, lang, None, "", ts)
+
+
+CHANGED = [
+    row(ENTITY_1, PRED, "mydata1", lang="en"),
+    row(ENTITY_1, PRED, "mydata2"),
+    row(ENTITY_2, PRED, "12", INTEGER),
+    row(ENTITY_2, PRED_1, "12"),
+    row(ENTITY_1, PRED, "12", ts=NOW),
+]
+
+
+def ms(time):
+    return int(time.timestamp()) * 1000
+
+
+def as_map(docs):
+    return {(r["id"], r["part"]): (r["properties"], r["text"]) for r in docs.collect()}
+
+
+def whole(docs):
+    """Documents with their parts joined in order."""
+    joined = {}
+    for r in sorted(docs.collect(), key=lambda r: (r["id"], r["part"])):
+        properties, text = joined.setdefault(r["id"], ({}, []))
+        for field, values in r["properties"].items():
+            properties.setdefault(field, []).extend(values)
+        text.extend(r["text"])
+    return joined
+
+
+@pytest.fixture
+def table(make_triples, tmp_path):
+    prefix = f"{tmp_path}/t_"
+    sinks.write_indexes(make_triples(CHANGED), prefix)
+    return prefix
+
+
+def test_all_documents(make_triples):
+    first = (ENTITY_1, PRED, "mydata1", XSD_STRING, "en")
+    triples = filter_property(make_triples([first, *FIVE[1:]]), [PRED])
+    field = f"p_{PRED}"
+    assert as_map(documents.assemble_documents(triples)) == {
+        (ENTITY_1, 0): ({field: ["12", "mydata1", "mydata2"]}, ["12", "mydata1", "mydata2"]),
+        (ENTITY_2, 0): ({field: ["12"]}, ["12"]),
+    }
+
+
+def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
+    docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
+    flows.fulltext_incremental(
+        spark,
+        table,
+        [PRED],
+        docs,
+        checkpoint,
+        start=(NOW - timedelta(seconds=10)).isoformat(),
+        end=NOW.isoformat() + "[Etc/UTC]",
+    )
+    found = documents.document_json(sources.read_documents(spark, docs)).collect()
+    assert len(found) == 1
+    assert json.loads(found[0]["json"]) == {
+        "context": "null",
+        "text": ["12", "mydata1", "mydata2"],
+        "uri": ENTITY_1,
+        f"p_{PRED}": ["12", "mydata1", "mydata2"],
+    }
+    assert sources.read_checkpoint(spark, checkpoint) == ms(NOW)
+
+
+def test_next_run_starts_at_the_stored_end(spark, table, make_triples, tmp_path):
+    docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
+    flows.fulltext_full(spark, table, [PRED], docs, checkpoint, end=NOW.isoformat())
+    assert len(as_map(sources.read_documents(spark, docs))) == 2
+    later = NOW + timedelta(seconds=100)
+    sinks.write_indexes(make_triples([row(ENTITY_2, PRED, "new", ts=later)]), table, run="1")
+    for _ in range(2):
+        flows.fulltext_incremental(
+            spark, table, [PRED], docs, checkpoint, end=(later + timedelta(1)).isoformat()
+        )
+    found = whole(sources.read_documents(spark, docs))
+    assert found[ENTITY_2][1] == ["12", "new"]
+    assert found[ENTITY_1][1] == ["12", "mydata1", "mydata2"]
+    sinks.compact_documents(spark, docs)
+    assert whole(sources.read_documents(spark, docs)) == found
+    assert len(sources.run_paths(spark, docs)) == 1
+
+
+def test_checkpoint_needs_a_finished_sink(spark, table, tmp_path, monkeypatch):
+    checkpoint = f"{tmp_path}/checkpoint"
+    monkeypatch.setattr(flows, "write_documents", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        flows.fulltext_incremental(
+            spark, table, [PRED], f"{tmp_path}/docs", checkpoint, end=NOW.isoformat()
+        )
+    assert sources.read_checkpoint(spark, checkpoint) is None
+
+
+def test_checkpoint_is_stored_for_an_empty_run_with_an_end_only(spark, table, tmp_path):
+    docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
+    flows.fulltext_full(spark, table, ["urn:none"], docs, checkpoint)
+    assert sources.read_checkpoint(spark, checkpoint) is None
+    flows.fulltext_full(spark, table, ["urn:none"], docs, checkpoint, end=NOW.isoformat())
+    assert sources.read_checkpoint(spark, checkpoint) == ms(NOW)
+    assert sources.read_checkpoint(spark, checkpoint, start_ms=5) == 5
+    assert sources.read_documents(spark, docs).count() == 0
+
+
+def test_end_time_is_required(spark, table, make_triples, tmp_path):
+    with pytest.raises(ValueError, match="end time"):
+        filter_time(make_triples(CHANGED), 0, None)
+    with pytest.raises(ValueError, match="end time"):
+        flows.fulltext_incremental(spark, table, [PRED], f"{tmp_path}/d", f"{tmp_path}/c", None)
+
+
+def test_time_range_includes_both_ends(make_triples):
+    triples = make_triples(CHANGED)
+    assert filter_time(triples, ms(OLD), ms(OLD)).count() == 4
+    assert filter_time(triples, ms(OLD), ms(NOW)).count() == 5
+    assert filter_time(triples, None, ms(NOW) - 1).count() == 4
+    assert filter_time(triples, ms(OLD) + 1, ms(NOW)).count() == 1
+
+
+def test_several_properties_and_value_kinds(make_triples):
+    rows = [
+        row("u:s", "u:b", "z"),
+        row("u:s", "u:b", "y", LANG_STRING, "fr"),
+        row("u:s", "u:a", "x"),
+        row("u:s", "u:a", "u:iri", ANYURI),
+        row("u:s", "u:c", "u:iri", ANYURI),
+        row("u:only-iris", "u:a", "u:iri", ANYURI),
+        row("u:s", "u:a", "x", INTEGER),
+    ]
+    assert as_map(documents.assemble_documents(make_triples(rows))) == {
+        ("u:s", 0): ({"p_u:a": ["x", "x"], "p_u:b": ["y", "z"]}, ["x", "x", "y", "z"]),
+        ("u:only-iris", 0): ({}, []),
+    }
+
+
+@pytest.fixture(scope="module")
+def skewed(make_triples):
+    """One subject has a third of the rows, the others a few each."""
+    hot = [row("u:hot", f"u:p{i % 3}", f"v{i:05d}") for i in range(1500)]
+    cold = [row(f"u:s{i % 700}", "u:p0", f"v{i:05d}", lang="en") for i in range(3000)]
+    return make_triples(hot + cold).repartition(8)
+
+
+@pytest.mark.parametrize("broadcast_keys", [skew.BROADCAST_KEYS, 0])
+def test_large_subject_comes_in_parts(skewed, broadcast_keys):
+    expected = whole(documents.assemble_documents(skewed))
+    docs = documents.assemble_documents(skewed, 2_000, broadcast_keys)
+    assert whole(docs) == expected
+    parts = docs.filter("id = 'u:hot'").orderBy("part").collect()
+    assert [r["part"] for r in parts] == list(range(len(parts)))
+    # 1500 rows of 6 + 64 characters in parts of 2000
+    assert len(parts) == 53
+    assert max(len(r["text"]) for r in parts) == 29
+    assert docs.filter("id <> 'u:hot' and part > 0").count() == 0
+
+
+def test_preceding_total_is_exact(skewed):
+    total = skew.preceding_total(
+        skewed, "subject", ["predicate", "object"], F.lit(1), "before"
+    )
+    per_subject = {}
+    for r in total.collect():
+        per_subject.setdefault(r["subject"], []).append(
+            (r["before"], r["predicate"], r["object"])
+        )
+    assert len(per_subject["u:hot"]) == 1500
+    for values in per_subject.values():
+        assert [v[0] for v in sorted(values)] == list(range(len(values)))
+        assert [v[1:] for v in sorted(values)] == sorted(v[1:] for v in values)
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("broadcast_keys", [skew.BROADCAST_KEYS, 50, 5])
+def test_key_join(spark, skewed, how, broadcast_keys):
+    wanted = [("u:hot",), *[(f"u:s{i}",) for i in range(0, 1400, 2)], ("u:hot",)]
+    keys = spark.createDataFrame(wanted, "subject string")
+    found = skew.key_join(skewed, keys, "subject", how, broadcast_keys=broadcast_keys)
+    keep = {w[0] for w in wanted}
+    expected = sorted(
+        r["object"] for r in skewed.collect() if (r["subject"] in keep) == (how == "left_semi")
+    )
+    assert sorted(r["object"] for r in found.collect()) == expected
+    assert found.columns == skewed.columns
+
+
+def test_key_join_checks_its_kind(skewed):
+    with pytest.raises(ValueError, match="left_semi or left_anti"):
+        skew.key_join(skewed, skewed.select("subject"), "subject", "inner")
+
+
+def test_upsert(make_triples):
+    old = documents.assemble_documents(
+        make_triples([row("u:a", "u:p", "1"), row("u:b", "u:p", "2")])
+    )
+    new = documents.assemble_documents(
+        make_triples([row("u:b", "u:q", "3"), row("u:c", "u:p", "4")])
+    )
+    merged = {key[0]: text for key, (_, text) in as_map(documents.upsert_documents(old, new)).items()}
+    assert merged == {"u:a": ["1"], "u:b": ["3"], "u:c": ["4"]}
+
+
+def test_later_runs_win_in_the_table(spark, make_triples, tmp_path):
+    table = f"{tmp_path}/docs"
+    runs = [
+        [row("u:a", "u:p", f"{i:03d}") for i in range(100)] + [row("u:b", "u:p", "1")],
+        [row("u:b", "u:p", "2"), row("u:c", "u:p", "2")],
+        [row("u:a", "u:p", "3"), row("u:c", "u:p", "3")],
+    ]
+    for rows in runs:
+        docs = documents.assemble_documents(make_triples(rows), part_chars=1_000)
+        sinks.write_documents(docs, table)
+    found = {key: text for key, (_, text) in as_map(sources.read_documents(spark, table)).items()}
+    assert found == {("u:a", 0): ["3"], ("u:b", 0): ["2"], ("u:c", 0): ["3"]}
+
+
+def test_json_export(spark, make_triples, tmp_path):
+    rows = [row("u:a", "u:p", 'q"uo\nte'), row("u:i", "u:p", "u:x", ANYURI)]
+    rows += [row("u:big", "u:p", f"{i}") for i in range(3)]
+    docs = documents.assemble_documents(make_triples(rows), part_chars=100)
+    sinks.export_documents(docs, f"{tmp_path}/json")
+    lines = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/json").collect()]
+    by_uri = {(d["uri"], d.get("part", 0)): d for d in lines}
+    assert by_uri["u:a", 0]["text"] == ['q"uo\nte'] == by_uri["u:a", 0]["p_u:p"]
+    assert by_uri["u:i", 0] == {"context": "null", "text": [], "uri": "u:i"}
+    assert [by_uri["u:big", i]["text"] for i in range(2)] == [["0", "1"], ["2"]]
