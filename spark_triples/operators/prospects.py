@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import entity_namespace, pair_key
-from spark_triples.operators.skew import BROADCAST_KEYS
+from spark_triples.operators.skew import (
+    BROADCAST_KEYS,
+    PUSHED_KEYS,
+    can_broadcast,
+    is_one_of,
+    size_of,
+)
 from spark_triples.operators.triples import require_not_null
 from spark_triples.schema import (
     ABSENT,
@@ -28,9 +34,6 @@ from spark_triples.schema import (
 from spark_triples.session import stage
 
 
-PUSHED_KEYS = 100
-
-
 def _keys(on_bad_iri: str) -> dict[str, tuple[Column, Column]]:
     """Counted key and its data type, per prospect type."""
     s, p, o = F.col("subject"), F.col("predicate"), F.col("object")
@@ -174,8 +177,8 @@ def lookup_prospects(
     """The prospects asked for: ``requests(triple_value_type, terms, data_type)``, the
     terms in key order. Each prospect comes once, however often it is asked for.
 
-    The distinct requests are written and counted. Up to a hundred become a filter of
-    the scan, few are broadcast and the count table stays where it is, else both sides,
+    The distinct requests are written and measured. A few become a filter of the
+    scan, a small set is broadcast and the count table stays where it is, else both sides,
     unique on the key but for the visibility labels, meet by shuffle.
     """
     wanted = requests.select(
@@ -185,13 +188,14 @@ def lookup_prospects(
     ).distinct()
     wanted = stage(wanted, "lookup-requests")
     found = prospects.filter(F.col("visibility").isin("", *auths))
-    count = wanted.count()
-    if count <= PUSHED_KEYS:
+    size = size_of(wanted)
+    if size[0] <= min(PUSHED_KEYS, broadcast_keys) and can_broadcast(size):
         # so few that the scan itself can skip files and row groups by them
         asked = wanted.collect()
         for name in ("triple_value_type", "data"):
-            found = found.filter(F.col(name).isin({row[name] for row in asked}))
-    if count <= broadcast_keys:
+            values = sorted({row[name] for row in asked} - {None})
+            found = found.filter(is_one_of(F.col(name), values))
+    if can_broadcast(size, broadcast_keys):
         wanted = F.broadcast(wanted)
     return found.join(wanted, _lookup_key(), "left_semi").select(*PROSPECT.names)
 

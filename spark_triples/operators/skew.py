@@ -7,8 +7,36 @@ from pyspark.sql import functions as F
 
 from spark_triples.session import stage
 
-# Keys are short strings: this many make a broadcast of at most some 100 MB.
+# What may be broadcast, counted beforehand; and how many keys the scan may filter by.
 BROADCAST_KEYS = 500_000
+BROADCAST_BYTES = 128 << 20
+PUSHED_KEYS = 1_000
+# Parquet readers test up to ten listed values against statistics, one by one.
+_PUSHED_AT_ONCE = 10
+
+
+def size_of(keys: DataFrame) -> tuple[int, int]:
+    """Rows of a set of keys, and the bytes of its string columns."""
+    strings = [f.name for f in keys.schema.fields if f.dataType.typeName() == "string"]
+    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings), F.lit(0))
+    rows, size = keys.agg(F.count("*"), F.coalesce(F.sum(length), F.lit(0))).first()
+    return rows, size
+
+
+def can_broadcast(size: tuple[int, int], broadcast_keys: int = BROADCAST_KEYS) -> bool:
+    return size[0] <= broadcast_keys and size[1] <= BROADCAST_BYTES
+
+
+def is_one_of(column: Column, values: list[str]) -> Column:
+    """``column`` has one of a few values, in a form files and row groups are skipped by."""
+    groups = [
+        column.isin(values[i : i + _PUSHED_AT_ONCE])
+        for i in range(0, len(values), _PUSHED_AT_ONCE)
+    ]
+    while len(groups) > 1:
+        pairs = zip(groups[::2], [*groups[1::2], F.lit(False)], strict=False)
+        groups = [a | b for a, b in pairs]
+    return groups[0] if groups else F.lit(False)
 
 
 def key_join(
@@ -22,27 +50,38 @@ def key_join(
     """``left_semi`` or ``left_anti`` of ``df`` with ``keys``, which match on one column.
 
     ``keys`` may repeat the column alone; if ``and_also`` compares others of theirs, a
-    key must come once. They are written and counted first. A small set is broadcast,
-    so the rows of ``df`` do not move. A larger one is joined by shuffle, except for the
-    keys with more than 1/``broadcast_keys`` of all rows: there are at most
-    ``broadcast_keys`` of those, so they are broadcast and their rows stay in place.
+    key must come once. They are written and measured first. A few to keep become a
+    filter of the scan. A small set is broadcast, so the rows of ``df`` do not move. A
+    larger one is joined by shuffle, except for the keys with more than
+    1/``broadcast_keys`` of all rows: there are at most ``broadcast_keys`` of those, so
+    they are broadcast and their rows stay in place.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"how must be left_semi or left_anti, not {how!r}")
     keys = stage(keys.withColumnRenamed(on, "_key").distinct(), "join-keys")
     match = F.col(on) == F.col("_key")
     on_match = match if and_also is None else match & and_also
-    if keys.count() <= broadcast_keys:
+    size = size_of(keys)
+    few = size[0] <= min(PUSHED_KEYS, broadcast_keys) and can_broadcast(size)
+    if few and how == "left_semi" and and_also is None:
+        return df.filter(is_one_of(F.col(on), [r["_key"] for r in keys.collect()]))
+    if can_broadcast(size, broadcast_keys):
         return df.join(F.broadcast(keys), on_match, how)
-    heavy_rows = df.count() // broadcast_keys
-    sizes = df.groupBy(F.col(on).alias("_heavy")).agg(F.count("*").alias("_rows"))
-    heavy = stage(sizes.filter(F.col("_rows") > heavy_rows).select("_heavy"), "heavy-keys")
+
+    least = df.count() // max(broadcast_keys, 1)
+    rows = df.groupBy(F.col(on).alias("_heavy")).agg(F.count("*").alias("_rows"))
+    heavy = stage(rows.filter(F.col("_rows") > least).select("_heavy"), "heavy-keys")
+    if not can_broadcast(size_of(heavy), max(broadcast_keys, 1)):
+        # keys of an extreme length: leave the split to the adaptive skew join
+        return df.join(keys, on_match, how)
     heavy = F.broadcast(heavy)
     is_heavy = F.col(on) == F.col("_heavy")
     heavy_keys = keys.join(heavy, F.col("_key") == F.col("_heavy"), "left_semi")
     light_rows = df.join(heavy, is_heavy, "left_anti").join(keys, on_match, how)
     heavy_rows = df.join(heavy, is_heavy, "left_semi")
-    return light_rows.unionByName(heavy_rows.join(F.broadcast(heavy_keys), on_match, how))
+    return light_rows.unionByName(
+        heavy_rows.join(F.broadcast(heavy_keys), on_match, how)
+    )
 
 
 def preceding_total(
@@ -114,11 +153,11 @@ def collect_in_parts(
 
     large = df.groupBy(group).agg(F.sum(weight).alias("_w")).filter(F.col("_w") > budget)
     large = stage(large.select(group), "large-groups")
-    count = large.count()
+    size = size_of(large)
     whole = df.withColumn("part", F.lit(0).cast("bigint"))
-    if count == 0:
+    if size[0] == 0:
         return collect(whole)
-    if count > broadcast_keys:
+    if not can_broadcast(size, broadcast_keys):
         return collect(cut(df))
     large = F.broadcast(large)
     return collect(whole.join(large, group, "left_anti")).unionByName(

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
-from spark_triples.operators.documents import (
-    assemble_documents,
-    changed_subject_triples,
-)
+from spark_triples.operators.documents import assemble_documents
 from spark_triples.operators.prospects import (
     aggregate_prospects,
     explode_prospects,
     prospect_counts,
 )
-from spark_triples.operators.triples import dedup_triples, visible
+from spark_triples.operators.skew import PUSHED_KEYS, key_join
+from spark_triples.operators.triples import dedup_triples, filter_time, visible
 from spark_triples.schema import TRIPLE
+from spark_triples.session import stage
 from spark_triples.sinks.tables import (
     FIRST_RUN,
     commit_checkpoint,
@@ -116,19 +115,29 @@ def fulltext_full(
 ) -> None:
     """Triple table → all documents anew, in place of those in the table."""
     end_ms = epoch_ms(spark, end)
-    triples = visible(scan_index(spark, prefix, predicates=properties))
+    triples = listed_triples(spark, prefix, properties)
     write_documents(assemble_documents(triples), destination, mode="replace")
     if checkpoint is not None:
         commit_checkpoint(spark, checkpoint, end_ms)
 
 
-def changed_documents(
-    triples: DataFrame, properties: list[str], start_ms: int | None, end_ms: int | None
+def listed_triples(
+    spark: SparkSession, prefix: str, properties: list[str], layout: str = "po"
+) -> DataFrame:
+    """The public triples of the listed properties. The predicate-ordered copy is read:
+    there the filter skips whatever files hold other predicates."""
+    return visible(scan_index(spark, prefix, layout, predicates=properties))
+
+
+def triples_of_subjects(
+    spark: SparkSession, prefix: str, properties: list[str], subjects: DataFrame
 ) -> DataFrame:
-    """Documents of the subjects that changed in the time range, whole."""
-    return assemble_documents(
-        changed_subject_triples(visible(triples), properties, start_ms, end_ms)
-    )
+    """The listed triples, of any age, of the given subjects. For a few subjects the
+    subject-ordered copy is read, and only where they lie in it."""
+    subjects = stage(subjects.select("subject").distinct(), "subjects")
+    layout = "spo" if subjects.count() <= PUSHED_KEYS else "po"
+    listed = listed_triples(spark, prefix, properties, layout)
+    return key_join(listed, subjects, "subject", "left_semi")
 
 
 def fulltext_incremental(
@@ -146,7 +155,7 @@ def fulltext_incremental(
     if end_ms is None:
         raise ValueError("the end time must be set")
     start_ms = read_checkpoint(spark, checkpoint, epoch_ms(spark, start))
-    triples = scan_index(spark, prefix, predicates=properties)
-    docs = changed_documents(triples, properties, start_ms, end_ms)
-    write_documents(docs, destination)
+    changed = filter_time(listed_triples(spark, prefix, properties), start_ms, end_ms)
+    triples = triples_of_subjects(spark, prefix, properties, changed)
+    write_documents(assemble_documents(triples), destination)
     commit_checkpoint(spark, checkpoint, end_ms)

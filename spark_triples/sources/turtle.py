@@ -12,8 +12,9 @@ from spark_triples.schema import ANYURI, LANG_STRING, RDF_TYPE, XSD, XSD_STRING
 # --- Fixed format: Turtle tokens, and the RDF collection vocabulary ----------
 _TOKEN = re.compile(
     r"""
-    (?P<skip>[\s]+|\#[^\n\r]*)
-  | <(?P<iri>(?:[^\x00-\x20<>"{}|^`\\]|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})*)>
+    (?:\s++|\#[^\n\r]*+)*+
+  (?:
+    <(?P<iri>(?:[^\x00-\x20<>"{}|^`\\]|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})*)>
   | (?P<literal>\"{3}(?:\"{0,2}(?:[^"\\]|\\.))*+\"{3}
       |'{3}(?:'{0,2}(?:[^'\\]|\\.))*+'{3}
       |"(?:[^"\\\n\r]|\\.)*+"|'(?:[^'\\\n\r]|\\.)*+')
@@ -27,6 +28,8 @@ _TOKEN = re.compile(
             (?:[\w:·-]|%[0-9A-Fa-f]{2}|\\[_~.!$&'()*+,;=/?\#@%-]))?)?)
   | (?P<word>true\b|false\b|a\b)
   | (?P<mark>\^\^|[.;,\[\]()])
+  | (?P<end>\Z)
+  )
     """,
     re.VERBOSE | re.DOTALL,
 )
@@ -45,15 +48,14 @@ def _unescape(text: str) -> str:
 
 
 def _tokens(text: str) -> Iterator[tuple[str, str]]:
+    scanner = _TOKEN.scanner(text)
     position = 0
-    while position < len(text):
-        match = _TOKEN.match(text, position)
-        if match is None:
-            raise ValueError(f"unexpected text: {text[position : position + 40]!r}")
+    while match := scanner.match():
+        yield match.lastgroup, match[match.lastgroup]
+        if match.lastgroup == "end":
+            return
         position = match.end()
-        if match.lastgroup != "skip":
-            yield match.lastgroup, match[match.lastgroup]
-    yield "end", ""
+    raise ValueError(f"unexpected text: {text[position : position + 40]!r}")
 
 
 class _Document:

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spark_triples.operators.documents import assemble_documents
-from spark_triples.operators.skew import key_join
 from spark_triples.operators.triples import filter_property, normalise, visible
+from spark_triples.plans.flows import triples_of_subjects
 from spark_triples.schema import STREAM_LAG, TRIPLE
 from spark_triples.sinks.tables import write_documents
 from spark_triples.sources.files import parse_lines
-from spark_triples.sources.tables import scan_index
 
 
 def stream_lines(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -65,8 +64,7 @@ def refresh_documents(
     def refresh(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         changed = visible(filter_property(batch, properties)).select("subject")
-        listed = visible(scan_index(spark, prefix, predicates=properties))
-        triples = key_join(listed, changed, "subject", "left_semi")
+        triples = triples_of_subjects(spark, prefix, properties, changed)
         write_documents(assemble_documents(triples), destination)
 
     writer = changes.writeStream.foreachBatch(refresh).option(

@@ -69,9 +69,7 @@ def test_empty_input(make_triples):
 
 
 @pytest.mark.parametrize("broadcast_keys", [prospects.BROADCAST_KEYS, 0])
-def test_cardinality(spark, five, broadcast_keys, monkeypatch):
-    if not broadcast_keys:
-        monkeypatch.setattr(prospects, "PUSHED_KEYS", 0)
+def test_cardinality(spark, five, broadcast_keys):
     counts = prospects.prospect_counts(five)
     requests = ask(
         spark,

@@ -130,6 +130,7 @@ def plan(df):
 
 def test_plans(spark, make_triples, tmp_path):
     from spark_triples.operators.prospects import count_by_type, prospect_counts
+    from spark_triples.operators.skew import key_join
     from spark_triples.sources.files import read_ntriples
 
     prefix = f"{tmp_path}/t_"
@@ -142,6 +143,10 @@ def test_plans(spark, make_triples, tmp_path):
     assert "In(predicate, [urn:p,urn:q])" in plan(ops.filter_property(scan, ["urn:p", "urn:q"]))
     assert "LessThanOrEqual(ts," in plan(ops.filter_time(scan, None, 1000))
 
+    few = spark.createDataFrame([("urn:a",), ("urn:b",)], "subject string")
+    semi = plan(key_join(scan, few, "subject", "left_semi"))
+    assert "In(subject, [urn:a,urn:b])" in semi and "Join" not in semi
+
     counts = plan(prospect_counts(ops.visible(scan)))
     assert counts.count("Exchange hashpartitioning") == 1
     assert "Expand" in counts and "partial_count" in counts and "Python" not in counts
