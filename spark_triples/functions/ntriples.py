@@ -20,11 +20,11 @@ _UCHAR = (
     rf"|\\u[dD][89abAB]{_HEX}{{2}}\\u[dD][c-fC-F]{_HEX}{{2}}"
     rf"|\\U(?!0000[dD][89a-fA-F])(?:000{_HEX}|0010){_HEX}{{4}}"
 )
-_IRI = rf'<((?:[^\x00-\x20<>"{{}}|^`\\]|{_UCHAR})*+)>'
+_IRI = rf'<((?:[^\x00-\x20<>"{{}}|^`\\]++|{_UCHAR})*+)>'
 _LABEL = r"[\p{L}\p{Nd}_:](?:[\p{L}\p{M}\p{Nd}_:·.-]*[\p{L}\p{M}\p{Nd}_:·-])?"
 _BNODE = rf"_:({_LABEL})"
 # possessive loops: no backtracking and no recursion, whatever the literal's length
-_STRING = rf'(")((?:[^"\\]|\\[tbnrf"\'\\]|{_UCHAR})*+)"'
+_STRING = rf'(")((?:[^"\\]++|\\[tbnrf"\'\\]|{_UCHAR})*+)"'
 _LANG = r"@([A-Za-z]+(?:-[A-Za-z0-9]+)*)"
 _LITERAL = rf"{_STRING}(?:\s*\^\^\s*{_IRI}|{_LANG})?"
 _TERM = rf"(?:{_IRI}|{_BNODE})"

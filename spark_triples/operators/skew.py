@@ -149,7 +149,7 @@ def collect_in_parts(
 
     def cut(rows: DataFrame) -> DataFrame:
         total = preceding_total(rows, group, order, weight, "_total")
-        return total.withColumn("part", F.floor(F.col("_total") / F.lit(budget)))
+        return total.withColumn("part", F.call_function("div", "_total", F.lit(budget)))
 
     large = df.groupBy(group).agg(F.sum(weight).alias("_w")).filter(F.col("_w") > budget)
     large = stage(large.select(group), "large-groups")

@@ -15,7 +15,7 @@ from spark_triples.operators.prospects import (
 from spark_triples.operators.skew import PUSHED_KEYS, key_join
 from spark_triples.operators.triples import dedup_triples, filter_time, visible
 from spark_triples.schema import TRIPLE
-from spark_triples.session import stage
+from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
     FIRST_RUN,
     commit_checkpoint,
@@ -115,8 +115,9 @@ def fulltext_full(
 ) -> None:
     """Triple table → all documents anew, in place of those in the table."""
     end_ms = epoch_ms(spark, end)
-    triples = listed_triples(spark, prefix, properties)
-    write_documents(assemble_documents(triples), destination, mode="replace")
+    with job_scratch(spark):
+        triples = listed_triples(spark, prefix, properties)
+        write_documents(assemble_documents(triples), destination, mode="replace")
     if checkpoint is not None:
         commit_checkpoint(spark, checkpoint, end_ms)
 
@@ -155,7 +156,9 @@ def fulltext_incremental(
     if end_ms is None:
         raise ValueError("the end time must be set")
     start_ms = read_checkpoint(spark, checkpoint, epoch_ms(spark, start))
-    changed = filter_time(listed_triples(spark, prefix, properties), start_ms, end_ms)
-    triples = triples_of_subjects(spark, prefix, properties, changed)
-    write_documents(assemble_documents(triples), destination)
+    with job_scratch(spark):
+        listed = listed_triples(spark, prefix, properties)
+        changed = filter_time(listed, start_ms, end_ms)
+        triples = triples_of_subjects(spark, prefix, properties, changed)
+        write_documents(assemble_documents(triples), destination)
     commit_checkpoint(spark, checkpoint, end_ms)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +37,26 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_job: ContextVar[str | None] = ContextVar("job", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder, or in that of the running job."""
+    return f"{_job.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Put what a job stages in one folder, and remove it when the job is over. For jobs
+    that write their result; a returned DataFrame still needs what was staged for it."""
+    folder = scratch_path(spark, "job")
+    token = _job.set(folder)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spark_triples.operators.documents import document_json
 from spark_triples.operators.prospects import aggregate_prospects
 from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE
-from spark_triples.session import make_dir
+from spark_triples.session import job_scratch, make_dir
 from spark_triples.sources.tables import (
     current_version,
     read_documents,
@@ -155,7 +155,8 @@ def compact_prospects(spark: SparkSession, table: str) -> None:
 
 def compact_documents(spark: SparkSession, table: str) -> None:
     """Rewrite the document table without replaced documents."""
-    write_documents(read_documents(spark, table), table, mode="replace")
+    with job_scratch(spark):
+        write_documents(read_documents(spark, table), table, mode="replace")
 
 
 def commit_checkpoint(spark: SparkSession, path: str, end_ms: int | None) -> None:

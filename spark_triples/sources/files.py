@@ -86,8 +86,11 @@ def parse_lines(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     value = F.col("value")
+    # generated rather than projected: a filter on a projected match would be pushed
+    # below it and match every line a second time
+    matched = F.explode(F.array(ntriples.match_line(value, quads))).alias("_fields")
     statements = lines.filter(ntriples.is_statement_line(value)).select(
-        "value", "file_path", ntriples.match_line(value, quads).alias("_fields")
+        "value", "file_path", matched
     )
     fields = F.col("_fields")
     good = ntriples.is_well_formed(fields)

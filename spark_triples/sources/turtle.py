@@ -44,7 +44,10 @@ def _unescape(text: str) -> str:
         code = match[1] or match[2]
         return chr(int(code, 16)) if code else _CHARACTERS.get(match[3], match[3])
 
-    return _ESCAPE.sub(one, text) if "\\" in text else text
+    if "\\" not in text:
+        return text
+    # two \\u escapes may spell one character; half of such a pair is an error
+    return _ESCAPE.sub(one, text).encode("utf-16", "surrogatepass").decode("utf-16")
 
 
 def _tokens(text: str) -> Iterator[tuple[str, str]]:
@@ -105,7 +108,9 @@ class _Document:
     def directive(self) -> None:
         keyword = self.take()[1]
         if keyword.lower().endswith("prefix"):
-            prefix = self.take()[1].rstrip(":")
+            prefix, colon, local = self.take()[1].partition(":")
+            if not colon or local:
+                raise ValueError(f"expected a prefix, found {prefix!r}")
             self.prefixes[prefix] = self.resolve(self.take()[1])
         else:
             self.base = self.resolve(self.take()[1])

@@ -10,6 +10,7 @@ from spark_triples.operators.documents import assemble_documents
 from spark_triples.operators.triples import filter_property, normalise, visible
 from spark_triples.plans.flows import triples_of_subjects
 from spark_triples.schema import STREAM_LAG, TRIPLE
+from spark_triples.session import job_scratch
 from spark_triples.sinks.tables import write_documents
 from spark_triples.sources.files import parse_lines
 
@@ -64,8 +65,9 @@ def refresh_documents(
     def refresh(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         changed = visible(filter_property(batch, properties)).select("subject")
-        triples = triples_of_subjects(spark, prefix, properties, changed)
-        write_documents(assemble_documents(triples), destination)
+        with job_scratch(spark):
+            triples = triples_of_subjects(spark, prefix, properties, changed)
+            write_documents(assemble_documents(triples), destination)
 
     writer = changes.writeStream.foreachBatch(refresh).option(
         "checkpointLocation", checkpoint

@@ -8,6 +8,7 @@ from spark_triples.operators import documents, skew
 from spark_triples.operators.triples import filter_property, filter_time
 from spark_triples.plans import flows
 from spark_triples.schema import ANYURI, LANG_STRING, XSD_STRING
+from spark_triples.session import glob, shared_dir
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import tables as sources
 
@@ -86,6 +87,7 @@ def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
         f"p_{PRED}": ["12", "mydata1", "mydata2"],
     }
     assert sources.read_checkpoint(spark, checkpoint) == ms(NOW)
+    assert not glob(spark, f"{shared_dir(spark)}/job-*")
 
 
 def test_next_run_starts_at_the_stored_end(spark, table, make_triples, tmp_path):

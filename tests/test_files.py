@@ -148,6 +148,8 @@ def test_very_long_literal(spark):
     text = "word " * 100_000
     line = f'<urn:a> <urn:p> "{text}\\n{text}" .'
     assert parse(spark, [line]).first()["object"] == f"{text}\n{text}"
+    literals = "\n".join(f'<urn:a> <urn:p> """{text}\n\\t{text}""" .' for _ in range(2))
+    assert [len(t[2]) for t in parse_turtle(literals.encode(), "f")] == [1_000_002] * 2
 
 
 def test_blank_nodes_are_scoped_by_file(spark, tmp_path):
@@ -226,7 +228,7 @@ def test_turtle():
     _:n x:q [ x:r "inner" ] , ( 1 <e> ) .
     [ x:only "bnode" ] .
     :dots.in.name x:p :end.
-    x:esc\\,aped x:p "tab\\t\\u00e9" .
+    x:esc\\,aped x:p "tab\\t\\u00e9 \\uD83D\\uDE00" .
     """
     triples = list(parse_turtle(text.encode(), "f"))
     plain = {t[:4] for t in triples if not t[0].startswith("_:") and not t[2].startswith("_:")}
@@ -242,7 +244,7 @@ def test_turtle():
         ("http://b/s", "http://x#i", "1e3", XSD + "double"),
         ("http://b/s", "http://x#i", "true", XSD + "boolean"),
         ("http://d/dots.in.name", "http://x#p", "http://d/end", ANYURI),
-        ("http://x#esc,aped", "http://x#p", "tab\té", XSD_STRING),
+        ("http://x#esc,aped", "http://x#p", "tab\té 😀", XSD_STRING),
     }
     inner = {t[1:3] for t in triples if t[0].startswith("_:")}
     assert ("http://x#r", "inner") in inner and ("http://x#only", "bnode") in inner
@@ -250,7 +252,7 @@ def test_turtle():
 
 
 @pytest.mark.parametrize(
-    "text", ["<s> <urn:p> <urn:o> .", "x:a <urn:p> 1 .", "<urn:a> <urn:p> 1", "<urn:a> ~ 1 ."]
+    "text", ["<s> <urn:p> <urn:o> .", "x:a <urn:p> 1 .", "<urn:a> <urn:p> 1", "<urn:a> ~ 1 .", "@prefix a:b <urn:x> ."]
 )
 def test_bad_turtle_fails_the_job(spark, tmp_path, text):
     (tmp_path / "bad.ttl").write_text(text)
