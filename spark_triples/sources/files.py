@@ -127,12 +127,27 @@ def _matches(spark: SparkSession, patterns: list[str]) -> list[str]:
     return found
 
 
-def read_lines(spark: SparkSession, patterns: list[str]) -> DataFrame:
+def name_filter(format_name: str | None) -> dict[str, str]:
+    """Reader options that list only the files of a format, in any case of its
+    extensions, so that the content of the others is never read."""
+    if format_name is None:
+        return {}
+    endings = [
+        "".join(f"[{c}{c.upper()}]" for c in extension)
+        for extension, name in EXTENSIONS.items()
+        if name == format_name
+    ]
+    return {"pathGlobFilter": "*.{" + ",".join(endings) + "}"}
+
+
+def read_lines(
+    spark: SparkSession, patterns: list[str], format_name: str | None = None
+) -> DataFrame:
     """(value, file_path) of text files. Large files are split between tasks."""
     paths = _matches(spark, patterns)
     if not paths:
         return spark.createDataFrame([], "value string, file_path string")
-    return spark.read.text(paths).select(
+    return spark.read.options(**name_filter(format_name)).text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path")
     )
 
@@ -211,15 +226,13 @@ def read_whole_files(
     )
     for name in sorted(present):
         if name in parsers:
-            files = spark.read.format("binaryFile").load(_matches(spark, patterns))
-            own = files.filter(rdf_format(F.col("path")) == name)
-            own = own.select("path", "content")
-            parsed = own.mapInPandas(_parse_with(parsers[name]), schema)
+            files = spark.read.format("binaryFile").options(**name_filter(name))
+            contents = files.load(_matches(spark, patterns)).select("path", "content")
+            parsed = contents.mapInPandas(_parse_with(parsers[name]), schema)
             parts.append(normalise(parsed))
         else:
-            lines = read_lines(spark, patterns)
-            own = lines.filter(rdf_format(F.col("file_path")) == name)
-            parts.append(parse_lines(own, mode, quads=name == "N-Quads"))
+            lines = read_lines(spark, patterns, name)
+            parts.append(parse_lines(lines, mode, quads=name == "N-Quads"))
     if not parts:
         return spark.createDataFrame([], TRIPLE)
     return union_triples(*parts)
@@ -235,7 +248,9 @@ def read_sources(
     patterns = split_sources(spec)
     by_line = [p for p in patterns if p.lower().endswith("." + LINE_EXTENSION)]
     whole = [p for p in patterns if p not in by_line]
-    return union_triples(
-        read_ntriples(spark, by_line, mode),
-        read_whole_files(spark, whole, parsers, mode),
-    )
+    parts = []
+    if by_line or not whole:
+        parts.append(read_ntriples(spark, by_line, mode))
+    if whole:
+        parts.append(read_whole_files(spark, whole, parsers, mode))
+    return union_triples(*parts)

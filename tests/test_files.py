@@ -265,3 +265,15 @@ def test_line_files_on_the_whole_file_route(spark, tmp_path):
     (tmp_path / "b.nt").write_text("<urn:c> <urn:p> <urn:d> .\n")
     found = files.read_whole_files(spark, [f"{tmp_path}/*"]).collect()
     assert {(r["subject"], r["context"]) for r in found} == {("urn:a", "urn:g"), ("urn:c", None)}
+
+
+def test_only_files_of_the_format_are_read(spark, tmp_path):
+    (tmp_path / "a.nt").write_text("<urn:a> <urn:p> <urn:b> .\n")
+    (tmp_path / "b.TTL").write_text("<urn:c> <urn:p> <urn:d> .")
+    (tmp_path / "c.d.ttl").write_text("<urn:e> <urn:p> <urn:f> .")
+    (tmp_path / "ttl").write_text("no extension")
+    pattern = [f"{tmp_path}/*"]
+    found = files.read_whole_files(spark, pattern)
+    assert {r[0] for r in rows(found)} == {"urn:a", "urn:c", "urn:e"}
+    for name, count in (("Turtle", 2), ("N-Triples", 1), ("N-Quads", 0)):
+        assert files.read_lines(spark, pattern, name).count() == count
