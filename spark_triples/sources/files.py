@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +17,12 @@ from spark_triples.functions.terms import or_fail
 from spark_triples.operators.triples import normalise, union_triples
 from spark_triples.schema import TRIPLE
 from spark_triples.session import glob
+from spark_triples.sources import turtle
 from spark_triples.sources.turtle import parse_turtle
 
+# the parser travels with its tasks: executors need not have this package installed
+cloudpickle.register_pickle_by_value(turtle)
+
 # --- Fixed values: file extensions of the RDF formats ------------------------
 LINE_EXTENSION = "nt"
 EXTENSIONS = {
@@ -162,14 +167,15 @@ def read_ntriples(
     return parse_lines(read_lines(spark, patterns), mode, quads)
 
 
-def _parse_with(parser: Parser) -> Callable:
-    names = [n for n in TRIPLE.names if n not in ("visibility", "ts")]
+def _parse_with(parser: Parser, names: list[str]) -> Callable:
+    """The function a task runs over the files it is given, a few at a time."""
+    size = BATCH
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for path, content in zip(files["path"], files["content"], strict=True):
                 triples = parser(content, path)
-                while rows := list(islice(triples, BATCH)):
+                while rows := list(islice(triples, size)):
                     yield pd.DataFrame(rows, columns=names)
 
     return parse
@@ -228,7 +234,7 @@ def read_whole_files(
         if name in parsers:
             files = spark.read.format("binaryFile").options(**name_filter(name))
             contents = files.load(_matches(spark, patterns)).select("path", "content")
-            parsed = contents.mapInPandas(_parse_with(parsers[name]), schema)
+            parsed = contents.mapInPandas(_parse_with(parsers[name], schema.names), schema)
             parts.append(normalise(parsed))
         else:
             lines = read_lines(spark, patterns, name)

@@ -1,6 +1,10 @@
+import subprocess
+import sys
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from spark_triples.functions import ntriples
@@ -277,3 +281,17 @@ def test_only_files_of_the_format_are_read(spark, tmp_path):
     assert {r[0] for r in rows(found)} == {"urn:a", "urn:c", "urn:e"}
     for name, count in (("Turtle", 2), ("N-Triples", 1), ("N-Quads", 0)):
         assert files.read_lines(spark, pattern, name).count() == count
+
+
+def test_parser_needs_no_package_on_the_worker(tmp_path):
+    parse = files._parse_with(parse_turtle, ["s", "p", "o", "t", "l", "c"])
+    (tmp_path / "task.pickle").write_bytes(cloudpickle.dumps(parse))
+    script = (
+        "import pickle, pandas as pd; parse = pickle.load(open('task.pickle', 'rb')); "
+        "f = pd.DataFrame({'path': ['f'], 'content': [b'<urn:a> a <urn:b>, <urn:c> .']}); "
+        "print(sum(len(rows) for rows in parse([f])))"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env={}, capture_output=True, text=True
+    )
+    assert done.stdout.strip() == "2", done.stderr
