@@ -46,11 +46,13 @@ def key_join(
     how: str,
     and_also: Column | None = None,
     broadcast_keys: int = BROADCAST_KEYS,
+    staged: bool = False,
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` with ``keys``, which match on one column.
 
     ``keys`` may repeat the column alone; if ``and_also`` compares others of theirs, a
-    key must come once. They are written and measured first. A few to keep become a
+    key must come once. They are written (unless ``staged``: distinct and written by the
+    caller) and measured first. A few to keep become a
     filter of the scan. A small set is broadcast, so the rows of ``df`` do not move. A
     larger one is joined by shuffle, except for the keys with more than
     1/``broadcast_keys`` of all rows: there are at most ``broadcast_keys`` of those, so
@@ -58,7 +60,9 @@ def key_join(
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"how must be left_semi or left_anti, not {how!r}")
-    keys = stage(keys.withColumnRenamed(on, "_key").distinct(), "join-keys")
+    keys = keys.withColumnRenamed(on, "_key")
+    if not staged:
+        keys = stage(keys.distinct(), "join-keys")
     match = F.col(on) == F.col("_key")
     on_match = match if and_also is None else match & and_also
     size = size_of(keys)

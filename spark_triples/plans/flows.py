@@ -138,7 +138,7 @@ def triples_of_subjects(
     subjects = stage(subjects.select("subject").distinct(), "subjects")
     layout = "spo" if subjects.count() <= PUSHED_KEYS else "po"
     listed = listed_triples(spark, prefix, properties, layout)
-    return key_join(listed, subjects, "subject", "left_semi")
+    return key_join(listed, subjects, "subject", "left_semi", staged=True)
 
 
 def fulltext_incremental(
