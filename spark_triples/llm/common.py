@@ -107,6 +107,31 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+_OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”«»„…¡¿"
+
+
+class _Cores(dict):
+    """The hash of a word without case and outer punctuation; 0 if nothing is left."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        core = word.lower().strip(_OUTER)
+        value = xxhash.xxh3_64_intdigest(core.encode("utf-8", "surrogatepass")) if core else 0
+        self[word] = value
+        return value
+
+
+_cores = _Cores()
+
+
+def core_hashes(text: str) -> np.ndarray:
+    """Hashes of a text's words without case and outer punctuation, where anything is left."""
+    words = text.split()
+    h = np.fromiter(map(_cores.__getitem__, words), np.uint64, len(words))
+    return h[h != 0]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
