@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from spark_triples.llm.decontamination import op9_spaced_seeds
 from spark_triples.llm.near_dedup import op3_signature_join
 from spark_triples.llm.packing import op2_curve_packing
+from spark_triples.llm.pii import op1_contextual_pii
 from spark_triples.llm.quality import op5_host_rules
 from spark_triples.llm.secrets import op7_zstd_novelty
 from spark_triples.llm.toxicity import op8_ftrl_toxicity
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op2_curve_packing": op2_curve_packing,
     "op3_signature_join": op3_signature_join,
     "op5_host_rules": op5_host_rules,
