@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from spark_triples.llm.decontamination import op9_spaced_seeds
+from spark_triples.llm.html_text import op4_wrapper_text
 from spark_triples.llm.near_dedup import op3_signature_join
 from spark_triples.llm.packing import op2_curve_packing
 from spark_triples.llm.pii import op1_contextual_pii
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_curve_packing": op2_curve_packing,
     "op3_signature_join": op3_signature_join,
+    "op4_wrapper_text": op4_wrapper_text,
     "op5_host_rules": op5_host_rules,
     "op7_zstd_novelty": op7_zstd_novelty,
     "op8_ftrl_toxicity": op8_ftrl_toxicity,
