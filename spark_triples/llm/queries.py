@@ -13,7 +13,9 @@ from spark_triples.llm.packing import op2_curve_packing
 from spark_triples.llm.pii import op1_contextual_pii
 from spark_triples.llm.quality import op5_host_rules
 from spark_triples.llm.secrets import op7_zstd_novelty
+from spark_triples.llm.tool_calls import OP6_SQL, op6_tool_calls
 from spark_triples.llm.toxicity import op8_ftrl_toxicity
+from spark_triples.llm.url_filter import OP10_SQL, op10_temporal_lists
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
@@ -21,9 +23,14 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op3_signature_join": op3_signature_join,
     "op4_wrapper_text": op4_wrapper_text,
     "op5_host_rules": op5_host_rules,
+    "op6_tool_calls": op6_tool_calls,
     "op7_zstd_novelty": op7_zstd_novelty,
     "op8_ftrl_toxicity": op8_ftrl_toxicity,
     "op9_spaced_seeds": op9_spaced_seeds,
+    "op10_temporal_lists": op10_temporal_lists,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_tool_calls": OP6_SQL,
+    "op10_temporal_lists": OP10_SQL,
+}
