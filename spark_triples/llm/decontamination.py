@@ -88,11 +88,12 @@ class Index:
 
 
 def best_stretch(agree: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the most agreements less COST times the differences."""
+    """Start and end of the shortest stretch with the most agreements less COST times the
+    differences."""
     gain = np.concatenate([[0], np.cumsum(np.where(agree, 1, -COST))])
     low = np.minimum.accumulate(gain)
     end = int(np.argmax(gain - low))
-    return int(np.argmin(gain[: end + 1])), end
+    return end - int(np.argmin(gain[end::-1])), end
 
 
 def leaks(h: np.ndarray, index: Index) -> list[list[int | None]]:

@@ -1,0 +1,77 @@
+"""Toxicity: held-out accuracy, and what scores do not depend on."""
+
+import random
+from zlib import crc32
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from spark_triples.llm import toxicity
+from tests.llm.helpers import documents, words
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(n):
+    rng = random.Random(6)
+    texts, labels = [], []
+    for i in range(n):
+        bad = rng.random() < 0.2
+        text = words(rng, 60, 300)
+        if bad:
+            for _ in range(3):
+                text[rng.randrange(60)] = rng.choice(["Idiot!", "(scum)", "worthless,"])
+        texts.append(" ".join(text))
+        labels.append((i, 1, int(bad)))
+    return texts, labels
+
+
+def test_held_out_accuracy(spark):
+    texts, labels = corpus(800)
+    docs = documents(spark, texts)
+    model = toxicity.train(toxicity.sample(docs, spark.createDataFrame(labels, LABELS)))
+    assert 0 < len(model[0]) < 2000
+    found = toxicity.score(docs, model).collect()
+    held = [(r["predicted"], labels[r["doc_id"]][2]) for r in found if r["held_out"]]
+    assert all(r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found)
+    assert sum(p == y for p, y in held) / len(held) > 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in found)
+
+
+def test_odd_rows(spark):
+    texts, labels = corpus(60)
+    odd = [(None, None, 1), (3, 1, None), (999, 1, 1), (4, 1, 1), (4, 1, 0)]
+    docs = documents(spark, [*enumerate(texts), (60, None), (None, ""), (61, "idiot " * 50_000), (5, texts[5])])
+    docs = docs.withColumns({c: F.lit(1) for c in ("toxic", "order", "held_out", "score")})
+    model = toxicity.train(toxicity.sample(docs, spark.createDataFrame(labels + odd, LABELS)))
+    found = toxicity.score(docs, model).collect()
+    assert len(found) == 64
+    assert len({r["score"] for r in found if r["doc_id"] in (60, None)}) == 1
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], LABELS)
+    docs = documents(spark, ["a b c"])
+    model = toxicity.train(toxicity.sample(docs, none))
+    assert toxicity.score(docs, model).first()["score"] == 0.5
+    assert toxicity.score(documents(spark, []), model).count() == 0
+
+
+def test_the_sample_is_bounded(spark):
+    texts, labels = corpus(100)
+    found = toxicity.sample(documents(spark, texts), spark.createDataFrame(labels, LABELS), rows=10)
+    assert found.count() == 10
+
+
+def test_ftrl_equals_its_formula():
+    model = toxicity.Ftrl()
+    z = n = w = 0.0
+    for label in (1, 0, 1, 1, 1, 1, 1, 1, 1, 1):
+        g = 1 / (1 + np.exp(-w)) - label
+        rate = (np.sqrt(n + g * g) - np.sqrt(n)) / toxicity.ALPHA
+        z, n = z + g - rate * w, n + g * g
+        model.learn(np.array([3]), label)
+        w = 0.0 if abs(z) <= toxicity.L1 else (np.sign(z) * toxicity.L1 - z) / (
+            (toxicity.BETA + np.sqrt(n)) / toxicity.ALPHA + toxicity.L2
+        )
+        assert np.isclose(model.weights(np.array([3]))[0], w)
