@@ -48,13 +48,13 @@ _SEPARATOR = "\n"
 def grammar(quads: bool = False) -> str:
     graph = rf"(?:\s*{_TERM})?" if quads else ""
     return (
-        rf"^\s*{_TERM}\s*{_IRI}\s*(?:{_IRI}|{_BNODE}|{_LITERAL}){graph}\s*\.\s*(?:#.*)?$"
+        rf"^\s*{_TERM}\s*{_IRI}\s*(?:{_IRI}|{_BNODE}|{_LITERAL}){graph}\s*\.\s*(?:#[^\n]*)?\z"
     )
 
 
 def is_statement_line(line: Column) -> Column:
     """False for blank and comment-only lines."""
-    return ~line.rlike(r"^\s*(#|$)")
+    return ~line.rlike(r"^\s*(#|\z)")
 
 
 def match_line(line: Column, quads: bool = False) -> Column:
@@ -105,7 +105,7 @@ def unescape(text: Column) -> Column:
 
 def bnode_scope(file_path: Column) -> Column:
     """Blank-node labels hold within one file, so the file becomes part of the label."""
-    return F.substring(F.sha2(file_path, 256), 1, 16)
+    return F.sha2(file_path, 256)
 
 
 def triple_columns(fields: Column, scope: Column) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spark_triples.functions.terms import entity_namespace, pair_key
 from spark_triples.operators.skew import (
     BROADCAST_KEYS,
-    PUSHED_KEYS,
+    can_push,
     can_broadcast,
     is_one_of,
     size_of,
@@ -181,15 +181,25 @@ def lookup_prospects(
     scan, a small set is broadcast and the count table stays where it is, else both sides,
     unique on the key but for the visibility labels, meet by shuffle.
     """
+    return _lookup(prospects, _asked(requests), auths, broadcast_keys)
+
+
+def _asked(requests: DataFrame) -> DataFrame:
+    """The distinct requests, written once."""
     wanted = requests.select(
         "triple_value_type",
         F.array_join("terms", DELIM).alias("data"),
         "data_type",
     ).distinct()
-    wanted = stage(wanted, "lookup-requests")
+    return stage(wanted, "lookup-requests")
+
+
+def _lookup(
+    prospects: DataFrame, wanted: DataFrame, auths: tuple[str, ...], broadcast_keys: int
+) -> DataFrame:
     found = prospects.filter(F.col("visibility").isin("", *auths))
     size = size_of(wanted)
-    if size[0] <= min(PUSHED_KEYS, broadcast_keys) and can_broadcast(size):
+    if can_push(size, broadcast_keys):
         # so few that the scan itself can skip files and row groups by them
         asked = wanted.collect()
         for name in ("triple_value_type", "data"):
@@ -211,13 +221,9 @@ def cardinality(
     Only the rows asked for leave the count table; they are summed per key (over
     visibility labels) and joined back to the distinct requests.
     """
-    asked = requests.select(
-        "triple_value_type",
-        F.array_join("terms", DELIM).alias("data"),
-        "data_type",
-    ).distinct()
+    asked = _asked(requests)
     found = (
-        lookup_prospects(prospects, requests, auths, broadcast_keys)
+        _lookup(prospects, asked, auths, broadcast_keys)
         .groupBy(*_lookup_key())
         .agg(F.sum("count").alias("count"))
     )

@@ -11,6 +11,7 @@ from spark_triples.session import stage
 BROADCAST_KEYS = 500_000
 BROADCAST_BYTES = 128 << 20
 PUSHED_KEYS = 1_000
+PUSHED_BYTES = 1 << 20
 # Parquet readers test up to ten listed values against statistics, one by one.
 _PUSHED_AT_ONCE = 10
 
@@ -27,6 +28,11 @@ def can_broadcast(size: tuple[int, int], broadcast_keys: int = BROADCAST_KEYS) -
     return size[0] <= broadcast_keys and size[1] <= BROADCAST_BYTES
 
 
+def can_push(size: tuple[int, int], broadcast_keys: int = BROADCAST_KEYS) -> bool:
+    """So few and short that they may travel through the driver into the plan."""
+    return size[0] <= min(PUSHED_KEYS, broadcast_keys) and size[1] <= PUSHED_BYTES
+
+
 def is_one_of(column: Column, values: list[str]) -> Column:
     """``column`` has one of a few values, in a form files and row groups are skipped by."""
     groups = [
@@ -66,8 +72,7 @@ def key_join(
     match = F.col(on) == F.col("_key")
     on_match = match if and_also is None else match & and_also
     size = size_of(keys)
-    few = size[0] <= min(PUSHED_KEYS, broadcast_keys) and can_broadcast(size)
-    if few and how == "left_semi" and and_also is None:
+    if can_push(size, broadcast_keys) and how == "left_semi" and and_also is None:
         return df.filter(is_one_of(F.col(on), [r["_key"] for r in keys.collect()]))
     if can_broadcast(size, broadcast_keys):
         return df.join(F.broadcast(keys), on_match, how)

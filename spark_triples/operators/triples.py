@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import or_fail
-from spark_triples.schema import ANYURI, LAYOUTS, TRIPLE, TRIPLE_KEY, XSD_STRING
+from spark_triples.schema import LAYOUTS, TRIPLE, TRIPLE_KEY, XSD_STRING
 
 
 def normalise(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -111,14 +111,14 @@ def match_pattern(
     obj: str | None = None,
     object_type: str | None = None,
 ) -> DataFrame:
-    """Triples that have the bound terms. An object is compared with its datatype:
-    by default an IRI if it looks like one, else a plain string."""
-    bound = {"subject": subject, "predicate": predicate, "object": obj}
-    if obj is not None:
-        if object_type is None:
-            is_iri = obj.startswith(("http://", "https://", "urn:"))
-            object_type = ANYURI if is_iri else XSD_STRING
-        bound["object_type"] = object_type
+    """Triples that have the bound terms. An object is found whatever its datatype and
+    language, or with the given datatype only."""
+    bound = {
+        "subject": subject,
+        "predicate": predicate,
+        "object": obj,
+        "object_type": object_type,
+    }
     for name, value in bound.items():
         if value is not None:
             triples = triples.filter(F.col(name) == value)

@@ -649,10 +649,7 @@ PATTERNS = {
 
 
 def pattern_sql(pattern: dict[str, str]) -> str:
-    obj = pattern.get("obj")
     bound = {("object" if k == "obj" else k): v for k, v in pattern.items()}
-    if obj is not None:
-        bound["object_type"] = ANYURI if obj.startswith("urn:") else XSD_STRING
     where = " and ".join(f"{name} = '{value}'" for name, value in bound.items())
     return f"{WITH_G} select {SHOWN_TRIPLE_SQL} from g where {where}"
 
@@ -1004,9 +1001,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_refresh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix, path = loaded_prefix(spark, sf_dir), scratch_path(spark, "refresh")
-    changes = refresh.stream_triples(spark, f"{prefix}spo/v=0/run=*")
-    refresh.refresh_documents(
-        changes, prefix, PROPERTIES, f"{path}/documents", f"{path}/state"
+    refresh.refresh_from_runs(
+        spark, prefix, PROPERTIES, f"{path}/documents", f"{path}/state"
     ).awaitTermination()
     return show_documents(sources.read_documents(spark, f"{path}/documents"))
 

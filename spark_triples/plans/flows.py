@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
+from spark_triples.manifest import listing_name, names_of, read_runs, read_state
 from spark_triples.operators.documents import assemble_documents
 from spark_triples.operators.prospects import (
     aggregate_prospects,
@@ -13,11 +14,15 @@ from spark_triples.operators.prospects import (
     prospect_counts,
 )
 from spark_triples.operators.skew import PUSHED_KEYS, key_join
-from spark_triples.operators.triples import dedup_triples, filter_time, visible
+from spark_triples.operators.triples import (
+    dedup_triples,
+    filter_property,
+    filter_time,
+    visible,
+)
 from spark_triples.schema import TRIPLE
 from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
-    FIRST_RUN,
     commit_checkpoint,
     ensure_tables,
     write_documents,
@@ -25,11 +30,12 @@ from spark_triples.sinks.tables import (
     write_prospect_files,
     write_prospects,
 )
-from spark_triples.sources.files import Parser, read_sources
+from spark_triples.sources.files import Parser, read_sources, split_sources
 from spark_triples.sources.tables import (
     read_checkpoint,
     read_prospect_files,
     read_run,
+    read_seen,
     scan_index,
 )
 
@@ -45,15 +51,18 @@ def bulk_load(
     spark: SparkSession,
     source: str,
     prefix: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "add",
     parsers: dict[str, Parser] | None = None,
     partitions: int | None = None,
+    on_bad_line: str = "FAILFAST",
 ) -> str:
     """RDF files → the three index tables under ``prefix``. Returns where the triples
-    of this run lie in subject order."""
+    of this run lie in subject order. A run that is not named is named by the files: loading the
+    same files again changes nothing, other files are added."""
     ensure_tables(spark, prefix)
-    triples = dedup_triples(read_sources(spark, source, parsers))
+    run = run or listing_name(spark, split_sources(source))
+    triples = dedup_triples(read_sources(spark, source, parsers, on_bad_line))
     return write_indexes(triples, prefix, run, mode, partitions)
 
 
@@ -62,15 +71,24 @@ def bulk_load_with_statistics(
     source: str,
     prefix: str,
     statistics_table: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "add",
     parsers: dict[str, Parser] | None = None,
     partitions: int | None = None,
+    on_bad_line: str = "FAILFAST",
+    on_bad_iri: str = "error",
 ) -> None:
     """The same load; the counts of the loaded triples go to the count table as well.
-    They are counted from the written copy, so the files are parsed once."""
-    path = bulk_load(spark, source, prefix, run, mode, parsers, partitions)
-    counts = prospect_counts(read_run(spark, path, TRIPLE))
+    They are counted from the written copy, so the files are parsed once. A job that is
+    repeated after it had failed between the two completes the second."""
+    run = run or listing_name(spark, split_sources(source))
+    path = bulk_load(spark, source, prefix, run, mode, parsers, partitions, on_bad_line)
+    held = names_of(read_runs(spark, prefix))[run]
+    if held.name == run:
+        loaded = read_run(spark, path, TRIPLE)
+    else:  # merged with other runs: the files are the only place that has it alone
+        loaded = dedup_triples(read_sources(spark, source, parsers, on_bad_line))
+    counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
     write_prospects(counts, statistics_table, run, mode, partitions)
 
 
@@ -78,12 +96,13 @@ def statistics(
     spark: SparkSession,
     prefix: str,
     destination: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "replace",
     partitions: int | None = None,
+    on_bad_iri: str = "error",
 ) -> None:
     """Triple table → count table, over the public triples."""
-    counts = prospect_counts(visible(scan_index(spark, prefix)))
+    counts = prospect_counts(visible(scan_index(spark, prefix)), on_bad_iri=on_bad_iri)
     write_prospects(counts, destination, run, mode, partitions)
 
 
@@ -96,7 +115,7 @@ def statistics_combine(
     spark: SparkSession,
     files: str,
     destination: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "replace",
     partitions: int | None = None,
 ) -> None:
@@ -115,26 +134,42 @@ def fulltext_full(
 ) -> None:
     """Triple table → all documents anew, in place of those in the table."""
     end_ms = epoch_ms(spark, end)
+    seen, _ = read_state(spark, prefix)
     with job_scratch(spark):
         triples = listed_triples(spark, prefix, properties)
         write_documents(assemble_documents(triples), destination, mode="replace")
     if checkpoint is not None:
-        commit_checkpoint(spark, checkpoint, end_ms)
+        commit_checkpoint(spark, checkpoint, end_ms, seen)
 
 
 def listed_triples(
-    spark: SparkSession, prefix: str, properties: list[str], layout: str = "po"
+    spark: SparkSession,
+    prefix: str,
+    properties: list[str],
+    layout: str = "po",
+    since_ms: int | None = None,
 ) -> DataFrame:
     """The public triples of the listed properties. The predicate-ordered copy is read:
     there the filter skips whatever files hold other predicates."""
-    return visible(scan_index(spark, prefix, layout, predicates=properties))
+    return visible(scan_index(spark, prefix, layout, properties, since_ms))
+
+
+def subjects_of_runs(
+    spark: SparkSession, prefix: str, properties: list[str], after: int
+) -> DataFrame:
+    """Subject and time of the listed public triples in the runs that were published after a
+    manifest. All copies of a run are published at once, so any of them tells."""
+    new = [r for r in read_runs(spark, prefix) if r.number > after]
+    triples = read_run(spark, [f"{prefix}po/{r.folder}" for r in new], TRIPLE)
+    return visible(filter_property(triples, properties)).select("subject", "ts")
 
 
 def triples_of_subjects(
     spark: SparkSession, prefix: str, properties: list[str], subjects: DataFrame
 ) -> DataFrame:
     """The listed triples, of any age, of the given subjects. For a few subjects the
-    subject-ordered copy is read, and only where they lie in it."""
+    subject-ordered copy is read, and only where they lie in it; the copies hold the same
+    triples at any time, since they are published together."""
     subjects = stage(subjects.select("subject").distinct(), "subjects")
     layout = "spo" if subjects.count() <= PUSHED_KEYS else "po"
     listed = listed_triples(spark, prefix, properties, layout)
@@ -151,14 +186,23 @@ def fulltext_incremental(
     start: str | None = None,
 ) -> None:
     """Documents of the subjects changed since ``start``, else since the last stored
-    end, up to ``end``; then the end is stored."""
+    end, up to ``end``; then the end is stored.
+
+    A triple has the time at which its load began. So what a load published after the last
+    refresh is looked at whatever its time: each run is seen once, however long it took.
+    """
     end_ms = epoch_ms(spark, end)
     if end_ms is None:
         raise ValueError("the end time must be set")
     start_ms = read_checkpoint(spark, checkpoint, epoch_ms(spark, start))
+    seen, _ = read_state(spark, prefix)
+    before = read_seen(spark, checkpoint)
     with job_scratch(spark):
-        listed = listed_triples(spark, prefix, properties)
-        changed = filter_time(listed, start_ms, end_ms)
+        listed = listed_triples(spark, prefix, properties, since_ms=start_ms)
+        changed = filter_time(listed, start_ms, end_ms).select("subject")
+        if before is not None:
+            late = subjects_of_runs(spark, prefix, properties, before)
+            changed = changed.unionByName(filter_time(late, None, end_ms).select("subject"))
         triples = triples_of_subjects(spark, prefix, properties, changed)
         write_documents(assemble_documents(triples), destination)
-    commit_checkpoint(spark, checkpoint, end_ms)
+    commit_checkpoint(spark, checkpoint, end_ms, seen)

@@ -29,9 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
     base = (
         spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     )
+    master = spark.sparkContext.master
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark_triples-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -55,8 +56,7 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _job.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -73,6 +73,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 class Entry(NamedTuple):
     path: str
     is_dir: bool
+    size: int
+    modified: int
 
 
 def glob(spark: SparkSession, pattern: str) -> list[Entry]:
@@ -80,7 +82,22 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(path) or []
-    return [Entry(s.getPath().toString(), s.isDirectory()) for s in found]
+    return [
+        Entry(s.getPath().toString(), s.isDirectory(), s.getLen(), s.getModificationTime())
+        for s in found
+    ]
+
+
+def file_system(spark: SparkSession, name: str):
+    """The file system of a path, and the path as it takes it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    """Remove a file or a folder with all that is in it."""
+    fs, path = file_system(spark, name)
+    fs.delete(path, True)
 
 
 def make_dir(spark: SparkSession, path: str) -> None:

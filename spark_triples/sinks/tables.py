@@ -1,33 +1,33 @@
 """Writing the Parquet tables.
 
-A table is a folder ``v=<version>/run=<name>/``. One Spark job writes a run, and the run
-counts once its success marker is there; writing the same run again replaces it, so a
-retried job changes nothing. A new version takes over from the older ones the moment its
-first run is complete. Readers merge the runs of the version (``sources.tables``).
+A table is a set of runs. One Spark job writes a run into a fresh folder, and a manifest that
+is written afterwards makes it part of the table (``manifest``). A run has a name: adding a
+name that the table holds, merged or not, changes nothing, so a repeated job neither
+doubles a count nor a document. Readers merge the runs (``sources.tables``).
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spark_triples import manifest
+from spark_triples.manifest import Run
 from spark_triples.operators.documents import document_json
 from spark_triples.operators.prospects import aggregate_prospects
+from spark_triples.operators.triples import dedup_triples
 from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE
-from spark_triples.session import job_scratch, make_dir
+from spark_triples.session import delete, glob, job_scratch, make_dir
 from spark_triples.sources.tables import (
-    current_version,
+    index_paths,
     read_documents,
-    read_prospects,
     read_run,
-    run_path,
-    run_paths,
-    scan_index,
 )
 
-FIRST_RUN = "0"
-MODES = ("add", "replace")
+MODES = ("add", "rerun", "replace")
+_PROSPECT_ORDER = [*PROSPECT_KEY[1:], PROSPECT_KEY[0]]
 
 
 def ensure_tables(spark: SparkSession, prefix: str) -> list[str]:
@@ -38,65 +38,107 @@ def ensure_tables(spark: SparkSession, prefix: str) -> list[str]:
     return tables
 
 
-def write_table(
-    df: DataFrame, table: str, run: str = FIRST_RUN, mode: str = "add"
-) -> str:
-    """Write ``df`` as a run of the table and return its path. ``add`` puts it beside
-    the other runs (runs apply in the order of their names), ``replace`` starts a new
-    version with it."""
+def _checked(run: str | None, mode: str) -> str:
+    """The name of a run; one that is not named gets a name of its own."""
+    run = run or uuid.uuid4().hex
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
         raise ValueError(f"not a name for a run: {run!r}")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    version = current_version(df.sparkSession, table)
-    if mode == "replace":
-        version += 1
-    path = run_path(table, version, run)
-    df.write.mode("overwrite").parquet(path)
-    return path
+    return run
+
+
+def _start(spark: SparkSession, root: str, run: str, mode: str) -> tuple[str | None, str]:
+    """The folder of a run that is there already and is to stay, and a fresh folder."""
+    number, state = manifest.read_state(spark, root)
+    held = manifest.names_of(manifest.runs_of(state)).get(run)
+    if mode == "rerun" and held is not None and held.name != run:
+        raise ValueError(f"run {run!r} was merged with others and cannot be replaced")
+    there = held.folder if held is not None and mode == "add" else None
+    return there, manifest.new_folder(number + 1, run)
+
+
+def _publish(spark: SparkSession, root: str, run: str, folder: str, mode: str) -> None:
+    def change(number: int, state: dict) -> dict:
+        runs = manifest.runs_of(state)
+        if mode == "add" and run in manifest.names_of(runs):
+            return state  # the same run was added meanwhile
+        kept = [] if mode == "replace" else [r for r in runs if r.name != run]
+        return state | {"runs": [*kept, Run(run, folder, number)]}
+
+    manifest.update(spark, root, change)
+
+
+def write_table(
+    df: DataFrame, table: str, run: str | None = None, mode: str = "add"
+) -> str:
+    """Write ``df`` as a run of the table and return its path. ``add`` puts it beside the
+    other runs, or leaves all as it is if the name is there; ``rerun`` replaces the run of
+    that name, ``replace`` all runs. The former state stays readable until the new one is
+    published, and if the job fails."""
+    run, spark, root = _checked(run, mode), df.sparkSession, f"{table}/"
+    there, folder = _start(spark, root, run, mode)
+    if there is None:
+        df.write.parquet(f"{table}/{folder}")
+        _publish(spark, root, run, folder, mode)
+    return f"{table}/{there or folder}"
 
 
 def write_sorted(
     df: DataFrame,
     table: str,
     keys: list[str],
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "add",
     partitions: int | None = None,
 ) -> str:
     """Write a run in key order, so that a lookup by the leading keys skips files and
-    row groups. With the whole row key in ``keys`` the range borders cut through even
-    the most frequent leading key."""
+    row groups."""
+    return write_table(in_key_order(df, keys, partitions), table, run, mode)
+
+
+def in_key_order(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """``df`` in ranges of its keys, sorted. With the whole row key in ``keys`` the range
+    borders cut through even the most frequent leading key."""
     ranged = (
         df.repartitionByRange(partitions, *keys)
         if partitions
         else df.repartitionByRange(*keys)
     )
-    return write_table(ranged.sortWithinPartitions(*keys), table, run, mode)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_indexes(
     triples: DataFrame,
     prefix: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "add",
     partitions: int | None = None,
 ) -> str:
-    """Write distinct triples to the three index tables, each in its own order, and
-    return the path of the first copy.
+    """Write distinct triples to the three index tables, each in its own order, publish them
+    together, and return the path of the first copy.
 
     That copy is the checkpoint for the others: they read its Parquet instead of
     parsing or deduplicating the input again, and nothing is held in memory between.
     """
-    spark = triples.sparkSession
+    spark, run = triples.sparkSession, _checked(run, mode)
+    there, folder = _start(spark, prefix, run, mode)
+    if there is not None:
+        return f"{prefix}spo/{there}"
+    _write_copies(triples, prefix, folder, partitions)
+    _publish(spark, prefix, run, folder, mode)
+    return f"{prefix}spo/{folder}"
+
+
+def _write_copies(
+    triples: DataFrame, prefix: str, folder: str, partitions: int | None
+) -> None:
     source = triples.select(*TRIPLE.names)
     for name, order in LAYOUTS.items():
-        keys = [*order, *KEY_TAIL]
-        path = write_sorted(source, prefix + name, keys, run, mode, partitions)
+        path = f"{prefix}{name}/{folder}"
+        in_key_order(source, [*order, *KEY_TAIL], partitions).write.parquet(path)
         if name == "spo":
-            first = path
-            source = read_run(spark, path, TRIPLE)
-    return first
+            source = read_run(triples.sparkSession, path, TRIPLE)
 
 
 def write_routed(df: DataFrame, path: str, key: str) -> None:
@@ -112,7 +154,7 @@ def write_prospect_files(prospects: DataFrame, path: str) -> None:
 def write_prospects(
     prospects: DataFrame,
     table: str,
-    run: str = FIRST_RUN,
+    run: str | None = None,
     mode: str = "add",
     partitions: int | None = None,
 ) -> None:
@@ -121,9 +163,8 @@ def write_prospects(
     ``add``: the table's counts grow by these, once per run name however often the run
     is repeated. ``replace``: these are the table's counts from now on.
     """
-    keys = [*PROSPECT_KEY[1:], PROSPECT_KEY[0]]
     rows = prospects.select(*PROSPECT.names)
-    write_sorted(rows, table, keys, run, mode, partitions)
+    write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
 
 
 def write_documents(docs: DataFrame, table: str, mode: str = "add") -> str:
@@ -132,9 +173,7 @@ def write_documents(docs: DataFrame, table: str, mode: str = "add") -> str:
 
     Writing the same documents again does no harm. The table has one writer at a time.
     """
-    written = run_paths(docs.sparkSession, table) if mode == "add" else []
-    number = 1 + max((int(path.rsplit("=", 1)[1]) for path in written), default=-1)
-    return write_table(docs, table, f"{number:012d}", mode)
+    return write_table(docs, table, mode=mode)
 
 
 def export_documents(docs: DataFrame, path: str) -> None:
@@ -142,26 +181,70 @@ def export_documents(docs: DataFrame, path: str) -> None:
     document_json(docs).select("json").write.mode("overwrite").text(path)
 
 
-def compact_index(spark: SparkSession, prefix: str) -> None:
+def _merge_runs(spark: SparkSession, root: str, runs: list[Run], folder: str) -> None:
+    """Publish ``folder`` in place of ``runs``. Their names stay known, so that adding one of
+    them again still changes nothing. Runs that came meanwhile stay."""
+    names = tuple(sorted(manifest.names_of(runs)))
+    number = max((r.number for r in runs), default=0)
+
+    def change(_: int, state: dict) -> dict:
+        now = manifest.runs_of(state)
+        if not set(runs) <= set(now):
+            raise RuntimeError(f"{root}: merged runs were replaced meanwhile")
+        rest = [r for r in now if r not in runs]
+        return state | {"runs": [Run("merged-" + folder[-8:], folder, number, names), *rest]}
+
+    manifest.update(spark, root, change)
+
+
+def _merged_folder(runs: list[Run]) -> str:
+    return manifest.new_folder(max((r.number for r in runs), default=0), "merged")
+
+
+def compact_index(spark: SparkSession, prefix: str, partitions: int | None = None) -> None:
     """Rewrite the index tables with their runs merged."""
-    write_indexes(scan_index(spark, prefix, "spo"), prefix, mode="replace")
+    runs = manifest.read_runs(spark, prefix)
+    folder = _merged_folder(runs)
+    triples = read_run(spark, [f"{prefix}spo/{r.folder}" for r in runs], TRIPLE)
+    _write_copies(dedup_triples(triples), prefix, folder, partitions)
+    _merge_runs(spark, prefix, runs, folder)
 
 
-def compact_prospects(spark: SparkSession, table: str) -> None:
+def compact_prospects(spark: SparkSession, table: str, partitions: int | None = None) -> None:
     """Rewrite the count table with the counts of its runs added up."""
-    merged = aggregate_prospects(read_prospects(spark, table))
-    write_prospects(merged, table, mode="replace")
+    runs = manifest.read_runs(spark, f"{table}/")
+    folder = _merged_folder(runs)
+    paths = [f"{table}/{r.folder}" for r in runs]
+    merged = aggregate_prospects(read_run(spark, paths, PROSPECT))
+    rows = in_key_order(merged.select(*PROSPECT.names), _PROSPECT_ORDER, partitions)
+    rows.write.parquet(f"{table}/{folder}")
+    _merge_runs(spark, f"{table}/", runs, folder)
 
 
 def compact_documents(spark: SparkSession, table: str) -> None:
-    """Rewrite the document table without replaced documents."""
+    """Rewrite the document table without replaced documents. It has one writer at a time."""
+    runs = manifest.read_runs(spark, f"{table}/")
+    folder = _merged_folder(runs)
     with job_scratch(spark):
-        write_documents(read_documents(spark, table), table, mode="replace")
+        read_documents(spark, table).write.parquet(f"{table}/{folder}")
+    _merge_runs(spark, f"{table}/", runs, folder)
+
+
+def remove_old(spark: SparkSession, prefix: str, tables: tuple[str, ...] = tuple(LAYOUTS)) -> None:
+    """Remove the folders of runs that the last manifest does not name: replaced and merged
+    runs, and failed attempts. Not while jobs write or read an older state."""
+    for table in tables:
+        known = {path.rstrip("/").rsplit("/", 1)[1] for path in index_paths(spark, prefix, table)}
+        for entry in glob(spark, f"{prefix}{table}/run=*"):
+            if entry.path.rsplit("/", 1)[1] not in known:
+                delete(spark, entry.path)
 
 
-def commit_checkpoint(spark: SparkSession, path: str, end_ms: int | None) -> None:
-    """Store the end time of a run, if it had one. Call it after the sink's action has
+def commit_checkpoint(
+    spark: SparkSession, path: str, end_ms: int | None, seen: int | None = None
+) -> None:
+    """Store the end time of a run, if it had one, and the last manifest it had seen. The last
+    value stored counts, also if it is earlier. Call it after the sink's action has
     returned: an action is over when all of its tasks are."""
     if end_ms is not None:
-        row = spark.createDataFrame([(end_ms,)], "end_ms bigint")
-        row.coalesce(1).write.mode("append").parquet(path)
+        manifest.update(spark, f"{path}/", lambda _, __: {"end_ms": end_ms, "seen": seen})

@@ -45,6 +45,9 @@ EXTENSIONS = {
 # -----------------------------------------------------------------------------
 
 WILDCARD = r"[*?\[{]"
+# Spark's readers pass over such files without a word.
+HIDDEN = ("_", ".")
+LONGEST_FILE = (1 << 31) - 1
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 BATCH = 10_000
 Parser = Callable[[bytes, str], Iterator[tuple]]
@@ -114,6 +117,10 @@ def parse_lines(
     return normalise(statements.select(*kept, corrupt), keep=("_corrupt",))
 
 
+def _is_hidden(path: str) -> bool:
+    return path.rsplit("/", 1)[-1].startswith(HIDDEN)
+
+
 def _matches(spark: SparkSession, patterns: list[str]) -> list[str]:
     """Paths to read for the patterns. A wildcard may match nothing; directories it
     matches are left out, so that only files at the pattern's own depth are read. A
@@ -124,6 +131,8 @@ def _matches(spark: SparkSession, patterns: list[str]) -> list[str]:
         if not re.search(WILDCARD, pattern):
             if not entries:
                 raise FileNotFoundError(pattern)
+            if not entries[0].is_dir and _is_hidden(pattern):
+                raise ValueError(f"{pattern}: files named _… or .… are not read; rename it")
             found.append(pattern)
             continue
         files = [e.path for e in entries if not e.is_dir]
@@ -182,25 +191,29 @@ def _parse_with(parser: Parser, names: list[str]) -> Callable:
 
 
 def list_sources(spark: SparkSession, patterns: list[str]) -> DataFrame:
-    """(path, format) of the files the patterns match; contents are not read."""
+    """(path, format, length) of the files the patterns match; contents are not read."""
     paths = _matches(spark, patterns)
     if not paths:
-        return spark.createDataFrame([], "path string, format string")
-    files = spark.read.format("binaryFile").load(paths).select("path")
-    return files.select("path", rdf_format(F.col("path")).alias("format"))
+        return spark.createDataFrame([], "path string, format string, length long")
+    files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    return files.select("path", rdf_format(F.col("path")).alias("format"), "length")
 
 
 def rejected_sources(spark: SparkSession, patterns: list[str]) -> DataFrame:
-    """(path, reason) of what a whole-file read skips: directories and unknown names."""
-    directories = [
-        (e.path, "directory")
-        for p in patterns
-        if re.search(WILDCARD, p)
-        for e in glob(spark, p)
-        if e.is_dir
-    ]
+    """(path, reason) of what a read skips: directories, hidden and unknown names."""
+    skipped = []
+    for pattern in patterns:
+        by_wildcard = re.search(WILDCARD, pattern) is not None
+        for e in glob(spark, pattern):
+            if e.is_dir and by_wildcard:
+                skipped.append((e.path, "directory"))
+            elif e.is_dir:
+                inside = glob(spark, f"{e.path}/*")
+                skipped += [(x.path, "hidden name") for x in inside if _is_hidden(x.path)]
+            elif _is_hidden(e.path):
+                skipped.append((e.path, "hidden name"))
     unknown = list_sources(spark, patterns).filter(F.col("format").isNull())
-    return spark.createDataFrame(directories, "path string, reason string").unionByName(
+    return spark.createDataFrame(skipped, "path string, reason string").unionByName(
         unknown.select("path", F.lit("unknown format").alias("reason"))
     )
 
@@ -220,12 +233,17 @@ def read_whole_files(
     format without a parser fails here, before anything is read.
     """
     parsers = {"Turtle": parse_turtle, **(parsers or {})}
-    formats = list_sources(spark, patterns).groupBy("format").agg(F.count("*"))
+    longest = F.max(F.struct("length", "path")).alias("longest")
+    formats = list_sources(spark, patterns).groupBy("format").agg(longest)
     # bounded by the number of formats
-    present = {row["format"] for row in formats.collect()} - {None}
+    listed = {row["format"]: row["longest"] for row in formats.collect()}
+    present = set(listed) - {None}
     missing = present - set(parsers) - {"N-Triples", "N-Quads"}
     if missing:
         raise ValueError(f"no parser given for {', '.join(sorted(missing))}")
+    for name in present & set(parsers):
+        if listed[name]["length"] > LONGEST_FILE:
+            raise ValueError(f"{listed[name]['path']}: too long for a whole-file format")
     parts = []
     schema = T.StructType(
         [T.StructField(n, T.StringType()) for n in TRIPLE.names[:6]]
@@ -235,12 +253,16 @@ def read_whole_files(
             files = spark.read.format("binaryFile").options(**name_filter(name))
             contents = files.load(_matches(spark, patterns)).select("path", "content")
             parsed = contents.mapInPandas(_parse_with(parsers[name], schema.names), schema)
-            parts.append(normalise(parsed))
+            rows = normalise(parsed)
+            if mode == "PERMISSIVE":
+                rows = rows.withColumn("_corrupt", F.lit(None).cast("string"))
+            parts.append(rows)
         else:
             lines = read_lines(spark, patterns, name)
             parts.append(parse_lines(lines, mode, quads=name == "N-Quads"))
     if not parts:
-        return spark.createDataFrame([], TRIPLE)
+        corrupt = [T.StructField("_corrupt", T.StringType())] * (mode == "PERMISSIVE")
+        return spark.createDataFrame([], T.StructType([*TRIPLE.fields, *corrupt]))
     return union_triples(*parts)
 
 

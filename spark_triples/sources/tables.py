@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spark_triples.manifest import read_runs, read_state
 from spark_triples.operators.prospects import aggregate_prospects
 from spark_triples.operators.skew import key_join
 from spark_triples.operators.triples import (
@@ -13,25 +14,20 @@ from spark_triples.operators.triples import (
     filter_property,
     require_not_null,
 )
-from spark_triples.schema import DOCUMENT, PROSPECT, TRIPLE
-from spark_triples.session import glob
+from spark_triples.schema import DOCUMENT, LAYOUTS, PROSPECT, TRIPLE
 
-def current_version(spark: SparkSession, table: str) -> int:
-    """The newest version of a table that has a complete run; 0 for a new table."""
-    marks = glob(spark, f"{table}/v=*/run=*/_SUCCESS")
-    return max((int(m.path.split("/")[-3].removeprefix("v=")) for m in marks), default=0)
 
-
-def run_path(table: str, version: int, run: str) -> str:
-    return f"{table}/v={version}/run={run}"
+def run_paths(spark: SparkSession, table: str) -> list[str]:
+    """The published runs of a table, the oldest first."""
+    return [f"{table}/{run.folder}" for run in read_runs(spark, f"{table}/")]
 
 
-def run_paths(spark: SparkSession, table: str) -> list[str]:
-    """Complete runs of the current version, in the order of their names. A run that
-    failed on its way has no success marker and is not seen."""
-    version = current_version(spark, table)
-    marks = glob(spark, run_path(table, version, "*") + "/_SUCCESS")
-    return sorted(m.path.removesuffix("/_SUCCESS") for m in marks)
+def index_paths(spark: SparkSession, prefix: str, name: str) -> list[str]:
+    """The runs of one copy of the index: those published with all copies, and those that
+    were written to this copy alone."""
+    runs = read_runs(spark, prefix) if name in LAYOUTS else []
+    shared = [f"{prefix}{name}/{run.folder}" for run in runs]
+    return shared + run_paths(spark, prefix + name)
 
 
 def read_run(
@@ -48,16 +44,21 @@ def scan_index(
     prefix: str,
     name: str = "spo",
     predicates: list[str] | None = None,
+    since_ms: int | None = None,
 ) -> DataFrame:
-    """The triples of an index table, optionally of some predicates only.
+    """The triples of an index table, optionally of some predicates only, or only those last
+    written at a time or later.
 
     A table of one run holds each triple once already. More runs are merged: equal
-    triples become one, with the latest time.
+    triples become one, with the latest time. Rows before ``since_ms`` cannot be the latest
+    of a triple that stays, so the scan leaves them out, and older runs by their statistics.
     """
-    paths = run_paths(spark, prefix + name)
+    paths = index_paths(spark, prefix, name)
     triples = read_run(spark, paths, TRIPLE)
     if predicates is not None:
         triples = filter_property(triples, predicates)
+    if since_ms is not None:
+        triples = triples.filter(F.col("ts") >= F.timestamp_millis(F.lit(since_ms)))
     return dedup_triples(triples) if len(paths) > 1 else triples
 
 
@@ -98,7 +99,9 @@ def read_checkpoint(
     """The start time given, else the stored end of the last run, else none."""
     if start_ms is not None:
         return start_ms
-    if not glob(spark, f"{path}/_SUCCESS"):
-        return None
-    stored = spark.read.schema("end_ms bigint").parquet(path)
-    return stored.agg(F.max("end_ms")).first()[0]
+    return read_state(spark, f"{path}/")[1].get("end_ms")
+
+
+def read_seen(spark: SparkSession, path: str) -> int | None:
+    """The last manifest of the index that the last run had read, if it stored one."""
+    return read_state(spark, f"{path}/")[1].get("seen")

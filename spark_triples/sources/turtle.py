@@ -67,7 +67,7 @@ class _Document:
         self.kind, self.text = next(self.tokens)
         self.prefixes: dict[str, str] = {}
         self.base = ""
-        self.scope = hashlib.sha256(path.encode()).hexdigest()[:16]
+        self.scope = hashlib.sha256(path.encode()).hexdigest()
         self.made = 0
         self.pending: list[tuple] = []
 
@@ -136,13 +136,17 @@ class _Document:
                 self.pending.append((node, _RDF + "rest", rest, ANYURI, None, None))
                 rest = node
             return rest
+        if self.kind == "bnode":
+            return f"_:{self.scope}-{self.take()[1]}"
+        return self.iri()
+
+    def iri(self) -> str:
+        """An IRI, whole or with a prefix: all that a predicate or a datatype may be."""
         kind, text = self.take()
         if kind == "iri":
             return self.resolve(text)
         if kind == "pname":
             return self.expand(text)
-        if kind == "bnode":
-            return f"_:{self.scope}-{text}"
         raise ValueError(f"expected a term, found {text!r}")
 
     def object(self) -> tuple[str, str, str | None]:
@@ -154,7 +158,7 @@ class _Document:
             if self.kind == "lang":
                 return text, LANG_STRING, self.take()[1]
             if self.accept("^^"):
-                return text, self.resource(), None
+                return text, self.iri(), None
             return text, XSD_STRING, None
         if self.kind == "number":
             text = self.take()[1]
@@ -170,7 +174,7 @@ class _Document:
                 self.take()
                 predicate = RDF_TYPE
             else:
-                predicate = self.resource()
+                predicate = self.iri()
             while True:
                 self.pending.append((subject, predicate, *self.object(), None))
                 if not self.accept(","):

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from spark_triples.manifest import read_state
 from spark_triples.operators.documents import assemble_documents
 from spark_triples.operators.triples import filter_property, normalise, visible
-from spark_triples.plans.flows import triples_of_subjects
+from spark_triples.plans.flows import subjects_of_runs, triples_of_subjects
 from spark_triples.schema import STREAM_LAG, TRIPLE
 from spark_triples.session import job_scratch
-from spark_triples.sinks.tables import write_documents
+from spark_triples.sinks.tables import commit_checkpoint, write_documents
 from spark_triples.sources.files import parse_lines
+from spark_triples.sources.tables import read_seen
 
 
 def stream_lines(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -48,6 +50,43 @@ def ingest(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def stream_runs(spark: SparkSession, prefix: str) -> DataFrame:
+    """The manifests of an index as they are written: a signal that runs were published."""
+    return spark.readStream.text(f"{prefix}manifests")
+
+
+def refresh_from_runs(
+    spark: SparkSession,
+    prefix: str,
+    properties: list[str],
+    destination: str,
+    checkpoint: str,
+    once: bool = True,
+) -> StreamingQuery:
+    """Rewrite the documents of the subjects that published runs changed, run by run.
+
+    A run is published with all its copies, so what it changed is readable in each. The last
+    manifest that was worked on is stored after the documents are; a repeated batch
+    writes equal documents.
+    """
+    state = f"{checkpoint}/seen"
+
+    def refresh(_: DataFrame, __: int) -> None:
+        seen, _state = read_state(spark, prefix)
+        before = read_seen(spark, state) or 0
+        if seen == before:
+            return
+        with job_scratch(spark):
+            changed = subjects_of_runs(spark, prefix, properties, before)
+            triples = triples_of_subjects(spark, prefix, properties, changed)
+            write_documents(assemble_documents(triples), destination)
+        commit_checkpoint(spark, state, 0, seen)
+
+    writer = stream_runs(spark, prefix).writeStream.foreachBatch(refresh)
+    writer = writer.option("checkpointLocation", f"{checkpoint}/stream")
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def refresh_documents(
     changes: DataFrame,
     prefix: str,

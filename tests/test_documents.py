@@ -249,3 +249,22 @@ def test_json_export(spark, make_triples, tmp_path):
     assert by_uri["u:a", 0]["text"] == ['q"uo\nte'] == by_uri["u:a", 0]["p_u:p"]
     assert by_uri["u:i", 0] == {"context": "null", "text": [], "uri": "u:i"}
     assert [by_uri["u:big", i]["text"] for i in range(2)] == [["0", "1"], ["2"]]
+
+
+def test_a_load_that_ends_after_the_refresh_is_seen(spark, table, make_triples, tmp_path):
+    """Its triples have the time at which it began, before the stored end."""
+    docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
+    flows.fulltext_full(spark, table, [PRED], docs, checkpoint, end=NOW.isoformat())
+    early = NOW - timedelta(days=3)
+    sinks.write_indexes(make_triples([row(ENTITY_2, PRED, "slow", ts=early)]), table, run="slow")
+    flows.fulltext_incremental(
+        spark, table, [PRED], docs, checkpoint, end=(NOW + timedelta(seconds=5)).isoformat()
+    )
+    assert "slow" in whole(sources.read_documents(spark, docs))[ENTITY_2][1]
+
+
+def test_the_last_checkpoint_counts(spark, tmp_path):
+    checkpoint = f"{tmp_path}/checkpoint"
+    for end in (2000, 1000):
+        sinks.commit_checkpoint(spark, checkpoint, end)
+        assert sources.read_checkpoint(spark, checkpoint) == end

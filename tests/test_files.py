@@ -295,3 +295,48 @@ def test_parser_needs_no_package_on_the_worker(tmp_path):
         [sys.executable, "-c", script], cwd=tmp_path, env={}, capture_output=True, text=True
     )
     assert done.stdout.strip() == "2", done.stderr
+
+
+def test_hidden_files_fail_or_are_reported(spark, source_dir):
+    (source_dir / "_h.nt").write_text('<urn:h> <urn:p> "x" .\n')
+    with pytest.raises(ValueError, match="_h.nt"):
+        files.read_ntriples(spark, [f"{source_dir}/_h.nt"])
+    for pattern in (f"{source_dir}/*", f"{source_dir}"):
+        found = files.rejected_sources(spark, [pattern]).collect()
+        assert [r["reason"] for r in found if r["path"].endswith("_h.nt")] == ["hidden name"]
+
+
+def test_permissive_on_mixed_routes(spark, source_dir):
+    (source_dir / "bad.nt").write_text("not a triple\n")
+    spec = f"{source_dir}/bad.nt,{source_dir}/*.ttl"
+    found = files.read_sources(spark, spec, mode="PERMISSIVE")
+    assert [r["_corrupt"] for r in found.filter("_corrupt is not null").collect()] == ["not a triple"]
+
+
+def test_line_ends_are_ends(spark):
+    for end in ("\u2028", "\u2029", "\x85"):
+        with pytest.raises(Exception, match="malformed"):
+            parse(spark, [f'<urn:a> <urn:p> "hi"@en .{end}']).collect()
+        kept = parse(spark, [f'<urn:a> <urn:p> "hi"@en . # a{end}b']).collect()
+        assert [r["lang"] for r in kept] == ["en"]
+
+
+@pytest.mark.parametrize("text", ["<u:a> [] <u:b> .", "<u:a> (<u:x>) <u:b> .", "<u:a> _:p <u:b> .", "<u:a> <u:p> \"1\"^^_:t ."])
+def test_predicates_and_datatypes_are_iris(text):
+    with pytest.raises(ValueError, match="expected a term"):
+        list(files.parse_turtle(text.encode(), "f"))
+
+
+def test_bulk_loads_add_up(spark, source_dir, tmp_path):
+    """Without a name a load is named by its files: others add, the same change nothing."""
+    prefix, counts = f"{tmp_path}/add_", f"{tmp_path}/counts"
+    for n in (1, 2, 1, 2):
+        (source_dir / "n1.nt").exists() or [
+            (source_dir / f"n{k}.nt").write_text(f'<urn:x#{k}> <urn:p> "{k}" .\n') for k in (1, 2)
+        ]
+        flows.bulk_load_with_statistics(spark, f"{source_dir}/n{n}.nt", prefix, counts)
+    assert scan_index(spark, prefix).count() == 2
+    from spark_triples.sources.tables import read_prospects
+
+    found = read_prospects(spark, counts).filter("triple_value_type = 'predicate'").collect()
+    assert [r["count"] for r in found] == [2]

@@ -30,9 +30,8 @@ def test_refresh_equals_batch(spark, make_triples, tmp_path):
     sinks.write_indexes(make_triples(CHANGED), prefix, run="1")
 
     def run():
-        changes = refresh.stream_triples(spark, f"{prefix}spo/v=0/run=*")
-        refresh.refresh_documents(
-            changes, prefix, [PRED], docs, f"{tmp_path}/state"
+        refresh.refresh_from_runs(
+            spark, prefix, [PRED], docs, f"{tmp_path}/state"
         ).awaitTermination()
         return whole(sources.read_documents(spark, docs))
 

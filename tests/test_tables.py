@@ -1,4 +1,3 @@
-import shutil
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -36,13 +35,58 @@ def test_tables_are_sorted_and_whole(spark, make_triples, tmp_path):
             assert keys == sorted(keys)
 
 
-def test_unfinished_run_is_not_seen(spark, make_triples, tmp_path):
+def test_failed_runs_leave_the_former_state(spark, make_triples, tmp_path):
     table = f"{tmp_path}/t_spo"
     sinks.write_table(make_triples(FIVE[:2]), table, "1")
-    unfinished = sinks.write_table(make_triples(FIVE[2:]), table, "2", mode="replace")
-    assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 3
-    shutil.move(f"{unfinished}/_SUCCESS", f"{tmp_path}/marker")
+    failing = make_triples(FIVE[2:]).filter(F.raise_error(F.lit("no")).isNull())
+    for run, mode in (("1", "rerun"), ("2", "add"), ("2", "replace")):
+        with pytest.raises(Exception, match="no"):
+            sinks.write_table(failing, table, run, mode=mode)
+        assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 2
+    sinks.write_table(make_triples(FIVE[2:]), table, "1")  # the name is there: no change
     assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 2
+    sinks.write_table(make_triples(FIVE[2:]), table, "1", mode="rerun")
+    assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 3
+    sinks.write_table(make_triples(FIVE[:1]), table, "3", mode="replace")
+    assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 1
+
+
+def test_manifests(spark, tmp_path):
+    from spark_triples import manifest
+
+    root = f"{tmp_path}/m/"
+    assert manifest.read_state(spark, root) == (0, {})
+    for n in range(1, 4):
+        assert manifest.update(spark, root, lambda number, state: state | {str(number): 1}) == n
+    assert manifest.read_state(spark, root) == (3, {"1": 1, "2": 1, "3": 1})
+    (tmp_path / "m/manifests" / f"{4:012d}.json").write_text('{"torn')
+    assert manifest.read_state(spark, root)[0] == 3
+    assert manifest.update(spark, root, lambda _, state: state) == 5
+    assert manifest.read_state(spark, root) == (5, {"1": 1, "2": 1, "3": 1})
+
+
+def test_merged_runs_are_not_added_again(spark, make_triples, tmp_path):
+    prefix = f"{tmp_path}/t_"
+    for run in ("a", "b"):
+        sinks.write_indexes(make_triples(FIVE[:3] if run == "a" else FIVE[2:]), prefix, run)
+    sinks.compact_index(spark, prefix)
+    sinks.write_indexes(make_triples([("urn:x", "urn:y", "z")]), prefix, "a")
+    assert sources.scan_index(spark, prefix).count() == 5
+    with pytest.raises(ValueError, match="merged"):
+        sinks.write_indexes(make_triples(FIVE), prefix, "b", mode="rerun")
+    sinks.write_indexes(make_triples([("urn:x", "urn:y", "z")]), prefix)
+    assert sources.scan_index(spark, prefix, "po").count() == 6
+    sinks.remove_old(spark, prefix)
+    for name in LAYOUTS:
+        assert sources.scan_index(spark, prefix, name).count() == 6
+        assert len(list(Path(f"{prefix}{name}").glob("run=*"))) == 2
+
+
+def test_time_filter_reaches_the_scan_of_many_runs(spark, make_triples, tmp_path):
+    prefix = f"{tmp_path}/t_"
+    for run in ("a", "b"):
+        sinks.write_indexes(make_triples(FIVE), prefix, run)
+    assert "GreaterThanOrEqual(ts," in plan(sources.scan_index(spark, prefix, since_ms=1000))
 
 
 def test_run_and_mode_names(make_triples, tmp_path):
@@ -59,7 +103,7 @@ def test_compact_index(spark, make_triples, tmp_path):
     assert sources.scan_index(spark, prefix, "osp").count() == 5
     sinks.compact_index(spark, prefix)
     for name in LAYOUTS:
-        assert len(sources.run_paths(spark, prefix + name)) == 1
+        assert len(sources.index_paths(spark, prefix, name)) == 1
         assert sources.scan_index(spark, prefix, name).count() == 5
 
 
@@ -136,7 +180,9 @@ def test_plans(spark, make_triples, tmp_path):
     prefix = f"{tmp_path}/t_"
     sinks.write_indexes(make_triples(FIVE), prefix)
     scan = sources.scan_index(spark, prefix)
-    lookup = plan(ops.match_pattern(scan, subject="urn:a", obj="urn:b"))
+    lookup = plan(
+        ops.match_pattern(scan, subject="urn:a", obj="urn:b", object_type="urn:t")
+    )
     for pushed in ("EqualTo(subject,urn:a)", "EqualTo(object,urn:b)", "EqualTo(object_type,"):
         assert pushed in lookup
     assert "Exchange" not in lookup
