@@ -8,9 +8,10 @@
 3. First every class meets the smallest class of each of its posts (a star, not all pairs),
    then the largest. Pairs whose signatures agree in T coordinates are confirmed on their
    full sets, and linked classes become components.
-4. Posts that hold one component only are settled. In the others, the pairs of classes from
-   different components are compared, so no link between components is missed: a large group
-   of copies has collapsed by then and does not unfold into pairs.
+4. Posts that hold one component only are settled: a large group of copies has collapsed by
+   then. In the others, shingles that no other component has bound what a class can share:
+   a class that could not reach the limit with any class of the post leaves it. What is left
+   is compared in pairs from different components, so no link between components is missed.
 
 T is the largest number that a pair at the limit misses with a probability below MISS. Links are
 decided on the sets (64-bit hashes of shingles; sets are equal by a 128-bit hash).
@@ -232,11 +233,17 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 
-    left = _unsettled(prefixes, roots)
-    other = left.select("post", *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "root")])
+    left = _reachable(_unsettled(prefixes, roots), sets, percent)
+    columns = ("cls", "n", "root", "shared")
+    other = left.select("post", *[F.col(c).alias(f"{c}_b") for c in columns])
+    most = F.least("shared", "shared_b")
     pairs = (
         left.join(other, "post")
-        .filter((F.col("root") < F.col("root_b")) & _like_sizes("n", "n_b", percent))
+        .filter(
+            (F.col("root") < F.col("root_b"))
+            & _like_sizes("n", "n_b", percent)
+            & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+        )
         .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
         .distinct()
     )
@@ -253,10 +260,12 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         ),
         "members",
     )
+    # written, so that the join below has plain exchanges that the skew join may split
     least_of = member.filter("n > 0").groupBy("root").agg(
         F.min("doc_id").alias("component_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row"))["row"].alias("one"),
     )
+    least_of = stage(least_of, "smallest")
     alone = F.col("n") == 0
     return member.join(least_of, "root", "left").select(
         "doc_id",
@@ -273,20 +282,56 @@ def _like_sizes(a: str, b: str, percent: int) -> Column:
 
 
 def _unsettled(prefixes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(cls, n, post, root) of the posts that hold more than one component."""
+    """(cls, n, post, root, …) of the posts that hold more than one component."""
     if roots is None:
-        return prefixes.withColumn("root", F.col("cls"))
+        return prefixes.withColumn("root", F.col("cls"))  # a post has two classes at least
     rooted = prefixes.join(
         roots.select(F.col("a").alias("cls"), F.col("b").alias("root")), "cls", "left"
     ).withColumn("root", F.coalesce("root", "cls"))
-    rooted = stage(rooted, "rooted")
+    return _mixed(stage(rooted, "rooted"))
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The rows of posts with more than one component, with the least set size of the post."""
     mixed = (
         rooted.groupBy("post")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("smallest"))
+        .filter("low < high")
+        .select("post", "smallest")
+    )
+    return rooted.join(mixed, "post")
+
+
+def _reachable(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, n, post, root, shared): what may still be linked across components.
+
+    ``shared`` counts the shingles of a class that another component of ``left`` has; no class
+    of another component shares more. A class leaves a post if even a class of the most
+    favourable size there would stay below the limit; posts that are settled then go.
+    """
+    left = stage(left, "open-posts")
+
+    def single(rows: dict) -> dict:
+        found = [np.frombuffer(x, np.int64) for x in rows["shingles"]]
+        sizes = [len(x) for x in found]
+        return {
+            "shingle": np.concatenate(found) if found else [],
+            **{c: np.repeat(np.array(rows[c], np.int64), sizes) for c in ("cls", "root")},
+        }
+
+    owners = left.select("cls", "root").distinct()
+    each = map_batches(sets.join(owners, "cls"), single, "cls long, root long, shingle long")
+    across = (
+        each.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .filter("low < high")
-        .select("post")
+        .select("shingle")
     )
-    return rooted.join(mixed, "post", "left_semi")
+    shared = each.join(across, "shingle").groupBy("cls").agg(F.count("*").alias("shared"))
+    n, s = F.col("n"), F.col("shared")
+    possible = 100 * s >= percent * (n + F.greatest("smallest", s) - s)
+    kept = stage(left.join(shared, "cls").filter(possible).drop("smallest"), "reachable")
+    return _mixed(kept).drop("smallest")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
