@@ -1,4 +1,4 @@
-"""Full-text documents: pick changed subjects, group by subject, assemble, upsert."""
+"""Full-text documents: pick changed subjects, group by subject, values, nesting, upsert."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import literal_label, property_field
-from spark_triples.operators.skew import BROADCAST_KEYS, collect_in_parts, key_join
+from spark_triples.operators.skew import BROADCAST_KEYS, key_join, with_parts
 from spark_triples.operators.triples import (
     filter_property,
     filter_time,
@@ -14,11 +14,10 @@ from spark_triples.operators.triples import (
 )
 from spark_triples.schema import DOCUMENT, KEY_TAIL, NO_CONTEXT
 
-# Characters of object text one row of a subject group or a document may hold; each
-# triple adds some more for its row.
-PART_CHARS = 8_000_000
+# What each triple adds to the weight of its row, besides its object's characters.
 ROW_CHARS = 64
 _ORDER = ["predicate", "object", *KEY_TAIL]
+_VALUE_ORDER = ["predicate", "object", "object_type", "lang", "graph", "visibility"]
 
 
 def changed_subject_triples(
@@ -38,65 +37,89 @@ def changed_subject_triples(
 
 
 def group_by_subject(
-    triples: DataFrame,
-    part_chars: int = PART_CHARS,
-    broadcast_keys: int = BROADCAST_KEYS,
+    triples: DataFrame, part_chars: int, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """(subject, part, triples): the triples of a subject, sorted as in the table.
+    """(subject, part, n_parts, triples): the triples of a subject, sorted as in the table, in
+    arrays of about ``part_chars`` characters at most.
 
     Expects distinct triples (the table has them). Rows without a subject are left out.
     """
-    return collect_in_parts(
+    parted = with_parts(
         skip_null_subject(triples),
-        group="subject",
-        order=_ORDER,
-        values=["ts"],
-        weight=F.length("object") + F.lit(ROW_CHARS),
-        budget=part_chars,
-        name="triples",
-        broadcast_keys=broadcast_keys,
+        "subject",
+        _ORDER,
+        F.length("object") + F.lit(ROW_CHARS),
+        part_chars,
+        broadcast_keys,
+    )
+    entry = F.struct(*_ORDER, "ts")
+    return parted.groupBy("subject", "part", "n_parts").agg(
+        F.sort_array(F.collect_list(entry)).alias("triples")
     )
 
 
-def _label(triple: Column) -> Column:
-    return literal_label(triple["object"], triple["object_type"])
-
-
-def documents_from_groups(groups: DataFrame) -> DataFrame:
-    """One document row per group row. IRI objects have no text and add no value."""
-    literals = F.filter("triples", lambda t: _label(t).isNotNull())
-    with_literals = groups.withColumn("_literals", literals)
-    values = F.col("_literals")
-    predicates = F.array_distinct(F.transform(values, lambda t: t["predicate"]))
-
-    def field(predicate: Column) -> Column:
-        own = F.filter(values, lambda t: t["predicate"] == predicate)
-        return F.struct(property_field(predicate), F.transform(own, _label))
-
-    return with_literals.select(
+def document_values(triples: DataFrame) -> DataFrame:
+    """Documents of the given triples: one row per triple with its field and value, and the
+    columns that order the values. A projection: nothing is grouped, whatever the size of a
+    subject. IRI objects have no text; their rows have no value."""
+    known = skip_null_subject(triples)
+    return known.select(
         F.col("subject").alias("id"),
         F.col("subject").alias("uri"),
         F.lit(NO_CONTEXT).alias("context"),
-        F.col("part"),
-        F.map_from_entries(F.transform(predicates, field)).alias("properties"),
-        F.transform(values, _label).alias("text"),
+        property_field(F.col("predicate")).alias("field"),
+        literal_label(F.col("object"), F.col("object_type")).alias("value"),
+        "predicate",
+        "object",
+        "object_type",
+        "lang",
+        F.col("context").alias("graph"),
+        "visibility",
     )
 
 
-def assemble_documents(
-    triples: DataFrame,
-    part_chars: int = PART_CHARS,
-    broadcast_keys: int = BROADCAST_KEYS,
+def nest_documents(
+    values: DataFrame, part_chars: int, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """Documents of the given triples: per subject the literal values of each predicate
-    in a field of its own, and all of them in ``text``, in key order."""
-    return documents_from_groups(group_by_subject(triples, part_chars, broadcast_keys))
+    """(id, uri, context, part, n_parts, properties, text): documents as nested rows, cut into
+    parts of about ``part_chars`` characters at most, for consumers that need one value per
+    document. Per part the literal values of each predicate in a field of its own, and
+    all of them in ``text``, in key order.
+
+    Values are grouped by field before the fields are by document, so the work is in
+    proportion to the values.
+    """
+    parted = with_parts(
+        values,
+        "id",
+        _VALUE_ORDER,
+        F.length("object") + F.lit(ROW_CHARS),
+        part_chars,
+        broadcast_keys,
+    )
+    keys = ["id", "uri", "context", "part", "n_parts"]
+    entry = F.when(F.col("value").isNotNull(), F.struct(*_VALUE_ORDER, "value"))
+    fields = parted.groupBy(*keys, "predicate", "field").agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
+    )
+    values_of = F.transform("entries", lambda e: e["value"])
+    field = F.when(F.size("entries") > 0, F.struct("predicate", "field", values_of.alias("values")))
+    documents = fields.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(field)).alias("fields")
+    )
+    return documents.select(
+        *keys,
+        F.map_from_entries(
+            F.transform("fields", lambda f: F.struct(f["field"], f["values"]))
+        ).alias("properties"),
+        F.flatten(F.transform("fields", lambda f: f["values"])).alias("text"),
+    )
 
 
 def upsert_documents(
     existing: DataFrame, docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """``docs``, and those existing documents whose id is not among them."""
+    """``docs``, and those existing documents whose id is not among them, as values."""
     kept = key_join(
         existing, docs.select("id"), "id", "left_anti", broadcast_keys=broadcast_keys
     )
@@ -105,17 +128,18 @@ def upsert_documents(
 
 
 def document_json(docs: DataFrame) -> DataFrame:
-    """(id, part, json): context, text, uri and the property fields as one object."""
+    """(id, part, n_parts, json): context, text, uri and the property fields of nested
+    documents as one object. Every piece of a document in parts says which it is."""
 
     def body(json: Column) -> Column:
         return F.substring(json, F.lit(2), F.length(json) - 2)
 
     head = F.to_json(F.struct("context", "text", "uri"))
-    part = F.when(F.col("part") > 0, F.concat(F.lit('"part":'), F.col("part")))
+    part = F.when(F.col("n_parts") > 1, body(F.to_json(F.struct("part", "n_parts"))))
     fields = F.when(
         F.size("properties") > 0, body(F.to_json(F.col("properties")))
     )
     inner = F.concat_ws(",", body(head), part, fields)
     return docs.select(
-        "id", "part", F.concat(F.lit("{"), inner, F.lit("}")).alias("json")
+        "id", "part", "n_parts", F.concat(F.lit("{"), inner, F.lit("}")).alias("json")
     )

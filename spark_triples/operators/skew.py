@@ -132,43 +132,45 @@ def preceding_total(
     )
 
 
-def collect_in_parts(
+def with_parts(
     df: DataFrame,
     group: str,
     order: list[str],
-    values: list[str],
     weight: Column,
     budget: int,
-    name: str,
     broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """Rows of a group as sorted arrays: (group, part, array of ``order + values``).
+    """``df`` with the columns ``part`` and ``n_parts``: its groups cut, in key order, where
+    their total weight passes each multiple of the budget.
 
-    A group within the budget is one array, part 0. A larger one is cut, in key order,
-    where the total weight passes each multiple of the budget, so no array grows with
-    the data and the parts in order are the whole group. Groups are weighed first by
-    an aggregation that combines map-side; only the large ones take the longer way.
+    No part grows with the data, and the parts in order are the whole group. Groups are
+    weighed first by an aggregation that combines map-side; only those above the budget
+    take the longer way.
     """
-    entry = F.struct(*order, *values)
-
-    def collect(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(group, "part").agg(
-            F.sort_array(F.collect_list(entry)).alias(name)
-        )
 
     def cut(rows: DataFrame) -> DataFrame:
         total = preceding_total(rows, group, order, weight, "_total")
-        return total.withColumn("part", F.call_function("div", "_total", F.lit(budget)))
+        part = F.call_function("div", "_total", F.lit(budget))
+        parted = stage(total.withColumn("part", part).drop("_total"), "parts")
+        last = parted.groupBy(F.col(group).alias("_of")).agg(
+            (F.max("part") + 1).alias("n_parts")
+        )
+        # a group here has more than one part, so the parts are far fewer than the rows
+        return parted.join(
+            stage(last, "last-parts"), F.col(group) == F.col("_of")
+        ).drop("_of")
 
     large = df.groupBy(group).agg(F.sum(weight).alias("_w")).filter(F.col("_w") > budget)
     large = stage(large.select(group), "large-groups")
     size = size_of(large)
-    whole = df.withColumn("part", F.lit(0).cast("bigint"))
+    whole = df.withColumns(
+        {"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")}
+    )
     if size[0] == 0:
-        return collect(whole)
+        return whole
     if not can_broadcast(size, broadcast_keys):
-        return collect(cut(df))
+        return cut(df)
     large = F.broadcast(large)
-    return collect(whole.join(large, group, "left_anti")).unionByName(
-        collect(cut(df.join(large, group, "left_semi")))
+    return whole.join(large, group, "left_anti").unionByName(
+        cut(df.join(large, group, "left_semi"))
     )

@@ -33,7 +33,7 @@ from spark_triples.schema import (
     XSD,
     XSD_STRING,
 )
-from spark_triples.session import scratch_path
+from spark_triples.session import glob, move, scratch_path
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import files
 from spark_triples.sources import tables as sources
@@ -49,6 +49,8 @@ RANGE_START = "2024-01-30T23:00:00Z"
 RANGE_END = "2024-01-31T00:59:59+01:00[Europe/Paris]"
 RANGE_SQL = "timestamp '2024-01-30 23:00:00' and timestamp '2024-01-30 23:59:59'"
 SMALL_PART = 200
+# For the nested form: no document of the tables is so large.
+WHOLE = 8_000_000
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -171,6 +173,15 @@ def with_ts(df: DataFrame) -> DataFrame:
     )
 
 
+def nested(values: DataFrame, part_chars: int = WHOLE) -> DataFrame:
+    return documents.nest_documents(values, part_chars)
+
+
+def values(spark: SparkSession, table: str) -> DataFrame:
+    """The document table, nested."""
+    return nested(sources.read_documents(spark, table))
+
+
 def show_documents(docs: DataFrame) -> DataFrame:
     fields = docs.select(
         "id", "uri", "context", "part", F.explode("properties").alias("field", "_values")
@@ -312,10 +323,7 @@ def src_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_triples(files.read_whole_files(spark, [f"{path}/*.ttl"]), *PARSED)
 
 
-@query(
-    "union_routes",
-    f"{WITH_G} select predicate, object_type, count(*) as n from g group by all",
-)
+@query("union_routes", PARSED_SQL)
 def union_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routes")
     half = F.pmod(F.xxhash64("subject"), F.lit(2))
@@ -323,7 +331,30 @@ def union_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_lines(rows.filter(half == 0), ntriples.render_line(), f"{path}/by-line.nt")
     write_turtle(rows.filter(half == 1), f"{path}/whole")
     loaded = files.read_sources(spark, f"{path}/by-line.nt , {path}/whole/*.ttl,")
-    return loaded.groupBy("predicate", "object_type").agg(F.count("*").alias("n"))
+    return show_triples(loaded, *PARSED)
+
+
+@query(
+    "rejected_sources",
+    "select name, n, reason from (values ('_hidden.nt', 'hidden name'), ('plain.txt', "
+    "'unknown format'), ('folder', 'directory')) k(name, reason), "
+    "(select count(*) as n from nation)",
+)
+def rejected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of a folder would pass over, beside what it reads."""
+    path = scratch_path(spark, "rejected")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+    rows.coalesce(1).write.text(f"{path}/folder")
+    file = next(e.path for e in glob(spark, f"{path}/folder/part-*"))
+    copies = spark.read.text(file)
+    for name in ("_hidden.nt", "plain.txt"):
+        copies.coalesce(1).write.text(f"{path}/made/{name}")
+        made = next(e.path for e in glob(spark, f"{path}/made/{name}/part-*"))
+        move(spark, made, f"{path}/{name}")
+    names = F.substring_index("path", "/", -1).alias("name")
+    found = files.rejected_sources(spark, [f"{path}/*"]).select(names, "reason")
+    counted = rows.agg(F.count("*").alias("n")).first()[0]
+    return found.filter("name <> 'made'").withColumn("n", F.lit(counted).cast("bigint"))
 
 
 G_SQL_SHOWN = (
@@ -403,8 +434,10 @@ def checkpoint_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     first, last = bounds.first()
     path = scratch_path(spark, "checkpoint")
-    for end_ms in (first, last, None):
+    for end_ms in (last, first, last, None):
         sinks.commit_checkpoint(spark, path, end_ms)
+        if end_ms is not None and sources.read_checkpoint(spark, path) != end_ms:
+            raise AssertionError("the last value stored must be the one that is read")
     resolved = (
         sources.read_checkpoint(spark, path),
         sources.read_checkpoint(spark, path, start_ms=first),
@@ -415,42 +448,52 @@ def checkpoint_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks --------------------------------------------------------------------
 
 
-def layout_counts(spark: SparkSession, prefix: str) -> DataFrame:
-    """Per index table: rows, and its first and last key."""
-    rows = []
-    for name, order in LAYOUTS.items():
-        key = F.concat_ws("|", *order)
-        rows.append(
-            sources.scan_index(spark, prefix, name)
-            .agg(
-                F.count("*").alias("n"),
-                F.min(key).alias("first_key"),
-                F.max(key).alias("last_key"),
-            )
-            .select(F.lit(name).alias("layout"), "n", "first_key", "last_key")
+def all_layouts(spark: SparkSession, prefix: str, *names: str) -> DataFrame:
+    """Every row of every index table."""
+    shown = [
+        show_triples(sources.scan_index(spark, prefix, name), *names).withColumn(
+            "layout", F.lit(name)
         )
-    return triples.union_triples(*rows)
+        for name in LAYOUTS
+    ]
+    return triples.union_triples(*shown)
 
 
-def layout_counts_sql() -> str:
+def all_layouts_sql(columns: str) -> str:
     return f"{WITH_G} " + " union all ".join(
-        f"select '{name}' as layout, count(*) as n, min(k) as first_key, max(k) as last_key "
-        f"from (select concat_ws('|', {', '.join(order)}) as k from g)"
-        for name, order in LAYOUTS.items()
+        f"select {columns}, '{name}' as layout from g" for name in LAYOUTS
     )
 
 
-@query("index_layout_counts", layout_counts_sql())
+@query("index_layout_counts", all_layouts_sql(SHOWN_TRIPLE_SQL))
 def index_layout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout_counts(spark, loaded_prefix(spark, sf_dir))
+    return all_layouts(spark, loaded_prefix(spark, sf_dir))
+
 
+LOADED_SQL = all_layouts_sql(
+    "subject, predicate, object, object_type, coalesce(lang, '') as lang"
+)
 
-@query("bulk_load", layout_counts_sql())
+
+@query("bulk_load", LOADED_SQL)
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "load")
     write_lines(g_raw(spark, sf_dir), ntriples.render_line(), f"{path}/graph.nt")
     flows.bulk_load(spark, f"{path}/graph.nt", f"{path}/")
-    return layout_counts(spark, f"{path}/")
+    return all_layouts(spark, f"{path}/", *PARSED)
+
+
+@query("bulk_load_twice", LOADED_SQL)
+def bulk_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the graph in two loads, none of them named, and one of them repeated."""
+    path = scratch_path(spark, "load-twice")
+    half = F.pmod(F.xxhash64("subject"), F.lit(2))
+    for number in (0, 1):
+        part = g_raw(spark, sf_dir).filter(half == number)
+        write_lines(part, ntriples.render_line(), f"{path}/half{number}.nt")
+    for number in (0, 1, 0):
+        flows.bulk_load(spark, f"{path}/half{number}.nt", f"{path}/")
+    return all_layouts(spark, f"{path}/", *PARSED)
 
 
 @query(
@@ -664,6 +707,19 @@ for _name, _pattern in PATTERNS.items():
     query(_name, pattern_sql(_pattern))(partial(match_pattern, _pattern))
 
 
+@query(
+    "match_pattern_any_type",
+    f"{WITH_G} select {SHOWN_TRIPLE_SQL} from g where object in "
+    "('urn:customer#1', 'FRANCE', 'ASIA', '7')",
+)
+def match_pattern_any_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of all kinds: an IRI, a text with a language, a string and an integer."""
+    index = sources.scan_index(spark, loaded_prefix(spark, sf_dir), "osp")
+    wanted = ("urn:customer#1", "FRANCE", "ASIA", "7")
+    found = [triples.match_pattern(index, obj=o) for o in wanted]
+    return show_triples(triples.union_triples(*found))
+
+
 def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.changed_subject_triples(
         public_graph(spark, sf_dir),
@@ -803,9 +859,9 @@ def groups_sql(budget: int) -> str:
     )
 
 
-@query("group_by_subject", groups_sql(documents.PART_CHARS))
+@query("group_by_subject", groups_sql(WHOLE))
 def group_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show_groups(documents.group_by_subject(public_graph(spark, sf_dir)))
+    return show_groups(documents.group_by_subject(public_graph(spark, sf_dir), WHOLE))
 
 
 @query("group_by_subject_parts", groups_sql(SMALL_PART))
@@ -824,13 +880,13 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fulltext_docs",
-    f"{WITH_G}, l as ({listed_sql()}), d as ({part_sql('l', documents.PART_CHARS)}) "
+    f"{WITH_G}, l as ({listed_sql()}), d as ({part_sql('l', WHOLE)}) "
     + documents_sql("select * from d"),
 )
 def fulltext_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "documents")
     flows.fulltext_full(spark, loaded_prefix(spark, sf_dir), PROPERTIES, path)
-    return show_documents(sources.read_documents(spark, path))
+    return show_documents(values(spark, path))
 
 
 @query(
@@ -839,7 +895,7 @@ def fulltext_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     + documents_sql("select * from d"),
 )
 def fulltext_docs_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.assemble_documents(listed(spark, sf_dir), part_chars=SMALL_PART)
+    docs = nested(documents.document_values(listed(spark, sf_dir)), SMALL_PART)
     return show_documents(docs)
 
 
@@ -850,7 +906,7 @@ def fulltext_docs_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "group by subject",
 )
 def fulltext_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.assemble_documents(listed(spark, sf_dir))
+    docs = nested(documents.document_values(listed(spark, sf_dir)))
     return docs.select("id", "part", F.array_join("text", "|").alias("text"))
 
 
@@ -866,7 +922,7 @@ EVERY_PREDICATE = [PLACED_BY, STATUS, "urn:event-p#by"]
 def fulltext_iri_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = loaded_prefix(spark, sf_dir)
     rows = triples.visible(sources.scan_index(spark, prefix, predicates=EVERY_PREDICATE))
-    docs = documents.assemble_documents(rows)
+    docs = nested(documents.document_values(rows))
     return docs.select(
         "id",
         F.size("text").cast("bigint").alias("n_values"),
@@ -885,13 +941,13 @@ def fulltext_iri_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     "',\"uri\":', to_json(subject), ',', fields, '}') as json from t join j using (subject)",
 )
 def fulltext_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.assemble_documents(listed(spark, sf_dir))
+    docs = nested(documents.document_values(listed(spark, sf_dir)))
     return documents.document_json(docs).select("id", "json")
 
 
 @query(
     "fulltext_docs_incremental",
-    f"{WITH_G}, c as ({CHANGED_SQL}), d as ({part_sql('c', documents.PART_CHARS)}) "
+    f"{WITH_G}, c as ({CHANGED_SQL}), d as ({part_sql('c', WHOLE)}) "
     + documents_sql("select * from d"),
 )
 def fulltext_docs_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -905,7 +961,7 @@ def fulltext_docs_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         end=RANGE_END,
         start=RANGE_START,
     )
-    return show_documents(sources.read_documents(spark, f"{path}/documents"))
+    return show_documents(values(spark, f"{path}/documents"))
 
 
 EARLY_SQL = f"ts <= timestamp '{SPLIT_TIME}'"
@@ -922,14 +978,14 @@ UPSERTED_SQL = (
 def early_and_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = listed(spark, sf_dir)
     split = F.timestamp_millis(F.lit(SPLIT_TIME_MS))
-    early = documents.assemble_documents(rows.filter(F.col("ts") <= split))
-    return early, documents.assemble_documents(rows.filter(F.col("ts") > split))
+    early = documents.document_values(rows.filter(F.col("ts") <= split))
+    return early, documents.document_values(rows.filter(F.col("ts") > split))
 
 
 @query("upsert_documents", UPSERTED_SQL + documents_sql("select * from rows"))
 def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, late = early_and_late(spark, sf_dir)
-    return show_documents(documents.upsert_documents(early, late))
+    return show_documents(nested(documents.upsert_documents(early, late)))
 
 
 @query("upsert_documents_table", UPSERTED_SQL + documents_sql("select * from rows"))
@@ -938,7 +994,7 @@ def upsert_documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "upserted")
     sinks.write_documents(early, path)
     sinks.write_documents(late, path)
-    return show_documents(sources.read_documents(spark, path))
+    return show_documents(values(spark, path))
 
 
 # --- statistics jobs ----------------------------------------------------------------
@@ -970,6 +1026,41 @@ def merge_prospects_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_prospects(sources.read_prospects(spark, path))
 
 
+@query("merge_after_compaction", counts_sql())
+def merge_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table remembers what was merged: runs repeated after it add nothing."""
+    path = scratch_path(spark, "compacted")
+    half = F.pmod(F.xxhash64("subject"), F.lit(2))
+
+    def add(number: int, run: str) -> None:
+        part = public_graph(spark, sf_dir).filter(half == number)
+        sinks.write_prospects(prospects.prospect_counts(part), path, run)
+
+    add(0, "a")
+    sinks.compact_prospects(spark, path)
+    for number, run in ((0, "a"), (1, "b"), (0, "a")):
+        add(number, run)
+    sinks.compact_prospects(spark, path)
+    add(1, "b")
+    return show_prospects(sources.read_prospects(spark, path))
+
+
+NO_NAMESPACE_SQL = "(select * replace (replace(subject, 'urn:customer#', 'customer') as subject) from v)"
+
+
+@query(
+    "statistics_skip_bad_iri",
+    f"{counts_sql(NO_NAMESPACE_SQL)} having data is not null",
+)
+def statistics_skip_bad_iri(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects without a namespace have no entity count where they are to be skipped."""
+    path = scratch_path(spark, "skipped")
+    bare = F.replace("subject", F.lit("urn:customer#"), F.lit("customer"))
+    sinks.write_indexes(graph(spark, sf_dir).withColumn("subject", bare), f"{path}/")
+    flows.statistics(spark, f"{path}/", f"{path}/counts", on_bad_iri="skip")
+    return show_prospects(sources.read_prospects(spark, f"{path}/counts"))
+
+
 ALL_PUBLIC_SQL = "(select * replace ('' as visibility) from g)"
 
 
@@ -996,7 +1087,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_refresh_docs",
-    f"{WITH_G}, l as ({listed_sql()}), d as ({part_sql('l', documents.PART_CHARS)}) "
+    f"{WITH_G}, l as ({listed_sql()}), d as ({part_sql('l', WHOLE)}) "
     + documents_sql("select * from d"),
 )
 def stream_refresh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1004,7 +1095,20 @@ def stream_refresh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     refresh.refresh_from_runs(
         spark, prefix, PROPERTIES, f"{path}/documents", f"{path}/state"
     ).awaitTermination()
-    return show_documents(sources.read_documents(spark, f"{path}/documents"))
+    return show_documents(values(spark, f"{path}/documents"))
+
+
+@query("stream_refresh_two_runs", ORACLES["stream_refresh_docs"])
+def stream_refresh_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after two loads, refreshed after each, equal those of the whole graph."""
+    path = scratch_path(spark, "refresh-two")
+    half = F.pmod(F.xxhash64("object"), F.lit(2))
+    for number in (0, 1):
+        sinks.write_indexes(graph(spark, sf_dir).filter(half == number), f"{path}/")
+        refresh.refresh_from_runs(
+            spark, f"{path}/", PROPERTIES, f"{path}/documents", f"{path}/state"
+        ).awaitTermination()
+    return show_documents(values(spark, f"{path}/documents"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
 from spark_triples.manifest import listing_name, names_of, read_runs, read_state
-from spark_triples.operators.documents import assemble_documents
+from spark_triples.operators.documents import document_values
 from spark_triples.operators.prospects import (
     aggregate_prospects,
     explode_prospects,
@@ -137,7 +137,7 @@ def fulltext_full(
     seen, _ = read_state(spark, prefix)
     with job_scratch(spark):
         triples = listed_triples(spark, prefix, properties)
-        write_documents(assemble_documents(triples), destination, mode="replace")
+        write_documents(document_values(triples), destination, mode="replace")
     if checkpoint is not None:
         commit_checkpoint(spark, checkpoint, end_ms, seen)
 
@@ -204,5 +204,5 @@ def fulltext_incremental(
             late = subjects_of_runs(spark, prefix, properties, before)
             changed = changed.unionByName(filter_time(late, None, end_ms).select("subject"))
         triples = triples_of_subjects(spark, prefix, properties, changed)
-        write_documents(assemble_documents(triples), destination)
+        write_documents(document_values(triples), destination)
     commit_checkpoint(spark, checkpoint, end_ms, seen)

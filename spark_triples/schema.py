@@ -59,18 +59,24 @@ PROSPECT = T.StructType(
     ]
 )
 
-# A document is one row with part 0. Only a subject larger than the part budget
-# has more rows; their parts, in order, make up the whole document.
+# A document is a set of rows, one per triple, whatever its size. A row without a value (an
+# IRI) keeps the document known; the last columns are the order of its values.
 DOCUMENT = T.StructType(
     [
-        T.StructField("id", T.StringType()),
-        T.StructField("uri", T.StringType()),
-        T.StructField("context", T.StringType()),
-        T.StructField("part", T.LongType()),
-        T.StructField(
-            "properties", T.MapType(T.StringType(), T.ArrayType(T.StringType()))
-        ),
-        T.StructField("text", T.ArrayType(T.StringType())),
+        T.StructField(name, T.StringType())
+        for name in (
+            "id",
+            "uri",
+            "context",
+            "field",
+            "value",
+            "predicate",
+            "object",
+            "object_type",
+            "lang",
+            "graph",
+            "visibility",
+        )
     ]
 )
 

@@ -177,7 +177,7 @@ def write_documents(docs: DataFrame, table: str, mode: str = "add") -> str:
 
 
 def export_documents(docs: DataFrame, path: str) -> None:
-    """Write documents as JSON lines."""
+    """Write nested documents as JSON lines."""
     document_json(docs).select("json").write.mode("overwrite").text(path)
 
 

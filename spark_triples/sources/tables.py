@@ -77,7 +77,8 @@ def read_prospects(spark: SparkSession, table: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, table: str) -> DataFrame:
-    """The document table; of a document written by several runs, the last one."""
+    """The values in the document table; of a document written by several runs, the last one.
+    ``nest_documents`` makes one row per document of them."""
     paths = run_paths(spark, table)
     if len(paths) < 2:
         return read_run(spark, paths, DOCUMENT)

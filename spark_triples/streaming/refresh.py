@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spark_triples.manifest import read_state
-from spark_triples.operators.documents import assemble_documents
+from spark_triples.operators.documents import document_values
 from spark_triples.operators.triples import filter_property, normalise, visible
 from spark_triples.plans.flows import subjects_of_runs, triples_of_subjects
 from spark_triples.schema import STREAM_LAG, TRIPLE
@@ -79,7 +79,7 @@ def refresh_from_runs(
         with job_scratch(spark):
             changed = subjects_of_runs(spark, prefix, properties, before)
             triples = triples_of_subjects(spark, prefix, properties, changed)
-            write_documents(assemble_documents(triples), destination)
+            write_documents(document_values(triples), destination)
         commit_checkpoint(spark, state, 0, seen)
 
     writer = stream_runs(spark, prefix).writeStream.foreachBatch(refresh)
@@ -106,7 +106,7 @@ def refresh_documents(
         changed = visible(filter_property(batch, properties)).select("subject")
         with job_scratch(spark):
             triples = triples_of_subjects(spark, prefix, properties, changed)
-            write_documents(assemble_documents(triples), destination)
+            write_documents(document_values(triples), destination)
 
     writer = changes.writeStream.foreachBatch(refresh).option(
         "checkpointLocation", checkpoint

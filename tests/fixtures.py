@@ -2,16 +2,16 @@
 
 from spark_triples.schema import ANYURI, DELIM, XSD, XSD_STRING
 
-ENTITY_1, ENTITY_2 = "urn:gem:etype#1234", "urn:gem:etype#1235"
-PRED, PRED_1 = "urn:gem#pred", "urn:gem#pred1"
+ENTITY_1, ENTITY_2 = "urn:lib:book#7", "urn:lib:book#8"
+PRED, PRED_1 = "urn:lib#note", "urn:lib#shelf"
 INTEGER = XSD + "integer"
 
 FIVE = [
-    (ENTITY_1, PRED, "mydata1"),
-    (ENTITY_1, PRED, "mydata2"),
-    (ENTITY_1, PRED, "12"),
-    (ENTITY_2, PRED, "12", INTEGER),
-    (ENTITY_2, PRED_1, "12"),
+    (ENTITY_1, PRED, "alpha"),
+    (ENTITY_1, PRED, "beta"),
+    (ENTITY_1, PRED, "40"),
+    (ENTITY_2, PRED, "40", INTEGER),
+    (ENTITY_2, PRED_1, "40"),
 ]
 
 
@@ -24,22 +24,22 @@ FIVE_COUNTS = {
     ("subject", ENTITY_2, ANYURI): 2,
     ("predicate", PRED, ANYURI): 4,
     ("predicate", PRED_1, ANYURI): 1,
-    ("object", "mydata1", XSD_STRING): 1,
-    ("object", "mydata2", XSD_STRING): 1,
-    ("object", "12", XSD_STRING): 2,
-    ("object", "12", INTEGER): 1,
+    ("object", "alpha", XSD_STRING): 1,
+    ("object", "beta", XSD_STRING): 1,
+    ("object", "40", XSD_STRING): 2,
+    ("object", "40", INTEGER): 1,
     ("subjectpredicate", pair(ENTITY_1, PRED), XSD_STRING): 3,
     ("subjectpredicate", pair(ENTITY_2, PRED), XSD_STRING): 1,
     ("subjectpredicate", pair(ENTITY_2, PRED_1), XSD_STRING): 1,
-    ("subjectobject", pair(ENTITY_1, "mydata1"), XSD_STRING): 1,
-    ("subjectobject", pair(ENTITY_1, "mydata2"), XSD_STRING): 1,
-    ("subjectobject", pair(ENTITY_1, "12"), XSD_STRING): 1,
-    ("subjectobject", pair(ENTITY_2, "12"), XSD_STRING): 2,
-    ("predicateobject", pair(PRED, "mydata1"), XSD_STRING): 1,
-    ("predicateobject", pair(PRED, "mydata2"), XSD_STRING): 1,
-    ("predicateobject", pair(PRED, "12"), XSD_STRING): 2,
-    ("predicateobject", pair(PRED_1, "12"), XSD_STRING): 1,
-    ("entity", "urn:gem:etype", ANYURI): 5,
+    ("subjectobject", pair(ENTITY_1, "alpha"), XSD_STRING): 1,
+    ("subjectobject", pair(ENTITY_1, "beta"), XSD_STRING): 1,
+    ("subjectobject", pair(ENTITY_1, "40"), XSD_STRING): 1,
+    ("subjectobject", pair(ENTITY_2, "40"), XSD_STRING): 2,
+    ("predicateobject", pair(PRED, "alpha"), XSD_STRING): 1,
+    ("predicateobject", pair(PRED, "beta"), XSD_STRING): 1,
+    ("predicateobject", pair(PRED, "40"), XSD_STRING): 2,
+    ("predicateobject", pair(PRED_1, "40"), XSD_STRING): 1,
+    ("entity", "urn:lib:book", ANYURI): 5,
 }
 
 NT_LINES = [

@@ -65,5 +65,6 @@ def test_documents(make_triples, rows, part_chars):
             fields.setdefault(f"p_{p}", []).append(o)
             text.append(o)
     triples = dedup_triples(make_triples(rows))
-    docs = documents.assemble_documents(triples, part_chars, broadcast_keys=part_chars % 3)
+    values = documents.document_values(triples)
+    docs = documents.nest_documents(values, part_chars, broadcast_keys=part_chars % 3)
     assert whole(docs) == expected

@@ -23,11 +23,11 @@ def row(subject, predicate, obj, object_type=XSD_STRING, lang=None, ts=OLD):
 
 
 CHANGED = [
-    row(ENTITY_1, PRED, "mydata1", lang="en"),
-    row(ENTITY_1, PRED, "mydata2"),
-    row(ENTITY_2, PRED, "12", INTEGER),
-    row(ENTITY_2, PRED_1, "12"),
-    row(ENTITY_1, PRED, "12", ts=NOW),
+    row(ENTITY_1, PRED, "alpha", lang="en"),
+    row(ENTITY_1, PRED, "beta"),
+    row(ENTITY_2, PRED, "40", INTEGER),
+    row(ENTITY_2, PRED_1, "40"),
+    row(ENTITY_1, PRED, "40", ts=NOW),
 ]
 
 
@@ -35,13 +35,25 @@ def ms(time):
     return int(time.timestamp()) * 1000
 
 
+WHOLE = 1_000_000
+
+
+def nested(triples, part_chars=WHOLE, broadcast_keys=skew.BROADCAST_KEYS):
+    values = documents.document_values(triples)
+    return documents.nest_documents(values, part_chars, broadcast_keys)
+
+
 def as_map(docs):
+    if "field" in docs.columns:
+        docs = documents.nest_documents(docs, WHOLE)
     return {(r["id"], r["part"]): (r["properties"], r["text"]) for r in docs.collect()}
 
 
 def whole(docs):
     """Documents with their parts joined in order."""
     joined = {}
+    if "field" in docs.columns:
+        docs = documents.nest_documents(docs, WHOLE)
     for r in sorted(docs.collect(), key=lambda r: (r["id"], r["part"])):
         properties, text = joined.setdefault(r["id"], ({}, []))
         for field, values in r["properties"].items():
@@ -58,12 +70,12 @@ def table(make_triples, tmp_path):
 
 
 def test_all_documents(make_triples):
-    first = (ENTITY_1, PRED, "mydata1", XSD_STRING, "en")
+    first = (ENTITY_1, PRED, "alpha", XSD_STRING, "en")
     triples = filter_property(make_triples([first, *FIVE[1:]]), [PRED])
     field = f"p_{PRED}"
-    assert as_map(documents.assemble_documents(triples)) == {
-        (ENTITY_1, 0): ({field: ["12", "mydata1", "mydata2"]}, ["12", "mydata1", "mydata2"]),
-        (ENTITY_2, 0): ({field: ["12"]}, ["12"]),
+    assert as_map(nested(triples)) == {
+        (ENTITY_1, 0): ({field: ["40", "alpha", "beta"]}, ["40", "alpha", "beta"]),
+        (ENTITY_2, 0): ({field: ["40"]}, ["40"]),
     }
 
 
@@ -78,13 +90,15 @@ def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
         start=(NOW - timedelta(seconds=10)).isoformat(),
         end=NOW.isoformat() + "[Etc/UTC]",
     )
-    found = documents.document_json(sources.read_documents(spark, docs)).collect()
+    found = documents.document_json(
+        documents.nest_documents(sources.read_documents(spark, docs), WHOLE)
+    ).collect()
     assert len(found) == 1
     assert json.loads(found[0]["json"]) == {
         "context": "null",
-        "text": ["12", "mydata1", "mydata2"],
+        "text": ["40", "alpha", "beta"],
         "uri": ENTITY_1,
-        f"p_{PRED}": ["12", "mydata1", "mydata2"],
+        f"p_{PRED}": ["40", "alpha", "beta"],
     }
     assert sources.read_checkpoint(spark, checkpoint) == ms(NOW)
     assert not glob(spark, f"{shared_dir(spark)}/job-*")
@@ -101,8 +115,8 @@ def test_next_run_starts_at_the_stored_end(spark, table, make_triples, tmp_path)
             spark, table, [PRED], docs, checkpoint, end=(later + timedelta(1)).isoformat()
         )
     found = whole(sources.read_documents(spark, docs))
-    assert found[ENTITY_2][1] == ["12", "new"]
-    assert found[ENTITY_1][1] == ["12", "mydata1", "mydata2"]
+    assert found[ENTITY_2][1] == ["40", "new"]
+    assert found[ENTITY_1][1] == ["40", "alpha", "beta"]
     sinks.compact_documents(spark, docs)
     assert whole(sources.read_documents(spark, docs)) == found
     assert len(sources.run_paths(spark, docs)) == 1
@@ -153,7 +167,7 @@ def test_several_properties_and_value_kinds(make_triples):
         row("u:only-iris", "u:a", "u:iri", ANYURI),
         row("u:s", "u:a", "x", INTEGER),
     ]
-    assert as_map(documents.assemble_documents(make_triples(rows))) == {
+    assert as_map(nested(make_triples(rows))) == {
         ("u:s", 0): ({"p_u:a": ["x", "x"], "p_u:b": ["y", "z"]}, ["x", "x", "y", "z"]),
         ("u:only-iris", 0): ({}, []),
     }
@@ -169,10 +183,11 @@ def skewed(make_triples):
 
 @pytest.mark.parametrize("broadcast_keys", [skew.BROADCAST_KEYS, 0])
 def test_large_subject_comes_in_parts(skewed, broadcast_keys):
-    expected = whole(documents.assemble_documents(skewed))
-    docs = documents.assemble_documents(skewed, 2_000, broadcast_keys)
+    expected = whole(nested(skewed))
+    docs = nested(skewed, 2_000, broadcast_keys)
     assert whole(docs) == expected
     parts = docs.filter("id = 'u:hot'").orderBy("part").collect()
+    assert {r["n_parts"] for r in parts} == {len(parts)}
     assert [r["part"] for r in parts] == list(range(len(parts)))
     # 1500 rows of 6 + 64 characters in parts of 2000
     assert len(parts) == 53
@@ -215,10 +230,10 @@ def test_key_join_checks_its_kind(skewed):
 
 
 def test_upsert(make_triples):
-    old = documents.assemble_documents(
+    old = documents.document_values(
         make_triples([row("u:a", "u:p", "1"), row("u:b", "u:p", "2")])
     )
-    new = documents.assemble_documents(
+    new = documents.document_values(
         make_triples([row("u:b", "u:q", "3"), row("u:c", "u:p", "4")])
     )
     merged = {key[0]: text for key, (_, text) in as_map(documents.upsert_documents(old, new)).items()}
@@ -233,7 +248,7 @@ def test_later_runs_win_in_the_table(spark, make_triples, tmp_path):
         [row("u:a", "u:p", "3"), row("u:c", "u:p", "3")],
     ]
     for rows in runs:
-        docs = documents.assemble_documents(make_triples(rows), part_chars=1_000)
+        docs = documents.document_values(make_triples(rows))
         sinks.write_documents(docs, table)
     found = {key: text for key, (_, text) in as_map(sources.read_documents(spark, table)).items()}
     assert found == {("u:a", 0): ["3"], ("u:b", 0): ["2"], ("u:c", 0): ["3"]}
@@ -242,13 +257,14 @@ def test_later_runs_win_in_the_table(spark, make_triples, tmp_path):
 def test_json_export(spark, make_triples, tmp_path):
     rows = [row("u:a", "u:p", 'q"uo\nte'), row("u:i", "u:p", "u:x", ANYURI)]
     rows += [row("u:big", "u:p", f"{i}") for i in range(3)]
-    docs = documents.assemble_documents(make_triples(rows), part_chars=100)
+    docs = nested(make_triples(rows), 100)
     sinks.export_documents(docs, f"{tmp_path}/json")
     lines = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/json").collect()]
     by_uri = {(d["uri"], d.get("part", 0)): d for d in lines}
     assert by_uri["u:a", 0]["text"] == ['q"uo\nte'] == by_uri["u:a", 0]["p_u:p"]
     assert by_uri["u:i", 0] == {"context": "null", "text": [], "uri": "u:i"}
     assert [by_uri["u:big", i]["text"] for i in range(2)] == [["0", "1"], ["2"]]
+    assert [by_uri["u:big", i]["n_parts"] for i in range(2)] == [2, 2]
 
 
 def test_a_load_that_ends_after_the_refresh_is_seen(spark, table, make_triples, tmp_path):

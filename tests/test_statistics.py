@@ -28,7 +28,7 @@ def test_all_counts(five):
 
 
 def test_counts_equal_aggregated_rows(make_triples):
-    triples = make_triples([*FIVE, ("http://a/b", PRED, ""), ("u:x", PRED, "12", ANYURI)])
+    triples = make_triples([*FIVE, ("http://a/b", PRED, ""), ("u:x", PRED, "40", ANYURI)])
     rows = prospects.explode_prospects(triples)
     assert rows.count() == 7 * triples.count()
     assert rows.agg(F.max("count")).first()[0] == 1
@@ -74,17 +74,17 @@ def test_cardinality(spark, five, broadcast_keys):
     requests = ask(
         spark,
         ("predicate", [PRED], ANYURI),
-        ("object", ["mydata1"], XSD_STRING),
+        ("object", ["alpha"], XSD_STRING),
         ("object", ["mydata3"], XSD_STRING),
-        ("predicateobject", [PRED, "12"], XSD_STRING),
+        ("predicateobject", [PRED, "40"], XSD_STRING),
         ("predicate", [PRED], ANYURI),
     )
     found = prospects.cardinality(counts, requests, broadcast_keys=broadcast_keys)
     assert {r["data"]: r["cardinality"] for r in found.collect()} == {
         PRED: 4.0,
-        "mydata1": 1.0,
+        "alpha": 1.0,
         "mydata3": -1.0,
-        f"{PRED}\0" + "12": 2.0,
+        f"{PRED}\0" + "40": 2.0,
     }
 
 
@@ -101,7 +101,7 @@ def test_lookup_respects_visibility(spark, make_triples):
 def test_table_rows(five):
     rows = prospects.prospect_to_row(prospects.count_by_type(five, "entity")).collect()
     assert [(r["row_key"], r["family"], r["qualifier"], r["value"]) for r in rows] == [
-        ("entity\0urn:gem:etype", "count", ANYURI, "5")
+        ("entity\0urn:lib:book", "count", ANYURI, "5")
     ]
 
 

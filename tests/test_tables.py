@@ -110,7 +110,7 @@ def test_compact_index(spark, make_triples, tmp_path):
 def test_routed(spark, make_triples, tmp_path):
     sinks.write_routed(make_triples(FIVE), f"{tmp_path}/r", "predicate")
     back = spark.read.parquet(f"{tmp_path}/r").groupBy("predicate").count()
-    assert {tuple(r) for r in back.collect()} == {("urn:gem#pred", 4), ("urn:gem#pred1", 1)}
+    assert {tuple(r) for r in back.collect()} == {("urn:lib#note", 4), ("urn:lib#shelf", 1)}
 
 
 def test_dedup_keeps_latest(spark, make_triples):

@@ -12,7 +12,7 @@ def value(spark, text, column):
 @pytest.mark.parametrize(
     ("iri", "namespace"),
     [
-        ("urn:gem:etype#1234", "urn:gem:etype"),
+        ("urn:lib:book#7", "urn:lib:book"),
         ("http://a/b/c", "http://a/b"),
         ("urn:a", "urn"),
         ("http://a/b#c#d", "http://a/b"),
