@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
-from spark_triples.manifest import listing_name, names_of, read_runs, read_state
+from spark_triples.manifest import listing, names_of, read_runs, read_state
 from spark_triples.operators.documents import document_values
 from spark_triples.operators.prospects import (
     aggregate_prospects,
@@ -25,6 +25,7 @@ from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
     commit_checkpoint,
     ensure_tables,
+    ranges_for,
     write_documents,
     write_indexes,
     write_prospect_files,
@@ -61,7 +62,8 @@ def bulk_load(
     of this run lie in subject order. A run that is not named is named by the files: loading the
     same files again changes nothing, other files are added."""
     ensure_tables(spark, prefix)
-    run = run or listing_name(spark, split_sources(source))
+    name, size = listing(spark, split_sources(source))
+    run, partitions = run or name, partitions or ranges_for(spark, size)
     triples = dedup_triples(read_sources(spark, source, parsers, on_bad_line))
     return write_indexes(triples, prefix, run, mode, partitions)
 
@@ -81,7 +83,7 @@ def bulk_load_with_statistics(
     """The same load; the counts of the loaded triples go to the count table as well.
     They are counted from the written copy, so the files are parsed once. A job that is
     repeated after it had failed between the two completes the second."""
-    run = run or listing_name(spark, split_sources(source))
+    run = run or listing(spark, split_sources(source))[0]
     path = bulk_load(spark, source, prefix, run, mode, parsers, partitions, on_bad_line)
     held = names_of(read_runs(spark, prefix))[run]
     if held.name == run:

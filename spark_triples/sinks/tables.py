@@ -97,6 +97,22 @@ def write_sorted(
     return write_table(in_key_order(df, keys, partitions), table, run, mode)
 
 
+# Bytes of input that one range of a sorted copy should get.
+RANGE_BYTES = 256 << 20
+
+
+def ranges_for(spark: SparkSession, size: int) -> int | None:
+    """How many ranges so many bytes ask for; None where the session's shuffle partitions are
+    enough, which adaptive execution then merges where they are small."""
+    wanted = -(-size // RANGE_BYTES)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def bytes_of(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files in some folders, from their listing."""
+    return sum(e.size for path in paths for e in glob(spark, f"{path}/*"))
+
+
 def in_key_order(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
     """``df`` in ranges of its keys, sorted. With the whole row key in ``keys`` the range
     borders cut through even the most frequent leading key."""
@@ -133,12 +149,13 @@ def write_indexes(
 def _write_copies(
     triples: DataFrame, prefix: str, folder: str, partitions: int | None
 ) -> None:
-    source = triples.select(*TRIPLE.names)
+    spark, source = triples.sparkSession, triples.select(*TRIPLE.names)
     for name, order in LAYOUTS.items():
         path = f"{prefix}{name}/{folder}"
         in_key_order(source, [*order, *KEY_TAIL], partitions).write.parquet(path)
         if name == "spo":
-            source = read_run(triples.sparkSession, path, TRIPLE)
+            source = read_run(spark, path, TRIPLE)
+            partitions = partitions or ranges_for(spark, bytes_of(spark, [path]))
 
 
 def write_routed(df: DataFrame, path: str, key: str) -> None:
@@ -205,7 +222,9 @@ def compact_index(spark: SparkSession, prefix: str, partitions: int | None = Non
     """Rewrite the index tables with their runs merged."""
     runs = manifest.read_runs(spark, prefix)
     folder = _merged_folder(runs)
-    triples = read_run(spark, [f"{prefix}spo/{r.folder}" for r in runs], TRIPLE)
+    paths = [f"{prefix}spo/{r.folder}" for r in runs]
+    triples = read_run(spark, paths, TRIPLE)
+    partitions = partitions or ranges_for(spark, bytes_of(spark, paths))
     _write_copies(dedup_triples(triples), prefix, folder, partitions)
     _merge_runs(spark, prefix, runs, folder)
 
@@ -216,6 +235,7 @@ def compact_prospects(spark: SparkSession, table: str, partitions: int | None =
     folder = _merged_folder(runs)
     paths = [f"{table}/{r.folder}" for r in runs]
     merged = aggregate_prospects(read_run(spark, paths, PROSPECT))
+    partitions = partitions or ranges_for(spark, bytes_of(spark, paths))
     rows = in_key_order(merged.select(*PROSPECT.names), _PROSPECT_ORDER, partitions)
     rows.write.parquet(f"{table}/{folder}")
     _merge_runs(spark, f"{table}/", runs, folder)
