@@ -40,28 +40,18 @@ _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 #: Characters before a value in which its context is sought.
 BEFORE = 80
+#: Matches of a text whose places are summed in one go.
+BLOCK = 256
 #: Rounds; distinct seeds a pattern needs; scores from which patterns and values count.
 ROUNDS, SEEDS, PATTERN, VALUE = 3, 3, 0.8, 0.8
 _FOUND = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
 
 
-def _located(text: Column, form: str, matches: Column) -> Column:
-    """The matches with their places and with the end of what precedes each."""
-    gaps = F.slice(F.split(text, form, -1), 1, F.size(matches))
-    steps = F.zip_with(
-        matches,
-        gaps,
-        lambda m, g: F.struct(
-            F.length(g).cast("bigint").alias("gap"),
-            F.length(m).cast("bigint").alias("size"),
-            m.alias("value"),
-            F.right(g, F.lit(BEFORE)).alias("before"),
-        ),
-    )
-    none = F.array().cast(_FOUND)
-    placed = F.aggregate(
+def _placed(steps: Column) -> Column:
+    """(at, found): the length of some gaps and matches, and the places of the matches in it."""
+    return F.aggregate(
         steps,
-        F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")),
+        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_FOUND).alias("found")),
         lambda done, s: F.struct(
             (done["at"] + s["gap"] + s["size"]).alias("at"),
             F.concat(
@@ -76,7 +66,53 @@ def _located(text: Column, form: str, matches: Column) -> Column:
                 ),
             ).alias("found"),
         ),
-        lambda done: done["found"],
+    )
+
+
+def _located(text: Column, form: str, matches: Column) -> Column:
+    """The matches with their places and with the end of what precedes each."""
+    gaps = F.slice(F.split(text, form, -1), 1, F.size(matches))
+    steps = F.zip_with(
+        matches,
+        gaps,
+        lambda m, g: F.struct(
+            F.length(g).cast("bigint").alias("gap"),
+            F.length(m).cast("bigint").alias("size"),
+            m.alias("value"),
+            F.right(g, F.lit(BEFORE)).alias("before"),
+        ),
+    )
+    none = F.array().cast(_FOUND)
+    # Places are summed within blocks and then over blocks, so that a text with very many
+    # matches costs little more than its length.
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")),
+        lambda k: F.slice(steps, k * BLOCK + 1, F.lit(BLOCK)),
+    )
+    inside = F.transform(blocks, _placed)
+    shifted = F.aggregate(
+        inside,
+        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts")),
+        lambda done, block: F.struct(
+            (done["at"] + block["at"]).alias("at"),
+            F.concat(done["starts"], F.array(done["at"])).alias("starts"),
+        ),
+        lambda done: done["starts"],
+    )
+    placed = F.flatten(
+        F.zip_with(
+            inside,
+            shifted,
+            lambda block, at: F.transform(
+                block["found"],
+                lambda m: F.struct(
+                    (m["start"] + at).alias("start"),
+                    (m["end"] + at).alias("end"),
+                    m["value"].alias("value"),
+                    m["before"].alias("before"),
+                ),
+            ),
+        )
     )
     return F.when(F.size(matches) > 0, placed).otherwise(none)
 
