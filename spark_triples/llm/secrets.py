@@ -41,6 +41,7 @@ _SENSITIVE = re.compile(
 )
 NEAR = 40
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+_SHORTEST = 16
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,31}(?![A-Za-z0-9_])")
 #: Characters around a candidate that prime the compressor.
 AROUND = 400
@@ -64,9 +65,9 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     at, reach = 0, 0
     for word in _SENSITIVE.finditer(text):
         start = max(word.end(), reach)
-        while m := _CANDIDATE.search(text, start, len(text)):
-            if m.start() > word.end() + NEAR:
-                break
+        # looked for up to where it must have begun, then taken to its end
+        while near := _CANDIDATE.search(text, start, word.end() + NEAR + _SHORTEST):
+            m = _CANDIDATE.match(text, near.start())
             start = reach = m.end()
             while at < len(base) and base[at][2] <= m.start():
                 at += 1
