@@ -1,0 +1,94 @@
+"""Main text: pages with known articles, wrappers, odd markup."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from spark_triples.llm import html_text as h
+from tests.llm.helpers import words
+
+PAGES = "page_id long, url string, html string, extra int"
+
+
+def pages(spark, found):
+    rows = [(i, url, page, 1) for i, (url, page) in enumerate(found)]
+    return spark.createDataFrame(rows, PAGES)
+
+
+def texts(frame):
+    return {r["page_id"]: r["text"] for r in h.extract(frame).collect()}
+
+
+ROUND = """<!DOCTYPE html><html><head><title>T &amp; t</title><script>if (a<b) "</p>"</script></head><body>
+<header class="masthead"><a href="/">Site</a></header><nav><ul><li>One<li>Two</ul></nav>
+<div class="cookie-notice">We use cookies</div><div id="sidebar"><p>Side</p></div>{body}
+<section class="comments"><article class="comment"><p>First!</p></article></section>
+<form><p>Mail <input></p></form><footer><p>&copy; all</p></footer></body></html>"""
+
+
+def test_articles_of_many_layouts(spark):
+    rng = random.Random(9)
+    layouts = {
+        "a.example.com": "<article><h1>{0}</h1><p>{1}<div class=\"ad\">Buy</div><p>{2}</article>",
+        "b.example.com": '<main><div class="inner"><h2>{0}</h2><p>{1}</p><ul><li>{2}</li></ul></div></main>',
+        "c.example.com": '<div class="post-content"><h1>{0}</h1><p>{1}</p><p>{2}</p></div>',
+        "d.example.com": "<div><p>{0}</p><p>{1}</p><p>{2}</p></div>",
+    }
+    made, expected = [], []
+    for k in range(80):
+        host = rng.choice(list(layouts))
+        blocks = [" ".join(words(rng, 12)) for _ in range(3)]
+        made.append((f"https://{host.upper()}/x/{k}", ROUND.replace("{body}", layouts[host].format(*blocks))))
+        expected.append("\n".join(blocks))
+    assert texts(pages(spark, made)) == dict(enumerate(expected))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>a&nbsp;&lt;b&gt;  c\n d<br>e</p>x <b>y</b>z</article>", "a <b> c d e\nx yz"),
+        ("<article><p>one<p>two <i>three</article> after", "one\ntwo three"),
+        ("<article>a<!-- <p>no</p> -->b<style>p{}</style>c</article>", "abc"),
+        ("<article><p title='a > b'>quoted</p></stray></article>", "quoted"),
+        ("<article><p>cut off <b>here", "cut off here"),
+        ("no markup at all", "no markup at all"),
+        ("a < b & c", "a < b & c"),
+        ("<nav>only a menu</nav>", ""),
+        ("<article><nav>x</nav><header><h1>Title</h1></header><p>y</p><footer>z</footer></article>", "Title\ny"),
+        ("", ""),
+        ("<", "<"),
+        ("<script>never closed <p>x", ""),
+        ("<article>&#233;&#x1F600;&amp</article>", "é😀&"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
+    ],
+)
+def test_page_alone(page, text):
+    assert h.text_of(page, None) == text
+
+
+def test_odd_tables(spark):
+    long_page = "<article>" + "<p>word</p>" * 30_000 + "</article>"
+    found = [(None, "<p>x</p>"), ("odd", None), ("http://a.b", ""), ("http://a.b", long_page)] + [("http://a.b", "<p>same</p>")] * 3
+    frame = pages(spark, found).withColumns({c: F.lit(1) for c in ("host", "region", "n", "kind", "text")})
+    got = texts(frame)
+    assert got[0] == "x" and got[1] == got[2] == ""
+    assert got[3] == "\n".join(["word"] * 30_000)
+    assert [got[i] for i in (4, 5, 6)] == ["same"] * 3
+    assert h.extract(pages(spark, [])).count() == 0
+
+
+def test_wrapper_is_a_union_free_expression():
+    skeletons = []
+    for body in ("<h1>t</h1><p>a</p>", "<p>a</p><p>b</p>", "<h1>t</h1><p>a</p><ul><li>x</li><li>y</li></ul>"):
+        skeletons.append(h.fold(h.read_page(f"<article>{body}</article>")[0]).written())
+    assert h.wrapper(skeletons) == "(article(h1(#)? p(#)+ ul(li(#)+)?))"
+    parts = [h.wrapper(skeletons[:1]), h.wrapper(skeletons[1:])]
+    assert h.wrapper(parts) == h.wrapper(skeletons)
+    assert h.parse(h.wrapper(skeletons)).written() == h.wrapper(skeletons)
+    assert h.wrapper([]) == ""
+
+
+def test_sequences_fold():
+    tree, _ = h.read_page("<dl>" + "<dt>a</dt><dd>b</dd>" * 5 + "</dl>")
+    assert h.fold(tree).written() == "(dl(dt(#)+ dd(#)+))"

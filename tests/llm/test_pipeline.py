@@ -1,0 +1,92 @@
+"""The pipeline's stages, each against a plain version on its own input, and the queries."""
+
+import duckdb
+import pandas as pd
+import pytest
+
+import corpus_pipeline
+from spark_triples.llm import queries
+from spark_triples.llm.common import core_hashes
+from tests.llm import test_decontamination, test_near_dedup, test_quality, test_secrets
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_every_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        kept.append({r["doc_id"]: r for r in docs.collect()})
+        assert k == 4 or docs.columns == COLUMNS
+    start = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+
+    good = set()
+    for r in start:
+        n, chars, symbols, dup, repeated, lines = test_quality.plain(r["text"])
+        base = n < 50 or 100 * repeated > 50 * n
+        soft = 100 * symbols > 8 * chars or 100 * dup > 30 * lines
+        if not base and not soft:
+            good.add(r["doc_id"])
+        assert not (base and r["doc_id"] in kept[0])
+    assert good <= set(kept[0])
+
+    pairs = sorted((i, r["text"]) for i, r in kept[0].items())
+    assert set(kept[1]) == {c for _, _, c in test_near_dedup.all_pairs(pairs, 80)}
+
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    leaked = {i for i, r in kept[1].items() if any_item(r["text"], items)}
+    assert set(kept[2]) == set(kept[1]) - leaked
+
+    assert set(kept[3]) == set(kept[2])
+    for i, r in kept[2].items():
+        if not test_secrets.plain(r["text"]) and "key" not in r["text"]:
+            assert kept[3][i] == r
+        else:
+            assert not test_secrets.plain(kept[3][i]["text"])
+            assert kept[3][i]["n_chars"] == len(kept[3][i]["text"])
+
+    assert set(kept[4]) == set(kept[3])
+
+
+def any_item(text, items):
+    """Whether an item may leak: only items that share a run of words are laid everywhere."""
+    h = set(core_hashes(text).tolist())
+    likely = [(i, t) for i, t in items if len(h & set(core_hashes(t).tolist())) >= 8]
+    return bool(test_decontamination.everywhere(text, likely))
+
+
+def test_run_on_empty_and_odd_tables(spark, tmp_path):
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, " ".join(f"w{i}" for i in range(80)), None, None, None)]
+    for name, rows in (("empty", []), ("odd", [*odd, odd[2]])):
+        folder = f"{tmp_path}/{name}"
+        benchmark.write.parquet(f"{folder}/benchmark.parquet")
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+        found = corpus_pipeline.run(spark, folder).collect()
+        assert {r["doc_id"] for r in found} == ({2} if rows else set())
+
+
+@pytest.mark.parametrize("name", list(queries.QUERIES))
+def test_query(spark, name):
+    found = queries.QUERIES[name](spark, SF_DIR)
+    if name not in queries.ORACLES:
+        tables = {"op4_wrapper_text": "pages"}
+        count = spark.read.parquet(f"{SF_DIR}/{tables.get(name, 'documents')}.parquet").count()
+        assert found.count() == count if "packing" not in name else found.select("doc_id").distinct().count() == count
+        return
+    duck = duckdb.connect()
+    for table in ("pages", "conversations"):
+        duck.execute(f"create view {table} as from '{SF_DIR}/{table}.parquet'")
+    expected = duck.execute(queries.ORACLES[name]).df()
+    columns = sorted(expected.columns)
+    assert sorted(found.columns) == columns
+
+    def as_rows(frame):
+        return sorted(tuple("" if pd.isna(v) else str(v) for v in r) for r in frame[columns].astype(object).itertuples(index=False))
+
+    got = pd.DataFrame([r.asDict() for r in found.collect()], columns=found.columns).astype(object)
+    assert [tuple(x.removesuffix(".0") for x in r) for r in as_rows(got)] == [tuple(x.removesuffix(".0") for x in r) for r in as_rows(expected)]
