@@ -234,7 +234,9 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         roots = components(links)
 
     left = _reachable(_unsettled(prefixes, roots), sets, percent)
-    columns = ("cls", "n", "root", "shared")
+    posts = left.groupBy("cls").agg(F.collect_set("post").alias("posts"))  # at most K
+    left = stage(left.join(posts, "cls"), "candidates")
+    columns = ("cls", "n", "root", "shared", "posts")
     other = left.select("post", *[F.col(c).alias(f"{c}_b") for c in columns])
     most = F.least("shared", "shared_b")
     pairs = (
@@ -243,9 +245,10 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
             (F.col("root") < F.col("root_b"))
             & _like_sizes("n", "n_b", percent)
             & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+            # a pair is made at the least of its common posts only
+            & (F.array_min(F.array_intersect("posts", "posts_b")) == F.col("post"))
         )
         .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
-        .distinct()
     )
     links = links.unionByName(_confirmed(pairs, wanted, sets, least, percent))
     roots = components(links)
