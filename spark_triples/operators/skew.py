@@ -12,6 +12,7 @@ BROADCAST_KEYS = 500_000
 BROADCAST_BYTES = 128 << 20
 PUSHED_KEYS = 1_000
 PUSHED_BYTES = 1 << 20
+SALTS = 32
 # Parquet readers test up to ten listed values against statistics, one by one.
 _PUSHED_AT_ONCE = 10
 
@@ -81,8 +82,13 @@ def key_join(
     rows = df.groupBy(F.col(on).alias("_heavy")).agg(F.count("*").alias("_rows"))
     heavy = stage(rows.filter(F.col("_rows") > least).select("_heavy"), "heavy-keys")
     if not can_broadcast(size_of(heavy), max(broadcast_keys, 1)):
-        # keys of an extreme length: leave the split to the adaptive skew join
-        return df.join(keys, on_match, how)
+        # Keys of an extreme length. Every key is sent to each salt and a row to one, so the
+        # rows of a heavy key meet it in SALTS places.
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+        salted = keys.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = df.withColumn("_salt", salt)
+        on_salt = on_match & (F.col("_salt") == F.col("_salt_of"))
+        return rows.join(salted, on_salt, how).drop("_salt")
     heavy = F.broadcast(heavy)
     is_heavy = F.col(on) == F.col("_heavy")
     heavy_keys = keys.join(heavy, F.col("_key") == F.col("_heavy"), "left_semi")

@@ -224,6 +224,19 @@ def test_key_join(spark, skewed, how, broadcast_keys):
     assert found.columns == skewed.columns
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_key_join_salts_very_long_keys(spark, skewed, how, monkeypatch):
+    wanted = ["u:hot", "u:s1", "u:s2"]
+    keys = spark.createDataFrame([(w,) for w in wanted], "subject string")
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1)
+    found = skew.key_join(skewed, keys, "subject", how)
+    expected = sorted(
+        r["object"] for r in skewed.collect() if (r["subject"] in wanted) == (how == "left_semi")
+    )
+    assert sorted(r["object"] for r in found.collect()) == expected
+    assert found.columns == skewed.columns
+
+
 def test_key_join_checks_its_kind(skewed):
     with pytest.raises(ValueError, match="left_semi or left_anti"):
         skew.key_join(skewed, skewed.select("subject"), "subject", "inner")
