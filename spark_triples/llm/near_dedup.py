@@ -6,8 +6,9 @@
    share one of the K - T + 1 rarest posts of either, so only these prefixes are joined, and
    classes with fewer than T shared posts are skipped.
 3. First every class meets the smallest class of each of its posts (a star, not all pairs),
-   then the largest. Pairs whose signatures agree in T coordinates are confirmed on their
-   full sets, and linked classes become components.
+   then, where more than one component is left, one drawn for each post, twice. Pairs whose
+   signatures agree in T coordinates are confirmed on their full sets, and linked classes
+   become components.
 4. Posts that hold one component only are settled: a large group of copies has collapsed by
    then. In the others, shingles that no other component has bound what a class can share:
    a class that could not reach the limit with any class of the post leaves it. What is left
@@ -167,17 +168,23 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in ``least`` coordinates and whose sets are alike."""
+def _agreement(a: str, b: str) -> Column:
+    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
+
+
+def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``least`` coordinates."""
 
     def side(name: str) -> DataFrame:
         return classes.select(F.col("cls").alias(name), F.col("signature").alias(f"s{name}"))
 
-    def agreeing(rows: dict) -> dict:
-        a = np.array(rows["sa"], np.int32).reshape(-1, K)
-        b = np.array(rows["sb"], np.int32).reshape(-1, K)
-        good = np.flatnonzero((a == b).sum(axis=1) >= least).tolist()
-        return {c: [rows[c][i] for i in good] for c in ("a", "b")}
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return stage(both.filter(_agreement("sa", "sb") >= least).select("a", "b"), "near-pairs")
+
+
+def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are alike."""
 
     def alike(rows: dict) -> dict:
         out: dict[str, list] = {"a": [], "b": []}
@@ -189,8 +196,6 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, least: int
                 out["b"].append(b)
         return out
 
-    near = map_batches(pairs.join(side("a"), "a").join(side("b"), "b"), agreeing, "a long, b long")
-    near = stage(near, "near-pairs")
     full = near
     for name in ("b", "a"):
         full = full.join(
@@ -218,10 +223,10 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     sets = stage(_sets(docs, wanted, words), "sets")
 
     links, roots = None, None
-    for center in (F.min, F.max):
+    for draw in (F.lit(0), F.xxhash64("cls", "post"), F.xxhash64("post", "cls")):
         open_posts = _unsettled(prefixes, roots)
         middle = open_posts.groupBy("post").agg(
-            center(F.struct("cls", "n", "root")).alias("middle")
+            F.min(F.struct(draw.alias("draw"), "cls", "n", "root")).alias("middle")
         )
         stars = open_posts.join(middle, "post").filter(
             (F.col("root") != F.col("middle.root")) & _like_sizes("n", "middle.n", percent)
@@ -229,14 +234,15 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         pairs = stars.select(
             F.least("cls", "middle.cls").alias("a"), F.greatest("cls", "middle.cls").alias("b")
         ).distinct()
-        found = _confirmed(pairs, wanted, sets, least, percent)
+        found = _confirmed(_agreeing(pairs, wanted, least), sets, percent)
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 
     left = _reachable(_unsettled(prefixes, roots), sets, percent)
     posts = left.groupBy("cls").agg(F.collect_set("post").alias("posts"))  # at most K
-    left = stage(left.join(posts, "cls"), "candidates")
-    columns = ("cls", "n", "root", "shared", "posts")
+    signed_posts = left.join(posts, "cls").join(wanted.select("cls", "signature"), "cls")
+    left = stage(signed_posts, "candidates")
+    columns = ("cls", "n", "root", "shared", "posts", "signature")
     other = left.select("post", *[F.col(c).alias(f"{c}_b") for c in columns])
     most = F.least("shared", "shared_b")
     pairs = (
@@ -247,10 +253,11 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
             & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
             # a pair is made at the least of its common posts only
             & (F.array_min(F.array_intersect("posts", "posts_b")) == F.col("post"))
+            & (_agreement("signature", "signature_b") >= least)
         )
         .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
     )
-    links = links.unionByName(_confirmed(pairs, wanted, sets, least, percent))
+    links = links.unionByName(_confirmed(stage(pairs, "near-pairs"), sets, percent))
     roots = components(links)
 
     member = signed.join(classes, ["s1", "s2"], "left").join(
