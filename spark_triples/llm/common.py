@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 _TO_SPACE = str.maketrans({c: " " for c in SPACES})
 #: Words whose hash a worker remembers; beyond that it starts anew (results don't change).
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Characters of text that are worked on at once, besides the text that passes them.
 SLICE_CHARS = 4_000_000
 
@@ -90,21 +90,31 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, step)
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered per worker."""
+_memories: dict[str, dict] = {}
+_in_use: list[str] = [""]
+
+
+def memory(name: str, kind: type[dict] = dict) -> dict:
+    """What a Python worker remembers under a name. Workers live on from stage to stage, so
+    taking one memory empties the others: a worker holds one at a time."""
+    if _in_use[0] != name:
+        for other, held in _memories.items():
+            if other != name:
+                held.clear()
+        _in_use[0] = name
+    return _memories.setdefault(name, kind())
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        new = set(words).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set(words)
-        for w in new:
-            known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words, remembered per worker."""
+    known = memory("words")
+    new = set(words).difference(known)
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+        new = set(words)
+    for w in new:
+        known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”«»„…¡¿"
@@ -122,13 +132,10 @@ class _Cores(dict):
         return value
 
 
-_cores = _Cores()
-
-
 def core_hashes(text: str) -> np.ndarray:
     """Hashes of a text's words without case and outer punctuation, where anything is left."""
     words = text.split()
-    h = np.fromiter(map(_cores.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(memory("cores", _Cores).__getitem__, words), np.uint64, len(words))
     return h[h != 0]
 
 

@@ -36,13 +36,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_triples.llm.common import (
-    WordHashes,
     lower_ascii,
     map_batches,
     mix,
     odd_numbers,
     table,
     text_or_empty,
+    word_hashes,
     words_of,
 )
 from spark_triples.llm.components import components
@@ -52,7 +52,6 @@ WORDS, PERCENT = 5, 80
 K, MISS = 64, 1e-7
 _PLACES = odd_numbers(WORDS, 5)
 _COORDINATES = odd_numbers(K, 64)
-_hashes = WordHashes()
 
 
 def least_agreement(percent: int, k: int = K, miss: float = MISS) -> int:
@@ -71,7 +70,7 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     found = words_of(lower_ascii(text))
     if not found:
         return np.zeros(0, np.uint64)
-    h = _hashes(found)
+    h = word_hashes(found)
     n = len(h) - words + 1
     if n < 1:
         short = (h * _PLACES[: len(h)]).sum(dtype=np.uint64) + np.uint64(len(h))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spark_triples.llm.common import map_batches, table, text_or_empty
+from spark_triples.llm.common import map_batches, memory, table, text_or_empty
 from spark_triples.session import stage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,7 +41,7 @@ _EASY = re.compile("[\x21-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ſ]*").fullmatch
 _PIECES = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+"
 ).findall
-_REMEMBERED = 1_500_000
+_REMEMBERED = 1_200_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -65,6 +65,7 @@ class WordTokens:
         os.environ["RAYON_NUM_THREADS"] = "1"
         from tokenizers import Tokenizer
 
+        self.name = name
         self.model = Tokenizer.from_file(tokenizer_path(name))
         vocabulary = self.model.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
@@ -72,15 +73,19 @@ class WordTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
-
     def encode(self, text: str) -> bytes:
         found = self.model.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u2").tobytes()
 
+    def memory(self) -> dict[str, dict[str, bytes]]:
+        """Ids of words, and of the pieces that words are made of."""
+        held = memory(f"tokens of {self.name}")
+        if not held:
+            held.update(words={"": b""}, pieces={})
+        return held
+
     def learn(self, new: set[str]) -> None:
-        words, known, cut = self.words, self.pieces, []
+        words, known, cut = self.memory()["words"], self.memory()["pieces"], []
         for w in new:
             if _EASY(w) and "<|" not in w:
                 cut.append(w)
@@ -103,9 +108,9 @@ class WordTokens:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > _REMEMBERED:
-            self.words, self.pieces = {"": b""}, {}
-        words = self.words
+        if len(self.memory()["words"]) > _REMEMBERED:
+            self.memory().clear()
+        words = self.memory()["words"]
         self.learn({w for ws in cut for w in set(ws).difference(words)})
         return [b"".join([words[w] for w in ws]) for ws in cut]
 
