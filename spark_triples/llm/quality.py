@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 
 from spark_triples.llm.common import (
     SPACES,
-    WordHashes,
     mix,
     odd_numbers,
     ship,
     table,
     text_or_empty,
+    word_hashes,
     words_of,
 )
 from spark_triples.session import stage
@@ -43,7 +43,6 @@ HOST_LIMIT = 0.02
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SOFT = ("symbols", "lines")
-_hashes = WordHashes()
 _WINDOW = odd_numbers(3, 31)
 
 
@@ -55,7 +54,7 @@ def count(text: str) -> tuple[int, ...]:
     lines = [line for line in text.split("\n") if line.strip(SPACES)]
     repeated = 0
     if len(words) > 3:
-        h = _hashes(words)
+        h = word_hashes(words)
         windows = mix(h[:-2] * _WINDOW[0] + h[1:-1] * _WINDOW[1] + h[2:] * _WINDOW[2])
         _, which, often = np.unique(windows, return_inverse=True, return_counts=True)
         twice = often[which] > 1
@@ -75,7 +74,8 @@ def measure(docs: DataFrame) -> DataFrame:
     def counted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([count(t) for t in texts], columns=list(COUNTS))
 
-    return docs.withColumn("_quality", counted(text_or_empty()))
+    # so declared, the counts are made once, and not again for every filter that reads them
+    return docs.withColumn("_quality", counted.asNondeterministic()(text_or_empty()))
 
 
 def base_failed(q: str = "_quality") -> Column:
