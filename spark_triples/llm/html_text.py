@@ -8,29 +8,33 @@
    places with text become text slots. The outcome is a union-free expression of the host's
    pages, its wrapper; merging partial wrappers gives a wrapper again, so skeletons are
    counted before the shuffle, merged in salted parts and then per host.
-3. The wrapper's slots are weighed by their characters over all pages of the host. The slot
-   group with most of them, of those that articles stand in if there are any, is the host's
-   region for text; it is joined back to the pages, and the blocks within it are the
-   text. A page with no text in that region is its own wrapper.
+3. Every page is laid over its host's wrapper, which gives each block of text its slot. A slot
+   that has the same text on all pages of the host that have it, three different ones at
+   least, is part of the template; the others hold the pages' own text.
+4. The text is what stands below the common ancestor of the page's articles, in page order;
+   all of it but slots of the template outside articles. Without an article, and where the
+   articles hold less than half of the page's own text, that is the whole page. A page whose
+   slots are all of the template keeps them.
 
 What stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments, by tag, role, class or id, is never part of the text. ``<br>`` is white space.
 
 Cases: null and empty pages give an empty text; a null or odd url has the host ''; unclosed or
-stray tags end where the next block or the page does; repeated pages are each extracted;
-ties of weight go to the first name in order; an empty table gives an empty result; other
+stray tags end where the next block or the page does; repeated pages are each extracted and
+count once as pages of a host; an empty table gives an empty result; other
 columns are ignored. Pages are read whole whatever their length.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
 from collections import Counter
 from collections.abc import Iterable
+from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,16 +75,21 @@ _ARTICLE_NAMES = re.compile(
     r"(?:^|[-_ ])(?:main|article|content|post|entry|story|body-text)(?:$|[-_ ])", re.I
 )
 _LONGEST_GROUP = 3
+#: Different pages that must agree on a slot's text before it is one of the template.
+PAGES = 3
 SALTS = 32
 
 
 class Node:
-    """A block element: its name, its children, and whether text stands right in it."""
+    """A block element: its name, its children, whether text stands right in it, and which of
+    the page's blocks; in a wrapper, the number of its slot."""
 
-    __slots__ = ("children", "name", "optional", "repeated", "text")
+    __slots__ = ("children", "held", "name", "optional", "repeated", "slot", "text")
 
     def __init__(self, name: str, text: bool = False) -> None:
         self.name, self.text, self.children = name, text, []
+        self.held: list[int] = []
+        self.slot = 0
         self.optional = self.repeated = False
 
     def written(self) -> str:
@@ -102,8 +111,11 @@ def _left_out(name: str) -> bool:
     return tag in _LEFT_OUT or any(_LEFT_OUT_NAMES.search(w) for w in words.split(".") if w)
 
 
+@lru_cache(100_000)
 def _article(name: str) -> bool:
     tag, _, words = name.partition(".")
+    if tag in ("html", "body"):
+        return False
     return tag in _ARTICLE or any(_ARTICLE_NAMES.search(w) for w in words.split(".") if w)
 
 
@@ -122,6 +134,7 @@ def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
             if text:
                 blocks.append((tuple(path), text))
                 stack[-1][1].text = True
+                stack[-1][1].held.append(len(blocks) - 1)
 
     def close(depth: int) -> None:
         flush()
@@ -191,26 +204,41 @@ def _folded(children: list[Node]) -> list[Node]:
 def merge(a: Node, b: Node) -> Node:
     """Two trees of one name as one: the children are aligned by name."""
     out = Node(a.name, a.text or b.text)
+    out.held = a.held + b.held
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
-    x, y = a.children, b.children
+    aligned: list[Node] = []
+    for x, y in _aligned(a.children, b.children):
+        if x and y:
+            aligned.append(merge(x, y))
+        else:
+            node = x or y
+            node.optional = True
+            aligned.append(node)
+    out.children = _folded(aligned)
+    return out
+
+
+def _aligned(x: list[Node], y: list[Node]) -> list[tuple[Node | None, Node | None]]:
+    """The children of two nodes in order, side by side where their names agree."""
+    if [n.name for n in x] == [n.name for n in y]:
+        return list(zip(x, y, strict=True))
     common = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
             same = x[i].name == y[j].name
             common[i][j] = common[i + 1][j + 1] + 1 if same else max(common[i + 1][j], common[i][j + 1])
     i = j = 0
-    aligned: list[Node] = []
+    out: list[tuple[Node | None, Node | None]] = []
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and x[i].name == y[j].name:
-            aligned.append(merge(x[i], y[j]))
+            out.append((x[i], y[j]))
             i, j = i + 1, j + 1
+        elif j == len(y) or (i < len(x) and common[i + 1][j] >= common[i][j + 1]):
+            out.append((x[i], None))
+            i += 1
         else:
-            first = j == len(y) or (i < len(x) and common[i + 1][j] >= common[i][j + 1])
-            node = x[i] if first else y[j]
-            node.optional = True
-            aligned.append(node)
-            i, j = (i + 1, j) if first else (i, j + 1)
-    out.children = _folded(aligned)
+            out.append((None, y[j]))
+            j += 1
     return out
 
 
@@ -238,44 +266,101 @@ def wrapper(skeletons: Iterable[str]) -> str:
     return out.written() if out else ""
 
 
-def regions(path: tuple[str, ...]) -> tuple[str, ...] | None:
-    """The group of slots a block belongs to: the outermost article around it, or else the
-    element around it; None if it stands in a part that is left out."""
-    inside = False
-    for depth, name in enumerate(path):
-        if _left_out(name) and not (inside and name.partition(".")[0] == "header"):
-            return None
-        if not inside and _article(name):
-            inside, cut = True, depth + 1
-    return path[:cut] if inside else path[:-1]
-
-
-def weights(blocks: list[tuple[tuple[str, ...], str]]) -> Counter:
-    """Characters of text per group of slots."""
-    out: Counter = Counter()
-    for path, text in blocks:
-        region = regions(path)
-        if region is not None:
-            out[region] += len(text)
+@lru_cache(1000)
+def numbered(written: str) -> Node:
+    """The tree of a wrapper with its slots numbered in order."""
+    root = parse(written)
+    todo, number = [root], 0
+    while todo:
+        node = todo.pop()
+        node.slot, number = number, number + 1
+        todo += reversed(node.children)
+    return root
+
+
+def slots(page: Node, expression: Node) -> dict[int, int]:
+    """The slot of each of the page's blocks; ``page`` is folded."""
+    out: dict[int, int] = {}
+    todo = [(page, expression)]
+    while todo:
+        node, at = todo.pop()
+        out.update(dict.fromkeys(node.held, at.slot))
+        for x, y in _aligned(node.children, at.children):
+            # a group that the wrapper has folded further stands earlier in it
+            y = y or next((c for c in at.children if x and c.name == x.name), None)
+            if x and y:
+                todo.append((x, y))
     return out
 
 
-def best(found: dict[tuple[str, ...], int]) -> tuple[str, ...] | None:
-    """The heaviest group, of those of articles if there are any."""
-    if not found:
-        return None
-    return min(found, key=lambda r: (not any(map(_article, r)), -found[r], r))
+def content(root: Node, blocks: list[tuple[tuple[str, ...], str]]) -> tuple[set[int], list[tuple[list[Node], set[int]]]]:
+    """The blocks that are not left out, and the outermost articles: the elements from the page
+    down to each, and its blocks."""
+    order: list[Node] = [root]
+    for node in order:
+        order += node.children
+    size: dict[int, int] = {}
+    told: dict[int, int] = {}
+    for node in reversed(order):
+        tag = node.name.partition(".")[0]
+        if tag in _LEFT_OUT:
+            size[id(node)] = told[id(node)] = 0
+            continue
+        size[id(node)] = sum(len(blocks[k][1]) for k in node.held) + sum(size[id(c)] for c in node.children)
+        whole = _article(node.name) and not _left_out(node.name)
+        told[id(node)] = size[id(node)] if whole else sum(told[id(c)] for c in node.children)
+    shown: set[int] = set()
+    articles: list[tuple[list[Node], set[int]]] = []
+    todo: list[tuple[Node, list[Node], set[int] | None]] = [(root, [root], None)]
+    while todo:
+        node, path, inside = todo.pop()
+        tag = node.name.partition(".")[0]
+        if tag in _LEFT_OUT:
+            if inside is None or tag != "header":
+                continue
+        elif _left_out(node.name):
+            continue
+        if inside is None and _article(node.name):
+            inside = set()
+            articles.append((path, inside))
+        shown.update(node.held)
+        if inside is not None:
+            inside.update(node.held)
+        todo += [(c, path if inside is not None else [*path, c], inside) for c in node.children]
+    return shown, [a for a in articles if a[1]]
+
+
+def _below(node: Node) -> set[int]:
+    out: set[int] = set()
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        out.update(node.held)
+        todo += node.children
+    return out
+
 
+def text_of(page: str, expression: str | None, template: Iterable[int] = ()) -> str:
+    """The text of a page, given its host's wrapper and which slots are of the template."""
+    root, blocks = read_page(page)
+    shown, articles = content(root, blocks)
+    told = set().union(*(a[1] for a in articles))
+    region = shown
+    if articles:
+        shared = [n[0] for n in zip(*(a[0] for a in articles)) if all(x is n[0] for x in n)]
+        region = shown & _below(shared[-1])
+    fixed: set[int] = set()
+    template = set(template)
+    if expression and template:
+        found = slots(fold(root), numbered(expression))
+        fixed = {k for k in shown - told if found.get(k) in template}
 
-def text_of(page: str, region: tuple[str, ...] | None) -> str:
-    """The text of a page within a region, or within its own best one."""
-    _, blocks = read_page(page)
-    own = weights(blocks)
-    if region not in own:
-        region = best(own)
-    if region is None:
-        return ""
-    return "\n".join(text for path, text in blocks if regions(path) == region)
+    def chars(of: set[int]) -> int:
+        return sum(len(blocks[k][1]) for k in of)
+
+    if 2 * chars(region - fixed) < chars(shown - fixed):
+        region = shown
+    return "\n".join(blocks[k][1] for k in sorted(region - fixed or region))
 
 
 def _host() -> Column:
@@ -283,75 +368,94 @@ def _host() -> Column:
     return F.lower(host)
 
 
+def _source(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        text_or_empty("html").alias("html"),
+        _host().alias("host"),
+    )
+
+
 def observe(pages: DataFrame) -> DataFrame:
-    """(host, kind, name, n): skeletons with their pages, groups of slots with their characters."""
+    """(host, name, n): skeletons with their pages."""
 
     def work(rows: dict) -> dict:
         counts: Counter = Counter()
         for host, page in zip(rows["host"], rows["html"], strict=True):
-            tree, blocks = read_page(page)
-            counts[host, "skeleton", fold(tree).written()] += 1
-            for region, chars in weights(blocks).items():
-                counts[host, "region", json.dumps(region)] += chars
-        keys = list(counts)
-        columns = dict(zip(("host", "kind", "name"), zip(*keys, strict=True), strict=True)) if keys else {c: [] for c in ("host", "kind", "name")}
-        return {**columns, "n": list(counts.values())}
+            counts[host, fold(read_page(page)[0]).written()] += 1
+        return {"host": [k[0] for k in counts], "name": [k[1] for k in counts], "n": list(counts.values())}
 
-    source = pages.select(_host().alias("host"), text_or_empty("html").alias("html"))
-    made = map_batches(source, work, "host string, kind string, name string, n long")
-    return made.groupBy("host", "kind", "name").agg(F.sum("n").alias("n"))
+    made = map_batches(_source(pages).select("host", "html"), work, "host string, name string, n long")
+    return made.groupBy("host", "name").agg(F.sum("n").alias("n"))
 
 
-_WRAPPER = "host string, wrapper string, region string, article boolean, chars long"
+_WRAPPER = "host string, wrapper string"
 
 
 def wrappers(observed: DataFrame) -> DataFrame:
-    """(host, wrapper, region …): one row per host; salted parts are merged first."""
+    """(host, wrapper): one row per host; salted parts are merged first."""
     ship(observed.sparkSession)
 
     def first(rows: pd.DataFrame) -> pd.DataFrame:
-        kinds = dict(tuple(rows.groupby("kind")))
-        skeletons = kinds["skeleton"]["name"] if "skeleton" in kinds else []
-        weight = {tuple(json.loads(n)): int(c) for n, c in zip(kinds["region"]["name"], kinds["region"]["n"], strict=True)} if "region" in kinds else {}
-        return row(rows["host"].iloc[0], skeletons, weight)
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [wrapper(rows["name"])]})
 
     def again(rows: pd.DataFrame) -> pd.DataFrame:
-        weight = {tuple(json.loads(r)): int(c) for r, c in zip(rows["region"], rows["chars"], strict=True) if r}
-        return row(rows["host"].iloc[0], [w for w in rows["wrapper"] if w], weight)
-
-    def row(host: str, skeletons: Iterable[str], weight: dict) -> pd.DataFrame:
-        region = best(weight)
-        return pd.DataFrame(
-            {
-                "host": [host],
-                "wrapper": [wrapper(skeletons)],
-                "region": [None if region is None else json.dumps(region)],
-                "article": [region is not None and any(map(_article, region))],
-                "chars": [weight.get(region, 0)],
-            }
-        )
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [wrapper(rows["wrapper"])]})
 
     salted = observed.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)))
     parts = salted.groupBy("host", "salt").applyInPandas(first, _WRAPPER)
     return parts.groupBy("host").applyInPandas(again, _WRAPPER)
 
 
+def templates(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """(host, template): the slots outside articles with one text on all pages that have them."""
+
+    def work(rows: dict) -> dict:
+        seen: dict[tuple[str, int], tuple[set[int], set[int]]] = {}
+        for host, page, expression in zip(rows["host"], rows["html"], rows["wrapper"], strict=True):
+            root, blocks = read_page(page)
+            shown, articles = content(root, blocks)
+            rest = shown.difference(*(a[1] for a in articles))
+            if not rest:
+                continue
+            at = slots(fold(root), numbered(expression))
+            own = _number(page)
+            texts: dict[int, list[str]] = {}
+            for k in sorted(rest & at.keys()):
+                texts.setdefault(at[k], []).append(blocks[k][1])
+            for slot, text in texts.items():
+                pages_, values = seen.setdefault((host, slot), (set(), set()))
+                # a few of each tell as much as all
+                if len(pages_) < PAGES:
+                    pages_.add(own)
+                if len(values) < 2:
+                    values.add(_number("\n".join(text)))
+        out = [(h, s, p, min(v), max(v)) for (h, s), (ps, v) in seen.items() for p in ps]
+        return dict(zip(("host", "slot", "page", "low", "high"), zip(*out, strict=True) if out else [[]] * 5, strict=True))
+
+    joined = _source(pages).select("host", "html").join(found, "host")
+    made = map_batches(joined.select("host", "html", "wrapper"), work, "host string, slot long, page long, low long, high long")
+    ends = F.min("low").alias("low"), F.max("high").alias("high")
+    once = made.groupBy("host", "slot", "page").agg(*ends).groupBy("host", "slot").agg(F.count("*").alias("n"), *ends)
+    fixed = once.filter((F.col("n") >= PAGES) & (F.col("low") == F.col("high")))
+    return fixed.groupBy("host").agg(F.collect_list("slot").alias("template"))
+
+
+def _number(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     found = stage(wrappers(stage(observe(pages), "skeletons")), "wrappers")
+    found = stage(found.join(templates(pages, found), "host", "left"), "templates")
 
     def work(rows: dict) -> dict:
-        regions_ = [None if r is None else tuple(json.loads(r)) for r in rows["region"]]
-        text = [text_of(p, r) for p, r in zip(rows["html"], regions_, strict=True)]
+        text = [text_of(p, w, t or ()) for p, w, t in zip(rows["html"], rows["wrapper"], rows["template"], strict=True)]
         return {"page_id": rows["page_id"], "url": rows["url"], "text": text, "n_chars": [len(t) for t in text]}
 
-    source = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        text_or_empty("html").alias("html"),
-        _host().alias("host"),
-    )
-    joined = source.join(found.select("host", "region"), "host", "left")
+    joined = _source(pages).join(found, "host", "left")
     return map_batches(joined, work, "page_id long, url string, text string, n_chars long")
 
 

@@ -92,3 +92,15 @@ def test_wrapper_is_a_union_free_expression():
 def test_sequences_fold():
     tree, _ = h.read_page("<dl>" + "<dt>a</dt><dd>b</dd>" * 5 + "</dl>")
     assert h.fold(tree).written() == "(dl(dt(#)+ dd(#)+))"
+
+
+def test_slots_of_the_wrapper_tell_the_template(spark):
+    """Unnamed boilerplate that all pages of a host share is no text; nested text is whole."""
+    rng = random.Random(3)
+    page = "<body><div><p>Our site</p></div><div class=text><p>{0}</p><ul><li>{1}</li></ul><blockquote><p>{2}</p></blockquote>{3}</div><div><p>All about us</p></div></body>"
+    made, expected = [], []
+    for k in range(12):
+        blocks = [" ".join(words(rng, 9)) for _ in range(4)]
+        made.append((f"http://n.example.com/{k}", page.format(*blocks)))
+        expected.append("\n".join(blocks))
+    assert texts(pages(spark, made)) == dict(enumerate(expected))
