@@ -104,3 +104,15 @@ def test_slots_of_the_wrapper_tell_the_template(spark):
         made.append((f"http://n.example.com/{k}", page.format(*blocks)))
         expected.append("\n".join(blocks))
     assert texts(pages(spark, made)) == dict(enumerate(expected))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class=text><p>A</p><ul><li>B</li></ul><blockquote><p>C</p></blockquote>D<table><tr><td>E</table></div>", "A\nB\nC\nD\nE"),
+        ("<div><div class=post-title>T</div><p>lead</p><div class=post-body>B</div></div><p>x</p>", "T\nlead\nB"),
+        ("<div class=page><p>a long main text of its own</p></div><article><p>small</p></article>", "a long main text of its own\nsmall"),
+    ],
+)
+def test_nested_texts_are_whole(page, text):
+    assert h.text_of(page, None) == text
