@@ -17,7 +17,9 @@
    slots are all of the template keeps them.
 
 What stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments, by tag, role, class or id, is never part of the text. ``<br>`` is white space.
+comments, by tag, role, class or id, is never part of the text. Names count as whole words,
+and never for the page's body, for main and article elements or for an element that holds most
+of the page's text while no article stands outside it. ``<br>`` is white space.
 
 Cases: null and empty pages give an empty text; a null or odd url has the host ''; unclosed or
 stray tags end where the next block or the page does; repeated pages are each extracted and
@@ -64,12 +66,21 @@ _ENDS = {
     "head": {"body"},
 }
 _LEFT_OUT = {"nav", "header", "footer", "aside", "form", "head", "button", "select", "menu", "dialog"}
-_LEFT_OUT_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|"
+#: A class, id or role leaves an element out if all its parts are of these or stand beside them.
+_LEFT_OUT_PARTS = re.compile(
+    r"ads?|advert[a-z]*|banner|sponsor[a-z]*|promo[a-z]*|cookies?|consent|notices?|alert|popup|modal|"
     r"sidebar|side|aside|menu|nav|navbar|navigation|breadcrumbs?|comments?|replies|disqus|footer|header|masthead|"
-    r"related|share|sharing|social|newsletter|subscribe|widget|search|login|complementary|contentinfo)(?:$|[-_ ])",
+    r"related|share|sharing|social|newsletter|subscribe|widgets?|search|login|complementary|contentinfo",
     re.I,
 )
+_BESIDE = set(
+    "site main primary secondary global top bottom box bar container wrapper wrap list area block slot section links "
+    "icons buttons message inner form text unit".split()
+)
+#: Parts that may also stand beside words of an article.
+_ABOUT = set("comments comment replies related share sharing nav navigation breadcrumbs breadcrumb".split())
+_OF_ARTICLES = set("post posts entry article articles page".split())
+_NEVER = {"", "html", "body", "main", "article"}
 _ARTICLE = {"article", "main"}
 _ARTICLE_NAMES = re.compile(
     r"(?:^|[-_ ])(?:main|article|content|post|entry|story|body-text)(?:$|[-_ ])", re.I
@@ -106,9 +117,18 @@ def _named(tag: str, attributes: str) -> str:
     return tag + "." + ".".join(sorted({re.sub(r"[^\w-]", "", w) for w in words})) if words else tag
 
 
+def _leaves_out(word: str) -> bool:
+    parts = [p for p in re.split("[-_]+", word.lower()) if p]
+    listed = {p for p in parts if _LEFT_OUT_PARTS.fullmatch(p)}
+    beside = _BESIDE | _OF_ARTICLES if listed and listed <= _ABOUT else _BESIDE
+    return bool(listed) and all(p in listed or p in beside for p in parts)
+
+
+@lru_cache(100_000)
 def _left_out(name: str) -> bool:
+    """Whether the class, id or role of an element would leave it out."""
     tag, _, words = name.partition(".")
-    return tag in _LEFT_OUT or any(_LEFT_OUT_NAMES.search(w) for w in words.split(".") if w)
+    return tag not in _NEVER and any(_leaves_out(w) for w in words.split(".") if w)
 
 
 @lru_cache(100_000)
@@ -319,7 +339,9 @@ def content(root: Node, blocks: list[tuple[tuple[str, ...], str]]) -> tuple[set[
             if inside is None or tag != "header":
                 continue
         elif _left_out(node.name):
-            continue
+            most = 2 * size[id(node)] > size[id(root)] and told[id(node)] == told[id(root)]
+            if not most:
+                continue
         if inside is None and _article(node.name):
             inside = set()
             articles.append((path, inside))

@@ -116,3 +116,11 @@ def test_slots_of_the_wrapper_tell_the_template(spark):
 )
 def test_nested_texts_are_whole(page, text):
     assert h.text_of(page, None) == text
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-sidebar-wrap", "search-enabled", "comments-open", "category-social", "search"])
+def test_names_of_the_page_leave_nothing_out(name):
+    inside = '<div class="entry-header"><h1>T</h1></div><p>text</p>'
+    assert h.text_of(f'<body class="{name}"><article>{inside}</article></body>', None) == "T\ntext"
+    assert h.text_of(f'<body><article class="post {name}">{inside}</article></body>', None) == "T\ntext"
+    assert h.text_of(f'<body><div class="{name}">{inside}</div><p>x</p></body>', None).startswith("T\ntext")
