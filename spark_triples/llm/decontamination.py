@@ -7,8 +7,9 @@ taken, where a difference costs as much as two agreements earn. A stretch of at
 MIN_WORDS agreeing words (or the whole of a shorter item) is a leak, so copies with some words
 exchanged are found, and documents that share only common phrases with an item are not.
 
-Words are compared without case and outer punctuation. Items of fewer than SHORTEST words say
-too little and are left out. The benchmark is a stated set, so it is taken in blocks of at most
+The masks are such that every stretch that counts as a leak holds the seed of one of them, so
+none is missed. Words are compared without case and outer punctuation. Items of fewer than
+MIN_WORDS words are matched as a whole, also those of one word; items without words are left out. The benchmark is a stated set, so it is taken in blocks of at most
 BLOCK_CHARS characters (broadcast, with that bound); each block meets all documents.
 
 Cases: null and empty texts hold no leak; null items are left out; repeated items are found under
@@ -33,13 +34,15 @@ from spark_triples.llm.common import (
 )
 from spark_triples.session import stage
 
-#: Selected words are 1. Any two differences at least four words apart leave one mask whole.
-MASKS = ("11011011", "11101101", "10111011")
-SHORTEST, MIN_WORDS = 8, 12
+#: Selected words are 1. A best stretch has more than COST agreements for each difference before
+#: any of its words, so up to its twelfth agreement it is one of 728 patterns. Each holds one of these masks.
+MASKS = ("11101101", "11110001001", "11101000101")
+SHORTEST, MIN_WORDS = 1, 12
 #: What a difference costs, in agreements.
 COST = 2
 BLOCK_CHARS = 32_000_000
 _FILTER_BITS = 22
+#: Items of fewer words than the first mask agree as a whole or not at all.
 _M = odd_numbers(max(map(len, MASKS)), 9)
 
 
@@ -59,9 +62,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]]) -> None:
         self.items = items
+        short = {len(h) for _, h in items if 0 < len(h) < len(MASKS[0])}
+        self.masks = [*MASKS, *("1" * n for n in sorted(short))]
         keys, owners, places = [], [], []
         for number, (_, h) in enumerate(items):
-            for mask in MASKS:
+            for mask in MASKS if len(h) >= len(MASKS[0]) else ["1" * len(h)] * (len(h) > 0):
                 found = seeds(h, mask)
                 keys.append(found)
                 owners.append(np.full(len(found), number, np.int64))
@@ -77,7 +82,7 @@ class Index:
     def hits(self, h: np.ndarray) -> set[tuple[int, int]]:
         """(item, place of its first word in ``h``) for every pair of equal seeds."""
         out: set[tuple[int, int]] = set()
-        for mask in MASKS:
+        for mask in self.masks:
             found = seeds(h, mask)
             at = np.flatnonzero(self.seen[found >> np.uint64(64 - _FILTER_BITS)])
             low = np.searchsorted(self.keys, found[at], "left")

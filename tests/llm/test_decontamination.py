@@ -1,6 +1,7 @@
 """Benchmark leaks against laying every item over every place."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -88,3 +89,45 @@ def test_masks_stand_two_exchanged_words():
             other = h.copy()
             other[[a, b]] = 99
             assert d.leaks(other, index), (a, b)
+
+
+def test_every_stretch_that_counts_holds_a_mask():
+    """All patterns of agreements up to the twelfth whose every beginning has a positive score."""
+    found, grow = [], [("", 0)]
+    while grow:
+        made, score = grow.pop()
+        if made.count("1") == d.MIN_WORDS:
+            found.append(made)
+            continue
+        grow.append((made + "1", score + 1))
+        if score > d.COST:
+            grow.append((made + "0", score - d.COST))
+    assert len(found) == 728
+    for pattern in found:
+        item = np.arange(1, len(pattern) + 1, dtype=np.uint64)
+        other = np.where([c == "1" for c in pattern], item, np.uint64(99))
+        index = d.Index([(5, item)])
+        assert (0, 0) in index.hits(other), pattern
+
+
+def test_short_items_match_as_a_whole():
+    for n in range(1, 12):
+        item = np.arange(1, n + 1, dtype=np.uint64)
+        index = d.Index([(5, item), (6, np.zeros(0, np.uint64))])
+        rest = np.full(3, 99, np.uint64)
+        assert d.leaks(np.concatenate([rest, item, rest]), index) == [[5, 3, 3 + n, n]]
+        other = item.copy()
+        other[n // 2] = 98
+        assert d.leaks(np.concatenate([rest, other, rest]), index) == []
+
+
+def test_short_copies_with_changed_words_are_all_found():
+    for n in (15, 16):
+        item = np.arange(1, n + 1, dtype=np.uint64)
+        index = d.Index([(5, item)])
+        for changed in (c for k in range(5) for c in combinations(range(n), k)):
+            other = item.copy()
+            other[list(changed)] = 99
+            a, b = d.best_stretch(other == item)
+            counts = int((other == item)[a:b].sum()) >= d.MIN_WORDS
+            assert bool(d.leaks(other, index)) == counts, changed
