@@ -1,11 +1,13 @@
 """Secrets: known shapes, and strings that are new to what stands around them.
 
 Known shapes are the base spans: assignments to sensitive names, access keys, long runs of
-hex digits. Beyond them, every long token shortly after a sensitive word is a candidate. What
-it adds to a zstandard frame is measured, with a dictionary primed by the text around it
+hex digits. Beyond them, every long token of a sensitive place is a candidate: of a line with a
+sensitive word, before or after it, of the lines of one token each that go on from it, and
+of the body of a PEM block, whose short last line counts with the one before. What a candidate adds to a zstandard frame is measured, with a dictionary primed by the text around it
 and by the identifiers most common in such places over the whole corpus. An ordinary
 name or a value repeated nearby costs a few bytes; a key drawn at random costs nearly all of
-its own length. Candidates above a number of bits per character become ``novel`` spans.
+its own length. Candidates above a number of bits per character become ``novel`` spans,
+of letters or figures alone too; only those of very few distinct characters are not measured.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Cases: null and empty texts have no
 spans; a text of any length is scanned whole; repeated rows give repeated results; an
@@ -35,18 +37,23 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-#: Words that make a place sensitive, and how far before a candidate they may stand.
+#: Words that make a place sensitive.
 _SENSITIVE = re.compile(
     r"key|token|secret|passw|pwd|credential|auth|bearer|private|signature", re.I | re.A
 )
-NEAR = 40
+_PEM = re.compile(r"-----BEGIN [^\n-]*-----(?:(?!-----END)[\s\S])*+")
+#: A further line of one token or none, and a line too short for a candidate that ends a body.
+_GOES_ON = re.compile(r"[^\S\n]*+[^\s]*+[^\S\n]*+(?=\n|\Z)")
+_TAIL = re.compile(r"[^\S\n]*\n[^\S\n]*([A-Za-z0-9+/_.=-]{1,15})(?=[^\S\n]*(?:\n|\Z))")
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
-_SHORTEST = 16
+#: Characters of a line from which a short line after it counts with it, outside PEM blocks.
+WRAPPED = 40
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,31}(?![A-Za-z0-9_])")
 #: Characters around a candidate that prime the compressor.
 AROUND = 400
-#: Bits per character from which a candidate counts as drawn at random, and distinct characters.
-BITS, DISTINCT = 4.0, 8
+#: Bits per character from which a candidate counts as drawn at random, and distinct characters: so few
+#: that random figures have them as well.
+BITS, DISTINCT = 4.0, 5
 #: Entries of the identifier dictionary (the most frequent ones; at most 32 characters each).
 DICTIONARY = 1000
 
@@ -59,20 +66,49 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def places(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether in a PEM block) of the sensitive stretches of a text, in order."""
+    blocks = [m.span() for m in _PEM.finditer(text)] if "-----BEGIN " in text else []
+    blocks = [(a, b) for a, b in blocks if _SENSITIVE.search(text, a, text.index("-----", a + 5))]
+    out: list[tuple[int, int, bool]] = []
+    reach = 0
+
+    def until(end: int) -> None:
+        nonlocal reach
+        for word in _SENSITIVE.finditer(text, reach, end):
+            if word.start() < reach:
+                continue
+            start = text.rfind("\n", reach, word.start()) + 1 or reach
+            stop = text.find("\n", word.end(), end)
+            stop = end if stop < 0 else stop
+            while stop < end and (line := _GOES_ON.match(text, stop + 1)) and line.end() <= end:
+                stop = line.end()
+            out.append((start, stop, False))
+            reach = stop
+        reach = end
+
+    for a, b in blocks:
+        until(a)
+        out.append((a, b, True))
+        reach = b
+    until(len(text))
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """(start, end) of long tokens in sensitive places that no base span touches."""
     out: list[tuple[int, int]] = []
-    at, reach = 0, 0
-    for word in _SENSITIVE.finditer(text):
-        start = max(word.end(), reach)
-        # looked for up to where it must have begun, then taken to its end
-        while near := _CANDIDATE.search(text, start, word.end() + NEAR + _SHORTEST):
-            m = _CANDIDATE.match(text, near.start())
-            start = reach = m.end()
-            while at < len(base) and base[at][2] <= m.start():
+    at = 0
+    for begin, stop, block in places(text):
+        for m in _CANDIDATE.finditer(text, begin, stop):
+            start, end = m.span()
+            tail = _TAIL.match(text, end, stop) if block or end - start >= WRAPPED else None
+            if tail:
+                end = tail.end(1)
+            while at < len(base) and base[at][2] <= start:
                 at += 1
-            if at == len(base) or base[at][0] >= m.end():
-                out.append(m.span())
+            if at == len(base) or base[at][0] >= end:
+                out.append((start, end))
     return out
 
 
@@ -119,7 +155,7 @@ def spans_of(text: str, identifiers: bytes) -> tuple[list, list]:
     novel = []
     for start, end in candidates(text, base):
         value = text[start:end]
-        if len(set(value)) < DISTINCT or value.isalpha() or value.isdigit():
+        if len(set(value)) < DISTINCT:
             continue
         if novelty(value, "".join(around(text, start, end)), identifiers) >= BITS:
             novel.append((start, len(KINDS), end))

@@ -78,3 +78,22 @@ def test_dictionary_is_bounded_and_counts_all(spark):
     docs = documents(spark, [f"secret key abcdefgh{i:08d}ijkl near_identifier other{i}" for i in range(50)])
     names = secrets.dictionary(docs, entries=2).decode().split()
     assert len(names) == 2 and "near_identifier" in names
+
+
+def test_whole_sensitive_places_are_measured():
+    rng = random.Random(6)
+    body = base64.b64encode(rng.randbytes(200)).decode()
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    assert len(lines[-1]) < 16
+    block = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----"
+    for text in (f"so:\n{block}\nthat was it", f"my key\n{body[:64]}\n{body[64:128]}\n{lines[-1]}\nthat was it"):
+        clean = secrets.redacted(text, secrets.spans_of(text, b"")[1])
+        assert not any(x in clean for x in lines), clean
+        assert clean.endswith("that was it")
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=40))
+    for key in (letters, letters.lower(), *("".join(rng.choices("0123456789", k=k)) for k in (16, 24, 31))):
+        for text in (f"{key} is the key", f"the key that you will need to open any of the doors is this one: {key}"):
+            start = text.index(key)
+            assert secrets.spans_of(text, b"")[1] == [(start, 3, start + len(key))], text
+    for text in ("key " + "=" * 40, "key " + "xy" * 20, f"no word\nof that kind {letters}"):
+        assert secrets.spans_of(text, b"")[1] == []
