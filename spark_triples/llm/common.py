@@ -39,6 +39,18 @@ def lower_ascii(text: str) -> str:
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
+#: Bytes of UTF-8 that belong to no term (ASCII but letters and digits) as spaces, A-Z as a-z.
+_TERM_BYTES = bytes(
+    b if b > 127 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower()
+)
+
+
+def terms_of(raw: bytes) -> list[bytes]:
+    """The runs of letters, digits and characters beyond ASCII of a text in UTF-8, A-Z in lower
+    case."""
+    return raw.translate(_TERM_BYTES).split()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
