@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import literal_label, property_field
 from spark_triples.operators.skew import BROADCAST_KEYS, key_join, with_parts
+from spark_triples.operators.sorted_groups import ROW_CHARS
 from spark_triples.operators.triples import (
     filter_property,
     filter_time,
@@ -14,8 +15,6 @@ from spark_triples.operators.triples import (
 )
 from spark_triples.schema import DOCUMENT, KEY_TAIL, NO_CONTEXT
 
-# What each triple adds to the weight of its row, besides its object's characters.
-ROW_CHARS = 64
 _ORDER = ["predicate", "object", *KEY_TAIL]
 _VALUE_ORDER = ["predicate", "object", "object_type", "lang", "graph", "visibility"]
 
@@ -58,11 +57,14 @@ def group_by_subject(
     )
 
 
-def document_values(triples: DataFrame) -> DataFrame:
+def document_values(
+    triples: DataFrame, keep: tuple[str, ...] = (), kept: Column | None = None
+) -> DataFrame:
     """Documents of the given triples: one row per triple with its field and value, and the
     columns that order the values. A projection: nothing is grouped, whatever the size of a
-    subject. IRI objects have no text; their rows have no value."""
-    known = skip_null_subject(triples)
+    subject. IRI objects have no text; their rows have no value. With a condition ``kept``, no
+    row goes: the column ``_kept`` tells which are meant."""
+    known = skip_null_subject(triples) if kept is None else triples.withColumn("_kept", kept)
     return known.select(
         F.col("subject").alias("id"),
         F.col("subject").alias("uri"),
@@ -75,6 +77,7 @@ def document_values(triples: DataFrame) -> DataFrame:
         "lang",
         F.col("context").alias("graph"),
         "visibility",
+        *keep,
     )
 
 

@@ -417,6 +417,32 @@ def key_range_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "split_points_from_table",
+    f"{WITH_G} select subject, predicate, object, object_type, coalesce(lang, '') as lang, "
+    "true as in_its_range, true as even from g",
+)
+def split_points_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges at points read from the zone map, against the files the rows lie in; no range
+    has more than two of the parts they were asked for, and a file."""
+    prefix, most = loaded_prefix(spark, sf_dir), 5
+    points = sources.table_split_points(spark, prefix, "spo", most)
+    rows = sources.read_run(spark, sources.index_paths(spark, prefix, "spo"), TRIPLE)
+    ranged = triples.key_ranges(rows.select("*", "_metadata.file_name"), F.col("subject"), points)
+    zones = sources.zone_map(spark, prefix).select(
+        F.col("file").alias("file_name"), F.coalesce(F.col("low")[0], F.lit("")).alias("key"), "rows"
+    )
+    # a file lies in the range of its first key
+    zones = triples.key_ranges(zones, F.col("key"), points, "of_file")
+    sizes = zones.groupBy("of_file").agg(F.sum("rows").alias("n"))
+    total, largest = zones.agg(F.sum("rows"), F.max("rows")).first()
+    even = sizes.select("of_file", (F.col("n") <= 2 * total // most + largest).alias("even"))
+    files = zones.join(even, "of_file").select("file_name", "of_file", "even")
+    found = ranged.join(F.broadcast(files), "file_name")
+    in_its_range = (F.col("range_id") == F.col("of_file")).alias("in_its_range")
+    return show_triples(found.select("*", in_its_range), *PARSED, "in_its_range", "even")
+
+
 @query("rebalance_rows", f"{WITH_G} select {SHOWN_TRIPLE_SQL} from g")
 def rebalance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_triples(triples.rebalance(graph(spark, sf_dir)))
@@ -698,9 +724,7 @@ def pattern_sql(pattern: dict[str, str]) -> str:
 
 
 def match_pattern(pattern: dict[str, str], spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = triples.choose_layout(**pattern)
-    index = sources.scan_index(spark, loaded_prefix(spark, sf_dir), layout)
-    return show_triples(triples.match_pattern(index, **pattern))
+    return show_triples(sources.lookup(spark, loaded_prefix(spark, sf_dir), **pattern))
 
 
 for _name, _pattern in PATTERNS.items():
@@ -861,15 +885,36 @@ def groups_sql(budget: int) -> str:
 
 @query("group_by_subject", groups_sql(WHOLE))
 def group_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show_groups(documents.group_by_subject(public_graph(spark, sf_dir), WHOLE))
+    prefix = loaded_prefix(spark, sf_dir)
+    return show_groups(sources.grouped_by_subject(spark, prefix, WHOLE))
 
 
 @query("group_by_subject_parts", groups_sql(SMALL_PART))
 def group_by_subject_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefix = loaded_prefix(spark, sf_dir)
+    return show_groups(sources.grouped_by_subject(spark, prefix, SMALL_PART))
+
+
+@query("group_by_subject_exchange", groups_sql(SMALL_PART))
+def group_by_subject_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of rows in no order."""
     rows = public_graph(spark, sf_dir)
     return show_groups(documents.group_by_subject(rows, part_chars=SMALL_PART))
 
 
+@query("group_by_subject_two_runs", groups_sql(SMALL_PART))
+def group_by_subject_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of an index of two runs, which share some triples; then merged into one."""
+    path = scratch_path(spark, "group-two") + "/"
+    part = F.pmod(F.xxhash64("object"), F.lit(3))
+    for number in (0, 1):
+        sinks.write_indexes(graph(spark, sf_dir).filter(part != number), path)
+    before = show_groups(sources.grouped_by_subject(spark, path, SMALL_PART))
+    sinks.compact_index(spark, path)
+    after = show_groups(sources.grouped_by_subject(spark, path, SMALL_PART))
+    return before.intersect(after)
+
+
 # --- documents --------------------------------------------------------------------
 
 
@@ -895,8 +940,8 @@ def fulltext_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     + documents_sql("select * from d"),
 )
 def fulltext_docs_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = nested(documents.document_values(listed(spark, sf_dir)), SMALL_PART)
-    return show_documents(docs)
+    prefix = loaded_prefix(spark, sf_dir)
+    return show_documents(sources.nested_documents(spark, prefix, PROPERTIES, SMALL_PART))
 
 
 @query(
@@ -906,7 +951,8 @@ def fulltext_docs_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "group by subject",
 )
 def fulltext_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = nested(documents.document_values(listed(spark, sf_dir)))
+    prefix = loaded_prefix(spark, sf_dir)
+    docs = sources.nested_documents(spark, prefix, PROPERTIES, WHOLE)
     return docs.select("id", "part", F.array_join("text", "|").alias("text"))
 
 
@@ -921,8 +967,7 @@ EVERY_PREDICATE = [PLACED_BY, STATUS, "urn:event-p#by"]
 )
 def fulltext_iri_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = loaded_prefix(spark, sf_dir)
-    rows = triples.visible(sources.scan_index(spark, prefix, predicates=EVERY_PREDICATE))
-    docs = nested(documents.document_values(rows))
+    docs = sources.nested_documents(spark, prefix, EVERY_PREDICATE, WHOLE)
     return docs.select(
         "id",
         F.size("text").cast("bigint").alias("n_values"),

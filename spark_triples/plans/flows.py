@@ -13,6 +13,7 @@ from spark_triples.operators.prospects import (
     explode_prospects,
     prospect_counts,
 )
+from spark_triples.operators.ranges import SAMPLED_PER_RANGE, key_sample
 from spark_triples.operators.skew import PUSHED_KEYS, key_join
 from spark_triples.operators.triples import (
     dedup_triples,
@@ -20,12 +21,12 @@ from spark_triples.operators.triples import (
     filter_time,
     visible,
 )
-from spark_triples.schema import TRIPLE
+from spark_triples.schema import TRIPLE, TRIPLE_KEY
 from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
     commit_checkpoint,
     ensure_tables,
-    ranges_for,
+    ranges_of,
     write_documents,
     write_indexes,
     write_prospect_files,
@@ -41,6 +42,10 @@ from spark_triples.sources.tables import (
 )
 
 
+# A statement is about as long, or longer.
+LINE_BYTES = 100
+
+
 def epoch_ms(spark: SparkSession, text: str | None) -> int | None:
     """A date-time option as epoch milliseconds."""
     if text is None:
@@ -63,9 +68,14 @@ def bulk_load(
     same files again changes nothing, other files are added."""
     ensure_tables(spark, prefix)
     name, size = listing(spark, split_sources(source))
-    run, partitions = run or name, partitions or ranges_for(spark, size)
-    triples = dedup_triples(read_sources(spark, source, parsers, on_bad_line))
-    return write_indexes(triples, prefix, run, mode, partitions)
+    run, partitions = run or name, partitions or ranges_of(spark, size)
+    triples = read_sources(spark, source, parsers, on_bad_line)
+    sample = None
+    if partitions > 1 and run not in names_of(read_runs(spark, prefix)):
+        share = min(1.0, SAMPLED_PER_RANGE * partitions * LINE_BYTES / size)
+        some = read_sources(spark, source, parsers, on_bad_line, share)
+        sample = key_sample(some, TRIPLE_KEY, partitions)
+    return write_indexes(triples, prefix, run, mode, partitions, sample)
 
 
 def bulk_load_with_statistics(

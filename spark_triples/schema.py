@@ -80,6 +80,20 @@ DOCUMENT = T.StructType(
     ]
 )
 
+# What a file of an index copy holds; keys are in the order of the copy.
+ZONE = T.StructType(
+    [
+        T.StructField("run", T.StringType()),
+        T.StructField("layout", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("range", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("low", T.ArrayType(T.StringType())),
+        T.StructField("high", T.ArrayType(T.StringType())),
+        T.StructField("cut", T.BooleanType()),
+    ]
+)
+
 TRIPLE_KEY = [
     "subject",
     "predicate",

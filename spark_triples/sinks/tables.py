@@ -8,18 +8,29 @@ doubles a count nor a document. Readers merge the runs (``sources.tables``).
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spark_triples import manifest
 from spark_triples.manifest import Run
 from spark_triples.operators.documents import document_json
 from spark_triples.operators.prospects import aggregate_prospects
-from spark_triples.operators.triples import dedup_triples
-from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE
-from spark_triples.session import delete, glob, job_scratch, make_dir
+from spark_triples.operators.ranges import (
+    RANGE,
+    SAMPLED_PER_RANGE,
+    Points,
+    Sample,
+    in_ranges,
+    key_sample,
+    sorted_distinct,
+    split_points,
+)
+from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE, TRIPLE_KEY, ZONE
+from spark_triples.session import delete, glob, job_scratch, make_dir, stage
 from spark_triples.sources.tables import (
     index_paths,
     read_documents,
@@ -97,8 +108,8 @@ def write_sorted(
     return write_table(in_key_order(df, keys, partitions), table, run, mode)
 
 
-# Bytes of input that one range of a sorted copy should get.
-RANGE_BYTES = 256 << 20
+# Bytes of input that one range of a sorted copy should get; and a range that is worth a task.
+RANGE_BYTES, LEAST_RANGE_BYTES = 256 << 20, 1 << 20
 
 
 def ranges_for(spark: SparkSession, size: int) -> int | None:
@@ -108,6 +119,13 @@ def ranges_for(spark: SparkSession, size: int) -> int | None:
     return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
+def ranges_of(spark: SparkSession, size: int) -> int:
+    """How many ranges so many bytes are laid out in: one for each 256 MB, and not fewer than
+    the session's shuffle partitions unless they would be small."""
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // LEAST_RANGE_BYTES))
+    return max(-(-size // RANGE_BYTES), least, 1)
+
+
 def bytes_of(spark: SparkSession, paths: list[str]) -> int:
     """Bytes of the files in some folders, from their listing."""
     return sum(e.size for path in paths for e in glob(spark, f"{path}/*"))
@@ -130,32 +148,92 @@ def write_indexes(
     run: str | None = None,
     mode: str = "add",
     partitions: int | None = None,
+    sample: Sample | None = None,
 ) -> str:
-    """Write distinct triples to the three index tables, each in its own order, publish them
+    """Write triples to the three index tables, each in its own order and once, publish them
     together, and return the path of the first copy.
 
-    That copy is the checkpoint for the others: they read its Parquet instead of
-    parsing or deduplicating the input again, and nothing is held in memory between.
+    The first copy takes one exchange: rows go to ranges of the whole row key, where
+    equal ones become one. The others read its Parquet instead of the input. All ranges are
+    laid out from one sample of the keys. Unless it is given, the triples are written as they
+    come first, and sampled there: so the input is evaluated once.
     """
     spark, run = triples.sparkSession, _checked(run, mode)
     there, folder = _start(spark, prefix, run, mode)
     if there is not None:
         return f"{prefix}spo/{there}"
-    _write_copies(triples, prefix, folder, partitions)
+    with job_scratch(spark):
+        ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if sample is None and ranges > 1:
+            triples = stage(triples.select(*TRIPLE.names), "unsorted")
+            sample = sample_of_files(triples, ranges)
+        _write_copies(triples, prefix, folder, ranges, sample)
     _publish(spark, prefix, run, folder, mode)
     return f"{prefix}spo/{folder}"
 
 
+# A range is one row group, so that no reader's splits cut through it.
+ROW_GROUP_BYTES = 1 << 30
+
+
+def sample_of_files(triples: DataFrame, ranges: int) -> Sample:
+    """A sample of the row keys of Parquet files, whose rows are counted from their footers."""
+    share = min(1.0, SAMPLED_PER_RANGE * ranges / max(triples.count(), 1))
+    some = triples if share == 1 else triples.sample(share, seed=7)
+    return key_sample(some, TRIPLE_KEY, ranges)
+
+
 def _write_copies(
-    triples: DataFrame, prefix: str, folder: str, partitions: int | None
+    triples: DataFrame,
+    prefix: str,
+    folder: str,
+    ranges: int,
+    sample: Sample | None,
 ) -> None:
     spark, source = triples.sparkSession, triples.select(*TRIPLE.names)
+    laid_out = {}
     for name, order in LAYOUTS.items():
-        path = f"{prefix}{name}/{folder}"
-        in_key_order(source, [*order, *KEY_TAIL], partitions).write.parquet(path)
+        path, order = f"{prefix}{name}/{folder}", [*order, *KEY_TAIL]
+        points = split_points(sample, order, ranges)
+        ranged = in_ranges(source, points)
+        if name == "spo":
+            copy = sorted_distinct(ranged, points, [F.max("ts").alias("ts")])
+        else:
+            copy = ranged.drop(RANGE).sortWithinPartitions(*order)
+        copy.select(*TRIPLE.names).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+        laid_out[name] = points
         if name == "spo":
             source = read_run(spark, path, TRIPLE)
-            partitions = partitions or ranges_for(spark, bytes_of(spark, [path]))
+    _write_zones(spark, prefix, folder, laid_out)
+
+
+BOUNDS = "layout: string, low: array<string>, high: array<string>, cut: boolean"
+
+
+def _write_zones(spark: SparkSession, prefix: str, folder: str, laid_out: dict[str, Points]) -> None:
+    """The zone map of a run: per file its rows and between which keys they lie."""
+    files = read_run(spark, [f"{prefix}{name}/{folder}" for name in laid_out], TRIPLE)
+    # no column is read: the rows of a file are counted from its footer
+    counted = files.groupBy("_metadata.file_path").agg(F.count("*").alias("rows"))
+    range_id = F.regexp_extract("file", r"^part-(\d+)", 1).cast("int")
+    zones = counted.select(
+        F.lit(folder).alias("run"),
+        F.element_at(F.split("file_path", "/"), -3).alias("folder"),
+        F.substring_index("file_path", "/", -1).alias("file"),
+        "rows",
+    ).withColumn("range", range_id)
+    place = F.lit(None)
+    for name, points in laid_out.items():
+        cut = set(points.cut())
+        bounds = [
+            {"layout": name, "low": low, "high": high, "cut": low is not None and low[0] in cut}
+            for low, high in zip([None, *points.keys], [*points.keys, None], strict=True)
+        ]
+        known = F.from_json(F.lit(json.dumps(bounds)), f"array<struct<{BOUNDS}>>")
+        here = F.col("folder") == f"{prefix}{name}".rsplit("/", 1)[1]
+        place = F.when(here, F.get(known, F.col("range"))).otherwise(place)
+    zones = zones.withColumn("place", place).select("run", "place.*", "file", "range", "rows")
+    zones.select(*ZONE.names).coalesce(1).write.parquet(f"{prefix}zones/{folder}")
 
 
 def write_routed(df: DataFrame, path: str, key: str) -> None:
@@ -224,8 +302,10 @@ def compact_index(spark: SparkSession, prefix: str, partitions: int | None = Non
     folder = _merged_folder(runs)
     paths = [f"{prefix}spo/{r.folder}" for r in runs]
     triples = read_run(spark, paths, TRIPLE)
-    partitions = partitions or ranges_for(spark, bytes_of(spark, paths))
-    _write_copies(dedup_triples(triples), prefix, folder, partitions)
+    ranges = partitions or ranges_of(spark, bytes_of(spark, paths))
+    with job_scratch(spark):
+        sample = sample_of_files(triples, ranges) if ranges > 1 else None
+        _write_copies(triples, prefix, folder, ranges, sample)
     _merge_runs(spark, prefix, runs, folder)
 
 
@@ -253,6 +333,10 @@ def compact_documents(spark: SparkSession, table: str) -> None:
 def remove_old(spark: SparkSession, prefix: str, tables: tuple[str, ...] = tuple(LAYOUTS)) -> None:
     """Remove the folders of runs that the last manifest does not name: replaced and merged
     runs, and failed attempts. Not while jobs write or read an older state."""
+    kept = {run.folder for run in manifest.read_runs(spark, prefix)}
+    for entry in glob(spark, f"{prefix}zones/run=*"):
+        if entry.path.rsplit("/", 1)[1] not in kept:
+            delete(spark, entry.path)
     for table in tables:
         known = {path.rstrip("/").rsplit("/", 1)[1] for path in index_paths(spark, prefix, table)}
         for entry in glob(spark, f"{prefix}{table}/run=*"):

@@ -48,6 +48,8 @@ WILDCARD = r"[*?\[{]"
 # Spark's readers pass over such files without a word.
 HIDDEN = ("_", ".")
 LONGEST_FILE = (1 << 31) - 1
+# So many whole files are parsed for a sample.
+FEW_FILES = 32
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 BATCH = 10_000
 Parser = Callable[[bytes, str], Iterator[tuple]]
@@ -155,15 +157,20 @@ def name_filter(format_name: str | None) -> dict[str, str]:
 
 
 def read_lines(
-    spark: SparkSession, patterns: list[str], format_name: str | None = None
+    spark: SparkSession,
+    patterns: list[str],
+    format_name: str | None = None,
+    share: float = 1.0,
 ) -> DataFrame:
-    """(value, file_path) of text files. Large files are split between tasks."""
+    """(value, file_path) of text files, or of a share of their lines. Large files are split
+    between tasks."""
     paths = _matches(spark, patterns)
     if not paths:
         return spark.createDataFrame([], "value string, file_path string")
-    return spark.read.options(**name_filter(format_name)).text(paths).select(
+    lines = spark.read.options(**name_filter(format_name)).text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path")
     )
+    return lines if share >= 1 else lines.sample(share, seed=7)
 
 
 def read_ntriples(
@@ -171,9 +178,10 @@ def read_ntriples(
     patterns: list[str],
     mode: str = "FAILFAST",
     quads: bool = False,
+    share: float = 1.0,
 ) -> DataFrame:
-    """Triples of N-Triples (or N-Quads) files."""
-    return parse_lines(read_lines(spark, patterns), mode, quads)
+    """Triples of N-Triples (or N-Quads) files, or of a share of their lines."""
+    return parse_lines(read_lines(spark, patterns, share=share), mode, quads)
 
 
 def _parse_with(parser: Parser, names: list[str]) -> Callable:
@@ -223,6 +231,7 @@ def read_whole_files(
     patterns: list[str],
     parsers: dict[str, Parser] | None = None,
     mode: str = "FAILFAST",
+    share: float = 1.0,
 ) -> DataFrame:
     """Triples of files whose own name stands for an RDF format; see
     :func:`rejected_sources` for the others.
@@ -230,20 +239,21 @@ def read_whole_files(
     A parser gets the bytes and the path of one file and yields its triples as
     (subject, predicate, object, object_type, lang, context). Line formats need none:
     their files are read by line, so their size is of no matter. A file of a known
-    format without a parser fails here, before anything is read.
+    format without a parser fails here, before anything is read. With a ``share``, only
+    that share of lines and of files is parsed (all files, if they are few).
     """
     parsers = {"Turtle": parse_turtle, **(parsers or {})}
     longest = F.max(F.struct("length", "path")).alias("longest")
-    formats = list_sources(spark, patterns).groupBy("format").agg(longest)
+    formats = list_sources(spark, patterns).groupBy("format").agg(longest, F.count("*").alias("n"))
     # bounded by the number of formats
-    listed = {row["format"]: row["longest"] for row in formats.collect()}
+    listed = {row["format"]: row for row in formats.collect()}
     present = set(listed) - {None}
     missing = present - set(parsers) - {"N-Triples", "N-Quads"}
     if missing:
         raise ValueError(f"no parser given for {', '.join(sorted(missing))}")
     for name in present & set(parsers):
-        if listed[name]["length"] > LONGEST_FILE:
-            raise ValueError(f"{listed[name]['path']}: too long for a whole-file format")
+        if (file := listed[name]["longest"])["length"] > LONGEST_FILE:
+            raise ValueError(f"{file['path']}: too long for a whole-file format")
     parts = []
     schema = T.StructType(
         [T.StructField(n, T.StringType()) for n in TRIPLE.names[:6]]
@@ -252,13 +262,15 @@ def read_whole_files(
         if name in parsers:
             files = spark.read.format("binaryFile").options(**name_filter(name))
             contents = files.load(_matches(spark, patterns)).select("path", "content")
+            of_files = max(share, FEW_FILES / listed[name]["n"])
+            contents = contents if of_files >= 1 else contents.sample(of_files, seed=7)
             parsed = contents.mapInPandas(_parse_with(parsers[name], schema.names), schema)
             rows = normalise(parsed)
             if mode == "PERMISSIVE":
                 rows = rows.withColumn("_corrupt", F.lit(None).cast("string"))
             parts.append(rows)
         else:
-            lines = read_lines(spark, patterns, name)
+            lines = read_lines(spark, patterns, name, share)
             parts.append(parse_lines(lines, mode, quads=name == "N-Quads"))
     if not parts:
         corrupt = [T.StructField("_corrupt", T.StringType())] * (mode == "PERMISSIVE")
@@ -271,14 +283,16 @@ def read_sources(
     spec: str,
     parsers: dict[str, Parser] | None = None,
     mode: str = "FAILFAST",
+    share: float = 1.0,
 ) -> DataFrame:
-    """Triples of all patterns of a source option, each by the route of its name."""
+    """Triples of all patterns of a source option, each by the route of its name; with a
+    ``share``, a sample of them."""
     patterns = split_sources(spec)
     by_line = [p for p in patterns if p.lower().endswith("." + LINE_EXTENSION)]
     whole = [p for p in patterns if p not in by_line]
     parts = []
     if by_line or not whole:
-        parts.append(read_ntriples(spark, by_line, mode))
+        parts.append(read_ntriples(spark, by_line, mode, share=share))
     if whole:
-        parts.append(read_whole_files(spark, whole, parsers, mode))
+        parts.append(read_whole_files(spark, whole, parsers, mode, share))
     return union_triples(*parts)
