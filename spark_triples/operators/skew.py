@@ -78,8 +78,10 @@ def key_join(
     if can_broadcast(size, broadcast_keys):
         return df.join(F.broadcast(keys), on_match, how)
 
-    least = df.count() // max(broadcast_keys, 1)
+    # one pass, over the key alone
     rows = df.groupBy(F.col(on).alias("_heavy")).agg(F.count("*").alias("_rows"))
+    rows = stage(rows, "key-rows")
+    least = (rows.agg(F.sum("_rows")).first()[0] or 0) // max(broadcast_keys, 1)
     heavy = stage(rows.filter(F.col("_rows") > least).select("_heavy"), "heavy-keys")
     if not can_broadcast(size_of(heavy), max(broadcast_keys, 1)):
         # Keys of an extreme length. Every key is sent to each salt and a row to one, so the

@@ -33,7 +33,7 @@ from spark_triples.schema import (
     XSD,
     XSD_STRING,
 )
-from spark_triples.session import glob, move, scratch_path
+from spark_triples.session import scratch_path
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import files
 from spark_triples.sources import tables as sources
@@ -334,27 +334,30 @@ def union_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_triples(loaded, *PARSED)
 
 
+EXTENSION_SQL = (
+    "case c_mktsegment when 'BUILDING' then 'nt' when 'MACHINERY' then 'ttl' "
+    "when 'HOUSEHOLD' then 'txt' else 'data' end"
+)
+
+
 @query(
     "rejected_sources",
-    "select name, n, reason from (values ('_hidden.nt', 'hidden name'), ('plain.txt', "
-    "'unknown format'), ('folder', 'directory')) k(name, reason), "
-    "(select count(*) as n from nation)",
+    "select c_custkey, 'unknown format' as reason from customer "
+    f"where {EXTENSION_SQL} in ('txt', 'data')",
 )
 def rejected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a load of a folder would pass over, beside what it reads."""
+    """The rows of the files that a load of some folders would pass over, by their paths."""
     path = scratch_path(spark, "rejected")
-    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
-    rows.coalesce(1).write.text(f"{path}/folder")
-    file = next(e.path for e in glob(spark, f"{path}/folder/part-*"))
-    copies = spark.read.text(file)
-    for name in ("_hidden.nt", "plain.txt"):
-        copies.coalesce(1).write.text(f"{path}/made/{name}")
-        made = next(e.path for e in glob(spark, f"{path}/made/{name}/part-*"))
-        move(spark, made, f"{path}/{name}")
-    names = F.substring_index("path", "/", -1).alias("name")
-    found = files.rejected_sources(spark, [f"{path}/*"]).select(names, "reason")
-    counted = rows.agg(F.count("*").alias("n")).first()[0]
-    return found.filter("name <> 'made'").withColumn("n", F.lit(counted).cast("bigint"))
+    customers = table(spark, sf_dir, "customer")
+    extension = F.expr(EXTENSION_SQL)
+    for name in ("nt", "ttl", "txt", "data"):
+        rows = customers.filter(extension == name).select(F.col("c_custkey").cast("string"))
+        rows.write.option("extension", name).csv(f"{path}/{name}")
+    found = files.rejected_sources(spark, [f"{path}/*/*"])
+    named = F.substring_index("path", "/", -1).alias("file_name")
+    rows = spark.read.text([f"{path}/*/*"]).select("value", "_metadata.file_name")
+    rows = rows.join(found.select(named, "reason"), "file_name")
+    return rows.select(F.col("value").cast("bigint").alias("c_custkey"), "reason")
 
 
 G_SQL_SHOWN = (
@@ -522,6 +525,31 @@ def bulk_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_layouts(spark, f"{path}/", *PARSED)
 
 
+MALFORMED_SQL = "concat('<urn:order#', cast(o_orderkey as varchar), '> <urn:unfinished')"
+
+
+@query(
+    "bulk_load_permissive",
+    f"{WITH_G} select subject, predicate, object, '' as reason from g union all "
+    f"select {MALFORMED_SQL}, '', '', 'malformed line' from orders where o_orderkey % 7 = 0",
+)
+def bulk_load_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that goes on at malformed lines, and the table that tells of them."""
+    path = scratch_path(spark, "permissive")
+    malformed = table(spark, sf_dir, "orders").filter("o_orderkey % 7 = 0")
+    malformed = malformed.select(F.expr(MALFORMED_SQL.replace("varchar", "string")).alias("value"))
+    lines = g_raw(spark, sf_dir).select(ntriples.render_line().alias("value"))
+    lines.unionByName(malformed).write.text(f"{path}/graph.nt")
+    flows.bulk_load(spark, f"{path}/graph.nt", f"{path}/", on_bad_line="PERMISSIVE")
+    kept = sources.scan_index(spark, f"{path}/").select(*TRIPLE.names[:3], F.lit("").alias("reason"))
+    none = F.lit("")
+    # Spark's own marker file in the folder is among the rejects too
+    left_out = sources.read_rejects(spark, f"{path}/").filter("line is not null").select(
+        F.col("line").alias("subject"), none.alias("predicate"), none.alias("object"), "reason"
+    )
+    return kept.unionByName(left_out)
+
+
 @query(
     "ensure_tables",
     f"{WITH_G} select 'ns' as name, cast(0 as bigint) as n union all select 'osp', count(*) from g "
@@ -1042,6 +1070,29 @@ def upsert_documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_documents(values(spark, path))
 
 
+TIERED_SQL = (
+    f"{WITH_G}, l as ({listed_sql()}), s as (select *, case when {EARLY_SQL} then "
+    "cast(ascii(right(subject, 1)) as bigint) % 5 else 9 end as slice from l), "
+    "last as (select subject, max(slice) as slice from s group by subject), "
+    "rows as (select s.*, cast(0 as bigint) as part from s join last using (subject, slice)) "
+)
+
+
+@query("upsert_documents_tiers", TIERED_SQL + documents_sql("select * from rows"))
+def upsert_documents_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written in six small runs, of which the last replaces some of the others; runs
+    are merged by size meanwhile."""
+    path = scratch_path(spark, "tiered")
+    rows = listed(spark, sf_dir)
+    early = F.col("ts") <= F.timestamp_millis(F.lit(SPLIT_TIME_MS))
+    slice_ = F.when(early, F.ascii(F.right("subject", F.lit(1))) % 5).otherwise(9)
+    for number in (0, 1, 2, 3, 4, 9):
+        sinks.write_documents(documents.document_values(rows.filter(slice_ == number)), path)
+    if len(sources.run_paths(spark, path)) >= 6:
+        raise AssertionError("runs of one size must be merged")
+    return show_documents(values(spark, path))
+
+
 # --- statistics jobs ----------------------------------------------------------------
 
 
@@ -1090,6 +1141,19 @@ def merge_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_prospects(sources.read_prospects(spark, path))
 
 
+@query("merge_prospects_tiers", counts_sql())
+def merge_prospects_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of many small runs, which are merged by size as they are added."""
+    path = scratch_path(spark, "tiers")
+    part = F.pmod(F.xxhash64("subject"), F.lit(9))
+    for number in range(9):
+        rows = public_graph(spark, sf_dir).filter(part == number)
+        sinks.write_prospects(prospects.prospect_counts(rows), path)
+    if len(sources.run_paths(spark, path)) >= 9:
+        raise AssertionError("runs of one size must be merged")
+    return show_prospects(sources.read_prospects(spark, path))
+
+
 NO_NAMESPACE_SQL = "(select * replace (replace(subject, 'urn:customer#', 'customer') as subject) from v)"
 
 
@@ -1118,6 +1182,21 @@ def load_and_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_prospects(sources.read_prospects(spark, counts))
 
 
+@query("load_twice_exact", counts_sql(ALL_PUBLIC_SQL))
+def load_twice_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of two loads that share a third of their triples: each triple counts once."""
+    path = scratch_path(spark, "load-exact")
+    part = F.pmod(F.xxhash64("subject", "object"), F.lit(3))
+    for number in (0, 1):
+        rows = g_raw(spark, sf_dir).filter(part != number)
+        write_lines(rows, ntriples.render_line(), f"{path}/part{number}.nt")
+    for number in (0, 1, 0):
+        flows.bulk_load_with_statistics(
+            spark, f"{path}/part{number}.nt", f"{path}/", f"{path}/counts", counting="new"
+        )
+    return show_prospects(sources.read_prospects(spark, f"{path}/counts"))
+
+
 # --- streams ------------------------------------------------------------------------
 
 
@@ -1130,6 +1209,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_triples(spark.read.schema(TRIPLE).parquet(f"{path}/out"), *PARSED)
 
 
+@query("stream_ingest_distinct", PARSED_SQL)
+def stream_ingest_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ingest-distinct")
+    write_lines(g_raw(spark, sf_dir), ntriples.render_line(), f"{path}/in")
+    stream = refresh.stream_lines(spark, f"{path}/in")
+    refresh.ingest(stream, f"{path}/out", f"{path}/state", distinct=True).awaitTermination()
+    return show_triples(spark.read.schema(TRIPLE).parquet(f"{path}/out"), *PARSED)
+
+
 @query(
     "stream_refresh_docs",
     f"{WITH_G}, l as ({listed_sql()}), d as ({part_sql('l', WHOLE)}) "

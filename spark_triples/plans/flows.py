@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
@@ -21,19 +21,30 @@ from spark_triples.operators.triples import (
     filter_time,
     visible,
 )
-from spark_triples.schema import TRIPLE, TRIPLE_KEY
+from spark_triples.schema import REJECT, TRIPLE, TRIPLE_KEY
 from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
+    bytes_of,
     commit_checkpoint,
     ensure_tables,
+    ranges_for,
     ranges_of,
     write_documents,
     write_indexes,
     write_prospect_files,
     write_prospects,
 )
-from spark_triples.sources.files import Parser, read_sources, split_sources
+from spark_triples.sources.files import (
+    MODES,
+    Parser,
+    read_sources,
+    rejected_lines,
+    rejected_sources,
+    split_sources,
+)
 from spark_triples.sources.tables import (
+    index_paths,
+    new_triples,
     read_checkpoint,
     read_prospect_files,
     read_run,
@@ -65,17 +76,36 @@ def bulk_load(
 ) -> str:
     """RDF files → the three index tables under ``prefix``. Returns where the triples
     of this run lie in subject order. A run that is not named is named by the files: loading the
-    same files again changes nothing, other files are added."""
+    same files again changes nothing, other files are added.
+
+    What is left out is published with the run (``read_rejects``): files without a known format,
+    hidden ones, and, unless ``on_bad_line`` is ``FAILFAST``, malformed lines."""
     ensure_tables(spark, prefix)
     name, size = listing(spark, split_sources(source))
     run, partitions = run or name, partitions or ranges_of(spark, size)
-    triples = read_sources(spark, source, parsers, on_bad_line)
+    # what is to be left out is counted, so lenient reads keep it first
+    lenient = on_bad_line != "FAILFAST"
+    read_mode = "PERMISSIVE" if lenient and on_bad_line in MODES else on_bad_line
+    triples = read_sources(spark, source, parsers, read_mode)
+    seen = Observation("load")
+    if lenient:
+        bad = F.count_if(F.col("_corrupt").isNotNull()).alias("bad")
+        triples = triples.observe(seen, bad).filter("_corrupt is null").drop("_corrupt")
+
+    def rejects(folder: str) -> None:
+        skipped = rejected_sources(spark, split_sources(source)).withColumn("line", F.lit(None).cast("string"))
+        if lenient and seen.get["bad"]:
+            skipped = skipped.unionByName(rejected_lines(spark, source))
+        skipped.select(*REJECT.names).coalesce(1).write.parquet(f"{prefix}rejects/{folder}")
+
     sample = None
     if partitions > 1 and run not in names_of(read_runs(spark, prefix)):
         share = min(1.0, SAMPLED_PER_RANGE * partitions * LINE_BYTES / size)
-        some = read_sources(spark, source, parsers, on_bad_line, share)
+        some = read_sources(spark, source, parsers, read_mode, share)
+        if lenient:
+            some = some.filter("_corrupt is null")
         sample = key_sample(some, TRIPLE_KEY, partitions)
-    return write_indexes(triples, prefix, run, mode, partitions, sample)
+    return write_indexes(triples, prefix, run, mode, partitions, sample, rejects)
 
 
 def bulk_load_with_statistics(
@@ -89,19 +119,34 @@ def bulk_load_with_statistics(
     partitions: int | None = None,
     on_bad_line: str = "FAILFAST",
     on_bad_iri: str = "error",
+    counting: str = "run",
 ) -> None:
     """The same load; the counts of the loaded triples go to the count table as well.
     They are counted from the written copy, so the files are parsed once. A job that is
-    repeated after it had failed between the two completes the second."""
+    repeated after it had failed between the two completes the second.
+
+    ``counting`` ``run`` adds up the triples of every run, one that two runs have counts twice.
+    ``new`` counts only triples that no earlier run has: the counts are those of the index.
+    """
+    if counting not in ("run", "new"):
+        raise ValueError(f"counting must be run or new, not {counting!r}")
     run = run or listing(spark, split_sources(source))[0]
     path = bulk_load(spark, source, prefix, run, mode, parsers, partitions, on_bad_line)
+    if mode == "add" and run in names_of(read_runs(spark, f"{statistics_table}/")):
+        return
     held = names_of(read_runs(spark, prefix))[run]
-    if held.name == run:
-        loaded = read_run(spark, path, TRIPLE)
-    else:  # merged with other runs: the files are the only place that has it alone
-        loaded = dedup_triples(read_sources(spark, source, parsers, on_bad_line))
-    counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
-    write_prospects(counts, statistics_table, run, mode, partitions)
+    with job_scratch(spark):
+        if held.name == run and counting == "new":
+            loaded = new_triples(spark, prefix, held)
+        elif held.name == run:
+            loaded = read_run(spark, path, TRIPLE)
+        elif counting == "new":
+            raise RuntimeError(f"run {run!r} was merged before it was counted: count the index anew")
+        else:  # merged with other runs: the files are the only place that has it alone
+            mode_read = on_bad_line if on_bad_line == "FAILFAST" else "DROPMALFORMED"
+            loaded = dedup_triples(read_sources(spark, source, parsers, mode_read))
+        counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
+        write_prospects(counts, statistics_table, run, mode, partitions)
 
 
 def statistics(
@@ -114,8 +159,9 @@ def statistics(
     on_bad_iri: str = "error",
 ) -> None:
     """Triple table → count table, over the public triples."""
+    size = bytes_of(spark, index_paths(spark, prefix, "spo"))
     counts = prospect_counts(visible(scan_index(spark, prefix)), on_bad_iri=on_bad_iri)
-    write_prospects(counts, destination, run, mode, partitions)
+    write_prospects(counts, destination, run, mode, partitions or ranges_for(spark, size))
 
 
 def statistics_fetch_only(spark: SparkSession, prefix: str, files: str) -> None:
@@ -133,6 +179,7 @@ def statistics_combine(
 ) -> None:
     """Raw prospects in files → count table; second of two steps."""
     counts = aggregate_prospects(read_prospect_files(spark, files))
+    partitions = partitions or ranges_for(spark, bytes_of(spark, [files]))
     write_prospects(counts, destination, run, mode, partitions)
 
 

@@ -94,6 +94,8 @@ ZONE = T.StructType(
     ]
 )
 
+REJECT = T.StructType([T.StructField(name, T.StringType()) for name in ("path", "reason", "line")])
+
 TRIPLE_KEY = [
     "subject",
     "predicate",

@@ -104,10 +104,3 @@ def make_dir(spark: SparkSession, path: str) -> None:
     """Create a folder, unless it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Give a file another path on its file system."""
-    fs, path = file_system(spark, source)
-    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"{source} could not be moved to {target}")

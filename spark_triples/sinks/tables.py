@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +34,14 @@ from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIP
 from spark_triples.session import delete, glob, job_scratch, make_dir, stage
 from spark_triples.sources.tables import (
     index_paths,
-    read_documents,
+    last_documents,
     read_run,
 )
 
 MODES = ("add", "rerun", "replace")
+# Runs of a size class that are merged, and the size below which all runs are of the first class.
+TIER, FIRST_CLASS_BYTES = 4, 4 << 20
+OWN_NAME, MERGED = "own-", "merged-"
 _PROSPECT_ORDER = [*PROSPECT_KEY[1:], PROSPECT_KEY[0]]
 
 
@@ -50,10 +54,11 @@ def ensure_tables(spark: SparkSession, prefix: str) -> list[str]:
 
 
 def _checked(run: str | None, mode: str) -> str:
-    """The name of a run; one that is not named gets a name of its own."""
-    run = run or uuid.uuid4().hex
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+    """The name of a run; one that is not named gets a name of its own, which nobody can repeat
+    and which is forgotten when the run is merged."""
+    if run is not None and (run.startswith((OWN_NAME, MERGED)) or not re.fullmatch(r"[A-Za-z0-9_.-]+", run)):
         raise ValueError(f"not a name for a run: {run!r}")
+    run = run or OWN_NAME + uuid.uuid4().hex
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     return run
@@ -149,6 +154,7 @@ def write_indexes(
     mode: str = "add",
     partitions: int | None = None,
     sample: Sample | None = None,
+    beside: Callable[[str], None] | None = None,
 ) -> str:
     """Write triples to the three index tables, each in its own order and once, publish them
     together, and return the path of the first copy.
@@ -156,7 +162,8 @@ def write_indexes(
     The first copy takes one exchange: rows go to ranges of the whole row key, where
     equal ones become one. The others read its Parquet instead of the input. All ranges are
     laid out from one sample of the keys. Unless it is given, the triples are written as they
-    come first, and sampled there: so the input is evaluated once.
+    come first, and sampled there: so the input is evaluated once. ``beside`` gets the name of
+    the run's folder before the run is published, for what belongs to it.
     """
     spark, run = triples.sparkSession, _checked(run, mode)
     there, folder = _start(spark, prefix, run, mode)
@@ -168,6 +175,8 @@ def write_indexes(
             triples = stage(triples.select(*TRIPLE.names), "unsorted")
             sample = sample_of_files(triples, ranges)
         _write_copies(triples, prefix, folder, ranges, sample)
+    if beside is not None:
+        beside(folder)
     _publish(spark, prefix, run, folder, mode)
     return f"{prefix}spo/{folder}"
 
@@ -252,23 +261,31 @@ def write_prospects(
     run: str | None = None,
     mode: str = "add",
     partitions: int | None = None,
+    tier: int | None = TIER,
 ) -> None:
     """Write aggregated prospects to the count table, sorted for lookups.
 
     ``add``: the table's counts grow by these, once per run name however often the run
-    is repeated. ``replace``: these are the table's counts from now on.
+    is repeated. ``replace``: these are the table's counts from now on. Runs that are due by
+    size are merged afterwards (``tier`` None: never).
     """
     rows = prospects.select(*PROSPECT.names)
     write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
+    _merge_due(prospects.sparkSession, f"{table}/", [table], tier, _merge_prospects)
 
 
-def write_documents(docs: DataFrame, table: str, mode: str = "add") -> str:
+def write_documents(
+    docs: DataFrame, table: str, mode: str = "add", tier: int | None = TIER
+) -> str:
     """Write documents as the table's next run; a document replaces those of the same id
     from earlier runs. Only these documents are written, whatever the size of the table.
 
-    Writing the same documents again does no harm. The table has one writer at a time.
+    Writing the same documents again does no harm. The table has one writer at a time. Runs
+    that are due by size are merged afterwards (``tier`` None: never).
     """
-    return write_table(docs, table, mode=mode)
+    path = write_table(docs, table, mode=mode)
+    _merge_due(docs.sparkSession, f"{table}/", [table], tier, _merge_documents)
+    return path
 
 
 def export_documents(docs: DataFrame, path: str) -> None:
@@ -279,7 +296,7 @@ def export_documents(docs: DataFrame, path: str) -> None:
 def _merge_runs(spark: SparkSession, root: str, runs: list[Run], folder: str) -> None:
     """Publish ``folder`` in place of ``runs``. Their names stay known, so that adding one of
     them again still changes nothing. Runs that came meanwhile stay."""
-    names = tuple(sorted(manifest.names_of(runs)))
+    names = tuple(sorted(n for n in manifest.names_of(runs) if not n.startswith((OWN_NAME, MERGED))))
     number = max((r.number for r in runs), default=0)
 
     def change(_: int, state: dict) -> dict:
@@ -287,7 +304,7 @@ def _merge_runs(spark: SparkSession, root: str, runs: list[Run], folder: str) ->
         if not set(runs) <= set(now):
             raise RuntimeError(f"{root}: merged runs were replaced meanwhile")
         rest = [r for r in now if r not in runs]
-        return state | {"runs": [Run("merged-" + folder[-8:], folder, number, names), *rest]}
+        return state | {"runs": [Run(MERGED + folder[-8:], folder, number, names), *rest]}
 
     manifest.update(spark, root, change)
 
@@ -296,9 +313,46 @@ def _merged_folder(runs: list[Run]) -> str:
     return manifest.new_folder(max((r.number for r in runs), default=0), "merged")
 
 
-def compact_index(spark: SparkSession, prefix: str, partitions: int | None = None) -> None:
-    """Rewrite the index tables with their runs merged."""
-    runs = manifest.read_runs(spark, prefix)
+def runs_due(sizes: list[int], tier: int) -> int:
+    """How many of the newest runs are to be merged, given the bytes of all, the oldest first.
+
+    Runs are in size classes, each ``tier`` times the one before. When the end of the list has
+    ``tier`` runs of a class and none above, that end is merged. A row is rewritten once
+    for each class it passes, and fewer than ``tier`` runs of a class stay: both grow with the
+    logarithm of the table. Only neighbours are merged, so the order of runs stays.
+    """
+    classes = []
+    for size in sizes:
+        k = 0
+        while size >= FIRST_CLASS_BYTES * tier**k:
+            k += 1
+        classes.append(k)
+    for k in sorted(set(classes)):
+        n = next((n for n, c in enumerate(reversed(classes)) if c > k), len(classes))
+        if classes[len(classes) - n :].count(k) >= tier:
+            return n
+    return 0
+
+
+def _merge_due(
+    spark: SparkSession,
+    root: str,
+    copies: list[str],
+    tier: int | None,
+    merge: Callable[[SparkSession, str, list[Run]], None],
+) -> None:
+    """Merge what is due by size, again until nothing is."""
+    while tier is not None:
+        runs = manifest.read_runs(spark, root)
+        sizes = [bytes_of(spark, [f"{copy}/{r.folder}" for copy in copies]) for r in runs]
+        if (n := runs_due(sizes, tier)) < 2:
+            return
+        merge(spark, root, runs[-n:])
+
+
+def _merge_indexes(
+    spark: SparkSession, prefix: str, runs: list[Run], partitions: int | None = None
+) -> None:
     folder = _merged_folder(runs)
     paths = [f"{prefix}spo/{r.folder}" for r in runs]
     triples = read_run(spark, paths, TRIPLE)
@@ -309,32 +363,58 @@ def compact_index(spark: SparkSession, prefix: str, partitions: int | None = Non
     _merge_runs(spark, prefix, runs, folder)
 
 
-def compact_prospects(spark: SparkSession, table: str, partitions: int | None = None) -> None:
-    """Rewrite the count table with the counts of its runs added up."""
-    runs = manifest.read_runs(spark, f"{table}/")
+def _merge_prospects(
+    spark: SparkSession, root: str, runs: list[Run], partitions: int | None = None
+) -> None:
     folder = _merged_folder(runs)
-    paths = [f"{table}/{r.folder}" for r in runs]
+    paths = [f"{root}{r.folder}" for r in runs]
     merged = aggregate_prospects(read_run(spark, paths, PROSPECT))
-    partitions = partitions or ranges_for(spark, bytes_of(spark, paths))
+    partitions = partitions or ranges_of(spark, bytes_of(spark, paths))
     rows = in_key_order(merged.select(*PROSPECT.names), _PROSPECT_ORDER, partitions)
-    rows.write.parquet(f"{table}/{folder}")
-    _merge_runs(spark, f"{table}/", runs, folder)
+    rows.write.parquet(f"{root}{folder}")
+    _merge_runs(spark, root, runs, folder)
 
 
-def compact_documents(spark: SparkSession, table: str) -> None:
-    """Rewrite the document table without replaced documents. It has one writer at a time."""
-    runs = manifest.read_runs(spark, f"{table}/")
+def _merge_documents(spark: SparkSession, root: str, runs: list[Run]) -> None:
     folder = _merged_folder(runs)
+    paths = [f"{root}{r.folder}" for r in runs]
     with job_scratch(spark):
-        read_documents(spark, table).write.parquet(f"{table}/{folder}")
-    _merge_runs(spark, f"{table}/", runs, folder)
+        values = last_documents(spark, root.rstrip("/"), paths)
+        values = values.coalesce(ranges_of(spark, bytes_of(spark, paths)))
+        values.write.parquet(f"{root}{folder}")
+    _merge_runs(spark, root, runs, folder)
+
+
+def compact_index(
+    spark: SparkSession, prefix: str, partitions: int | None = None, tier: int | None = None
+) -> None:
+    """Rewrite the index tables with their runs merged; with a ``tier``, only runs that are due by
+    size. A refresh that follows runs sees the triples of a merged run anew."""
+    if tier is not None:
+        copies = [f"{prefix}{name}" for name in LAYOUTS]
+        _merge_due(spark, prefix, copies, tier, _merge_indexes)
+    elif runs := manifest.read_runs(spark, prefix):
+        _merge_indexes(spark, prefix, runs, partitions)
+
+
+def compact_prospects(spark: SparkSession, table: str, partitions: int | None = None) -> None:
+    """Rewrite the count table with the counts of its runs added up."""
+    if runs := manifest.read_runs(spark, f"{table}/"):
+        _merge_prospects(spark, f"{table}/", runs, partitions)
+
+
+def compact_documents(spark: SparkSession, table: str) -> None:
+    """Rewrite the document table without replaced documents. It has one writer at a time."""
+    if runs := manifest.read_runs(spark, f"{table}/"):
+        _merge_documents(spark, f"{table}/", runs)
 
 
 def remove_old(spark: SparkSession, prefix: str, tables: tuple[str, ...] = tuple(LAYOUTS)) -> None:
     """Remove the folders of runs that the last manifest does not name: replaced and merged
     runs, and failed attempts. Not while jobs write or read an older state."""
     kept = {run.folder for run in manifest.read_runs(spark, prefix)}
-    for entry in glob(spark, f"{prefix}zones/run=*"):
+    beside = [e for name in ("zones", "rejects") for e in glob(spark, f"{prefix}{name}/run=*")]
+    for entry in beside:
         if entry.path.rsplit("/", 1)[1] not in kept:
             delete(spark, entry.path)
     for table in tables:

@@ -119,6 +119,15 @@ def parse_lines(
     return normalise(statements.select(*kept, corrupt), keep=("_corrupt",))
 
 
+def malformed_lines(lines: DataFrame, quads: bool = False) -> DataFrame:
+    """(path, reason, line) of the lines that are no statements."""
+    value = F.col("value")
+    good = ntriples.is_well_formed(ntriples.match_line(value, quads))
+    return lines.filter(ntriples.is_statement_line(value) & ~good).select(
+        F.col("file_path").alias("path"), F.lit("malformed line").alias("reason"), value.alias("line")
+    )
+
+
 def _is_hidden(path: str) -> bool:
     return path.rsplit("/", 1)[-1].startswith(HIDDEN)
 
@@ -208,8 +217,10 @@ def list_sources(spark: SparkSession, patterns: list[str]) -> DataFrame:
 
 
 def rejected_sources(spark: SparkSession, patterns: list[str]) -> DataFrame:
-    """(path, reason) of what a read skips: directories, hidden and unknown names."""
+    """(path, reason) of what a read skips: directories, hidden names, and names of no known
+    format, except where the pattern says that lines are read."""
     skipped = []
+    whole = [p for p in patterns if not p.lower().endswith("." + LINE_EXTENSION)]
     for pattern in patterns:
         by_wildcard = re.search(WILDCARD, pattern) is not None
         for e in glob(spark, pattern):
@@ -220,7 +231,9 @@ def rejected_sources(spark: SparkSession, patterns: list[str]) -> DataFrame:
                 skipped += [(x.path, "hidden name") for x in inside if _is_hidden(x.path)]
             elif _is_hidden(e.path):
                 skipped.append((e.path, "hidden name"))
-    unknown = list_sources(spark, patterns).filter(F.col("format").isNull())
+    if not whole:
+        return spark.createDataFrame(skipped, "path string, reason string")
+    unknown = list_sources(spark, whole).filter(F.col("format").isNull())
     return spark.createDataFrame(skipped, "path string, reason string").unionByName(
         unknown.select("path", F.lit("unknown format").alias("reason"))
     )
@@ -296,3 +309,15 @@ def read_sources(
     if whole:
         parts.append(read_whole_files(spark, whole, parsers, mode, share))
     return union_triples(*parts)
+
+
+def rejected_lines(spark: SparkSession, spec: str) -> DataFrame:
+    """(path, reason, line) of the malformed lines of a source option. Lines alone are matched:
+    whole-file parsers fail the job."""
+    patterns = split_sources(spec)
+    by_line = [p for p in patterns if p.lower().endswith("." + LINE_EXTENSION)]
+    whole = [p for p in patterns if p not in by_line]
+    parts = [malformed_lines(read_lines(spark, by_line))] if by_line else []
+    for name in ("N-Triples", "N-Quads") if whole else ():
+        parts.append(malformed_lines(read_lines(spark, whole, name), name == "N-Quads"))
+    return union_triples(*parts)

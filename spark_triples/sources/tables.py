@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_triples.manifest import read_runs, read_state
+from spark_triples.manifest import Run, read_runs, read_state
 from spark_triples.operators.documents import document_values, group_by_subject, nest_documents
 from spark_triples.operators.prospects import aggregate_prospects
 from spark_triples.operators.skew import key_join
@@ -19,7 +19,16 @@ from spark_triples.operators.triples import (
     require_not_null,
     visible,
 )
-from spark_triples.schema import DOCUMENT, KEY_TAIL, LAYOUTS, PROSPECT, TRIPLE, ZONE
+from spark_triples.schema import (
+    DOCUMENT,
+    KEY_TAIL,
+    LAYOUTS,
+    PROSPECT,
+    REJECT,
+    TRIPLE,
+    TRIPLE_KEY,
+    ZONE,
+)
 from spark_triples.session import glob
 
 
@@ -160,7 +169,12 @@ def read_prospects(spark: SparkSession, table: str) -> DataFrame:
 def read_documents(spark: SparkSession, table: str) -> DataFrame:
     """The values in the document table; of a document written by several runs, the last one.
     ``nest_documents`` makes one row per document of them."""
-    paths = run_paths(spark, table)
+    return last_documents(spark, table, run_paths(spark, table))
+
+
+def last_documents(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    """The values in some runs of the document table, the oldest first; of a document written by
+    several of them, the last one."""
     if len(paths) < 2:
         return read_run(spark, paths, DOCUMENT)
     runs = spark.read.option("basePath", table).schema(
@@ -175,6 +189,39 @@ def read_documents(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def read_rejects(spark: SparkSession, prefix: str) -> DataFrame:
+    """(path, reason, line) of what the published loads left out: files that were not read, and
+    malformed lines."""
+    there = {e.path.rstrip("/").rsplit("/", 1)[1] for e in glob(spark, f"{prefix}rejects/run=*")}
+    folders = [run.folder for run in read_runs(spark, prefix) if run.folder in there]
+    return read_run(spark, [f"{prefix}rejects/{f}" for f in folders], REJECT)
+
+
+def new_triples(spark: SparkSession, prefix: str, run: Run) -> DataFrame:
+    """The triples of a run that no run published before it has.
+
+    Only rows of earlier runs whose key hashes as one of this run's are compared with it, so a
+    small load is checked against a large table by a scan that broadcasts hashes.
+    """
+    triples = read_run(spark, f"{prefix}spo/{run.folder}", TRIPLE)
+    earlier = [r for r in read_runs(spark, prefix) if r.number < run.number]
+    if not earlier:
+        return triples
+    low, high = triples.agg(F.min("subject"), F.max("subject")).first()
+    if low is None:
+        return triples
+    before = read_run(spark, [f"{prefix}spo/{r.folder}" for r in earlier], TRIPLE)
+    before = before.filter(F.col("subject").between(low, high))
+    row_hash = F.xxhash64(*TRIPLE_KEY)
+    hashes = triples.select(row_hash.alias("_hash"))
+    held = key_join(before.withColumn("_hash", row_hash), hashes, "_hash", "left_semi")
+    held = held.select("_hash", *[F.col(c).alias(f"_{c}") for c in TRIPLE_KEY])
+    same = F.col("_hash") == row_hash
+    for c in TRIPLE_KEY:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return triples.join(held, same, "left_anti")
+
+
 def read_checkpoint(
     spark: SparkSession, path: str, start_ms: int | None = None
 ) -> int | None:

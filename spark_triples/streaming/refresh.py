@@ -10,8 +10,8 @@ from spark_triples.manifest import read_state
 from spark_triples.operators.documents import document_values
 from spark_triples.operators.triples import filter_property, normalise, visible
 from spark_triples.plans.flows import subjects_of_runs, triples_of_subjects
-from spark_triples.schema import STREAM_LAG, TRIPLE
-from spark_triples.session import job_scratch
+from spark_triples.schema import STREAM_LAG, TRIPLE, TRIPLE_KEY
+from spark_triples.session import job_scratch, make_dir
 from spark_triples.sinks.tables import commit_checkpoint, write_documents
 from spark_triples.sources.files import parse_lines
 from spark_triples.sources.tables import read_seen
@@ -36,12 +36,19 @@ def with_watermark(triples: DataFrame) -> DataFrame:
     return stamped.withWatermark("ts", STREAM_LAG)
 
 
+def distinct_triples(triples: DataFrame) -> DataFrame:
+    """A stream's triples, each the first time it is seen within the lag of the watermark. The
+    state has the keys of that time only, hash-partitioned by the whole key."""
+    return with_watermark(triples).dropDuplicatesWithinWatermark(TRIPLE_KEY)
+
+
 def ingest(
-    triples: DataFrame, path: str, checkpoint: str, once: bool = True
+    triples: DataFrame, path: str, checkpoint: str, once: bool = True, distinct: bool = False
 ) -> StreamingQuery:
-    """Append a stream of triples to Parquet files, each row once."""
+    """Append a stream of triples to Parquet files, each row once, or each triple once within
+    the lag of the watermark (``distinct``)."""
     writer = (
-        with_watermark(triples)
+        (distinct_triples(triples) if distinct else with_watermark(triples))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
@@ -51,7 +58,9 @@ def ingest(
 
 
 def stream_runs(spark: SparkSession, prefix: str) -> DataFrame:
-    """The manifests of an index as they are written: a signal that runs were published."""
+    """The manifests of an index as they are written: a signal that runs were published. The
+    index may still be empty."""
+    make_dir(spark, f"{prefix}manifests")
     return spark.readStream.text(f"{prefix}manifests")
 
 
