@@ -12,7 +12,7 @@ from spark_triples.session import glob, shared_dir
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import tables as sources
 
-from .fixtures import ENTITY_1, ENTITY_2, FIVE, INTEGER, PRED, PRED_1
+from .fixtures import AT, DECIMAL, EVENING, GRAPH, MAST, MORNING, NAME, STATION, TEMPERATURE
 
 NOW = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
 OLD = NOW - timedelta(seconds=60_000)
@@ -23,11 +23,13 @@ def row(subject, predicate, obj, object_type=XSD_STRING, lang=None, ts=OLD):
 
 
 CHANGED = [
-    row(ENTITY_1, PRED, "alpha", lang="en"),
-    row(ENTITY_1, PRED, "beta"),
-    row(ENTITY_2, PRED, "40", INTEGER),
-    row(ENTITY_2, PRED_1, "40"),
-    row(ENTITY_1, PRED, "40", ts=NOW),
+    row(STATION, NAME, "Blindern", LANG_STRING, "no"),
+    row(MAST, TEMPERATURE, "3", DECIMAL),
+    row(MORNING, AT, STATION, ANYURI),
+    row(MORNING, TEMPERATURE, "-4.5", DECIMAL),
+    row(EVENING, TEMPERATURE, "cold", LANG_STRING, "en"),
+    row(EVENING, TEMPERATURE, "-4.5", DECIMAL),
+    row(EVENING, TEMPERATURE, "-6", DECIMAL, ts=NOW),
 ]
 
 
@@ -70,12 +72,13 @@ def table(make_triples, tmp_path):
 
 
 def test_all_documents(make_triples):
-    first = (ENTITY_1, PRED, "alpha", XSD_STRING, "en")
-    triples = filter_property(make_triples([first, *FIVE[1:]]), [PRED])
-    field = f"p_{PRED}"
+    triples = filter_property(make_triples(GRAPH), [NAME, TEMPERATURE])
+    name, degrees = f"p_{NAME}", f"p_{TEMPERATURE}"
     assert as_map(nested(triples)) == {
-        (ENTITY_1, 0): ({field: ["40", "alpha", "beta"]}, ["40", "alpha", "beta"]),
-        (ENTITY_2, 0): ({field: ["40"]}, ["40"]),
+        (STATION, 0): ({name: ["Blindern", "Oslo west"]}, ["Blindern", "Oslo west"]),
+        (MAST, 0): ({degrees: ["3"]}, ["3"]),
+        (MORNING, 0): ({degrees: ["-4.5"]}, ["-4.5"]),
+        (EVENING, 0): ({degrees: ["-4.5", "-4.5"]}, ["-4.5", "-4.5"]),
     }
 
 
@@ -84,7 +87,7 @@ def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
     flows.fulltext_incremental(
         spark,
         table,
-        [PRED],
+        [TEMPERATURE],
         docs,
         checkpoint,
         start=(NOW - timedelta(seconds=10)).isoformat(),
@@ -96,9 +99,9 @@ def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
     assert len(found) == 1
     assert json.loads(found[0]["json"]) == {
         "context": "null",
-        "text": ["40", "alpha", "beta"],
-        "uri": ENTITY_1,
-        f"p_{PRED}": ["40", "alpha", "beta"],
+        "text": ["-4.5", "-6", "cold"],
+        "uri": EVENING,
+        f"p_{TEMPERATURE}": ["-4.5", "-6", "cold"],
     }
     assert sources.read_checkpoint(spark, checkpoint) == ms(NOW)
     assert not glob(spark, f"{shared_dir(spark)}/job-*")
@@ -106,17 +109,17 @@ def test_changed_subject_is_rebuilt_whole(spark, table, tmp_path):
 
 def test_next_run_starts_at_the_stored_end(spark, table, make_triples, tmp_path):
     docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
-    flows.fulltext_full(spark, table, [PRED], docs, checkpoint, end=NOW.isoformat())
-    assert len(as_map(sources.read_documents(spark, docs))) == 2
+    flows.fulltext_full(spark, table, [TEMPERATURE], docs, checkpoint, end=NOW.isoformat())
+    assert len(as_map(sources.read_documents(spark, docs))) == 3
     later = NOW + timedelta(seconds=100)
-    sinks.write_indexes(make_triples([row(ENTITY_2, PRED, "new", ts=later)]), table, run="1")
+    sinks.write_indexes(make_triples([row(MORNING, TEMPERATURE, "new", ts=later)]), table, run="1")
     for _ in range(2):
         flows.fulltext_incremental(
-            spark, table, [PRED], docs, checkpoint, end=(later + timedelta(1)).isoformat()
+            spark, table, [TEMPERATURE], docs, checkpoint, end=(later + timedelta(1)).isoformat()
         )
     found = whole(sources.read_documents(spark, docs))
-    assert found[ENTITY_2][1] == ["40", "new"]
-    assert found[ENTITY_1][1] == ["40", "alpha", "beta"]
+    assert found[MORNING][1] == ["-4.5", "new"]
+    assert found[EVENING][1] == ["-4.5", "-6", "cold"]
     sinks.compact_documents(spark, docs)
     assert whole(sources.read_documents(spark, docs)) == found
     assert len(sources.run_paths(spark, docs)) == 1
@@ -127,7 +130,7 @@ def test_checkpoint_needs_a_finished_sink(spark, table, tmp_path, monkeypatch):
     monkeypatch.setattr(flows, "write_documents", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         flows.fulltext_incremental(
-            spark, table, [PRED], f"{tmp_path}/docs", checkpoint, end=NOW.isoformat()
+            spark, table, [TEMPERATURE], f"{tmp_path}/docs", checkpoint, end=NOW.isoformat()
         )
     assert sources.read_checkpoint(spark, checkpoint) is None
 
@@ -146,14 +149,14 @@ def test_end_time_is_required(spark, table, make_triples, tmp_path):
     with pytest.raises(ValueError, match="end time"):
         filter_time(make_triples(CHANGED), 0, None)
     with pytest.raises(ValueError, match="end time"):
-        flows.fulltext_incremental(spark, table, [PRED], f"{tmp_path}/d", f"{tmp_path}/c", None)
+        flows.fulltext_incremental(spark, table, [TEMPERATURE], f"{tmp_path}/d", f"{tmp_path}/c", None)
 
 
 def test_time_range_includes_both_ends(make_triples):
     triples = make_triples(CHANGED)
-    assert filter_time(triples, ms(OLD), ms(OLD)).count() == 4
-    assert filter_time(triples, ms(OLD), ms(NOW)).count() == 5
-    assert filter_time(triples, None, ms(NOW) - 1).count() == 4
+    assert filter_time(triples, ms(OLD), ms(OLD)).count() == 6
+    assert filter_time(triples, ms(OLD), ms(NOW)).count() == 7
+    assert filter_time(triples, None, ms(NOW) - 1).count() == 6
     assert filter_time(triples, ms(OLD) + 1, ms(NOW)).count() == 1
 
 
@@ -165,7 +168,7 @@ def test_several_properties_and_value_kinds(make_triples):
         row("u:s", "u:a", "u:iri", ANYURI),
         row("u:s", "u:c", "u:iri", ANYURI),
         row("u:only-iris", "u:a", "u:iri", ANYURI),
-        row("u:s", "u:a", "x", INTEGER),
+        row("u:s", "u:a", "x", DECIMAL),
     ]
     assert as_map(nested(make_triples(rows))) == {
         ("u:s", 0): ({"p_u:a": ["x", "x"], "p_u:b": ["y", "z"]}, ["x", "x", "y", "z"]),
@@ -283,13 +286,13 @@ def test_json_export(spark, make_triples, tmp_path):
 def test_a_load_that_ends_after_the_refresh_is_seen(spark, table, make_triples, tmp_path):
     """Its triples have the time at which it began, before the stored end."""
     docs, checkpoint = f"{tmp_path}/docs", f"{tmp_path}/checkpoint"
-    flows.fulltext_full(spark, table, [PRED], docs, checkpoint, end=NOW.isoformat())
+    flows.fulltext_full(spark, table, [TEMPERATURE], docs, checkpoint, end=NOW.isoformat())
     early = NOW - timedelta(days=3)
-    sinks.write_indexes(make_triples([row(ENTITY_2, PRED, "slow", ts=early)]), table, run="slow")
+    sinks.write_indexes(make_triples([row(MAST, TEMPERATURE, "slow", ts=early)]), table, run="slow")
     flows.fulltext_incremental(
-        spark, table, [PRED], docs, checkpoint, end=(NOW + timedelta(seconds=5)).isoformat()
+        spark, table, [TEMPERATURE], docs, checkpoint, end=(NOW + timedelta(seconds=5)).isoformat()
     )
-    assert "slow" in whole(sources.read_documents(spark, docs))[ENTITY_2][1]
+    assert "slow" in whole(sources.read_documents(spark, docs))[MAST][1]
 
 
 def test_the_last_checkpoint_counts(spark, tmp_path):

@@ -14,25 +14,18 @@ from spark_triples.sources import files
 from spark_triples.sources.tables import scan_index
 from spark_triples.sources.turtle import parse_turtle
 
-from .fixtures import NT_LINES, TURTLE
+from .fixtures import FILED, NT_LINES, TURTLE
 
-LABEL = "http://www.w3.org/2000/01/rdf-schema#label"
-RELATED = "urn:p:related"
-SIX = {
-    ("urn:a", RDF_TYPE, "urn:class:1", ANYURI),
-    ("urn:a", LABEL, "a", XSD_STRING),
-    ("urn:a", RELATED, "urn:b", ANYURI),
-    ("urn:b", RDF_TYPE, "urn:class:1", ANYURI),
-    ("urn:b", LABEL, "b", XSD_STRING),
-    ("urn:b", RELATED, "urn:a", ANYURI),
-}
+
+
+BY_LINE = {t for t in FILED if t[0] in ("urn:boat:7", "urn:harbour:north")}
 
 
 @pytest.fixture
 def source_dir(tmp_path):
-    (tmp_path / "test-1.nt").write_text("\n".join(NT_LINES))
+    (tmp_path / "north.nt").write_text("\n".join(NT_LINES))
     (tmp_path / "folder").mkdir()
-    (tmp_path / "folder" / "test-2.ttl").write_text(TURTLE)
+    (tmp_path / "folder" / "south.ttl").write_text(TURTLE)
     return tmp_path
 
 
@@ -62,7 +55,7 @@ def test_route(spark):
 def test_both_routes(spark, source_dir):
     spec = f"{source_dir}/*.nt,{source_dir}/folder/*.ttl"
     loaded = files.read_sources(spark, spec)
-    assert len(rows(loaded)) == 6 and set(rows(loaded)) == SIX
+    assert len(rows(loaded)) == len(FILED) and set(rows(loaded)) == FILED
     assert {r["visibility"] for r in loaded.collect()} == {""}
     assert loaded.filter("ts is null").count() == 0
 
@@ -74,10 +67,10 @@ def test_bulk_load_finds_every_triple(spark, source_dir, tmp_path):
     spec = f"{source_dir}/*.nt,{source_dir}/folder/*.ttl"
     flows.bulk_load(spark, spec, prefix)
     for layout in ("spo", "po", "osp"):
-        assert set(rows(scan_index(spark, prefix, layout))) == SIX
-    for s, p, o, _ in SIX:
+        assert set(rows(scan_index(spark, prefix, layout))) == FILED
+    for s, p, o, _ in FILED:
         index = scan_index(spark, prefix, choose_layout(s, p, o))
-        assert rows(match_pattern(index, s, p, o)) == [next(t for t in SIX if t[:3] == (s, p, o))]
+        assert rows(match_pattern(index, s, p, o)) == [next(t for t in FILED if t[:3] == (s, p, o))]
     assert rows(match_pattern(scan_index(spark, prefix, "osp"), obj="urn:c")) == []
 
 
@@ -85,11 +78,11 @@ def test_loading_twice_changes_nothing_but_times(spark, source_dir, tmp_path):
     prefix, spec = f"{tmp_path}/twice_", f"{source_dir}/*.nt"
     flows.bulk_load(spark, spec, prefix, run="1")
     flows.bulk_load(spark, spec, prefix, run="1")
-    assert len(rows(scan_index(spark, prefix))) == 3
+    assert len(rows(scan_index(spark, prefix))) == len(NT_LINES)
     first = scan_index(spark, prefix).agg(F.max("ts")).first()[0]
     flows.bulk_load(spark, spec, prefix, run="2")
     merged = scan_index(spark, prefix)
-    assert len(rows(merged)) == 3
+    assert len(rows(merged)) == len(NT_LINES)
     assert merged.agg(F.min("ts")).first()[0] > first
 
 
@@ -97,7 +90,7 @@ def test_wildcard_skips_directories_and_unknown_names(spark, source_dir):
     (source_dir / "notes.txt").write_text("not RDF")
     (source_dir / "noext").write_text("not RDF")
     found = files.read_whole_files(spark, [f"{source_dir}/*"])
-    assert {r[0] for r in rows(found)} == {"urn:a"}
+    assert set(rows(found)) == BY_LINE
     rejected = files.rejected_sources(spark, [f"{source_dir}/*"]).collect()
     reasons = {r["path"].rsplit("/", 1)[-1]: r["reason"] for r in rejected}
     assert reasons == {
@@ -327,6 +320,40 @@ def test_predicates_and_datatypes_are_iris(text):
         list(files.parse_turtle(text.encode(), "f"))
 
 
+@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
+def test_a_load_tells_what_it_left_out(spark, source_dir, tmp_path, mode):
+    from spark_triples.sources.tables import read_rejects
+
+    (source_dir / "bad.nt").write_text('<urn:x> <urn:p> "1" .\nno statement\n# a comment\n<urn:y> .')
+    (source_dir / "folder" / "notes.txt").write_text("not RDF")
+    prefix = f"{tmp_path}/bad_"
+    spec = f"{source_dir}/bad.nt,{source_dir}/folder/*"
+    with pytest.raises(Exception, match="malformed line"):
+        flows.bulk_load(spark, spec, prefix)
+    assert read_rejects(spark, prefix).count() == 0  # nothing is published
+    for _ in range(2):
+        flows.bulk_load_with_statistics(spark, spec, prefix, f"{tmp_path}/counts", on_bad_line=mode)
+    assert set(rows(scan_index(spark, prefix))) == {
+        ("urn:x", "urn:p", "1", XSD_STRING), *(t for t in FILED if t not in BY_LINE)
+    }
+    found = {(r["path"].rsplit("/", 1)[1], r["reason"], r["line"]) for r in read_rejects(spark, prefix).collect()}
+    assert found == {
+        ("bad.nt", "malformed line", "no statement"),
+        ("bad.nt", "malformed line", "<urn:y> ."),
+        ("notes.txt", "unknown format", None),
+    }
+
+
+def test_many_lines_in_ranges(spark, tmp_path, monkeypatch):
+    """Ranges are laid out from a share of the lines."""
+    monkeypatch.setattr(flows, "SAMPLED_PER_RANGE", 40)
+    lines = [f'<urn:s{k % 700}> <urn:p{k % 3}> "{k % 900}" .' for k in range(4000)]
+    (tmp_path / "many.nt").write_text("\n".join(lines))
+    flows.bulk_load(spark, f"{tmp_path}/many.nt", f"{tmp_path}/m_", partitions=4)
+    assert len(rows(scan_index(spark, f"{tmp_path}/m_"))) == len(set(lines))
+    assert len(scan_index(spark, f"{tmp_path}/m_", "osp").inputFiles()) == 4
+
+
 def test_bulk_loads_add_up(spark, source_dir, tmp_path):
     """Without a name a load is named by its files: others add, the same change nothing."""
     prefix, counts = f"{tmp_path}/add_", f"{tmp_path}/counts"

@@ -4,16 +4,16 @@ from pyspark.sql import functions as F
 from spark_triples.operators import prospects
 from spark_triples.operators.triples import visible
 from spark_triples.plans import flows
-from spark_triples.schema import ANYURI, PROSPECT, TYPES, XSD_STRING
+from spark_triples.schema import ANYURI, LANG_STRING, PROSPECT, TYPES, XSD_STRING
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import tables as sources
 
-from .fixtures import ENTITY_1, FIVE, FIVE_COUNTS, NT_LINES, PRED, counts_of
+from .fixtures import COUNTS, GRAPH, NT_LINES, STATION, TEMPERATURE, counts_of
 
 
 @pytest.fixture
-def five(make_triples):
-    return make_triples(FIVE)
+def graph(make_triples):
+    return make_triples(GRAPH)
 
 
 def ask(spark, *requests):
@@ -21,14 +21,14 @@ def ask(spark, *requests):
     return spark.createDataFrame(requests, schema)
 
 
-def test_all_counts(five):
-    counts = prospects.prospect_counts(five)
-    assert counts_of(counts) == FIVE_COUNTS
+def test_all_counts(graph):
+    counts = prospects.prospect_counts(graph)
+    assert counts_of(counts) == COUNTS
     assert {(r["index_name"], r["visibility"]) for r in counts.collect()} == {("count", "")}
 
 
 def test_counts_equal_aggregated_rows(make_triples):
-    triples = make_triples([*FIVE, ("http://a/b", PRED, ""), ("u:x", PRED, "40", ANYURI)])
+    triples = make_triples([*GRAPH, ("http://a/b", TEMPERATURE, ""), ("u:x", TEMPERATURE, "-4.5", ANYURI)])
     rows = prospects.explode_prospects(triples)
     assert rows.count() == 7 * triples.count()
     assert rows.agg(F.max("count")).first()[0] == 1
@@ -38,9 +38,9 @@ def test_counts_equal_aggregated_rows(make_triples):
 
 
 @pytest.mark.parametrize("name", TYPES)
-def test_counts_of_one_type(five, name):
-    expected = {k: n for k, n in FIVE_COUNTS.items() if k[0] == name}
-    assert counts_of(prospects.count_by_type(five, name)) == expected
+def test_counts_of_one_type(graph, name):
+    expected = {k: n for k, n in COUNTS.items() if k[0] == name}
+    assert counts_of(prospects.count_by_type(graph, name)) == expected
 
 
 def test_visibility_is_part_of_the_key(make_triples):
@@ -69,22 +69,22 @@ def test_empty_input(make_triples):
 
 
 @pytest.mark.parametrize("broadcast_keys", [prospects.BROADCAST_KEYS, 0])
-def test_cardinality(spark, five, broadcast_keys):
-    counts = prospects.prospect_counts(five)
+def test_cardinality(spark, graph, broadcast_keys):
+    counts = prospects.prospect_counts(graph)
     requests = ask(
         spark,
-        ("predicate", [PRED], ANYURI),
-        ("object", ["alpha"], XSD_STRING),
-        ("object", ["mydata3"], XSD_STRING),
-        ("predicateobject", [PRED, "40"], XSD_STRING),
-        ("predicate", [PRED], ANYURI),
+        ("predicateobject", [TEMPERATURE, "-4.5"], XSD_STRING),
+        ("object", ["fog"], XSD_STRING),
+        ("object", ["Blindern"], LANG_STRING),
+        ("subject", [STATION], ANYURI),
+        ("subject", [STATION], ANYURI),
     )
     found = prospects.cardinality(counts, requests, broadcast_keys=broadcast_keys)
     assert {r["data"]: r["cardinality"] for r in found.collect()} == {
-        PRED: 4.0,
-        "alpha": 1.0,
-        "mydata3": -1.0,
-        f"{PRED}\0" + "40": 2.0,
+        f"{TEMPERATURE}\0" + "-4.5": 3.0,
+        "fog": -1.0,
+        "Blindern": 1.0,
+        STATION: 3.0,
     }
 
 
@@ -98,50 +98,52 @@ def test_lookup_respects_visibility(spark, make_triples):
     assert both["cardinality"] == 2.0
 
 
-def test_table_rows(five):
-    rows = prospects.prospect_to_row(prospects.count_by_type(five, "entity")).collect()
-    assert [(r["row_key"], r["family"], r["qualifier"], r["value"]) for r in rows] == [
-        ("entity\0urn:lib:book", "count", ANYURI, "5")
-    ]
+def test_table_rows(graph):
+    rows = prospects.prospect_to_row(prospects.count_by_type(graph, "entity")).collect()
+    assert {(r["row_key"], r["family"], r["qualifier"], r["value"]) for r in rows} == {
+        ("entity\0urn:reading", "count", ANYURI, "5"),
+        ("entity\0http://weather.example/station", "count", ANYURI, "3"),
+        ("entity\0_", "count", ANYURI, "1"),
+    }
 
 
-def test_jobs_in_one_and_two_steps_agree(spark, five, tmp_path):
+def test_jobs_in_one_and_two_steps_agree(spark, graph, tmp_path):
     prefix = f"{tmp_path}/t_"
-    hidden = five.limit(1).withColumn("visibility", F.lit("U"))
-    sinks.write_indexes(five.unionByName(hidden), prefix)
+    hidden = graph.limit(1).withColumn("visibility", F.lit("U"))
+    sinks.write_indexes(graph.unionByName(hidden), prefix)
     flows.statistics(spark, prefix, f"{tmp_path}/direct")
     flows.statistics_fetch_only(spark, prefix, f"{tmp_path}/files")
     flows.statistics_combine(spark, f"{tmp_path}/files", f"{tmp_path}/combined")
     for table in ("direct", "combined"):
-        assert counts_of(sources.read_prospects(spark, f"{tmp_path}/{table}")) == FIVE_COUNTS
+        assert counts_of(sources.read_prospects(spark, f"{tmp_path}/{table}")) == COUNTS
     raw = sources.read_prospect_files(spark, f"{tmp_path}/files")
-    assert raw.count() == 35
+    assert raw.count() == 7 * len(GRAPH)
     one = raw.filter(
-        (F.col("triple_value_type") == "subject") & (F.col("data") == ENTITY_1)
+        (F.col("triple_value_type") == "subject") & (F.col("data") == STATION)
     )
     assert one.count() == 3
 
 
-def test_statistics_replace_earlier_counts(spark, five, tmp_path):
+def test_statistics_replace_earlier_counts(spark, graph, tmp_path):
     prefix, table = f"{tmp_path}/t_", f"{tmp_path}/counts"
-    sinks.write_indexes(five, prefix)
+    sinks.write_indexes(graph, prefix)
     for _ in range(2):
         flows.statistics(spark, prefix, table)
-    assert counts_of(sources.read_prospects(spark, table)) == FIVE_COUNTS
+    assert counts_of(sources.read_prospects(spark, table)) == COUNTS
 
 
 def test_runs_add_up_once_each(spark, make_triples, tmp_path):
     table = f"{tmp_path}/counts"
-    halves = [make_triples(FIVE[:2]), make_triples(FIVE[2:])]
+    halves = [make_triples(GRAPH[:2]), make_triples(GRAPH[2:])]
     for number in (0, 1, 1, 0):
         counts = prospects.prospect_counts(halves[number])
         sinks.write_prospects(counts, table, run=f"half-{number}")
-    assert counts_of(sources.read_prospects(spark, table)) == FIVE_COUNTS
+    assert counts_of(sources.read_prospects(spark, table)) == COUNTS
     merged = prospects.merge_prospects(*[prospects.prospect_counts(h) for h in halves])
-    assert counts_of(merged) == FIVE_COUNTS
+    assert counts_of(merged) == COUNTS
     sinks.compact_prospects(spark, table)
     assert len(sources.run_paths(spark, table)) == 1
-    assert counts_of(sources.read_prospects(spark, table)) == FIVE_COUNTS
+    assert counts_of(sources.read_prospects(spark, table)) == COUNTS
 
 
 def test_null_in_prospect_files_fails(spark, tmp_path):
@@ -160,7 +162,7 @@ def test_load_with_statistics(spark, tmp_path):
     for _ in range(2):
         flows.bulk_load_with_statistics(spark, *args, run="first")
     counts = counts_of(sources.read_prospects(spark, f"{tmp_path}/counts"))
-    assert counts[("subject", "urn:a", ANYURI)] == 3
-    assert sum(counts.values()) == 3 * 7
+    assert counts[("subject", "urn:boat:7", ANYURI)] == 3
+    assert sum(counts.values()) == 7 * len(NT_LINES)
     flows.statistics(spark, f"{tmp_path}/t_", f"{tmp_path}/again")
     assert counts_of(sources.read_prospects(spark, f"{tmp_path}/again")) == counts

@@ -1,16 +1,20 @@
+import math
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spark_triples import session
+from spark_triples import manifest, session
+from spark_triples.operators.documents import document_values
 from spark_triples.operators import triples as ops
 from spark_triples.schema import LAYOUTS, TRIPLE
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import tables as sources
 
-from .fixtures import FIVE
+from .fixtures import AT, CARRIES, GRAPH, NAME, TEMPERATURE
 
 
 def test_ensure_tables_twice(spark, make_triples, tmp_path):
@@ -20,16 +24,16 @@ def test_ensure_tables_twice(spark, make_triples, tmp_path):
             prefix + n for n in ("spo", "po", "osp", "ns")
         ]
         assert sources.scan_index(spark, prefix, "ns").collect() == []
-        sinks.write_indexes(make_triples(FIVE), prefix)
-        assert sources.scan_index(spark, prefix).count() == 5
+        sinks.write_indexes(make_triples(GRAPH), prefix)
+        assert sources.scan_index(spark, prefix).count() == len(GRAPH)
 
 
 def test_tables_are_sorted_and_whole(spark, make_triples, tmp_path):
     prefix = f"{tmp_path}/t_"
-    sinks.write_indexes(make_triples(FIVE), prefix, partitions=3)
+    sinks.write_indexes(make_triples(GRAPH), prefix, partitions=3)
     for name, order in LAYOUTS.items():
         index = sources.scan_index(spark, prefix, name)
-        assert index.schema.names == TRIPLE.names and index.count() == 5
+        assert index.schema.names == TRIPLE.names and index.count() == len(GRAPH)
         for path in Path(f"{prefix}{name}").rglob("*.parquet"):
             keys = [tuple(r) for r in spark.read.parquet(str(path)).select(*order).collect()]
             assert keys == sorted(keys)
@@ -37,23 +41,21 @@ def test_tables_are_sorted_and_whole(spark, make_triples, tmp_path):
 
 def test_failed_runs_leave_the_former_state(spark, make_triples, tmp_path):
     table = f"{tmp_path}/t_spo"
-    sinks.write_table(make_triples(FIVE[:2]), table, "1")
-    failing = make_triples(FIVE[2:]).filter(F.raise_error(F.lit("no")).isNull())
+    sinks.write_table(make_triples(GRAPH[:2]), table, "1")
+    failing = make_triples(GRAPH[2:]).filter(F.raise_error(F.lit("no")).isNull())
     for run, mode in (("1", "rerun"), ("2", "add"), ("2", "replace")):
         with pytest.raises(Exception, match="no"):
             sinks.write_table(failing, table, run, mode=mode)
         assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 2
-    sinks.write_table(make_triples(FIVE[2:]), table, "1")  # the name is there: no change
+    sinks.write_table(make_triples(GRAPH[2:]), table, "1")  # the name is there: no change
     assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 2
-    sinks.write_table(make_triples(FIVE[2:]), table, "1", mode="rerun")
-    assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 3
-    sinks.write_table(make_triples(FIVE[:1]), table, "3", mode="replace")
+    sinks.write_table(make_triples(GRAPH[2:]), table, "1", mode="rerun")
+    assert sources.scan_index(spark, f"{tmp_path}/t_").count() == len(GRAPH) - 2
+    sinks.write_table(make_triples(GRAPH[:1]), table, "3", mode="replace")
     assert sources.scan_index(spark, f"{tmp_path}/t_").count() == 1
 
 
 def test_manifests(spark, tmp_path):
-    from spark_triples import manifest
-
     root = f"{tmp_path}/m/"
     assert manifest.read_state(spark, root) == (0, {})
     for n in range(1, 4):
@@ -68,57 +70,57 @@ def test_manifests(spark, tmp_path):
 def test_merged_runs_are_not_added_again(spark, make_triples, tmp_path):
     prefix = f"{tmp_path}/t_"
     for run in ("a", "b"):
-        sinks.write_indexes(make_triples(FIVE[:3] if run == "a" else FIVE[2:]), prefix, run)
+        sinks.write_indexes(make_triples(GRAPH[:3] if run == "a" else GRAPH[2:]), prefix, run)
     sinks.compact_index(spark, prefix)
     sinks.write_indexes(make_triples([("urn:x", "urn:y", "z")]), prefix, "a")
-    assert sources.scan_index(spark, prefix).count() == 5
+    assert sources.scan_index(spark, prefix).count() == len(GRAPH)
     with pytest.raises(ValueError, match="merged"):
-        sinks.write_indexes(make_triples(FIVE), prefix, "b", mode="rerun")
+        sinks.write_indexes(make_triples(GRAPH), prefix, "b", mode="rerun")
     sinks.write_indexes(make_triples([("urn:x", "urn:y", "z")]), prefix)
-    assert sources.scan_index(spark, prefix, "po").count() == 6
+    assert sources.scan_index(spark, prefix, "po").count() == len(GRAPH) + 1
     sinks.remove_old(spark, prefix)
     for name in LAYOUTS:
-        assert sources.scan_index(spark, prefix, name).count() == 6
+        assert sources.scan_index(spark, prefix, name).count() == len(GRAPH) + 1
         assert len(list(Path(f"{prefix}{name}").glob("run=*"))) == 2
 
 
 def test_time_filter_reaches_the_scan_of_many_runs(spark, make_triples, tmp_path):
     prefix = f"{tmp_path}/t_"
     for run in ("a", "b"):
-        sinks.write_indexes(make_triples(FIVE), prefix, run)
+        sinks.write_indexes(make_triples(GRAPH), prefix, run)
     assert "GreaterThanOrEqual(ts," in plan(sources.scan_index(spark, prefix, since_ms=1000))
 
 
 def test_run_and_mode_names(make_triples, tmp_path):
     with pytest.raises(ValueError, match="run"):
-        sinks.write_table(make_triples(FIVE), f"{tmp_path}/t", "a/b")
+        sinks.write_table(make_triples(GRAPH), f"{tmp_path}/t", "a/b")
     with pytest.raises(ValueError, match="mode"):
-        sinks.write_table(make_triples(FIVE), f"{tmp_path}/t", mode="overwrite")
+        sinks.write_table(make_triples(GRAPH), f"{tmp_path}/t", mode="overwrite")
 
 
 def test_compact_index(spark, make_triples, tmp_path):
     prefix = f"{tmp_path}/t_"
-    sinks.write_indexes(make_triples(FIVE[:3]), prefix, run="1")
-    sinks.write_indexes(make_triples(FIVE[2:]), prefix, run="2")
-    assert sources.scan_index(spark, prefix, "osp").count() == 5
+    sinks.write_indexes(make_triples(GRAPH[:3]), prefix, run="1")
+    sinks.write_indexes(make_triples(GRAPH[2:]), prefix, run="2")
+    assert sources.scan_index(spark, prefix, "osp").count() == len(GRAPH)
     sinks.compact_index(spark, prefix)
     for name in LAYOUTS:
         assert len(sources.index_paths(spark, prefix, name)) == 1
-        assert sources.scan_index(spark, prefix, name).count() == 5
+        assert sources.scan_index(spark, prefix, name).count() == len(GRAPH)
 
 
 def test_routed(spark, make_triples, tmp_path):
-    sinks.write_routed(make_triples(FIVE), f"{tmp_path}/r", "predicate")
+    sinks.write_routed(make_triples(GRAPH), f"{tmp_path}/r", "predicate")
     back = spark.read.parquet(f"{tmp_path}/r").groupBy("predicate").count()
-    assert {tuple(r) for r in back.collect()} == {("urn:lib#note", 4), ("urn:lib#shelf", 1)}
+    assert {tuple(r) for r in back.collect()} == {(NAME, 2), (CARRIES, 1), (AT, 2), (TEMPERATURE, 4)}
 
 
 def test_dedup_keeps_latest(spark, make_triples):
-    rows = make_triples(FIVE + FIVE[:2]).withColumn(
+    rows = make_triples(GRAPH + GRAPH[:2]).withColumn(
         "ts", F.timestamp_seconds(F.monotonically_increasing_id())
     )
     kept = ops.dedup_triples(rows)
-    assert kept.count() == 5
+    assert kept.count() == len(GRAPH)
     latest = rows.groupBy("subject", "predicate", "object", "object_type").agg(F.max("ts"))
     assert {r["ts"] for r in kept.collect()} == {r[-1] for r in latest.collect()}
 
@@ -178,7 +180,7 @@ def test_plans(spark, make_triples, tmp_path):
     from spark_triples.sources.files import read_ntriples
 
     prefix = f"{tmp_path}/t_"
-    sinks.write_indexes(make_triples(FIVE), prefix)
+    sinks.write_indexes(make_triples(GRAPH), prefix)
     scan = sources.scan_index(spark, prefix)
     lookup = plan(
         ops.match_pattern(scan, subject="urn:a", obj="urn:b", object_type="urn:t")
@@ -202,3 +204,76 @@ def test_plans(spark, make_triples, tmp_path):
     (tmp_path / "a.nt").write_text("<urn:a> <urn:b> <urn:c> .\n")
     parsed = plan(read_ntriples(spark, [f"{tmp_path}/a.nt"]))
     assert "Python" not in parsed and "Exchange" not in parsed
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=150), st.integers(2, 5))
+def test_runs_due(sizes, tier):
+    """Whatever the sizes of new runs, few stay, and no row is merged often."""
+    unit = sinks.FIRST_CLASS_BYTES
+    runs, merges = [], {}
+    for number, size in enumerate(sizes):
+        runs.append((size * unit // 4, [number]))
+        while n := sinks.runs_due([r[0] for r in runs], tier):
+            assert 2 <= n <= len(runs)
+            merged = [x for r in runs[-n:] for x in r[1]]
+            for x in merged:
+                merges[x] = merges.get(x, 0) + 1
+            runs[-n:] = [(sum(r[0] for r in runs[-n:]), merged)]
+    assert [x for r in runs for x in r[1]] == list(range(len(sizes)))  # in order, none lost
+    classes = 2 + int(math.log(max(sum(sizes), 1), tier)) if sizes else 0
+    assert len(runs) <= (tier - 1) * (classes + 1) * (classes + 1)
+    assert max(merges.values(), default=0) <= classes + 1
+
+
+def test_a_thousand_runs_of_one_size():
+    runs = []
+    for _ in range(1000):
+        runs.append(1 << 20)
+        while n := sinks.runs_due(runs, 4):
+            runs[-n:] = [sum(runs[-n:])]
+    assert len(runs) <= 3 * 5 + 1
+
+
+def test_runs_are_merged_as_they_are_written(spark, make_triples, tmp_path):
+    table, kept = f"{tmp_path}/docs", f"{tmp_path}/kept"
+    for k in range(9):
+        rows = make_triples([(f"urn:s{k % 4}", "urn:p", f"v{k}"), (f"urn:t{k}", "urn:p", "x")])
+        sinks.write_documents(document_values(rows), table)
+        sinks.write_documents(document_values(rows), kept, tier=None)
+    assert len(sources.run_paths(spark, table)) <= 4
+    assert len(sources.run_paths(spark, kept)) == 9
+    as_rows = lambda path: sorted(map(tuple, sources.read_documents(spark, path).collect()), key=repr)
+    assert as_rows(table) == as_rows(kept)
+    values = {r["id"]: r["value"] for r in sources.read_documents(spark, table).collect()}
+    assert values["urn:s0"] == "v8" and values["urn:s1"] == "v5"
+    names = [n for r in manifest.read_runs(spark, f"{table}/") for n in r.merged]
+    assert names == []  # nobody can repeat a run without a name
+
+
+def test_index_runs_due_by_size(spark, make_triples, tmp_path):
+    prefix = f"{tmp_path}/t_"
+    for k in range(5):
+        sinks.write_indexes(make_triples(GRAPH[k : k + 5]), prefix, run=f"r{k}")
+    sinks.compact_index(spark, prefix, tier=4)
+    assert len(manifest.read_runs(spark, prefix)) == 1
+    sinks.write_indexes(make_triples(GRAPH), prefix, run="r3")  # known, though merged
+    assert sources.scan_index(spark, prefix, "po").count() == len(GRAPH)
+
+
+def test_new_triples(spark, make_triples, tmp_path):
+    prefix = f"{tmp_path}/t_"
+    clash = (GRAPH[0][0], GRAPH[0][1], GRAPH[0][2], GRAPH[0][3], None)  # no language
+    for run, rows in (("a", GRAPH[:4]), ("b", [*GRAPH[2:6], clash]), ("c", GRAPH), ("d", [])):
+        sinks.write_indexes(make_triples(rows), prefix, run=run)
+    runs = manifest.names_of(manifest.read_runs(spark, prefix))
+    expected = {"a": GRAPH[:4], "b": [*GRAPH[4:6], clash], "c": GRAPH[6:], "d": []}
+    for run, rows in expected.items():
+        got = sources.new_triples(spark, prefix, runs[run])
+        assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(r[:3] for r in rows)
+
+
+def test_names_of_own(make_triples, tmp_path):
+    for name in ("own-1", "merged-1"):
+        with pytest.raises(ValueError, match="run"):
+            sinks.write_table(make_triples(GRAPH), f"{tmp_path}/t", name)
