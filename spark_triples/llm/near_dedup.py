@@ -11,10 +11,13 @@
    become components.
 4. Posts that hold one component only are settled: a large group of copies has collapsed by
    then. In the others, shingles that no other component has bound what a class can share:
-   a class that could not reach the limit with any class of the post leaves it. What is left
-   is compared in pairs from different components, so no link between components is missed.
+   a class that could not reach the limit with any class of the post leaves it. What is left is
+   signed again, with BITS coordinates of one bit each, which tell similarities apart that the
+   first signatures can't, and is compared in pairs from different components, so no link
+   between components is missed.
 
-T is the largest number that a pair at the limit misses with a probability below MISS. Links are
+T is the largest number that a pair at the limit misses with a probability below MISS, for
+either signature. Links are
 decided on the sets (64-bit hashes of shingles; sets are equal by a 128-bit hash).
 
 Cases: null and empty texts have an empty set, are linked with nothing and stand for
@@ -27,7 +30,7 @@ Columns besides doc_id and text are ignored by ``link``, and carried by ``keep_o
 
 from __future__ import annotations
 
-from math import comb
+from math import comb, exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +53,10 @@ from spark_triples.session import stage
 
 WORDS, PERCENT = 5, 80
 K, MISS = 64, 1e-7
+BITS = 2048
 _PLACES = odd_numbers(WORDS, 5)
 _COORDINATES = odd_numbers(K, 64)
+_BIT_COORDINATES = odd_numbers(BITS, 65)
 
 
 def least_agreement(percent: int, k: int = K, miss: float = MISS) -> int:
@@ -65,6 +70,22 @@ def least_agreement(percent: int, k: int = K, miss: float = MISS) -> int:
     return k
 
 
+def most_unequal_bits(percent: int, bits: int = BITS, miss: float = MISS) -> int:
+    """The least D such that a pair of this similarity differs in more than D of so many
+    one-bit coordinates with a probability below ``miss``. Half of the coordinates that don't
+    agree have equal bits."""
+    p = (1 - percent / 100) / 2
+    if p == 0:
+        return 0
+    rest = 1.0
+    for d in range(bits):
+        chance = lgamma(bits + 1) - lgamma(d + 1) - lgamma(bits - d + 1)
+        rest -= exp(chance + d * log(p) + (bits - d) * log1p(-p))
+        if rest < miss:
+            return d
+    return bits
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
     found = words_of(lower_ascii(text))
@@ -90,6 +111,15 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def bit_signature(found: np.ndarray) -> np.ndarray:
+    """A bit of the least hash of each of BITS coordinates, 64 of them to a number."""
+    least = np.full(BITS, np.iinfo(np.uint64).max)
+    for at in range(0, len(found), 256):
+        part = found[at : at + 256, None] * _BIT_COORDINATES
+        np.minimum(least, part.min(axis=0), out=least)
+    return np.packbits((mix(least) & np.uint64(1)).astype(bool)).view("<i8")
+
+
 def _set_name(found: np.ndarray) -> tuple[int, int]:
     name = xxhash.xxh3_128_intdigest(found.tobytes())
     signed = [(x ^ (1 << 63)) - (1 << 63) for x in (name >> 64, name & ((1 << 64) - 1))]
@@ -167,6 +197,22 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     )
 
 
+def _bits(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, bits) of the classes in ``wanted``."""
+
+    def work(rows: dict) -> dict:
+        signed = [bit_signature(np.frombuffer(x, np.uint64)).tolist() for x in rows["shingles"]]
+        return {"cls": rows["cls"], "bits": signed}
+
+    chosen = sets.join(wanted.select("cls").distinct(), "cls", "left_semi").select("cls", "shingles")
+    return stage(map_batches(chosen, work, "cls long, bits array<long>"), "bits")
+
+
+def _unequal_bits(a: str, b: str) -> Column:
+    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda n, x: n + x)
+
+
 def _agreement(a: str, b: str) -> Column:
     same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
     return F.aggregate(same, F.lit(0), lambda n, x: n + x)
@@ -240,8 +286,8 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     left = _reachable(_unsettled(prefixes, roots), sets, percent)
     posts = left.groupBy("cls").agg(F.collect_set("post").alias("posts"))  # at most K
     signed_posts = left.join(posts, "cls").join(wanted.select("cls", "signature"), "cls")
-    left = stage(signed_posts, "candidates")
-    columns = ("cls", "n", "root", "shared", "posts", "signature")
+    left = stage(signed_posts.join(_bits(sets, left), "cls"), "candidates")
+    columns = ("cls", "n", "root", "shared", "posts", "signature", "bits")
     other = left.select("post", *[F.col(c).alias(f"{c}_b") for c in columns])
     most = F.least("shared", "shared_b")
     pairs = (
@@ -253,6 +299,7 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
             # a pair is made at the least of its common posts only
             & (F.array_min(F.array_intersect("posts", "posts_b")) == F.col("post"))
             & (_agreement("signature", "signature_b") >= least)
+            & (_unequal_bits("bits", "bits_b") <= most_unequal_bits(percent))
         )
         .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
     )

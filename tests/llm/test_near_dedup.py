@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,25 @@ def test_least_agreement_misses_almost_nothing():
     for percent in (50, 80, 85, 95):
         t = near_dedup.least_agreement(percent)
         assert 1 <= t < percent * near_dedup.K / 100
+
+
+def test_bit_signatures_differ_as_sets_do():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    for similarity in (0.5, 0.7, 0.85, 1.0):
+        kept = int(2 * len(base) * similarity / (1 + similarity))
+        new = rng.integers(0, 2**63, len(base) - kept).astype(np.uint64)
+        a, b = map(near_dedup.bit_signature, (base, np.concatenate([base[:kept], new])))
+        unequal = sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+        expected = (1 - similarity) / 2 * near_dedup.BITS
+        assert abs(unequal - expected) <= 6 * expected**0.5
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_most_unequal_bits(percent):
+    """A pair at the limit passes almost always, one far below never."""
+    most = near_dedup.most_unequal_bits(percent)
+    rng = np.random.default_rng(2)
+    p = (1 - percent / 100) / 2
+    assert (rng.binomial(near_dedup.BITS, p, 100_000) <= most).all()
+    assert (rng.binomial(near_dedup.BITS, p + 0.1, 1000) > most).all()
