@@ -1,6 +1,7 @@
 """Tool calls and their results: linked, ordered, checked, written as canonical JSON.
 
-1. Calls and results are joined by identifier. Of repeated identifiers the earliest counts.
+1. Calls and results of a conversation are joined by identifier; conversations may use the same
+   identifiers. Of repeated identifiers the earliest row counts, further calls are ``repeated``.
 2. A call may name an earlier one it continues. Its depth is the number of calls before it,
    found by pointer doubling: each round joins every call to the one its pointer names,
    which doubles the distance, so the rounds grow with the logarithm of the longest chain and
@@ -12,7 +13,8 @@
 
 All of it is DataFrame functions. Cases: calls or results without an identifier can be linked with
 nothing: such calls have the status ``unlinked``, such results are left out, as are results that
-no call asked for. Arguments that are null or no JSON object are ``invalid``. A call that
+no call asked for. Rows without a conversation are of one conversation, that of null. Equal rows
+are repeated calls too: every call gives one row. Arguments that are null or no JSON object are ``invalid``. A call that
 continues an unknown one begins a chain. Empty texts are values like others; very long
 ones are kept whole; an empty table gives an empty result; other columns are ignored.
 """
@@ -49,23 +51,19 @@ TOOLS = (
 )
 
 
-def _first_by_id(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per call_id, that of the earliest turn; combined before the shuffle."""
-    order = [c for c in ("turn", *columns) if c != "turn"]
-    least = F.min(F.struct("turn", *order)).alias("least")
-    return (
-        rows.filter(F.col("call_id").isNotNull())
-        .groupBy("call_id")
-        .agg(least)
-        .select("call_id", "least.*")
-    )
+def _key(call_id: str) -> Column:
+    """The conversation and an identifier in it; a null conversation is a value like others."""
+    return F.struct(F.col("conv_id"), F.col(call_id).alias("call_id"))
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """(call_id, depth): calls before each in its chain, null in a cycle."""
-    ids = calls.select(F.col("call_id").alias("known"))
-    now = calls.join(ids, F.col("after") == F.col("known"), "left").select(
-        "call_id",
+    """(key, depth): calls before each in its chain, null in a cycle. ``calls`` has one row
+    per (conv_id, call_id)."""
+    ids = calls.select(_key("call_id").alias("known"))
+    after = F.when(F.col("after").isNotNull(), _key("after"))
+    asked = calls.select(_key("call_id").alias("key"), after.alias("after"))
+    now = asked.join(ids, F.col("after") == F.col("known"), "left").select(
+        "key",
         F.col("known").alias("jump"),
         F.col("known").isNotNull().cast("long").alias("depth"),
     )
@@ -75,14 +73,14 @@ def depths(calls: DataFrame) -> DataFrame:
         if not calls_left:
             break
         other = now.select(
-            F.col("call_id").alias("at"), F.col("jump").alias("next"), F.col("depth").alias("more")
+            F.col("key").alias("at"), F.col("jump").alias("next"), F.col("depth").alias("more")
         )
         # only calls that still point somewhere move
         moving = now.filter(F.col("jump").isNotNull()).join(other, F.col("jump") == F.col("at"))
-        moved = moving.select("call_id", F.col("next").alias("jump"), (F.col("depth") + F.col("more")).alias("depth"))
+        moved = moving.select("key", F.col("next").alias("jump"), (F.col("depth") + F.col("more")).alias("depth"))
         now = stage(now.filter(F.col("jump").isNull()).unionByName(moved), "call-depths")
         calls_left = now.agg(F.count("jump")).first()[0]
-    return now.select("call_id", F.when(F.col("jump").isNull(), F.col("depth")).alias("depth"))
+    return now.select("key", F.when(F.col("jump").isNull(), F.col("depth")).alias("depth"))
 
 
 def _errors(parsed: Column, tool: Column, tools: tuple[Field, ...]) -> Column:
@@ -118,19 +116,31 @@ def link(calls: DataFrame, results: DataFrame, tools: tuple[Field, ...] = TOOLS)
     """(conv_id, turn, call_id, name, depth, status, errors, json) of every call.
 
     ``calls`` has conv_id, turn, call_id, name, arguments (JSON text) and after (the call_id it
-    continues); ``results`` has call_id, turn and content.
+    continues); ``results`` has conv_id, call_id, turn and content.
     """
-    columns = ("conv_id", "turn", "name", "arguments", "after")
-    named = stage(_first_by_id(calls, *columns), "calls")
-    answers = _first_by_id(results, "content").select("call_id", "content", F.lit(True).alias("answered"))
-    linked = named.join(depths(named), "call_id", "left").join(answers, "call_id", "left")
-    nameless = calls.filter(F.col("call_id").isNull()).select("call_id", *columns)
-    rows = linked.unionByName(nameless, allowMissingColumns=True)
+    columns = ("conv_id", "turn", "call_id", "name", "arguments", "after")
+    told = stage(calls.select(*columns, F.monotonically_increasing_id().alias("row")), "calls")
+    # the least row of an identifier is found before the shuffle of its conversation's rows
+    least = F.min(F.struct("turn", "name", "arguments", "after", "row"))["row"]
+    first = told.filter(F.col("call_id").isNotNull()).groupBy("conv_id", "call_id").agg(least.alias("row"))
+    first = first.select("row", F.lit(True).alias("first"))
+    told = stage(told.join(first, "row", "left"), "calls")
+    named = told.filter("first")
+    answers = (
+        results.filter(F.col("call_id").isNotNull())
+        .groupBy(_key("call_id").alias("key"))
+        .agg(F.min(F.struct("turn", "content"))["content"].alias("content"))
+        .withColumn("answered", F.lit(True))
+    )
+    linked = named.withColumn("key", _key("call_id")).join(depths(named), "key", "left").join(answers, "key", "left")
+    others = told.filter(F.col("first").isNull())
+    rows = linked.drop("key").unionByName(others, allowMissingColumns=True)
     parsed = F.try_parse_json(F.col("arguments"))
     rows = rows.withColumn("parsed", parsed)
     rows = rows.withColumn("errors", _errors(F.col("parsed"), F.col("name"), tools))
     status = (
         F.when(F.col("call_id").isNull(), "unlinked")
+        .when(F.col("first").isNull(), "repeated")
         .when(F.col("depth").isNull(), "cycle")
         .when(F.size("errors") > 0, "invalid")
         .when(F.col("answered").isNull(), "no_result")
@@ -186,7 +196,7 @@ def derive(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         identifier(-2).alias("after"),
     )
     results = turns.filter(F.col("role") == "assistant").select(
-        identifier(-1).alias("call_id"), "turn", F.col("text").alias("content")
+        "conv_id", identifier(-1).alias("call_id"), "turn", F.col("text").alias("content")
     )
     return calls, results
 

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 from spark_triples.llm import tool_calls as t
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string, extra int"
-RESULTS = "call_id string, turn long, content string, role string"
+RESULTS = "conv_id long, call_id string, turn long, content string, role string"
 GOOD = '{"query":"q","limit":3}'
 
 
-def linked(spark, calls, results=()):
-    found = t.link(
+def link(spark, calls, results=(), conv_id=1):
+    """Results are of one conversation."""
+    return t.link(
         spark.createDataFrame([(*c, 1) for c in calls], CALLS),
-        spark.createDataFrame([(*r, "tool") for r in results], RESULTS),
+        spark.createDataFrame([(conv_id, *r, "tool") for r in results], RESULTS),
     )
+
+
+def linked(spark, calls, results=()):
+    found = link(spark, calls, results)
     return {r["call_id"]: r for r in found.collect()}
 
 
@@ -67,19 +72,40 @@ def test_odd_rows(spark):
     calls = [(1, 5, "a", "search", GOOD, None), (1, 3, "a", "search", '{"query":"first","limit":1}', None)]
     calls += [(None, None, None, None, None, None)] * 2 + [(1, 9, "b", "search", '{"query":"","limit":1}', "a")]
     results = [("a", 7, "late"), ("a", 6, "early"), (None, 1, "nobody's"), ("orphan", 1, "x"), ("b", 1, None)]
-    found = t.link(
-        spark.createDataFrame([(*c, 1) for c in calls], CALLS),
-        spark.createDataFrame([(*r, "tool") for r in results], RESULTS),
-    ).collect()
-    assert len(found) == 4
+    found = link(spark, calls, results).collect()
+    assert len(found) == 5
     assert sum(r["status"] == "unlinked" for r in found) == 2
-    a, b = (next(r for r in found if r["call_id"] == c) for c in "ab")
+    again = [r for r in found if r["status"] == "repeated"]
+    assert [(r["call_id"], r["turn"], r["depth"]) for r in again] == [("a", 5, None)]
+    a, b = (next(r for r in found if r["call_id"] == c and r["status"] != "repeated") for c in "ab")
     assert '"first"' in a["json"] and '"early"' in a["json"]
     assert (b["depth"], b["status"]) == (1, "ok")
     empty = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
     assert t.link(*empty).count() == 0
 
 
+def test_conversations_use_the_same_identifiers(spark):
+    calls = [(c, 0, "call_0", "search", f'{{"query":"q{c}","limit":1}}', None) for c in (1, 2, None)]
+    calls += [(c, 2, "call_1", "search", GOOD, "call_0") for c in (2, 3)] + [calls[0]] * 2
+    found = t.link(
+        spark.createDataFrame([(*c, 1) for c in calls], CALLS),
+        spark.createDataFrame([(c, "call_0", 1, f"r{c}", "tool") for c in (2, None)] + [(9, "call_0", 0, "other", "tool")], RESULTS),
+    ).collect()
+    assert len(found) == len(calls)
+    by_id = {(r["conv_id"], r["call_id"]): r for r in found if r["status"] != "repeated"}
+    assert {k: (r["depth"], r["status"]) for k, r in by_id.items()} == {
+        (1, "call_0"): (0, "no_result"),
+        (2, "call_0"): (0, "ok"),
+        (None, "call_0"): (0, "ok"),
+        (2, "call_1"): (1, "no_result"),
+        (3, "call_1"): (0, "no_result"),
+    }
+    for c in (2, None):
+        whole = json.loads(by_id[c, "call_0"]["json"])
+        assert (whole["arguments"]["query"], whole["result"]) == (f"q{c}", f"r{c}")
+    assert [r["conv_id"] for r in found if r["status"] == "repeated"] == [1, 1]
+
+
 def test_derive_stands_odd_rows(spark):
     rows = [(1, 0, "user", None, 1), (1, 1, "assistant", "", 1), (None, None, None, None, 1), (1, 2, "user", "x " * 50_000, 1)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, call_id int")
