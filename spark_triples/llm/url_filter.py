@@ -5,14 +5,20 @@ of one domain become intervals, each until the domain's next entry. A capture as
 host and for all domains above it; the most specific entry that holds on the day of the
 capture decides.
 
-The as-of join is an equi-join on (domain, month) with the days compared inside: intervals are
-cut at months first (their number is bounded by the months the list and the captures cover), so the
-captures of one hot host spread over the months, and the skew join splits what is left.
-
-Cases: a null or odd url has no host and is kept as ``unlisted``; a null day matches nothing;
-entries with a null in any column are left out; of several entries of one domain and day the
-last in order of action counts (remove, block, allow); repeated captures are each judged;
-empty tables give empty results; other columns are ignored.
+The as-of join is an equi-join on (domain, month) with the days compared inside. For every month
+that captures ask of a domain, one window per domain carries the interval that holds when it
+begins; intervals that begin in a month are added to it. So an interval costs a row per month
+asked, however long it is, the captures of one hot host spread over the months, and the skew join
+splits what is left. A window holds the list's entries of a domain and the months asked of it.
+
+Hosts are read as browsers read them: what stands before the last ``@`` of the authority, the port
+and dots at the end are no part of it, a backslash ends it like a slash, and case does not count.
+
+Cases: a null or odd url has no host and is kept as ``unlisted``; a null day, or one that is no
+number, matches nothing, and any number is a day, however far off; entries with a null in any
+column are left out; of several entries of one domain and day the last in order of action
+counts (remove, block, allow); repeated captures are each judged; empty tables give empty
+results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +29,21 @@ from pyspark.sql import functions as F
 from spark_triples.llm.common import table
 from spark_triples.session import stage
 
-#: Days in a bucket of the join.
-MONTH = 32
+#: A month of the join has two to the power of this many days.
+MONTH_BITS = 5
 _RANK = {"remove": 0, "block": 1, "allow": 2}
 
 
+_HOST = r"^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#\\]*@)?([^/?#\\:]*)"
+
+
+def _domain(name: Column) -> Column:
+    """A domain as it is compared: in lower case, without dots at its end."""
+    return F.rtrim(F.lower(name), F.lit("."))
+
+
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
+    return _domain(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), _HOST, 1))
 
 
 def domains(host: Column) -> Column:
@@ -50,7 +64,11 @@ def intervals(entries: DataFrame) -> DataFrame:
     """
     rank = F.create_map(*[F.lit(x) for pair in _RANK.items() for x in pair])
     daily = (
-        entries.select(F.lower("domain").alias("domain"), F.col("day").cast("long").alias("since"), F.lower("action").alias("action"))
+        entries.select(
+            _domain(F.col("domain")).alias("domain"),
+            F.col("day").try_cast("long").alias("since"),
+            F.lower("action").alias("action"),
+        )
         .filter(F.col("domain").isNotNull() & F.col("since").isNotNull() & F.col("action").isin(*_RANK))
         .groupBy("domain", "since")
         .agg(F.max(F.struct(rank[F.col("action")].alias("rank"), "action"))["action"].alias("action"))
@@ -59,6 +77,26 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.withColumn("until", F.lead("since").over(later)).filter("action <> 'remove'")
 
 
+def _month(day: str) -> Column:
+    return F.shiftright(day, MONTH_BITS)
+
+
+def by_month(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """(domain, month, action, since, until): for every (domain, month) in ``asked``, the intervals
+    that hold on some day of it."""
+    entry = F.struct("action", "since", "until").alias("entry")
+    begins = F.shiftleft("month", MONTH_BITS)
+    marks = asked.select("domain", "month").distinct()
+    line = held.select("domain", F.lit(None).cast("long").alias("month"), F.col("since").alias("at"), entry)
+    line = line.unionByName(marks.select("domain", "month", begins.alias("at")), allowMissingColumns=True)
+    past = Window.partitionBy("domain").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = line.withColumn("entry", F.last("entry", ignorenulls=True).over(past))
+    carried = carried.filter(F.col("month").isNotNull() & F.col("entry").isNotNull()).select("domain", "month", "entry.*")
+    # an interval that begins with its month is carried into it already
+    own = held.withColumn("month", _month("since")).filter(F.shiftleft("month", MONTH_BITS) < F.col("since"))
+    return carried.unionByName(own.select(*carried.columns))
+
+
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(page_id, url, host, day, verdict, domain, since) of every capture.
 
@@ -69,24 +107,16 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
-        F.col("day").cast("long").alias("day"),
+        F.col("day").try_cast("long").alias("day"),
     ).withColumn("host", host_of(F.col("url")))
     known = stage(known, "captures")
-    last = known.agg(F.max("day")).first()[0]
-    if last is None:
-        last = 0
-    # an entry that begins after the last capture holds for none
-    cut = held.filter(F.col("since") <= last).select(
-        F.col("domain"), "action", "since", F.coalesce(F.least("until", F.lit(last + 1)), F.lit(last + 1)).alias("until")
-    )
-    months = F.sequence(F.floor(F.col("since") / MONTH), F.floor((F.col("until") - 1) / MONTH))
-    cut = cut.withColumn("month", F.explode(months))
-    asked = known.select(
-        "row", "day", F.floor(F.col("day") / MONTH).alias("month"), F.posexplode(domains(F.col("host"))).alias("level", "domain")
+    asked = known.filter(F.col("day").isNotNull()).select(
+        "row", "day", _month("day").alias("month"), F.posexplode(domains(F.col("host"))).alias("level", "domain")
     )
+    cut = by_month(held, asked)
     found = (
         asked.join(cut, ["domain", "month"])
-        .filter((F.col("since") <= F.col("day")) & (F.col("day") < F.col("until")))
+        .filter((F.col("since") <= F.col("day")) & (F.col("until").isNull() | (F.col("day") < F.col("until"))))
         .groupBy("row")
         .agg(F.min(F.struct("level", "domain", "action", "since")).alias("hit"))
     )
@@ -134,7 +164,8 @@ def op10_temporal_lists(spark, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH captures AS (
   SELECT page_id, url, 19723 + CAST('0x' || substr(md5(coalesce(url, '')), 1, 6) AS BIGINT) % 366 AS day,
-         lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host
+         rtrim(lower(regexp_extract(coalesce(url, ''),
+           '^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#\\]*@)?([^/?#\\:]*)', 1)), '.') AS host
   FROM pages
 ),
 hosts AS (SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures),

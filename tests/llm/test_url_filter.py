@@ -49,3 +49,41 @@ def test_empty_tables(spark):
     assert u.judge(captures, entries.filter(none)).first()["verdict"] == "unlisted"
     assert u.judge(captures.filter(none), entries).count() == 0
     assert u.judge(captures, entries).first()["verdict"] == "block"
+
+
+def test_hosts_as_browsers_read_them(spark):
+    urls = {
+        "https://user@bad.com/": "bad.com",
+        "https://a:b@bad.com/x@y": "bad.com",
+        "https://a@b@bad.com:8080": "bad.com",
+        "https://bad.com./": "bad.com",
+        "HTTPS://BAD.com..:443?x": "bad.com",
+        " \thttp://bad.com#@good.com": "bad.com",
+        "http://bad.com\\@good.com/": "bad.com",
+        "http://good.com/?u=a@bad.com": "good.com",
+        "http://": "",
+        "bad.com": "",
+        "": "",
+    }
+    frame = spark.createDataFrame([(u_,) for u_ in urls], "url string")
+    found = {r["url"]: r["host"] for r in frame.select("url", u.host_of(F.col("url")).alias("host")).collect()}
+    assert found == urls
+    import duckdb
+
+    sql = u.OP10_SQL.split("AS host", 1)[0].rsplit(" AS day,", 1)[1]
+    db = duckdb.connect()
+    db.register("urls", frame.toPandas())
+    assert dict(db.sql(f"SELECT url, {sql} AS host FROM urls").fetchall()) == urls
+
+
+def test_days_far_off(spark):
+    days = [0, 5, 31, 32, 33, 1_700_000_000_000, -(10**15), 2**62]
+    captures = [(k, "http://bad.com/", d, "z", 1) for k, d in enumerate(days)]
+    entries = [("Bad.com.", -(10**14), "block", "z"), ("bad.com", 31, "allow", "z"), ("bad.com", 33, "remove", "z"), ("bad.com", 10**12, "block", "z")]
+    found = u.judge(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(entries, ENTRIES)).collect()
+    plain = [(n.lower().rstrip("."), d, a) for n, d, a, _ in entries]
+    got = {r["page_id"]: (r["verdict"], r["domain"], r["since"]) for r in found}
+    assert got == {k: walked("http://bad.com/", d, plain) for k, d in enumerate(days)}
+    odd = spark.createDataFrame([(1, "http://bad.com/", "soon"), (2, "http://bad.com/", "7")], "page_id long, url string, day string")
+    found = u.judge(odd, spark.createDataFrame(entries, ENTRIES)).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {1: "unlisted", 2: "block"}
