@@ -1,8 +1,8 @@
 """Main text of web pages through wrappers that are inferred per host.
 
-1. Every page is read into a tree of block elements, each named by its tag and class or id.
-   Siblings that repeat, alone or in short sequences, are folded into repeated groups; what is
-   left is the page's skeleton. Pages of a host share few skeletons.
+1. Every page is read into a tree of block elements, each known by its tag, class and role (ids
+   are often a page's own, so they are no part of it). Siblings that repeat, alone or in sequences
+   of up to three, are folded into repeated groups; what is left is the page's skeleton. Pages of a host share few skeletons.
 2. The skeletons of a host are aligned one after the other: elements that agree are merged,
    and what only one side has becomes optional, neighbours of one name a repeated group, and
    places with text become text slots. The outcome is a union-free expression of the host's
@@ -10,7 +10,8 @@
    counted before the shuffle, merged in salted parts and then per host.
 3. Every page is laid over its host's wrapper, which gives each block of text its slot. A slot
    that has the same text on all pages of the host that have it, three different ones at
-   least, is part of the template; the others hold the pages' own text.
+   least, is part of the template; the others hold the pages' own text. Neighbours of one name are
+   one group and so one slot, even if only one of them has the same text everywhere.
 4. The text is what stands below the common ancestor of the page's articles, in page order;
    all of it but slots of the template outside articles. Without an article, and where the
    articles hold less than half of the page's own text, that is the whole page. A page whose
@@ -22,7 +23,7 @@ and never for the page's body, for main and article elements or for an element t
 of the page's text while no article stands outside it. ``<br>`` is white space.
 
 Cases: null and empty pages give an empty text; a null or odd url has the host ''; unclosed or
-stray tags end where the next block or the page does; repeated pages are each extracted and
+stray tags end where the next block or the page does, and elements may be nested to any depth; repeated pages are each extracted and
 count once as pages of a host; an empty table gives an empty result; other
 columns are ignored. Pages are read whole whatever their length.
 """
@@ -32,7 +33,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Generator, Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -92,29 +93,48 @@ SALTS = 32
 
 
 class Node:
-    """A block element: its name, its children, whether text stands right in it, and which of
-    the page's blocks; in a wrapper, the number of its slot."""
+    """A block element: its name with its id, by which it may be left out, and the name that
+    wrappers know it by; its children, whether text stands right in it, and which of the page's
+    blocks; in a wrapper, the number of its slot."""
 
-    __slots__ = ("children", "held", "name", "optional", "repeated", "slot", "text")
+    __slots__ = ("children", "held", "kind", "name", "optional", "repeated", "slot", "text")
 
-    def __init__(self, name: str, text: bool = False) -> None:
-        self.name, self.text, self.children = name, text, []
+    def __init__(self, name: str, kind: str | None = None, text: bool = False) -> None:
+        self.name, self.kind, self.text, self.children = name, name if kind is None else kind, text, []
         self.held: list[int] = []
         self.slot = 0
         self.optional = self.repeated = False
 
     def written(self) -> str:
-        inside = " ".join([c.written() for c in self.children])
-        inside = " ".join(x for x in ("#" if self.text else "", inside) if x)
-        return f"{self.name}({inside})" + "?" * self.optional + "+" * self.repeated
-
-
-def _named(tag: str, attributes: str) -> str:
+        out: list[str] = []
+        todo: list[Node | str] = [self]
+        while todo:
+            at = todo.pop()
+            if isinstance(at, str):
+                out.append(at)
+                continue
+            out.append(f"{at.kind}(")
+            todo.append(")" + "?" * at.optional + "+" * at.repeated)
+            for k in range(len(at.children) - 1, -1, -1):
+                todo.append(at.children[k])
+                if k or at.text:
+                    todo.append(" ")
+            if at.text:
+                todo.append("#")
+        return "".join(out)
+
+
+def _named(tag: str, attributes: str) -> tuple[str, str]:
+    """An element's name with the words of its class, id and role, and without those of the id."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAME.finditer(attributes)} if attributes else {}
     if not found:
-        return tag
-    words = [w for k in ("class", "id", "role") for w in found.get(k, "").split() if not any(c.isdigit() for c in w)]
-    return tag + "." + ".".join(sorted({re.sub(r"[^\w-]", "", w) for w in words})) if words else tag
+        return tag, tag
+
+    def with_words(*of: str) -> str:
+        words = [w for k in of for w in found.get(k, "").split() if not any(c.isdigit() for c in w)]
+        return tag + "." + ".".join(sorted({re.sub(r"[^\w-]", "", w) for w in words})) if words else tag
+
+    return with_words("class", "id", "role"), with_words("class", "role")
 
 
 def _leaves_out(word: str) -> bool:
@@ -139,12 +159,11 @@ def _article(name: str) -> bool:
     return tag in _ARTICLE or any(_ARTICLE_NAMES.search(w) for w in words.split(".") if w)
 
 
-def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
-    """The tree of a page, and its blocks of text with the names of the elements around them."""
+def read_page(page: str) -> tuple[Node, list[str]]:
+    """The tree of a page, and its blocks of text."""
     root = Node("")
     stack: list[tuple[str, Node]] = [("", root)]
-    path: list[str] = []
-    blocks: list[tuple[tuple[str, ...], str]] = []
+    blocks: list[str] = []
     parts: list[str] = []
 
     def flush() -> None:
@@ -152,13 +171,13 @@ def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                blocks.append((tuple(path), text))
+                blocks.append(text)
                 stack[-1][1].text = True
                 stack[-1][1].held.append(len(blocks) - 1)
 
     def close(depth: int) -> None:
         flush()
-        del stack[depth:], path[depth - 1 :]
+        del stack[depth:]
 
     at, size = 0, len(page)
     while at < size:
@@ -185,10 +204,9 @@ def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
                 while len(stack) > 1 and (stack[-1][0] == "p" or tag in _ENDS.get(stack[-1][0], ())):
                     close(len(stack) - 1)
                 flush()
-                node = Node(_named(tag, m[3]))
+                node = Node(*_named(tag, m[3]))
                 stack[-1][1].children.append(node)
                 stack.append((tag, node))
-                path.append(node.name)
         elif tag in _BLOCKS:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == tag:
@@ -200,20 +218,48 @@ def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
     return root, blocks
 
 
+#: What a step of a walk over trees yields are the steps it waits for, so that no depth of
+#: nesting meets the interpreter's limit.
+Step = Generator["Step", object, object]
+
+
+def _walk(step: Step):
+    """The result of a step."""
+    waiting, result = [step], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(result))
+            result = None
+        except StopIteration as done:
+            waiting.pop()
+            result = done.value
+    return result
+
+
 def fold(node: Node) -> Node:
     """Fold what repeats among the children, innermost first."""
-    node.children = _folded([fold(c) for c in node.children])
+    return _walk(_fold(node))
+
+
+def _fold(node: Node) -> Step:
+    for child in node.children:
+        if child.children:
+            yield _fold(child)
+    if len(node.children) > 1:
+        node.children = yield _folded(node.children)
     return node
 
 
-def _folded(children: list[Node]) -> list[Node]:
+def _folded(children: list[Node]) -> Step:
     out: list[Node] = []
     for child in children:
         out.append(child)
         for size in range(1, _LONGEST_GROUP + 1):
             left, right = out[-2 * size : -size], out[-size:]
-            if len(left) == size and [n.name for n in left] == [n.name for n in right]:
-                merged = [merge(a, b) for a, b in zip(left, right, strict=True)]
+            if len(left) == size and [n.kind for n in left] == [n.kind for n in right]:
+                merged = []
+                for a, b in zip(left, right, strict=True):
+                    merged.append((yield _merge(a, b)))
                 for n in merged:
                     n.repeated = True
                 out[-2 * size :] = merged
@@ -223,34 +269,38 @@ def _folded(children: list[Node]) -> list[Node]:
 
 def merge(a: Node, b: Node) -> Node:
     """Two trees of one name as one: the children are aligned by name."""
-    out = Node(a.name, a.text or b.text)
+    return _walk(_merge(a, b))
+
+
+def _merge(a: Node, b: Node) -> Step:
+    out = Node(a.kind, text=a.text or b.text)
     out.held = a.held + b.held
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     aligned: list[Node] = []
     for x, y in _aligned(a.children, b.children):
         if x and y:
-            aligned.append(merge(x, y))
+            aligned.append((yield _merge(x, y)))
         else:
             node = x or y
             node.optional = True
             aligned.append(node)
-    out.children = _folded(aligned)
+    out.children = (yield _folded(aligned)) if len(aligned) > 1 else aligned
     return out
 
 
 def _aligned(x: list[Node], y: list[Node]) -> list[tuple[Node | None, Node | None]]:
     """The children of two nodes in order, side by side where their names agree."""
-    if [n.name for n in x] == [n.name for n in y]:
+    if [n.kind for n in x] == [n.kind for n in y]:
         return list(zip(x, y, strict=True))
     common = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
-            same = x[i].name == y[j].name
+            same = x[i].kind == y[j].kind
             common[i][j] = common[i + 1][j + 1] + 1 if same else max(common[i + 1][j], common[i][j + 1])
     i = j = 0
     out: list[tuple[Node | None, Node | None]] = []
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i].name == y[j].name:
+        if i < len(x) and j < len(y) and x[i].kind == y[j].kind:
             out.append((x[i], y[j]))
             i, j = i + 1, j + 1
         elif j == len(y) or (i < len(x) and common[i + 1][j] >= common[i][j + 1]):
@@ -307,18 +357,20 @@ def slots(page: Node, expression: Node) -> dict[int, int]:
         out.update(dict.fromkeys(node.held, at.slot))
         for x, y in _aligned(node.children, at.children):
             # a group that the wrapper has folded further stands earlier in it
-            y = y or next((c for c in at.children if x and c.name == x.name), None)
+            y = y or next((c for c in at.children if x and c.kind == x.kind), None)
             if x and y:
                 todo.append((x, y))
     return out
 
 
-def content(root: Node, blocks: list[tuple[tuple[str, ...], str]]) -> tuple[set[int], list[tuple[list[Node], set[int]]]]:
+def content(root: Node, blocks: list[str]) -> tuple[set[int], list[tuple[list[Node], set[int]]]]:
     """The blocks that are not left out, and the outermost articles: the elements from the page
     down to each, and its blocks."""
     order: list[Node] = [root]
+    above: dict[int, Node] = {}
     for node in order:
         order += node.children
+        above.update((id(c), node) for c in node.children)
     size: dict[int, int] = {}
     told: dict[int, int] = {}
     for node in reversed(order):
@@ -326,14 +378,14 @@ def content(root: Node, blocks: list[tuple[tuple[str, ...], str]]) -> tuple[set[
         if tag in _LEFT_OUT:
             size[id(node)] = told[id(node)] = 0
             continue
-        size[id(node)] = sum(len(blocks[k][1]) for k in node.held) + sum(size[id(c)] for c in node.children)
+        size[id(node)] = sum(len(blocks[k]) for k in node.held) + sum(size[id(c)] for c in node.children)
         whole = _article(node.name) and not _left_out(node.name)
         told[id(node)] = size[id(node)] if whole else sum(told[id(c)] for c in node.children)
     shown: set[int] = set()
     articles: list[tuple[list[Node], set[int]]] = []
-    todo: list[tuple[Node, list[Node], set[int] | None]] = [(root, [root], None)]
+    todo: list[tuple[Node, set[int] | None]] = [(root, None)]
     while todo:
-        node, path, inside = todo.pop()
+        node, inside = todo.pop()
         tag = node.name.partition(".")[0]
         if tag in _LEFT_OUT:
             if inside is None or tag != "header":
@@ -343,12 +395,14 @@ def content(root: Node, blocks: list[tuple[tuple[str, ...], str]]) -> tuple[set[
             if not most:
                 continue
         if inside is None and _article(node.name):
-            inside = set()
-            articles.append((path, inside))
+            inside, path = set(), [node]
+            while path[-1] is not root:
+                path.append(above[id(path[-1])])
+            articles.append((path[::-1], inside))
         shown.update(node.held)
         if inside is not None:
             inside.update(node.held)
-        todo += [(c, path if inside is not None else [*path, c], inside) for c in node.children]
+        todo += [(c, inside) for c in node.children]
     return shown, [a for a in articles if a[1]]
 
 
@@ -378,11 +432,11 @@ def text_of(page: str, expression: str | None, template: Iterable[int] = ()) ->
         fixed = {k for k in shown - told if found.get(k) in template}
 
     def chars(of: set[int]) -> int:
-        return sum(len(blocks[k][1]) for k in of)
+        return sum(len(blocks[k]) for k in of)
 
     if 2 * chars(region - fixed) < chars(shown - fixed):
         region = shown
-    return "\n".join(blocks[k][1] for k in sorted(region - fixed or region))
+    return "\n".join(blocks[k] for k in sorted(region - fixed or region))
 
 
 def _host() -> Column:
@@ -445,7 +499,7 @@ def templates(pages: DataFrame, found: DataFrame) -> DataFrame:
             own = _number(page)
             texts: dict[int, list[str]] = {}
             for k in sorted(rest & at.keys()):
-                texts.setdefault(at[k], []).append(blocks[k][1])
+                texts.setdefault(at[k], []).append(blocks[k])
             for slot, text in texts.items():
                 pages_, values = seen.setdefault((host, slot), (set(), set()))
                 # a few of each tell as much as all

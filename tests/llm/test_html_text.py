@@ -124,3 +124,34 @@ def test_names_of_the_page_leave_nothing_out(name):
     assert h.text_of(f'<body class="{name}"><article>{inside}</article></body>', None) == "T\ntext"
     assert h.text_of(f'<body><article class="post {name}">{inside}</article></body>', None) == "T\ntext"
     assert h.text_of(f'<body><div class="{name}">{inside}</div><p>x</p></body>', None).startswith("T\ntext")
+
+
+def test_any_depth_of_nesting(spark):
+    deep = "<div>" * 5_000 + "<p>a</p>" + "<ul><li>" * 3_000 + "b"
+    page = "<body><article><h1>t</h1>" + deep + "</article></body>"
+    assert texts(pages(spark, [("http://a.b/1", page), ("http://a.b/2", page + "<p>x</p>")])) == {0: "t\na\nb", 1: "t\na\nb"}
+    tree = h.read_page(page)[0]
+    written = h.fold(tree).written()
+    assert h.parse(written).written() == written
+    twice = h.merge(h.parse(written), h.parse(written))
+    assert twice.written() == written
+
+
+def test_ids_of_a_page_are_no_part_of_its_skeleton():
+    def skeleton(k):
+        own = "".join(f'<h2 id="{chr(97 + k % 26)}{chr(97 + k // 26)}-{c}">x</h2><p>y</p>' for c in "abcdefgh")
+        return h.fold(h.read_page(f"<article>{own}</article><div id=sidebar><p>z</p></div>")[0]).written()
+
+    found = {skeleton(k) for k in range(600)}
+    assert found == {"(article(h2(#)+ p(#)+) div(p(#)))"}
+    assert h.text_of("<div id=sidebar><p>z</p></div><p>text</p>", None) == "text"
+
+
+def test_rows_change_without_the_wrapper(spark):
+    rng = random.Random(8)
+    shared = "<section><p>Read our rules before you write</p></section>"
+    made = [(f"http://w.example.com/{k}", f"<body>{shared}<div><p>{' '.join(words(rng, 20))}</p></div></body>") for k in range(9)]
+    got = texts(pages(spark, made))
+    for k, (_, page) in enumerate(made):
+        assert h.text_of(page, None).startswith("Read our rules")
+        assert got[k] == h.text_of(page, None).split("\n", 1)[1]
