@@ -34,6 +34,7 @@ from spark_triples.llm.common import (
     table,
     text_or_empty,
 )
+from spark_triples.session import stage
 
 BITS = 20
 #: Labelled rows to learn from, at most, and passes over them.
@@ -97,7 +98,9 @@ def train(examples: DataFrame, epochs: int = EPOCHS, rows: int = TRAIN_ROWS) ->
     """Places and weights that are not zero.
 
     Features are made where the texts are; one task then learns from at most ``rows`` of them (a
-    document that is in the table many times may add more, which the limit leaves out).
+    document that is in the table many times may add more, which the limit leaves out). Every
+    pass is a copy of the rows: they are sorted by pass and order, on disk where they are
+    many, and learnt from batch by batch, so that task keeps the model and one batch.
     """
     ship(examples.sparkSession)
 
@@ -105,15 +108,20 @@ def train(examples: DataFrame, epochs: int = EPOCHS, rows: int = TRAIN_ROWS) ->
         found = [features(t).tobytes() for t in columns["text"]]
         return {"order": columns["order"], "toxic": columns["toxic"], "places": found}
 
-    ready = map_batches(examples, featured, "order long, toxic int, places binary")
-    ready = ready.orderBy("order", "toxic", "places").limit(rows).coalesce(1)
+    made = map_batches(examples, featured, "order long, toxic int, places binary")
+    made = made.withColumns({"digest": F.xxhash64("places"), "row": F.monotonically_increasing_id()})
+    made = stage(made, "toxicity-features")
+    order = ("order", "toxic", "digest", "row")
+    # at most ``rows`` numbers: a fixed bound for the broadcast
+    first = made.select(*order).orderBy(*order).limit(rows).select(F.col("row").alias("_row"))
+    chosen = made.join(F.broadcast(first), F.col("row") == F.col("_row"), "left_semi")
+    passes = chosen.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
+    ready = passes.repartition(1).sortWithinPartitions("pass", *order).select("places", "toxic")
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, kept = Ftrl(), []
+        model = Ftrl()
         for batch in batches:
-            kept += zip(batch["places"], batch["toxic"], strict=True)
-        for _ in range(epochs):
-            for raw, label in kept:
+            for raw, label in zip(batch["places"], batch["toxic"], strict=True):
                 model.learn(np.frombuffer(raw, np.int32), label)
         w = model.weights(np.arange(1 << BITS))
         at = np.flatnonzero(w)

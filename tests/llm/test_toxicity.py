@@ -75,3 +75,27 @@ def test_ftrl_equals_its_formula():
             (toxicity.BETA + np.sqrt(n)) / toxicity.ALPHA + toxicity.L2
         )
         assert np.isclose(model.weights(np.array([3]))[0], w)
+
+
+def test_training_equals_learning_in_order(spark):
+    """The job's weights are those of learning row by row, pass by pass, also of very long texts."""
+    texts, labels = corpus(60)
+    texts[7] = " ".join(words(random.Random(1), 30_000, 100_000))
+    docs, known = documents(spark, texts), spark.createDataFrame(labels, LABELS)
+    examples = toxicity.sample(docs, known, rows=40)
+    model = toxicity.Ftrl()
+    for _ in range(toxicity.EPOCHS):
+        for r in examples.orderBy("order", "toxic").collect():
+            model.learn(toxicity.features(r["text"]), r["toxic"])
+    expected = model.weights(np.arange(1 << toxicity.BITS))
+    at, w = toxicity.train(examples, rows=40)
+    assert at.tolist() == np.flatnonzero(expected).tolist()
+    assert np.array_equal(w, expected[at])
+
+
+def test_repeated_documents_stay_within_the_bound(spark):
+    texts, labels = corpus(30)
+    docs = documents(spark, [*enumerate(texts)] * 4)
+    examples = toxicity.sample(docs, spark.createDataFrame(labels, LABELS))
+    few = toxicity.train(examples, rows=8)
+    assert len(few[0]) <= len(toxicity.train(examples)[0])
