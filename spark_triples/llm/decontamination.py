@@ -58,14 +58,18 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 
 
 class Index:
-    """The seeds of some benchmark items, sorted, with a bitmap before them."""
+    """The seeds of some benchmark items, sorted, with a bitmap before them. Items of equal
+    words are one, with all their ids."""
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]]) -> None:
-        self.items = items
-        short = {len(h) for _, h in items if 0 < len(h) < len(MASKS[0])}
+        equal: dict[bytes, tuple[list[int | None], np.ndarray]] = {}
+        for item, h in items:
+            equal.setdefault(h.tobytes(), ([], h))[0].append(item)
+        self.items = list(equal.values())
+        short = {len(h) for _, h in self.items if 0 < len(h) < len(MASKS[0])}
         self.masks = [*MASKS, *("1" * n for n in sorted(short))]
         keys, owners, places = [], [], []
-        for number, (_, h) in enumerate(items):
+        for number, (_, h) in enumerate(self.items):
             for mask in MASKS if len(h) >= len(MASKS[0]) else ["1" * len(h)] * (len(h) > 0):
                 found = seeds(h, mask)
                 keys.append(found)
@@ -105,13 +109,13 @@ def leaks(h: np.ndarray, index: Index) -> list[list[int | None]]:
     """[item, start, end, agreeing words] of every leak in a document, in words, sorted."""
     out = set()
     for number, first in index.hits(h):
-        item, words = index.items[number]
+        items, words = index.items[number]
         begin, end = max(0, first), min(len(h), first + len(words))
         agree = h[begin:end] == words[begin - first : end - first]
         a, b = best_stretch(agree)
         same = int(agree[a:b].sum())
         if same >= min(MIN_WORDS, len(words)):
-            out.add((item, begin + a, begin + b, same))
+            out.update((item, begin + a, begin + b, same) for item in items)
     return [list(x) for x in sorted(out, key=lambda x: (x[1], x[2], x[0] is None, x[0] or 0, x[3]))]
 
 

@@ -131,3 +131,22 @@ def test_short_copies_with_changed_words_are_all_found():
             a, b = d.best_stretch(other == item)
             counts = int((other == item)[a:b].sum()) >= d.MIN_WORDS
             assert bool(d.leaks(other, index)) == counts, changed
+
+
+def test_equal_items_are_laid_once():
+    """Copies of an item, also in other case and punctuation, are one in the index; each id is reported."""
+    item = " ".join(words(random.Random(2), 40))
+    copies = [(k, core_hashes(item.upper() if k % 2 else item + ".")) for k in range(3_000)]
+    index = d.Index([*copies, (None, copies[0][1]), (5_000, core_hashes("only one more here"))])
+    assert len(index.items) == 2
+    assert len(index.keys) == len(d.Index([copies[0], (5_000, core_hashes("only one more here"))]).keys)
+    found = d.leaks(core_hashes("x y " + item + " z"), index)
+    assert [x[0] for x in found] == [*range(3_000), None]
+    assert {tuple(x[1:]) for x in found} == {(2, 42, 40)}
+
+
+def test_one_word_over_and_over():
+    h = core_hashes("same " * 2_000)
+    found = d.leaks(h, d.Index([(1, core_hashes("same " * 50))]))
+    assert max(x[3] for x in found) == 50
+    assert {x[0] for x in found} == {1}
