@@ -7,8 +7,8 @@ host, each host's rate is shrunk towards the others by a beta prior fitted to al
 and where the shrunk rate stays above a limit the host has lost the benefit of the doubt:
 its documents that break the rule go. A host with few documents is near the prior.
 
-Cases: a null or empty text has no words and fails the base rules. A null host is a host of its
-own. Repeated rows are judged one by one. An empty table gives an empty result. Extra
+Cases: a null or empty text has no words and fails the base rules. Null hosts and
+empty ones are one host. Repeated rows are judged one by one. An empty table gives an empty result. Extra
 columns are carried by ``judge``; the names that begin with ``_quality`` are reserved.
 """
 
