@@ -10,15 +10,17 @@ exchanged are found, and documents that share only common phrases with an item a
 The masks are such that every stretch that counts as a leak holds the seed of one of them, so
 none is missed. Words are compared without case and outer punctuation. Items of fewer than
 MIN_WORDS words are matched as a whole, also those of one word; items without words are left out. The benchmark is a stated set, so it is taken in blocks of at most
-BLOCK_CHARS characters (broadcast, with that bound); each block meets all documents.
+BLOCK_CHARS characters or one item (broadcast, with that bound); each block meets all documents.
 
 Cases: null and empty texts hold no leak; null items are left out; repeated items are found under
-each of their ids, sorted; repeated rows give repeated results; an empty benchmark finds
-nothing, an empty table gives an empty result. ``_leaks`` is reserved, other columns are carried.
+each of their ids, sorted; a text of one repeated word is laid at every place of an item of it; repeated rows give repeated results; an empty benchmark finds
+nothing, an empty table gives an empty result. ``_leaks``, ``_row`` and ``_block`` are reserved, other columns are carried.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,7 +42,8 @@ MASKS = ("11101101", "11110001001", "11101000101")
 SHORTEST, MIN_WORDS = 1, 12
 #: What a difference costs, in agreements.
 COST = 2
-BLOCK_CHARS = 32_000_000
+#: An index takes 80 bytes for each word of its items: 320 MB at most, where all words have one letter.
+BLOCK_CHARS = 8_000_000
 _FILTER_BITS = 22
 #: Items of fewer words than the first mask agree as a whole or not at all.
 _M = odd_numbers(max(map(len, MASKS)), 9)
@@ -59,7 +62,8 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 
 class Index:
     """The seeds of some benchmark items, sorted, with a bitmap before them. Items of equal
-    words are one, with all their ids."""
+    words are one, with all their ids. Entries of one seed are sorted by the seed before them in
+    their item, so that those which go on a run of hits are left out together."""
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]]) -> None:
         equal: dict[bytes, tuple[list[int | None], np.ndarray]] = {}
@@ -68,23 +72,27 @@ class Index:
         self.items = list(equal.values())
         short = {len(h) for _, h in self.items if 0 < len(h) < len(MASKS[0])}
         self.masks = [*MASKS, *("1" * n for n in sorted(short))]
-        keys, owners, places = [], [], []
+        none = np.zeros(0, np.uint64)
+        keys, before, owners, places = [none], [none], [none.astype(np.int32)], [none.astype(np.int32)]
         for number, (_, h) in enumerate(self.items):
             for mask in MASKS if len(h) >= len(MASKS[0]) else ["1" * len(h)] * (len(h) > 0):
                 found = seeds(h, mask)
                 keys.append(found)
-                owners.append(np.full(len(found), number, np.int64))
-                places.append(np.arange(len(found)))
-        joined = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(joined, kind="stable")
-        self.keys = joined[order]
-        self.owners = np.concatenate(owners)[order] if keys else np.zeros(0, np.int64)
-        self.places = np.concatenate(places)[order] if keys else np.zeros(0, np.int64)
+                # nothing is before the first one: a value that its own seed excludes
+                before.append(np.concatenate([~found[:1], found[:-1]]))
+                owners.append(np.full(len(found), number, np.int32))
+                places.append(np.arange(len(found), dtype=np.int32))
+        self.keys, self.before = np.concatenate(keys), np.concatenate(before)
+        order = np.lexsort((self.before, self.keys))
+        self.keys, self.before = self.keys[order], self.before[order]
+        self.owners, self.places = np.concatenate(owners)[order], np.concatenate(places)[order]
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
     def hits(self, h: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place of its first word in ``h``) for every pair of equal seeds."""
+        """(item, place of its first word in ``h``) for every pair of equal seeds. A pair whose
+        words follow those of another pair has the same place, so only the first of such a
+        run is looked at: repeated words cost the sum of both lengths, not the product."""
         out: set[tuple[int, int]] = set()
         for mask in self.masks:
             found = seeds(h, mask)
@@ -92,7 +100,14 @@ class Index:
             low = np.searchsorted(self.keys, found[at], "left")
             high = np.searchsorted(self.keys, found[at], "right")
             for p, a, b in zip(*(x[high > low].tolist() for x in (at, low, high)), strict=True):
-                out.update(zip(self.owners[a:b].tolist(), (p - self.places[a:b]).tolist(), strict=True))
+                parts = [(a, b)]
+                if p:
+                    group, last = self.before[a:b], found[p - 1]
+                    goes_on = a + np.searchsorted(group, last, "left"), a + np.searchsorted(group, last, "right")
+                    parts = [(a, goes_on[0]), (goes_on[1], b)]
+                for x, y in parts:
+                    if x < y:
+                        out.update(zip(self.owners[x:y].tolist(), (p - self.places[x:y]).tolist(), strict=True))
         return out
 
 
@@ -137,19 +152,41 @@ def _finder(sent):
     return found
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with ``_leaks``: arrays [item, start, end, agreeing words], in words."""
-    spark = docs.sparkSession
+def _index(block: list[tuple[int | None, str]]) -> Index:
+    items = [(i, core_hashes(text)) for i, text in block]
+    return Index([(i, h) for i, h in items if len(h) >= SHORTEST])
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` with ``_leaks``: arrays [item, start, end, agreeing words], in words.
+
+    With several blocks, ``docs`` is written once with row numbers; each block reads the texts
+    and writes its leaks alone, and its index is released before the next one is made."""
+    spark, kind = docs.sparkSession, "array<array<bigint>>"
     ship(spark)
-    out = docs.withColumn("_leaks", F.array().cast("array<array<bigint>>"))
-    for number, block in enumerate(_blocks(benchmark)):
-        items = [(i, core_hashes(text)) for i, text in block]
-        items = [(i, h) for i, h in items if len(h) >= SHORTEST]
-        found = _finder(spark.sparkContext.broadcast(Index(items)))
-        if number:
-            out = stage(out, "leaks")
-        out = out.withColumn("_leaks", F.concat("_leaks", found(text_or_empty())))
-    return out
+    sent = spark.sparkContext.broadcast
+    blocks = _blocks(benchmark, block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.withColumn("_leaks", _finder(sent(_index(first)))(text_or_empty()))
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    leaky = None
+    for number, block in enumerate(chain([first, second], blocks)):
+        leaky = _with_block(rows, block, number, leaky)
+    # a row has one entry per block at most
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("_block", "_leaks"))), lambda x: x["_leaks"])
+    leaky = leaky.groupBy("_row").agg(F.flatten(parts).alias("_leaks"))
+    out = rows.join(leaky, "_row", "left").select(*docs.columns, "_leaks")
+    return out.withColumn("_leaks", F.coalesce("_leaks", F.array().cast(kind)))
+
+
+def _with_block(rows: DataFrame, block: list, number: int, leaky: DataFrame | None) -> DataFrame:
+    """The leaks of one more block, by row number, beside those found before."""
+    sent = rows.sparkSession.sparkContext.broadcast(_index(block))
+    found = rows.select("_row", F.lit(number).alias("_block"), _finder(sent)(text_or_empty()).alias("_leaks"))
+    found = stage(found.filter(F.size("_leaks") > 0), "leaks")
+    sent.unpersist()
+    return found if leaky is None else leaky.unionByName(found)
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

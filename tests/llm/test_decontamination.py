@@ -61,16 +61,20 @@ def test_equals_laying_items_everywhere(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, x in expected.items() if not x}
 
 
-def test_blocks_give_what_one_block_gives(spark, monkeypatch):
+def test_blocks_give_what_one_block_gives(spark):
     rng = random.Random(8)
     items = [(i, " ".join(words(rng, 20))) for i in range(30)]
-    docs = documents(spark, ["a b " + t + " c" for _, t in items] + ["clean text"])
+    texts = ["a b " + t + " c" for _, t in items] + ["clean text", items[3][1] + " " + items[4][1] + " " + items[9][1]]
+    docs = documents(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id = 2"))  # a repeated row stays two
     bench = spark.createDataFrame(items, ITEMS)
     whole = {r["doc_id"]: r["_leaks"] for r in d.find_leaks(docs, bench).collect()}
     blocks = list(d._blocks(bench, 1500))
     assert len(blocks) > 1 and sorted(x for b in blocks for x in b) == sorted(items)
-    monkeypatch.setattr(d, "_blocks", lambda _: iter(blocks))
-    assert {r["doc_id"]: r["_leaks"] for r in d.find_leaks(docs, bench).collect()} == whole
+    parted = d.find_leaks(docs, bench, 1500)
+    assert parted.columns == [*docs.columns, "_leaks"] and parted.count() == docs.count()
+    parted = {r["doc_id"]: sorted(r["_leaks"]) for r in parted.collect()}
+    assert parted == {k: sorted(v) for k, v in whole.items()} and len(parted[31]) == 3
     assert all(len(whole[i]) == 1 for i in range(30)) and not whole[30]
 
 
@@ -150,3 +154,32 @@ def test_one_word_over_and_over():
     found = d.leaks(h, d.Index([(1, core_hashes("same " * 50))]))
     assert max(x[3] for x in found) == 50
     assert {x[0] for x in found} == {1}
+
+
+def all_diagonals(h, index):
+    """Places of items by every pair of equal seeds."""
+    return {
+        (number, p - q)
+        for number, (_, w) in enumerate(index.items)
+        for mask in (d.MASKS if len(w) >= len(d.MASKS[0]) else ["1" * len(w)])
+        for p, a in enumerate(d.seeds(h, mask).tolist())
+        for q, b in enumerate(d.seeds(w, mask).tolist())
+        if a == b
+    }
+
+
+def test_runs_of_hits_are_looked_at_once():
+    rng = np.random.default_rng(4)
+    for period in (1, 2, 3, 7, 200):
+        pattern = rng.integers(1, 5, period).astype(np.uint64)
+        items = [(k, np.resize(np.roll(pattern, k), n)) for k, n in enumerate((30, 12, 5, 90))]
+        items.append((9, rng.integers(1, 3, 60).astype(np.uint64)))
+        index = d.Index(items)
+        for h in (np.resize(pattern, 150), rng.integers(1, 3, 150).astype(np.uint64), items[4][1]):
+            assert index.hits(h) == all_diagonals(h, index), period
+
+
+def test_repeated_words_cost_the_sum_of_both_lengths():
+    """The pairs that are laid: 60,000 words against 5,000 have 300 million pairs of equal seeds."""
+    index = d.Index([(1, np.full(5_000, 7, np.uint64))])
+    assert len(index.hits(np.full(60_000, 7, np.uint64))) < 65_000
