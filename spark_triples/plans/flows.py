@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples.functions.terms import iso_to_epoch_ms
-from spark_triples.manifest import listing, names_of, read_runs, read_state
+from spark_triples.manifest import Run, listing, names_of, read_runs, read_state, runs_of, together, update
 from spark_triples.operators.documents import document_values
 from spark_triples.operators.prospects import (
     aggregate_prospects,
@@ -24,8 +24,11 @@ from spark_triples.operators.triples import (
 from spark_triples.schema import REJECT, TRIPLE, TRIPLE_KEY
 from spark_triples.session import job_scratch, stage
 from spark_triples.sinks.tables import (
+    TIER,
     bytes_of,
     commit_checkpoint,
+    compact_documents,
+    compact_prospects,
     ensure_tables,
     ranges_for,
     ranges_of,
@@ -122,31 +125,48 @@ def bulk_load_with_statistics(
     counting: str = "run",
 ) -> None:
     """The same load; the counts of the loaded triples go to the count table as well.
-    They are counted from the written copy, so the files are parsed once. A job that is
-    repeated after it had failed between the two completes the second.
+    They are counted from the written copy, so the files are parsed once. Triples and counts are
+    published at once: a job that fails leaves both tables as they were.
 
     ``counting`` ``run`` adds up the triples of every run, one that two runs have counts twice.
-    ``new`` counts only triples that no earlier run has: the counts are those of the index.
+    ``new`` counts only triples that no earlier run has: the counts are those of the index. Such
+    a job fails if another load is published while it counts; it can be repeated.
     """
     if counting not in ("run", "new"):
         raise ValueError(f"counting must be run or new, not {counting!r}")
     run = run or listing(spark, split_sources(source))[0]
-    path = bulk_load(spark, source, prefix, run, mode, parsers, partitions, on_bad_line)
-    if mode == "add" and run in names_of(read_runs(spark, f"{statistics_table}/")):
-        return
-    held = names_of(read_runs(spark, prefix))[run]
-    with job_scratch(spark):
-        if held.name == run and counting == "new":
-            loaded = new_triples(spark, prefix, held)
-        elif held.name == run:
-            loaded = read_run(spark, path, TRIPLE)
-        elif counting == "new":
-            raise RuntimeError(f"run {run!r} was merged before it was counted: count the index anew")
-        else:  # merged with other runs: the files are the only place that has it alone
+    with together(spark), job_scratch(spark):
+        before = read_runs(spark, prefix)
+        there = names_of(before).get(run) if mode == "add" else None
+        if counting == "new" and there is None:
+            update(spark, prefix, unchanged_since(prefix, before))
+        path = bulk_load(spark, source, prefix, run, mode, parsers, partitions, on_bad_line)
+        if mode == "add" and run in names_of(read_runs(spark, f"{statistics_table}/")):
+            return
+        if there is not None and there.name != run:  # the files alone have it by itself
+            if counting == "new":
+                raise RuntimeError(f"run {run!r} was merged before it was counted: count the index anew")
             mode_read = on_bad_line if on_bad_line == "FAILFAST" else "DROPMALFORMED"
             loaded = dedup_triples(read_sources(spark, source, parsers, mode_read))
+        elif counting == "new":
+            held = there or Run(run, path.rsplit("/", 1)[1], 1 + max((r.number for r in before), default=0))
+            loaded = new_triples(spark, prefix, held, [] if mode == "replace" else before)
+        else:
+            loaded = read_run(spark, path, TRIPLE)
         counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
-        write_prospects(counts, statistics_table, run, mode, partitions)
+        write_prospects(counts, statistics_table, run, mode, partitions, tier=None)
+    compact_prospects(spark, statistics_table, tier=TIER)
+
+
+def unchanged_since(prefix: str, runs: list[Run]):
+    """A change of a table that changes nothing, and fails if its runs are not these any more."""
+
+    def same(_: int, state: dict) -> dict:
+        if set(runs_of(state)) != set(runs):
+            raise RuntimeError(f"{prefix}: other runs were published while this one was counted")
+        return state
+
+    return same
 
 
 def statistics(
@@ -191,14 +211,15 @@ def fulltext_full(
     checkpoint: str | None = None,
     end: str | None = None,
 ) -> None:
-    """Triple table → all documents anew, in place of those in the table."""
+    """Triple table → all documents anew, in place of those in the table. They and the end time
+    are published at once."""
     end_ms = epoch_ms(spark, end)
     seen, _ = read_state(spark, prefix)
-    with job_scratch(spark):
+    with together(spark), job_scratch(spark):
         triples = listed_triples(spark, prefix, properties)
-        write_documents(document_values(triples), destination, mode="replace")
-    if checkpoint is not None:
-        commit_checkpoint(spark, checkpoint, end_ms, seen)
+        write_documents(document_values(triples), destination, mode="replace", tier=None)
+        if checkpoint is not None:
+            commit_checkpoint(spark, checkpoint, end_ms, seen)
 
 
 def listed_triples(
@@ -245,7 +266,7 @@ def fulltext_incremental(
     start: str | None = None,
 ) -> None:
     """Documents of the subjects changed since ``start``, else since the last stored
-    end, up to ``end``; then the end is stored.
+    end, up to ``end``; documents and the new end are published at once.
 
     A triple has the time at which its load began. So what a load published after the last
     refresh is looked at whatever its time: each run is seen once, however long it took.
@@ -256,12 +277,13 @@ def fulltext_incremental(
     start_ms = read_checkpoint(spark, checkpoint, epoch_ms(spark, start))
     seen, _ = read_state(spark, prefix)
     before = read_seen(spark, checkpoint)
-    with job_scratch(spark):
+    with together(spark), job_scratch(spark):
         listed = listed_triples(spark, prefix, properties, since_ms=start_ms)
         changed = filter_time(listed, start_ms, end_ms).select("subject")
         if before is not None:
             late = subjects_of_runs(spark, prefix, properties, before)
             changed = changed.unionByName(filter_time(late, None, end_ms).select("subject"))
         triples = triples_of_subjects(spark, prefix, properties, changed)
-        write_documents(document_values(triples), destination)
-    commit_checkpoint(spark, checkpoint, end_ms, seen)
+        write_documents(document_values(triples), destination, tier=None)
+        commit_checkpoint(spark, checkpoint, end_ms, seen)
+    compact_documents(spark, destination, tier=TIER)

@@ -397,21 +397,31 @@ def compact_index(
         _merge_indexes(spark, prefix, runs, partitions)
 
 
-def compact_prospects(spark: SparkSession, table: str, partitions: int | None = None) -> None:
-    """Rewrite the count table with the counts of its runs added up."""
-    if runs := manifest.read_runs(spark, f"{table}/"):
+def compact_prospects(
+    spark: SparkSession, table: str, partitions: int | None = None, tier: int | None = None
+) -> None:
+    """Rewrite the count table with the counts of its runs added up; with a ``tier``, only of runs
+    that are due by size."""
+    if tier is not None:
+        _merge_due(spark, f"{table}/", [table], tier, _merge_prospects)
+    elif runs := manifest.read_runs(spark, f"{table}/"):
         _merge_prospects(spark, f"{table}/", runs, partitions)
 
 
-def compact_documents(spark: SparkSession, table: str) -> None:
-    """Rewrite the document table without replaced documents. It has one writer at a time."""
-    if runs := manifest.read_runs(spark, f"{table}/"):
+def compact_documents(spark: SparkSession, table: str, tier: int | None = None) -> None:
+    """Rewrite the document table without replaced documents; with a ``tier``, only runs that are
+    due by size. It has one writer at a time."""
+    if tier is not None:
+        _merge_due(spark, f"{table}/", [table], tier, _merge_documents)
+    elif runs := manifest.read_runs(spark, f"{table}/"):
         _merge_documents(spark, f"{table}/", runs)
 
 
 def remove_old(spark: SparkSession, prefix: str, tables: tuple[str, ...] = tuple(LAYOUTS)) -> None:
     """Remove the folders of runs that the last manifest does not name: replaced and merged
-    runs, and failed attempts. Not while jobs write or read an older state."""
+    runs, and failed attempts; and the records of intents that are long settled. Not while jobs
+    write or read an older state."""
+    manifest.remove_settled(spark, prefix)
     kept = {run.folder for run in manifest.read_runs(spark, prefix)}
     beside = [e for name in ("zones", "rejects") for e in glob(spark, f"{prefix}{name}/run=*")]
     for entry in beside:

@@ -197,14 +197,16 @@ def read_rejects(spark: SparkSession, prefix: str) -> DataFrame:
     return read_run(spark, [f"{prefix}rejects/{f}" for f in folders], REJECT)
 
 
-def new_triples(spark: SparkSession, prefix: str, run: Run) -> DataFrame:
-    """The triples of a run that no run published before it has.
+def new_triples(spark: SparkSession, prefix: str, run: Run, runs: list[Run] | None = None) -> DataFrame:
+    """The triples of a run, published or not, that no run published before it has. ``runs`` are
+    those that are published, unless they are to be read.
 
     Only rows of earlier runs whose key hashes as one of this run's are compared with it, so a
     small load is checked against a large table by a scan that broadcasts hashes.
     """
     triples = read_run(spark, f"{prefix}spo/{run.folder}", TRIPLE)
-    earlier = [r for r in read_runs(spark, prefix) if r.number < run.number]
+    runs = read_runs(spark, prefix) if runs is None else runs
+    earlier = [r for r in runs if r.number < run.number and r.name != run.name]
     if not earlier:
         return triples
     low, high = triples.agg(F.min("subject"), F.max("subject")).first()

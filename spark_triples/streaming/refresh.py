@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spark_triples.manifest import read_state
+from spark_triples.manifest import read_state, together
 from spark_triples.operators.documents import document_values
 from spark_triples.operators.triples import filter_property, normalise, visible
 from spark_triples.plans.flows import subjects_of_runs, triples_of_subjects
 from spark_triples.schema import STREAM_LAG, TRIPLE, TRIPLE_KEY
 from spark_triples.session import job_scratch, make_dir
-from spark_triples.sinks.tables import commit_checkpoint, write_documents
+from spark_triples.sinks.tables import TIER, commit_checkpoint, compact_documents, write_documents
 from spark_triples.sources.files import parse_lines
 from spark_triples.sources.tables import read_seen
 
@@ -75,8 +75,8 @@ def refresh_from_runs(
     """Rewrite the documents of the subjects that published runs changed, run by run.
 
     A run is published with all its copies, so what it changed is readable in each. The last
-    manifest that was worked on is stored after the documents are; a repeated batch
-    writes equal documents.
+    manifest that was worked on is published with the documents; a repeated batch
+    finds that it was done.
     """
     state = f"{checkpoint}/seen"
 
@@ -85,11 +85,12 @@ def refresh_from_runs(
         before = read_seen(spark, state) or 0
         if seen == before:
             return
-        with job_scratch(spark):
+        with together(spark), job_scratch(spark):
             changed = subjects_of_runs(spark, prefix, properties, before)
             triples = triples_of_subjects(spark, prefix, properties, changed)
-            write_documents(document_values(triples), destination)
-        commit_checkpoint(spark, state, 0, seen)
+            write_documents(document_values(triples), destination, tier=None)
+            commit_checkpoint(spark, state, 0, seen)
+        compact_documents(spark, destination, tier=TIER)
 
     writer = stream_runs(spark, prefix).writeStream.foreachBatch(refresh)
     writer = writer.option("checkpointLocation", f"{checkpoint}/stream")
