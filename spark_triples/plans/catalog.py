@@ -323,6 +323,13 @@ def src_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_triples(files.read_whole_files(spark, [f"{path}/*.ttl"]), *PARSED)
 
 
+@query("src_turtle_splits", PARSED_SQL)
+def src_turtle_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, each read by as many tasks as it has splits."""
+    path = write_turtle(graph(spark, sf_dir), scratch_path(spark, "turtle"))
+    return show_triples(files.read_whole_files(spark, [f"{path}/*.ttl"], split_bytes=1), *PARSED)
+
+
 @query("union_routes", PARSED_SQL)
 def union_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routes")

@@ -17,11 +17,12 @@ from spark_triples.functions.terms import or_fail
 from spark_triples.operators.triples import normalise, union_triples
 from spark_triples.schema import TRIPLE
 from spark_triples.session import glob
-from spark_triples.sources import turtle
+from spark_triples.sources import turtle, turtle_splits
 from spark_triples.sources.turtle import parse_turtle
 
 # the parser travels with its tasks: executors need not have this package installed
 cloudpickle.register_pickle_by_value(turtle)
+cloudpickle.register_pickle_by_value(turtle_splits)
 
 # --- Fixed values: file extensions of the RDF formats ------------------------
 LINE_EXTENSION = "nt"
@@ -48,6 +49,8 @@ WILDCARD = r"[*?\[{]"
 # Spark's readers pass over such files without a word.
 HIDDEN = ("_", ".")
 LONGEST_FILE = (1 << 31) - 1
+# Longer Turtle files are read by many tasks.
+SPLIT_BYTES = 256 << 20
 # So many whole files are parsed for a sample.
 FEW_FILES = 32
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
@@ -245,6 +248,7 @@ def read_whole_files(
     parsers: dict[str, Parser] | None = None,
     mode: str = "FAILFAST",
     share: float = 1.0,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Triples of files whose own name stands for an RDF format; see
     :func:`rejected_sources` for the others.
@@ -252,8 +256,9 @@ def read_whole_files(
     A parser gets the bytes and the path of one file and yields its triples as
     (subject, predicate, object, object_type, lang, context). Line formats need none:
     their files are read by line, so their size is of no matter. A file of a known
-    format without a parser fails here, before anything is read. With a ``share``, only
-    that share of lines and of files is parsed (all files, if they are few).
+    format without a parser fails here, before anything is read. Turtle files of more than
+    ``split_bytes`` (SPLIT_BYTES) are parsed by many tasks, unless another parser is given for them. With a ``share``,
+    only that share of lines and of files is parsed (all files, if they are few).
     """
     parsers = {"Turtle": parse_turtle, **(parsers or {})}
     longest = F.max(F.struct("length", "path")).alias("longest")
@@ -264,7 +269,8 @@ def read_whole_files(
     missing = present - set(parsers) - {"N-Triples", "N-Quads"}
     if missing:
         raise ValueError(f"no parser given for {', '.join(sorted(missing))}")
-    for name in present & set(parsers):
+    in_parts, split_bytes = parsers["Turtle"] is parse_turtle, split_bytes or SPLIT_BYTES
+    for name in present & set(parsers) - ({"Turtle"} if in_parts else set()):
         if (file := listed[name]["longest"])["length"] > LONGEST_FILE:
             raise ValueError(f"{file['path']}: too long for a whole-file format")
     parts = []
@@ -274,10 +280,18 @@ def read_whole_files(
     for name in sorted(present):
         if name in parsers:
             files = spark.read.format("binaryFile").options(**name_filter(name))
-            contents = files.load(_matches(spark, patterns)).select("path", "content")
+            paths = _matches(spark, patterns)
+            split = name == "Turtle" and in_parts and listed[name]["longest"]["length"] > split_bytes
+            contents = files.load(paths)
+            if split:
+                contents = contents.filter(F.col("length") <= split_bytes)
+            contents = contents.select("path", "content")
             of_files = max(share, FEW_FILES / listed[name]["n"])
             contents = contents if of_files >= 1 else contents.sample(of_files, seed=7)
             parsed = contents.mapInPandas(_parse_with(parsers[name], schema.names), schema)
+            if split:
+                large = turtle_splits.read_turtle(spark, paths, name_filter(name), split_bytes, share)
+                parsed = parsed.unionByName(large)
             rows = normalise(parsed)
             if mode == "PERMISSIVE":
                 rows = rows.withColumn("_corrupt", F.lit(None).cast("string"))

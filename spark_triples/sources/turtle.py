@@ -50,9 +50,13 @@ def _unescape(text: str) -> str:
     return _ESCAPE.sub(one, text).encode("utf-16", "surrogatepass").decode("utf-16")
 
 
-def _tokens(text: str) -> Iterator[tuple[str, str]]:
-    scanner = _TOKEN.scanner(text)
-    position = 0
+def is_absolute(iri: str) -> bool:
+    return re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", iri) is not None
+
+
+def tokens(text: str, position: int = 0) -> Iterator[tuple[str, str]]:
+    """(kind, text) of the tokens from a position on."""
+    scanner = _TOKEN.scanner(text, position)
     while match := scanner.match():
         yield match.lastgroup, match[match.lastgroup]
         if match.lastgroup == "end":
@@ -61,12 +65,15 @@ def _tokens(text: str) -> Iterator[tuple[str, str]]:
     raise ValueError(f"unexpected text: {text[position : position + 40]!r}")
 
 
-class _Document:
-    def __init__(self, text: str, path: str):
-        self.tokens = _tokens(text)
+class Document:
+    """A Turtle file, or some whole statements of it with the prefixes and the base that hold there
+    and a name for that part, which its own blank nodes carry."""
+
+    def __init__(self, text: str, path: str, prefixes: dict[str, str] | None = None, base: str = "", part: str = ""):
+        self.tokens = tokens(text)
         self.kind, self.text = next(self.tokens)
-        self.prefixes: dict[str, str] = {}
-        self.base = ""
+        self.prefixes = dict(prefixes or {})
+        self.base, self.part = base, part
         self.scope = hashlib.sha256(path.encode()).hexdigest()
         self.made = 0
         self.pending: list[tuple] = []
@@ -89,7 +96,7 @@ class _Document:
 
     def resolve(self, iri: str) -> str:
         iri = _unescape(iri)
-        if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", iri):
+        if is_absolute(iri):
             return iri
         if not self.base:
             raise ValueError(f"relative IRI without a base: {iri!r}")
@@ -103,7 +110,7 @@ class _Document:
 
     def new_bnode(self) -> str:
         self.made += 1
-        return f"_:{self.scope}--{self.made}"
+        return f"_:{self.scope}--{self.part}{self.made}"
 
     def directive(self) -> None:
         keyword = self.take()[1]
@@ -203,4 +210,4 @@ def parse_turtle(content: bytes, path: str) -> Iterator[tuple]:
 
     Blank-node labels are made unique per file. Only the statement at hand is held.
     """
-    return _Document(content.decode("utf-8-sig"), path).triples()
+    return Document(content.decode("utf-8-sig"), path).triples()

@@ -1,0 +1,134 @@
+"""Turtle files that many tasks read, against the parser of whole files."""
+
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from spark_triples.sources import files, turtle_splits
+from spark_triples.sources.turtle import parse_turtle
+from tests.fixtures import TURTLE
+
+LONG = '''@prefix ex: <urn:ex:> .
+# a comment with a dot . and a "quote
+ex:a ex:says """first . line
+@prefix ex: <urn:wrong:> .
+\'\'\' still . inside ""
+""" , "short . one" ; ex:size 1.5 , .5 , 2 .
+PREFIX ex: <urn:other:>
+@base <http://base.example/dir/> .
+ex:b.c ex:at <page#x> , [ ex:deep ( 1 2 [ ] ) ; ex:name 'it''' + """\\'s . ' ] .
+@prefix
+  p: # the prefix of what follows
+  <urn:p:> .
+p:x p:y p:z.
+p:esc\\'aped p:base p:prefix .
+_:n p:knows _:m . _:m p:knows _:n .
+ex:d a ex:Thing ;
+  ex:text '''a
+. ' ''
+b . "\"" # no comment .
+''' .
+@base <other/> .
+<s> p:o <../up> .
+"""
+
+
+def without_names(triples):
+    """Blank nodes that the file does not name, by order of appearance in sorted triples."""
+    return sorted(
+        tuple(re.sub(r"--[\d.]+$", "--", x) if isinstance(x, str) else x for x in t[:6]) for t in triples
+    )
+
+
+def in_parts(spark, text, chunk, blocks):
+    """The lines of a text, as if the file were split before some of its lines."""
+    lines, rows, block = text.split("\n"), [], 0
+    for k, line in enumerate(lines):
+        block += k in blocks
+        rows.append(("f", block, line))
+    df = spark.createDataFrame(rows, "path string, block long, value string").coalesce(1)
+    return turtle_splits.parse_pieces(turtle_splits.pieces_of(df, chunk))
+
+
+@pytest.mark.parametrize(("chunk", "blocks"), [(1, ()), (60, (3, 4, 9)), (200, (1, 2, 5, 12, 17)), (10**6, ())])
+def test_equals_the_parser_of_whole_files(spark, chunk, blocks):
+    got = [tuple(r) for r in in_parts(spark, LONG, chunk, blocks).collect()]
+    assert without_names(got) == without_names(parse_turtle(LONG.encode(), "f"))
+    made = {t[0] for t in got if "--" in t[0]}
+    assert len(made) == len({t[0] for t in parse_turtle(LONG.encode(), "f") if "--" in t[0]})
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["a . b", '"', '"""', "'''", "'", "\\", "#", "<i>", "\n", ". ", "1.5 ", "x:y.z", " ", '""', "''"]), max_size=30))
+def test_states_follow_over_any_cut(parts):
+    """A text scanned line by line ends in the state it has when scanned at once, and its borders are the same."""
+    text = "".join(parts) + "\n"
+    whole = [m.end() for m in turtle_splits.scan(text) if not isinstance(m, str) and m.lastgroup == "border"]
+    state, at, found = "", 0, []
+    for line in text.splitlines(keepends=True):
+        for m in turtle_splits.scan(line, state):
+            if isinstance(m, str):
+                state = m
+            elif m.lastgroup == "border":
+                found.append(at + m.end())
+        at += len(line)
+    assert state == list(turtle_splits.scan(text))[-1]
+    assert found == whole
+
+
+@pytest.mark.parametrize("text", ['<urn:a> <urn:b> "open .\n', "<urn:a> <urn:b> .", "x:a x:b x:c .", '<urn:a> <urn:b> """never\n.'])
+def test_malformed_files_fail(spark, text):
+    with pytest.raises(Exception, match="ValueError"):
+        in_parts(spark, "<urn:s> <urn:p> <urn:o> .\n" + text, 10, (1,)).collect()
+
+
+def test_empty_files(spark):
+    assert in_parts(spark, "", 5, ()).count() == 0
+    assert in_parts(spark, "# only . this\n\n", 5, (1,)).count() == 0
+
+
+def test_large_and_small_files_of_a_folder(spark, tmp_path, monkeypatch):
+    """One file above the limit, read in many splits; the others whole. Its line ends and its mark
+    of the byte order are as the parser of whole files has them."""
+    body = "﻿" + LONG + "".join(
+        f'ex:s{k} ex:p """one\r\ntwo . {k}""" ; ex:q p:o{k % 7} .\n' + ("PREFIX p: <urn:p2:>\n" if k == 700 else "")
+        for k in range(1500)
+    )
+    (tmp_path / "large.ttl").write_bytes(body.encode())
+    (tmp_path / "small.TTL").write_text(TURTLE)
+    monkeypatch.setattr(files, "SPLIT_BYTES", 10_000)
+    monkeypatch.setattr(turtle_splits.pieces_of, "__defaults__", (3000,))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        triples = files.read_whole_files(spark, [f"{tmp_path}/*"])
+        got = triples.select(*triples.columns[:6]).collect()
+        some = files.read_whole_files(spark, [f"{tmp_path}/*"], share=0.3).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    large, small = f"file:{tmp_path}/large.ttl", f"file:{tmp_path}/small.TTL"
+    expected = [*parse_turtle(body.encode(), large), *parse_turtle(TURTLE.encode(), small)]
+    assert without_names(got) == without_names(expected)
+    assert 0 < some < len(expected)
+    assert any("one\r\ntwo" in t[2] for t in got)
+
+
+def test_no_longest_file(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.ttl").write_text(TURTLE)
+    monkeypatch.setattr(files, "LONGEST_FILE", 10)
+    monkeypatch.setattr(files, "SPLIT_BYTES", 10)
+    assert files.read_whole_files(spark, [f"{tmp_path}/*.ttl"]).count() == len(list(parse_turtle(TURTLE.encode(), "f")))
+    with pytest.raises(ValueError, match="too long"):  # a parser of one's own gets whole files
+        files.read_whole_files(spark, [f"{tmp_path}/*.ttl"], parsers={"Turtle": lambda c, p: parse_turtle(c, p)})
+
+
+def test_directives():
+    found = turtle_splits.directives
+    assert found('PREFIX a: <urn:a> a:prefix a:base "@prefix no: <x> ." . # @base <no> .\n') == ["@prefix a: <urn:a> ."]
+    text = "@prefix a: <urn:1> . @prefix a: <urn:1> . @prefix a: <urn:2> . @prefix a: <urn:1> .\n"
+    assert found(text) == [f"@prefix a: <urn:{k}> ." for k in (1, 2, 1)]
+    assert len(found("@base <http://b/> . @base <c/> . @base <c/> .\n")) == 3  # each goes deeper
+    assert found("no directives .\n") == found("") == []
