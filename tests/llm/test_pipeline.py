@@ -79,7 +79,7 @@ def test_query(spark, name):
         assert found.count() == count if "packing" not in name else found.select("doc_id").distinct().count() == count
         return
     duck = duckdb.connect()
-    for table in ("pages", "conversations"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         duck.execute(f"create view {table} as from '{SF_DIR}/{table}.parquet'")
     expected = duck.execute(queries.ORACLES[name]).df()
     columns = sorted(expected.columns)
