@@ -99,7 +99,8 @@ def bulk_load(
         skipped = rejected_sources(spark, split_sources(source)).withColumn("line", F.lit(None).cast("string"))
         if lenient and seen.get["bad"]:
             skipped = skipped.unionByName(rejected_lines(spark, source))
-        skipped.select(*REJECT.names).coalesce(1).write.parquet(f"{prefix}rejects/{folder}")
+        # few rows of many lines: these are read by as many tasks as they need, then the rows are packed
+        skipped.select(*REJECT.names).hint("rebalance").write.parquet(f"{prefix}rejects/{folder}")
 
     sample = None
     if partitions > 1 and run not in names_of(read_runs(spark, prefix)):

@@ -367,3 +367,18 @@ def test_bulk_loads_add_up(spark, source_dir, tmp_path):
 
     found = read_prospects(spark, counts).filter("triple_value_type = 'predicate'").collect()
     assert [r["count"] for r in found] == [2]
+
+
+def test_many_tasks_look_for_malformed_lines(spark, source_dir, tmp_path, monkeypatch):
+    """What a load leaves out is gathered by the tasks that read the lines, not by one."""
+    from spark_triples.sources.tables import read_rejects
+
+    def by_task(spark, spec):
+        task = F.spark_partition_id().cast("string").alias("line")
+        return spark.range(0, 40, 1, 4).select(F.lit("p").alias("path"), F.lit("r").alias("reason"), task)
+
+    monkeypatch.setattr(flows, "rejected_lines", by_task)
+    (source_dir / "bad.nt").write_text('<urn:x> <urn:p> "1" .\nno statement\n')
+    flows.bulk_load(spark, f"{source_dir}/bad.nt", f"{tmp_path}/tasks_", on_bad_line="PERMISSIVE")
+    left_out = read_rejects(spark, f"{tmp_path}/tasks_").collect()
+    assert len(left_out) == 40 and len({r["line"] for r in left_out}) == 4
