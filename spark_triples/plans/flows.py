@@ -22,7 +22,7 @@ from spark_triples.operators.triples import (
     visible,
 )
 from spark_triples.schema import REJECT, TRIPLE, TRIPLE_KEY
-from spark_triples.session import job_scratch, stage
+from spark_triples.session import TASK_BYTES, job_scratch, stage
 from spark_triples.sinks.tables import (
     TIER,
     bytes_of,
@@ -56,8 +56,8 @@ from spark_triples.sources.tables import (
 )
 
 
-# A statement is about as long, or longer.
-LINE_BYTES = 100
+# A statement is about as long, or longer; and the bytes of lines that one range of a load should get.
+LINE_BYTES, LINES_RANGE_BYTES = 100, 64 << 20
 
 
 def epoch_ms(spark: SparkSession, text: str | None) -> int | None:
@@ -85,7 +85,7 @@ def bulk_load(
     hidden ones, and, unless ``on_bad_line`` is ``FAILFAST``, malformed lines."""
     ensure_tables(spark, prefix)
     name, size = listing(spark, split_sources(source))
-    run, partitions = run or name, partitions or ranges_of(spark, size)
+    run, partitions = run or name, partitions or ranges_of(spark, size, LINES_RANGE_BYTES)
     # what is to be left out is counted, so lenient reads keep it first
     lenient = on_bad_line != "FAILFAST"
     read_mode = "PERMISSIVE" if lenient and on_bad_line in MODES else on_bad_line
@@ -154,6 +154,8 @@ def bulk_load_with_statistics(
             loaded = new_triples(spark, prefix, held, [] if mode == "replace" else before)
         else:
             loaded = read_run(spark, path, TRIPLE)
+        # the number of lines is given, that of ranges is not: counts are more rows than triples
+        partitions = partitions or ranges_for(spark, bytes_of(spark, [path]), TASK_BYTES)
         counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
         write_prospects(counts, statistics_table, run, mode, partitions, tier=None)
     compact_prospects(spark, statistics_table, tier=TIER)
@@ -182,7 +184,7 @@ def statistics(
     """Triple table → count table, over the public triples."""
     size = bytes_of(spark, index_paths(spark, prefix, "spo"))
     counts = prospect_counts(visible(scan_index(spark, prefix)), on_bad_iri=on_bad_iri)
-    write_prospects(counts, destination, run, mode, partitions or ranges_for(spark, size))
+    write_prospects(counts, destination, run, mode, partitions or ranges_for(spark, size, TASK_BYTES))
 
 
 def statistics_fetch_only(spark: SparkSession, prefix: str, files: str) -> None:
@@ -200,7 +202,7 @@ def statistics_combine(
 ) -> None:
     """Raw prospects in files → count table; second of two steps."""
     counts = aggregate_prospects(read_prospect_files(spark, files))
-    partitions = partitions or ranges_for(spark, bytes_of(spark, [files]))
+    partitions = partitions or ranges_for(spark, bytes_of(spark, [files]), TASK_BYTES)
     write_prospects(counts, destination, run, mode, partitions)
 
 

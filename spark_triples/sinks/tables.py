@@ -31,8 +31,9 @@ from spark_triples.operators.ranges import (
     split_points,
 )
 from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE, TRIPLE_KEY, ZONE
-from spark_triples.session import delete, glob, job_scratch, make_dir, stage
+from spark_triples.session import TASK_BYTES, delete, glob, job_scratch, make_dir, small_splits, stage
 from spark_triples.sources.tables import (
+    bytes_of,
     index_paths,
     last_documents,
     read_run,
@@ -117,23 +118,18 @@ def write_sorted(
 RANGE_BYTES, LEAST_RANGE_BYTES = 256 << 20, 1 << 20
 
 
-def ranges_for(spark: SparkSession, size: int) -> int | None:
+def ranges_for(spark: SparkSession, size: int, each: int = RANGE_BYTES) -> int | None:
     """How many ranges so many bytes ask for; None where the session's shuffle partitions are
     enough, which adaptive execution then merges where they are small."""
-    wanted = -(-size // RANGE_BYTES)
+    wanted = -(-size // each)
     return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def ranges_of(spark: SparkSession, size: int) -> int:
-    """How many ranges so many bytes are laid out in: one for each 256 MB, and not fewer than
+def ranges_of(spark: SparkSession, size: int, each: int = TASK_BYTES) -> int:
+    """How many ranges so many bytes are laid out in: one for each ``each``, and not fewer than
     the session's shuffle partitions unless they would be small."""
     least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // LEAST_RANGE_BYTES))
-    return max(-(-size // RANGE_BYTES), least, 1)
-
-
-def bytes_of(spark: SparkSession, paths: list[str]) -> int:
-    """Bytes of the files in some folders, from their listing."""
-    return sum(e.size for path in paths for e in glob(spark, f"{path}/*"))
+    return max(-(-size // each), least, 1)
 
 
 def in_key_order(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
@@ -172,8 +168,10 @@ def write_indexes(
     with job_scratch(spark):
         ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if sample is None and ranges > 1:
-            triples = stage(triples.select(*TRIPLE.names), "unsorted")
-            sample = sample_of_files(triples, ranges)
+            triples = stage(triples.select(*TRIPLE.names), "unsorted", STAGED_GROUP_BYTES)
+            rows = triples.count()
+            ranges = partitions or max(ranges, -(-rows // RANGE_ROWS))
+            sample = sample_of_files(triples, ranges, rows)
         _write_copies(triples, prefix, folder, ranges, sample)
     if beside is not None:
         beside(folder)
@@ -181,13 +179,17 @@ def write_indexes(
     return f"{prefix}spo/{folder}"
 
 
+# Row groups of triples that are read again by many tasks.
+STAGED_GROUP_BYTES = 16 << 20
+# Triples that a range should hold at most: a task sorts them.
+RANGE_ROWS = 1_000_000
 # A range is one row group, so that no reader's splits cut through it.
 ROW_GROUP_BYTES = 1 << 30
 
 
-def sample_of_files(triples: DataFrame, ranges: int) -> Sample:
+def sample_of_files(triples: DataFrame, ranges: int, rows: int) -> Sample:
     """A sample of the row keys of Parquet files, whose rows are counted from their footers."""
-    share = min(1.0, SAMPLED_PER_RANGE * ranges / max(triples.count(), 1))
+    share = min(1.0, SAMPLED_PER_RANGE * ranges / max(rows, 1))
     some = triples if share == 1 else triples.sample(share, seed=7)
     return key_sample(some, TRIPLE_KEY, ranges)
 
@@ -209,7 +211,8 @@ def _write_copies(
             copy = sorted_distinct(ranged, points, [F.max("ts").alias("ts")])
         else:
             copy = ranged.drop(RANGE).sortWithinPartitions(*order)
-        copy.select(*TRIPLE.names).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+        with small_splits(spark, STAGED_GROUP_BYTES):  # an exchange holds what a task reads
+            copy.select(*TRIPLE.names).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         laid_out[name] = points
         if name == "spo":
             source = read_run(spark, path, TRIPLE)
@@ -252,7 +255,8 @@ def write_routed(df: DataFrame, path: str, key: str) -> None:
 
 def write_prospect_files(prospects: DataFrame, path: str) -> None:
     """Write prospects as they are, unaggregated."""
-    prospects.select(*PROSPECT.names).write.mode("overwrite").parquet(path)
+    with small_splits(prospects.sparkSession):  # files as small as those of the triples
+        prospects.select(*PROSPECT.names).write.mode("overwrite").parquet(path)
 
 
 def write_prospects(
@@ -270,7 +274,8 @@ def write_prospects(
     size are merged afterwards (``tier`` None: never).
     """
     rows = prospects.select(*PROSPECT.names)
-    write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
+    with small_splits(prospects.sparkSession):  # a task that counts holds several keys for each triple
+        write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
     _merge_due(prospects.sparkSession, f"{table}/", [table], tier, _merge_prospects)
 
 
@@ -356,9 +361,10 @@ def _merge_indexes(
     folder = _merged_folder(runs)
     paths = [f"{prefix}spo/{r.folder}" for r in runs]
     triples = read_run(spark, paths, TRIPLE)
-    ranges = partitions or ranges_of(spark, bytes_of(spark, paths))
+    rows = triples.count()
+    ranges = partitions or max(ranges_of(spark, bytes_of(spark, paths)), -(-rows // RANGE_ROWS))
     with job_scratch(spark):
-        sample = sample_of_files(triples, ranges) if ranges > 1 else None
+        sample = sample_of_files(triples, ranges, rows) if ranges > 1 else None
         _write_copies(triples, prefix, folder, ranges, sample)
     _merge_runs(spark, prefix, runs, folder)
 
@@ -368,10 +374,12 @@ def _merge_prospects(
 ) -> None:
     folder = _merged_folder(runs)
     paths = [f"{root}{r.folder}" for r in runs]
-    merged = aggregate_prospects(read_run(spark, paths, PROSPECT))
     partitions = partitions or ranges_of(spark, bytes_of(spark, paths))
-    rows = in_key_order(merged.select(*PROSPECT.names), _PROSPECT_ORDER, partitions)
-    rows.write.parquet(f"{root}{folder}")
+    # a run holds a prospect once: nothing to combine before the exchange, and none is needed after it
+    ranged = read_run(spark, paths, PROSPECT).repartitionByRange(partitions, *_PROSPECT_ORDER)
+    rows = aggregate_prospects(ranged).sortWithinPartitions(*_PROSPECT_ORDER)
+    with small_splits(spark):
+        rows.select(*PROSPECT.names).write.parquet(f"{root}{folder}")
     _merge_runs(spark, root, runs, folder)
 
 

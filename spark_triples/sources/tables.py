@@ -24,12 +24,27 @@ from spark_triples.schema import (
     KEY_TAIL,
     LAYOUTS,
     PROSPECT,
+    PROSPECT_KEY,
     REJECT,
     TRIPLE,
     TRIPLE_KEY,
     ZONE,
 )
-from spark_triples.session import glob
+from spark_triples.session import TASK_BYTES, glob
+
+
+def bytes_of(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files in some folders (or of some files), from their listing."""
+    found = [e for path in paths for e in glob(spark, path)]
+    return sum(x.size for e in found for x in (glob(spark, f"{e.path}/*") if e.is_dir else [e]))
+
+
+def in_tasks(df: DataFrame, paths: list[str], keys: list[str]) -> DataFrame:
+    """The rows of some folders, dealt out by their keys to as many tasks as their bytes ask for;
+    as they are, if the scan has so many tasks."""
+    spark = df.sparkSession
+    tasks = -(-bytes_of(spark, paths) // TASK_BYTES)
+    return df.repartition(tasks, *keys) if tasks > spark.sparkContext.defaultParallelism else df
 
 
 def run_paths(spark: SparkSession, table: str) -> list[str]:
@@ -137,6 +152,9 @@ def scan_index(
     A table of one run holds each triple once already. More runs are merged: equal
     triples become one, with the latest time. Rows before ``since_ms`` cannot be the latest
     of a triple that stays, so the scan leaves them out, and older runs by their statistics.
+
+    A run holds a triple once, so there is nothing to combine before the exchange of a merge: rows go
+    to tasks of a bounded size as they are.
     """
     paths = index_paths(spark, prefix, name)
     runs = len(paths)
@@ -149,6 +167,8 @@ def scan_index(
         triples = filter_property(triples, predicates)
     if since_ms is not None:
         triples = triples.filter(F.col("ts") >= F.timestamp_millis(F.lit(since_ms)))
+    if first is None and runs > 1:
+        triples = in_tasks(triples, paths, TRIPLE_KEY)
     return dedup_triples(triples) if runs > 1 else triples
 
 
@@ -163,7 +183,10 @@ def read_prospects(spark: SparkSession, table: str) -> DataFrame:
     """The count table; counts of equal prospects are added up over its runs."""
     paths = run_paths(spark, table)
     prospects = read_run(spark, paths, PROSPECT)
-    return aggregate_prospects(prospects) if len(paths) > 1 else prospects
+    if len(paths) < 2:
+        return prospects
+    # a run holds a prospect once: nothing to combine before the exchange
+    return aggregate_prospects(in_tasks(prospects, paths, PROSPECT_KEY))
 
 
 def read_documents(spark: SparkSession, table: str) -> DataFrame:

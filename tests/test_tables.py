@@ -277,3 +277,47 @@ def test_names_of_own(make_triples, tmp_path):
     for name in ("own-1", "merged-1"):
         with pytest.raises(ValueError, match="run"):
             sinks.write_table(make_triples(GRAPH), f"{tmp_path}/t", name)
+
+
+def test_ranges_follow_the_rows(spark, make_triples, tmp_path, monkeypatch):
+    """Also where nobody says how many ranges there should be, and more than shuffle partitions."""
+    monkeypatch.setattr(sinks, "RANGE_ROWS", 50)
+    made = make_triples([(f"urn:s{k:03}", "urn:p", str(k)) for k in range(600)])
+    for k in range(2):
+        sinks.write_indexes(made.filter(f"object % 2 = {k}"), f"{tmp_path}/many_", partitions=None if k else 2)
+    folders = sources.index_paths(spark, f"{tmp_path}/many_", "spo")
+    assert [len(sources.read_run(spark, f, TRIPLE).inputFiles()) for f in folders] == [2, 6]
+    sinks.compact_index(spark, f"{tmp_path}/many_")
+    merged = sources.scan_index(spark, f"{tmp_path}/many_")
+    assert len(merged.inputFiles()) == 12 and merged.count() == 600
+
+
+def test_runs_are_merged_by_tasks_of_a_bounded_size(spark, make_triples, tmp_path, monkeypatch):
+    """Rows of runs, which have nothing to combine, go to as many tasks as their bytes ask for."""
+    from spark_triples.operators.prospects import prospect_counts
+
+    made = make_triples([(f"urn:s{k:03}", "urn:p", str(k)) for k in range(200)])
+    for k in range(2):
+        sinks.write_indexes(made.filter(f"object % 3 <> {k}"), f"{tmp_path}/m_", partitions=2)
+        sinks.write_prospects(prospect_counts(made.filter(f"object % 2 = {k}")), f"{tmp_path}/c")
+    monkeypatch.setattr(sources, "TASK_BYTES", 100)
+    scan = sources.scan_index(spark, f"{tmp_path}/m_")
+    wanted = -(-sources.bytes_of(spark, sources.index_paths(spark, f"{tmp_path}/m_", "spo")) // 100)
+    assert scan.rdd.getNumPartitions() == wanted > 50
+    assert scan.count() == 200
+    counts = sources.read_prospects(spark, f"{tmp_path}/c")
+    assert counts.rdd.getNumPartitions() > 50
+    assert {r["count"] for r in counts.filter("triple_value_type = 'predicate'").collect()} == {200}
+
+
+def test_small_splits_are_for_the_jobs_inside(spark, tmp_path):
+    spark.range(0, 1000, 1, 40).write.parquet(f"{tmp_path}/rows")
+    names = session.SPLITS
+
+    def tasks():
+        return spark.read.parquet(f"{tmp_path}/rows").rdd.getNumPartitions()
+
+    before, usual = [spark.conf.get(n, None) for n in names], tasks()
+    with session.small_splits(spark, 1000):
+        assert tasks() >= 40 > usual
+    assert [spark.conf.get(n, None) for n in names] == before and tasks() == usual
