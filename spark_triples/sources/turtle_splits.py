@@ -46,6 +46,8 @@ def scan(text: str, state: str = "") -> Iterator[re.Match | str]:
     at = 0
     while True:
         if state:
+            if text.find(state * 3, at) < 0:  # most chunks hold no long string
+                break
             if not (closed := _CLOSE[state].match(text, at)):
                 break
             at, state = closed.end(), ""
@@ -101,8 +103,8 @@ def _chunks(size: int):
         def chunk() -> pd.DataFrame:
             text = "".join(lines)
             found = [borders(text, s) for s in STATES]
-            row = (*key, n, text, [s for _, s in found], [bool(ends) for ends, _ in found])
-            return pd.DataFrame([row], columns=["path", "block", "n", "text", "after", "cut"])
+            row = (*key, n, text, [s for _, s in found], [ends for ends, _ in found])
+            return pd.DataFrame([row], columns=["path", "block", "n", "text", "after", "ends"])
 
         for batch in batches:
             for path, block, value in zip(batch["path"], batch["block"], batch["value"], strict=True):
@@ -121,7 +123,7 @@ def _chunks(size: int):
     return pack
 
 
-CHUNK = "path string, block long, n long, text string, after array<string>, cut array<boolean>"
+CHUNK = "path string, block long, n long, text string, after array<string>, ends array<array<int>>"
 STATE = "path string, block long, n long, state string, statement long"
 
 
@@ -130,10 +132,10 @@ def _follow(chunks: pd.DataFrame) -> pd.DataFrame:
     border: that of the statement it begins in."""
     out, state, statement = [], "", 0
     chunks = chunks.sort_values(["block", "n"])
-    for path, block, n, after, cut in chunks[["path", "block", "n", "after", "cut"]].itertuples(index=False):
+    for path, block, n, after, ends in chunks[["path", "block", "n", "after", "ends"]].itertuples(index=False):
         out.append((path, block, n, state, statement))
         i = STATES.index(state)
-        state, statement = after[i], statement + bool(cut[i])
+        state, statement = after[i], statement + (len(ends[i]) > 0)
     return pd.DataFrame(out, columns=["path", "block", "n", "state", "statement"])
 
 
@@ -144,7 +146,7 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["path", "block", "n", "kind", "statement", "text"]
     for batch in batches:
         for row in batch.itertuples(index=False):
-            ends, _ = borders(row.text, row.state)
+            ends = list(row.ends[STATES.index(row.state)])
             text = row.text.removeprefix("\ufeff") if row.block == row.n == 0 else row.text
             moved = len(row.text) - len(text)
             first, last = (ends[0] - moved, ends[1] - moved) if ends else (len(text), len(text))
@@ -190,9 +192,9 @@ def pieces_of(lines: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     statements: (path, block, n, kind, text, found), with their directives."""
     chunks = lines.select("path", "block", "value").mapInPandas(_chunks(chunk_chars), CHUNK)
     chunks = stage(chunks, "turtle-chunks")
-    states = chunks.select("path", "block", "n", "after", "cut").groupBy("path").applyInPandas(_follow, STATE)
+    states = chunks.select("path", "block", "n", "after", "ends").groupBy("path").applyInPandas(_follow, STATE)
     states = stage(states, "turtle-states")
-    cut = chunks.select("path", "block", "n", "text").join(states, ["path", "block", "n"])
+    cut = chunks.select("path", "block", "n", "text", "ends").join(states, ["path", "block", "n"])
     cut = stage(cut.mapInPandas(_pieces, PIECE), "turtle-cut")
     whole = cut.filter("kind = 1").select("path", "block", "n", "kind", "text")
     # the rests of neighbouring chunks that are one statement

@@ -132,3 +132,15 @@ def test_directives():
     assert found(text) == [f"@prefix a: <urn:{k}> ." for k in (1, 2, 1)]
     assert len(found("@base <http://b/> . @base <c/> . @base <c/> .\n")) == 3  # each goes deeper
     assert found("no directives .\n") == found("") == []
+
+
+def test_a_chunk_is_scanned_once(monkeypatch):
+    """Where its statements end is known from the scan that finds its states."""
+    import pandas as pd
+
+    lines = pd.DataFrame({"path": ["f"] * 3, "block": [0] * 3, "value": ['<a> <b> "1" . <a> <b>', '"2" . <a>', "<b> 3 ."]})
+    (chunk,) = turtle_splits._chunks(1 << 20)(iter([lines]))
+    states = turtle_splits._follow(chunk)
+    monkeypatch.setattr(turtle_splits, "borders", None)
+    (pieces,) = turtle_splits._pieces(iter([chunk.merge(states, on=["path", "block", "n"])]))
+    assert list(pieces["text"]) == ['<a> <b> "1" .', ' <a> <b>\n"2" . <a>\n<b> 3 .', "\n"]
