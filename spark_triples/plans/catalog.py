@@ -216,7 +216,7 @@ def loaded_prefix(spark: SparkSession, sf_dir: str) -> str:
     if key not in _loaded:
         prefix = scratch_path(spark, "graph") + "/"
         sinks.ensure_tables(spark, prefix)
-        sinks.write_indexes(g(spark, sf_dir), prefix)
+        sinks.write_indexes(g_raw(spark, sf_dir), prefix)  # which makes one of equal triples
         _loaded[key] = prefix
     return _loaded[key]
 
