@@ -53,7 +53,9 @@ from spark_triples.session import stage
 
 WORDS, PERCENT = 5, 80
 K, MISS = 64, 1e-7
-BITS = 2048
+BITS = 8192
+# Stars only have to merge most copies: a pair that they miss is met again.
+STAR_MISS = 0.5
 _PLACES = odd_numbers(WORDS, 5)
 _COORDINATES = odd_numbers(K, 64)
 _BIT_COORDINATES = odd_numbers(BITS, 65)
@@ -252,7 +254,7 @@ def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """(doc_id, key, row, n_shingles, component_id, first): ``first`` marks one row of each
     component, that with the smallest doc_id."""
-    least = least_agreement(percent)
+    least, likely = least_agreement(percent), least_agreement(percent, miss=STAR_MISS)
     signed = stage(_signed(docs, words), "signatures")
     filled = signed.filter("n > 0")
     classes = stage(filled.groupBy("s1", "s2").agg(F.min("row").alias("cls")), "classes")
@@ -279,7 +281,7 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         pairs = stars.select(
             F.least("cls", "middle.cls").alias("a"), F.greatest("cls", "middle.cls").alias("b")
         ).distinct()
-        found = _confirmed(_agreeing(pairs, wanted, least), sets, percent)
+        found = _confirmed(_agreeing(pairs, wanted, likely), sets, percent)
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 

@@ -133,3 +133,32 @@ def test_most_unequal_bits(percent):
     p = (1 - percent / 100) / 2
     assert (rng.binomial(near_dedup.BITS, p, 100_000) <= most).all()
     assert (rng.binomial(near_dedup.BITS, p + 0.1, 1000) > most).all()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_few_pairs_below_the_limit_are_compared(spark, monkeypatch, percent):
+    """In a large group around the limit, signatures leave little but links to full comparison."""
+    rng = random.Random(7)
+    base = words(rng, 500)
+    texts = []
+    for number in range(120):
+        copy = list(base)
+        for at in rng.sample(range(500), rng.randrange(5, 11)):
+            copy[at] = f"n{number}x{at}"
+        texts.append(" ".join(copy))
+    seen, stage = [], near_dedup.stage
+
+    def noted(df, name, *more):
+        written = stage(df, name, *more)
+        if name == "near-pairs":
+            seen.extend((r["a"], r["b"]) for r in written.collect())
+        return written
+
+    monkeypatch.setattr(near_dedup, "stage", noted)
+    pairs = list(enumerate(texts))
+    found = near_dedup.link(documents(spark, pairs).coalesce(1), percent).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=repr) == all_pairs(pairs, percent)
+    sets = {r["row"]: shingle_set(texts[r["doc_id"]]) for r in found}
+    alike = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in seen]
+    far = sum(x < percent / 100 - 0.05 for x in alike)
+    assert far <= 0.1 * 120 * 119 / 2
