@@ -92,20 +92,24 @@ def aggregate_prospects(prospects: DataFrame) -> DataFrame:
     return prospects.groupBy(*PROSPECT_KEY).agg(F.sum("count").alias("count"))
 
 
-def prospect_counts(triples: DataFrame, on_bad_iri: str = "error") -> DataFrame:
-    """The aggregated prospects of a triple table.
+def prospect_counts(
+    triples: DataFrame, on_bad_iri: str = "error", types: tuple[str, ...] = TYPES
+) -> DataFrame:
+    """The aggregated prospects of a triple table, of all types or of some.
 
     The same rows as aggregating :func:`explode_prospects`, as one GROUPING SETS query:
     terms are joined to pair keys only after equal ones have been counted, so fewer and
     narrower rows are built and shuffled.
     """
+    if not types:
+        return triples.sparkSession.createDataFrame([], PROSPECT)
     columns = ["subject", "predicate", "object", "object_type", "namespace", "visibility"]
     with_namespace = triples.select(
         *columns[:4],
         entity_namespace(F.col("subject"), on_bad_iri).alias("namespace"),
         "visibility",
     )
-    grouped = {name: {*own, "visibility"} for name, own in GROUPED.items()}
+    grouped = {name: {*own, "visibility"} for name, own in GROUPED.items() if name in types}
     counted = with_namespace.groupingSets(
         [[F.col(c) for c in columns if c in own] for own in grouped.values()],
         *[F.col(c) for c in columns],
@@ -115,20 +119,20 @@ def prospect_counts(triples: DataFrame, on_bad_iri: str = "error") -> DataFrame:
         name: sum(2**i for i, c in enumerate(reversed(columns)) if c not in own)
         for name, own in grouped.items()
     }
-    types = F.create_map(*[F.lit(x) for n in TYPES for x in (number[n], n)])
-    uri_sets = [number[n] for n in (SUBJECT, PREDICATE, ENTITY)]
+    types = F.create_map(*[F.lit(x) for n in grouped for x in (number[n], n)])
+    uri_sets = [number[n] for n in (SUBJECT, PREDICATE, ENTITY) if n in grouped]
     rows = counted.select(
         F.lit(COUNT).alias("index_name"),
         types[F.col("_set")].alias("triple_value_type"),
         # columns outside the set are null, which concat_ws leaves out
         F.concat_ws(DELIM, "subject", "predicate", "object", "namespace").alias("data"),
         F.when(F.col("_set").isin(uri_sets), F.lit(ANYURI))
-        .when(F.col("_set") == number[OBJECT], F.col("object_type"))
+        .when(F.col("_set") == number.get(OBJECT, -1), F.col("object_type"))
         .otherwise(F.lit(XSD_STRING))
         .alias("data_type"),
         "visibility",
         "count",
-        (F.col("_set") == number[ENTITY]).alias("_entity"),
+        (F.col("_set") == number.get(ENTITY, -1)).alias("_entity"),
         "namespace",
     )
     if on_bad_iri == "skip":
@@ -210,6 +214,16 @@ def _lookup(
     return found.join(wanted, _lookup_key(), "left_semi").select(*PROSPECT.names)
 
 
+def asked_counts(triples: DataFrame, requests: DataFrame, on_bad_iri: str = "error") -> DataFrame:
+    """The aggregated prospects of the types that are asked for. Counts of the other types would be
+    built and moved for nothing, and those of subjects with objects are the most and the widest. The
+    few namespaces are counted in any case where a subject without one is an error."""
+    asked = requests.select("triple_value_type").distinct()
+    found = asked.filter(F.col("triple_value_type").isin(*TYPES)).collect()  # at most one row a type
+    names = {r["triple_value_type"] for r in found} | ({ENTITY} if on_bad_iri == "error" else set())
+    return prospect_counts(triples, on_bad_iri, tuple(n for n in TYPES if n in names))
+
+
 def cardinality(
     prospects: DataFrame,
     requests: DataFrame,

@@ -847,8 +847,9 @@ COUNTED_SQL = (
     f"{COUNTED_SQL} select c.* from c join r using (triple_value_type, data, data_type)",
 )
 def lookup_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prospects.prospect_counts(public_graph(spark, sf_dir))
-    return show_prospects(prospects.lookup_prospects(counts, requests(spark, sf_dir)))
+    asked = requests(spark, sf_dir)
+    counts = prospects.asked_counts(public_graph(spark, sf_dir), asked)
+    return show_prospects(prospects.lookup_prospects(counts, asked))
 
 
 @query(
@@ -858,8 +859,9 @@ def lookup_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
     "from r left join c using (triple_value_type, data, data_type)",
 )
 def cardinality_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prospects.prospect_counts(public_graph(spark, sf_dir))
-    found = prospects.cardinality(counts, requests(spark, sf_dir))
+    asked = requests(spark, sf_dir)
+    counts = prospects.asked_counts(public_graph(spark, sf_dir), asked)
+    found = prospects.cardinality(counts, asked)
     return found.withColumn("data", F.replace("data", F.lit(DELIM), F.lit("|")))
 
 

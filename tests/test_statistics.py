@@ -166,3 +166,15 @@ def test_load_with_statistics(spark, tmp_path):
     assert sum(counts.values()) == 7 * len(NT_LINES)
     flows.statistics(spark, f"{tmp_path}/t_", f"{tmp_path}/again")
     assert counts_of(sources.read_prospects(spark, f"{tmp_path}/again")) == counts
+
+
+def test_counts_of_asked_types_only(spark, make_triples):
+    graph = make_triples(GRAPH)
+    some = ask(spark, ("subject", [STATION], ANYURI), ("predicateobject", [TEMPERATURE, "x"], XSD_STRING), ("other", ["x"], ANYURI))
+    counts = prospects.asked_counts(graph, some)
+    kept = ("subject", "predicateobject", "entity")  # a subject without a namespace stays an error
+    assert counts_of(counts) == {k: n for k, n in COUNTS.items() if k[0] in kept}
+    with pytest.raises(Exception, match="no separator in IRI: plain"):
+        prospects.asked_counts(make_triples([("plain", "p:q", "x")]), some).collect()
+    none = prospects.asked_counts(graph, some.filter("false"), on_bad_iri="skip")
+    assert none.columns == PROSPECT.names and none.count() == 0
