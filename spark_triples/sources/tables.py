@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from spark_triples.manifest import Run, read_runs, read_state
 from spark_triples.operators.documents import document_values, group_by_subject, nest_documents
 from spark_triples.operators.prospects import aggregate_prospects
-from spark_triples.operators.skew import key_join
+from spark_triples.operators.skew import BROADCAST_KEYS, key_join
 from spark_triples.operators.sorted_groups import file_name, stream_documents, stream_groups
 from spark_triples.operators.triples import (
     choose_layout,
@@ -225,21 +225,24 @@ def new_triples(spark: SparkSession, prefix: str, run: Run, runs: list[Run] | No
     those that are published, unless they are to be read.
 
     Only rows of earlier runs whose key hashes as one of this run's are compared with it, so a
-    small load is checked against a large table by a scan that broadcasts hashes.
+    small load is checked against a large table by a scan that broadcasts hashes. A large load and
+    the rows of its subjects' range meet at once, by one exchange of either: a hash has as many
+    rows there as there are runs, so none is frequent.
     """
     triples = read_run(spark, f"{prefix}spo/{run.folder}", TRIPLE)
     runs = read_runs(spark, prefix) if runs is None else runs
     earlier = [r for r in runs if r.number < run.number and r.name != run.name]
     if not earlier:
         return triples
-    low, high = triples.agg(F.min("subject"), F.max("subject")).first()
+    low, high, rows = triples.agg(F.min("subject"), F.max("subject"), F.count("*")).first()
     if low is None:
         return triples
     before = read_run(spark, [f"{prefix}spo/{r.folder}" for r in earlier], TRIPLE)
     before = before.filter(F.col("subject").between(low, high))
     row_hash = F.xxhash64(*TRIPLE_KEY)
-    hashes = triples.select(row_hash.alias("_hash"))
-    held = key_join(before.withColumn("_hash", row_hash), hashes, "_hash", "left_semi")
+    held = before.withColumn("_hash", row_hash)
+    if rows <= BROADCAST_KEYS:
+        held = key_join(held, triples.select(row_hash.alias("_hash")), "_hash", "left_semi")
     held = held.select("_hash", *[F.col(c).alias(f"_{c}") for c in TRIPLE_KEY])
     same = F.col("_hash") == row_hash
     for c in TRIPLE_KEY:

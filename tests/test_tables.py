@@ -273,6 +273,23 @@ def test_new_triples(spark, make_triples, tmp_path):
         assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(r[:3] for r in rows)
 
 
+def test_new_triples_of_a_large_run(spark, make_triples, tmp_path, monkeypatch):
+    """More rows than may be broadcast: the runs meet by one join, no keys are written first."""
+    prefix = f"{tmp_path}/"
+    for run, subjects in (("a", range(6)), ("b", range(3, 9))):
+        rows = [(f"urn:x#{i}", "urn:p#q", "v", "urn:type", "en" if i % 2 else None) for i in subjects]
+        sinks.write_indexes(make_triples(rows), prefix, run)
+    runs = {r.name: r for r in manifest.read_runs(spark, prefix)}
+
+    def fail(*_, **__):
+        raise AssertionError("keys were written")
+
+    monkeypatch.setattr(sources, "BROADCAST_KEYS", 5, raising=False)
+    monkeypatch.setattr(sources, "key_join", fail)
+    got = sources.new_triples(spark, prefix, runs["b"])
+    assert sorted(r["subject"] for r in got.collect()) == [f"urn:x#{i}" for i in range(6, 9)]
+
+
 def test_names_of_own(make_triples, tmp_path):
     for name in ("own-1", "merged-1"):
         with pytest.raises(ValueError, match="run"):
