@@ -102,14 +102,17 @@ def _documents(rows: pa.Table, budget: int) -> list[pa.Array]:
 def _grouped(
     rows: DataFrame,
     key: str,
-    zones: DataFrame,
+    zones: DataFrame | None,
     schema: T.StructType,
     made: Callable[[pa.Table], list[pa.Array]],
 ) -> DataFrame:
-    """``rows`` with the columns ``_file`` and ``_kept``, in the order of the files."""
-    spark = rows.sparkSession
-    # a number per file of the table
-    expected = spark.sparkContext.broadcast({r["file"]: r["rows"] for r in zones.select("file", "rows").collect()})
+    """``rows`` with the columns ``_file`` and ``_kept``, in the order of the files; without zones, rows
+    of which each task has whole groups, one after the other."""
+    expected = None
+    if zones is not None:
+        # a number per file of the table
+        counted = {r["file"]: r["rows"] for r in zones.select("file", "rows").collect()}
+        expected = rows.sparkSession.sparkContext.broadcast(counted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -123,9 +126,10 @@ def _grouped(
             return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
         for batch in batches:
-            for x in pc.value_counts(batch.column("_file")).to_pylist():
-                seen[x["values"]] = seen.get(x["values"], 0) + x["counts"]
-            batch = batch.filter(batch.column("_kept"))
+            if expected is not None:
+                for x in pc.value_counts(batch.column("_file")).to_pylist():
+                    seen[x["values"]] = seen.get(x["values"], 0) + x["counts"]
+                batch = batch.filter(batch.column("_kept"))
             if not batch.num_rows:
                 continue
             keys = batch.column(key)
@@ -147,12 +151,9 @@ def _grouped(
     return rows.mapInArrow(run, schema)
 
 
-def stream_groups(triples: DataFrame, kept: Column, zones: DataFrame, part_chars: int) -> DataFrame:
-    """(subject, part, n_parts, triples) as ``documents.group_by_subject`` makes them, of the rows
-    that meet ``kept``. ``triples`` is a scan of the subject-ordered copy of one run, without a
-    subject that is cut, and ``zones`` its zone map."""
+def _groups_schema(triples: DataFrame) -> T.StructType:
     entry = T.StructType([triples.schema[c] for c in ENTRY])
-    schema = T.StructType(
+    return T.StructType(
         [
             T.StructField("subject", T.StringType()),
             T.StructField("part", T.LongType()),
@@ -160,8 +161,21 @@ def stream_groups(triples: DataFrame, kept: Column, zones: DataFrame, part_chars
             T.StructField("triples", T.ArrayType(entry)),
         ]
     )
+
+
+def stream_groups(triples: DataFrame, kept: Column, zones: DataFrame, part_chars: int) -> DataFrame:
+    """(subject, part, n_parts, triples) as ``documents.group_by_subject`` makes them, of the rows
+    that meet ``kept``. ``triples`` is a scan of the subject-ordered copy of one run, without a
+    subject that is cut, and ``zones`` its zone map."""
     rows = triples.select("subject", *ENTRY, "_file", kept.alias("_kept"))
-    return _grouped(rows, "subject", zones, schema, lambda t: _triples(t, part_chars))
+    return _grouped(rows, "subject", zones, _groups_schema(triples), lambda t: _triples(t, part_chars))
+
+
+def sort_groups(triples: DataFrame, part_chars: int) -> DataFrame:
+    """The same of distinct triples of which each task has whole subjects, in any order. A subject is
+    held by one task, so this is for subjects of a bounded number of rows."""
+    rows = triples.select("subject", *ENTRY).sortWithinPartitions("subject", "predicate", "object", *KEY_TAIL)
+    return _grouped(rows, "subject", None, _groups_schema(triples), lambda t: _triples(t, part_chars))
 
 
 def stream_documents(values: DataFrame, kept: Column, zones: DataFrame, part_chars: int) -> DataFrame:

@@ -10,7 +10,7 @@ from spark_triples.manifest import Run, read_runs, read_state
 from spark_triples.operators.documents import document_values, group_by_subject, nest_documents
 from spark_triples.operators.prospects import aggregate_prospects
 from spark_triples.operators.skew import BROADCAST_KEYS, key_join
-from spark_triples.operators.sorted_groups import file_name, stream_documents, stream_groups
+from spark_triples.operators.sorted_groups import file_name, sort_groups, stream_documents, stream_groups
 from spark_triples.operators.triples import (
     choose_layout,
     dedup_triples,
@@ -269,14 +269,19 @@ def _one_run(spark: SparkSession, prefix: str) -> DataFrame | None:
     return zone_map(spark, prefix) if len(index_paths(spark, prefix, "spo")) == 1 else None
 
 
+def _cut(zones: DataFrame) -> DataFrame | None:
+    """The subjects that are cut, if there are any, to be broadcast: there are fewer than files."""
+    cut = zones.filter("cut").select(F.col("low")[0].alias("_cut")).distinct()
+    return F.broadcast(cut) if cut.head(1) else None
+
+
 def _sorted_rows(spark: SparkSession, prefix: str, zones: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The subject-ordered copy as it lies, with the name of each row's file, without the subjects
-    that are cut; and the rows of these, if there are any: there are fewer than files."""
+    that are cut; and the rows of these, if there are any."""
     rows = read_run(spark, index_paths(spark, prefix, "spo"), TRIPLE).select("*", file_name())
-    cut = zones.filter("cut").select(F.col("low")[0].alias("_cut")).distinct()
-    if not cut.head(1):
+    cut, same = _cut(zones), F.col("subject") == F.col("_cut")
+    if cut is None:
         return rows, None
-    cut, same = F.broadcast(cut), F.col("subject") == F.col("_cut")
     # every row of a file is counted, so those of cut subjects stay, but are not kept
     marked = rows.join(cut, same, "left")
     return marked, rows.join(cut, same, "left_semi").drop("_file")
@@ -290,16 +295,30 @@ def grouped_by_subject(
     predicates: list[str] | None = None,
 ) -> DataFrame:
     """``group_by_subject`` of the visible triples of an index, or of those of some predicates. A
-    table of one run is grouped as it is read, without an exchange of its rows; several
-    runs, and subjects that hold more than a range, are grouped by one."""
+    table of one run is grouped as it is read, without an exchange of its rows. Several runs take one
+    exchange by subject, behind which triples become one and are grouped. Subjects that hold more
+    than a range of a run are cut, whatever their size, by exchanges of their own."""
 
     def chosen(df: DataFrame) -> DataFrame:
         df = visible(df, auths)
         return df if predicates is None else filter_property(df, predicates)
 
-    zones = _one_run(spark, prefix)
+    zones, paths = zone_map(spark, prefix), index_paths(spark, prefix, "spo")
     if zones is None:
         return group_by_subject(chosen(scan_index(spark, prefix)), part_chars)
+    if len(paths) > 1:
+        rows, cut = chosen(read_run(spark, paths, TRIPLE)).filter("subject is not null"), _cut(zones)
+        same = None if cut is None else F.col("subject") == F.col("_cut")
+        light = rows if cut is None else rows.join(cut, same, "left_anti")
+        tasks = -(-bytes_of(spark, paths) // TASK_BYTES)
+        if tasks > spark.sparkContext.defaultParallelism:
+            light = light.repartition(tasks, "subject")
+        else:
+            light = light.repartition("subject")
+        # equal triples are of one subject, so they meet by the same exchange
+        groups = sort_groups(dedup_triples(light), part_chars)
+        heavy = None if cut is None else dedup_triples(rows.join(cut, same, "left_semi"))
+        return groups if cut is None else groups.unionByName(group_by_subject(heavy, part_chars))
     rows, cut = _sorted_rows(spark, prefix, zones)
     groups = stream_groups(rows, _kept(auths, predicates, cut), zones, part_chars)
     return groups if cut is None else groups.unionByName(group_by_subject(chosen(cut), part_chars))

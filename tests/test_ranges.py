@@ -191,3 +191,18 @@ def test_empty_and_missing(spark, make_triples, tmp_path):
     sinks.compact_index(spark, prefix, 2)
     sinks.remove_old(spark, prefix)
     assert sources.zone_map(spark, prefix).count() == 1
+
+
+@pytest.mark.parametrize("heavy", [0, 2500])
+@pytest.mark.parametrize("budget", [150, 100_000])
+def test_groups_of_two_runs(spark, make_triples, tmp_path, heavy, budget):
+    rows = graph(random.Random(9), 1500, heavy)
+    prefix = f"{tmp_path}/two_"
+    for k in (0, 1):  # a third of the triples are in both
+        sinks.write_indexes(make_triples([r for i, r in enumerate(rows) if i % 3 != k]), prefix, partitions=5)
+    assert bool(sources._cut(sources.zone_map(spark, prefix))) == bool(heavy)
+    everything = triples.visible(sources.scan_index(spark, prefix))
+    got = sources.grouped_by_subject(spark, prefix, budget)
+    assert rows_of(got) == rows_of(documents.group_by_subject(everything, budget))
+    if not heavy:  # equal triples become one, and subjects are grouped, behind one exchange
+        assert plan(sources.grouped_by_subject(spark, prefix, budget)).count("Exchange") == 1
