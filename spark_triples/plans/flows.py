@@ -32,6 +32,7 @@ from spark_triples.sinks.tables import (
     ensure_tables,
     ranges_for,
     ranges_of,
+    sample_of_counts,
     write_documents,
     write_indexes,
     write_prospect_files,
@@ -155,9 +156,11 @@ def bulk_load_with_statistics(
         else:
             loaded = read_run(spark, path, TRIPLE)
         # the number of lines is given, that of ranges is not: counts are more rows than triples
-        partitions = partitions or ranges_for(spark, bytes_of(spark, [path]), TASK_BYTES)
+        partitions = partitions or ranges_of(spark, bytes_of(spark, [path]))
         counts = prospect_counts(loaded, on_bad_iri=on_bad_iri)
-        write_prospects(counts, statistics_table, run, mode, partitions, tier=None)
+        # new triples are fewer than the run's, but their keys are spread alike
+        sample = sample_of_counts(read_run(spark, path, TRIPLE), partitions, on_bad_iri)
+        write_prospects(counts, statistics_table, run, mode, partitions, tier=None, sample=sample)
     compact_prospects(spark, statistics_table, tier=TIER)
 
 
@@ -182,9 +185,13 @@ def statistics(
     on_bad_iri: str = "error",
 ) -> None:
     """Triple table → count table, over the public triples."""
-    size = bytes_of(spark, index_paths(spark, prefix, "spo"))
-    counts = prospect_counts(visible(scan_index(spark, prefix)), on_bad_iri=on_bad_iri)
-    write_prospects(counts, destination, run, mode, partitions or ranges_for(spark, size, TASK_BYTES))
+    paths = index_paths(spark, prefix, "spo")
+    triples = visible(scan_index(spark, prefix))
+    counts = prospect_counts(triples, on_bad_iri=on_bad_iri)
+    partitions = partitions or ranges_of(spark, bytes_of(spark, paths))
+    with job_scratch(spark):
+        sample = sample_of_counts(visible(read_run(spark, paths, TRIPLE)), partitions, on_bad_iri)
+        write_prospects(counts, destination, run, mode, partitions, sample=sample)
 
 
 def statistics_fetch_only(spark: SparkSession, prefix: str, files: str) -> None:

@@ -13,13 +13,13 @@ import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triples import manifest
 from spark_triples.manifest import Run
 from spark_triples.operators.documents import document_json
-from spark_triples.operators.prospects import aggregate_prospects
+from spark_triples.operators.prospects import aggregate_prospects, explode_prospects
 from spark_triples.operators.ranges import (
     RANGE,
     SAMPLED_PER_RANGE,
@@ -30,7 +30,7 @@ from spark_triples.operators.ranges import (
     sorted_distinct,
     split_points,
 )
-from spark_triples.schema import KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE, TRIPLE_KEY, ZONE
+from spark_triples.schema import DELIM, KEY_TAIL, LAYOUTS, PROSPECT, PROSPECT_KEY, TRIPLE, TRIPLE_KEY, ZONE
 from spark_triples.session import TASK_BYTES, delete, glob, job_scratch, make_dir, small_splits, stage
 from spark_triples.sources.tables import (
     bytes_of,
@@ -183,6 +183,8 @@ def write_indexes(
 STAGED_GROUP_BYTES = 16 << 20
 # Triples that a range should hold at most: a task sorts them.
 RANGE_ROWS = 1_000_000
+# Keys of counts are sampled from so many times the triples that would do.
+THINNED = 32
 # A range is one row group, so that no reader's splits cut through it.
 ROW_GROUP_BYTES = 1 << 30
 
@@ -194,6 +196,26 @@ def sample_of_files(triples: DataFrame, ranges: int, rows: int) -> Sample:
     return key_sample(some, TRIPLE_KEY, ranges)
 
 
+def sample_of_counts(triples: DataFrame, ranges: int, on_bad_iri: str = "error") -> Sample | None:
+    """A sample of the places of prospects of triples in files, each once. A triple has two or three keys
+    that no other one has, as a rule. Of more triples than needed some keys are taken, by their
+    hash, lest frequent keys be too many of them. None, if there is one range."""
+    if ranges < 2:
+        return None
+    share = SAMPLED_PER_RANGE * ranges / (3 * max(triples.count(), 1))
+    thinned = max(1, min(THINNED, int(1 / share)))
+    some = triples.sample(share * thinned, seed=7) if share * thinned < 1 else triples
+    keys = explode_prospects(some, on_bad_iri=on_bad_iri).select(_place().alias("_place"))
+    keys = keys.filter(F.pmod(F.xxhash64("_place"), F.lit(thinned)) == 0).distinct()
+    return key_sample(keys, ["_place"], ranges)
+
+
+def _place() -> Column:
+    """Prospects in the order of this lie in the order of the count table; one text is compared with
+    the borders of ranges by less code than five columns are, which the JVM can compile."""
+    return F.concat_ws(DELIM, "triple_value_type", "data")
+
+
 def _write_copies(
     triples: DataFrame,
     prefix: str,
@@ -266,16 +288,25 @@ def write_prospects(
     mode: str = "add",
     partitions: int | None = None,
     tier: int | None = TIER,
+    sample: Sample | None = None,
 ) -> None:
     """Write aggregated prospects to the count table, sorted for lookups.
 
     ``add``: the table's counts grow by these, once per run name however often the run
     is repeated. ``replace``: these are the table's counts from now on. Runs that are due by
     size are merged afterwards (``tier`` None: never).
+
+    With a ``sample`` of the keys the ranges are laid out beforehand; a range partitioner would add
+    all counts up once more to find them.
     """
     rows = prospects.select(*PROSPECT.names)
     with small_splits(prospects.sparkSession):  # a task that counts holds several keys for each triple
-        write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
+        if sample is None:
+            write_sorted(rows, table, _PROSPECT_ORDER, run, mode, partitions)
+        else:
+            points = split_points(sample, ["_place"], partitions or sample.n)
+            ranged = in_ranges(rows.withColumn("_place", _place()), points).drop(RANGE, "_place")
+            write_table(ranged.sortWithinPartitions(*_PROSPECT_ORDER), table, run, mode)
     _merge_due(prospects.sparkSession, f"{table}/", [table], tier, _merge_prospects)
 
 

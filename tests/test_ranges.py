@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from spark_triples.operators import documents, ranges, triples
+from spark_triples.operators import documents, prospects, ranges, triples
+from spark_triples.plans import flows
 from spark_triples.schema import ANYURI, KEY_TAIL, LAYOUTS, TRIPLE_KEY
 from spark_triples.sinks import tables as sinks
 from spark_triples.sources import tables as sources
@@ -206,3 +207,24 @@ def test_groups_of_two_runs(spark, make_triples, tmp_path, heavy, budget):
     assert rows_of(got) == rows_of(documents.group_by_subject(everything, budget))
     if not heavy:  # equal triples become one, and subjects are grouped, behind one exchange
         assert plan(sources.grouped_by_subject(spark, prefix, budget)).count("Exchange") == 1
+
+
+@pytest.mark.parametrize("partitions", [None, 6])
+def test_counts_are_not_added_up_to_find_ranges(spark, make_triples, tmp_path, monkeypatch, partitions):
+    prefix, table = f"{tmp_path}/c_", f"{tmp_path}/counts"
+    sinks.write_indexes(make_triples([*graph(random.Random(11), 3000, 500), ("bare", "urn:p1", "o")]), prefix)
+
+    def refused(*_):
+        raise AssertionError("a range partitioner evaluates its input twice")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(1)), "repartitionByRange", refused)
+        m.setattr(sinks, "LEAST_RANGE_BYTES", 4_000)
+        flows.statistics(spark, prefix, table, partitions=partitions, on_bad_iri="skip")
+    shown = triples.visible(sources.scan_index(spark, prefix))
+    assert rows_of(sources.read_prospects(spark, table)) == rows_of(prospects.prospect_counts(shown, "skip"))
+    key = F.struct(*sinks._PROSPECT_ORDER)
+    files = sources.read_prospects(spark, table).groupBy(F.input_file_name().alias("file"))
+    files = files.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).sort("low").collect()
+    assert len(files) >= 3 and max(f["n"] for f in files) <= sum(f["n"] for f in files) / 2
+    assert all(a["high"] < b["low"] for a, b in zip(files, files[1:], strict=False))
