@@ -45,14 +45,17 @@ def file_name() -> Column:
     return F.col("_metadata.file_name").alias("_file")
 
 
-def _pieces(rows: pa.Table, key: str, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pieces(rows: pa.Table, key: str, budget: int, skip_null: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Whole groups, adjacent in ``rows``: where each piece of a group begins, the number of the
     piece, and how many its group has. A group is cut where its weight passes a multiple of
-    the budget."""
+    the budget. With ``skip_null`` a row without an object weighs nothing, as in a sum."""
     keys = rows.column(key)
     new = np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy()) + 1
     starts = np.concatenate([[0], new])
-    weight = pc.utf8_length(rows.column("object")).to_numpy().astype(np.int64) + ROW_CHARS
+    length = pc.utf8_length(rows.column("object"))
+    if skip_null:
+        length = pc.fill_null(length, -ROW_CHARS)
+    weight = length.to_numpy().astype(np.int64) + ROW_CHARS
     before = np.cumsum(weight) - weight
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
     part = (before - np.repeat(before[starts], sizes)) // budget
@@ -66,9 +69,9 @@ def _listed(at: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([at, [n]]), pa.int32()), values)
 
 
-def _triples(rows: pa.Table, budget: int) -> list[pa.Array]:
+def _triples(rows: pa.Table, budget: int, skip_null: bool = False) -> list[pa.Array]:
     """(subject, part, n_parts, triples) of whole groups."""
-    at, part, parts = _pieces(rows, "subject", budget)
+    at, part, parts = _pieces(rows, "subject", budget, skip_null)
     columns = [rows.column(c).combine_chunks() for c in ENTRY]
     entries = pa.StructArray.from_arrays(columns, ENTRY)
     subjects = rows.column("subject").combine_chunks().take(pa.array(at))
@@ -175,7 +178,7 @@ def sort_groups(triples: DataFrame, part_chars: int) -> DataFrame:
     """The same of distinct triples of which each task has whole subjects, in any order. A subject is
     held by one task, so this is for subjects of a bounded number of rows."""
     rows = triples.select("subject", *ENTRY).sortWithinPartitions("subject", "predicate", "object", *KEY_TAIL)
-    return _grouped(rows, "subject", None, _groups_schema(triples), lambda t: _triples(t, part_chars))
+    return _grouped(rows, "subject", None, _groups_schema(triples), lambda t: _triples(t, part_chars, skip_null=True))
 
 
 def stream_documents(values: DataFrame, kept: Column, zones: DataFrame, part_chars: int) -> DataFrame:

@@ -228,3 +228,14 @@ def test_counts_are_not_added_up_to_find_ranges(spark, make_triples, tmp_path, m
     files = files.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).sort("low").collect()
     assert len(files) >= 3 and max(f["n"] for f in files) <= sum(f["n"] for f in files) / 2
     assert all(a["high"] < b["low"] for a, b in zip(files, files[1:], strict=False))
+
+
+def test_rows_without_object_weigh_nothing_in_two_runs(spark, tmp_path):
+    schema = "subject string, predicate string, object string, object_type string, lang string, context string, visibility string, ts timestamp"
+    rows = [("urn:s", f"urn:p{k}", None if k % 2 else "o" * 50, ANYURI, None, None, "", None) for k in range(9)]
+    for half in (rows[:6], rows[3:]):
+        sinks.write_indexes(spark.createDataFrame(half, schema), f"{tmp_path}/n_")
+    got = sources.grouped_by_subject(spark, f"{tmp_path}/n_", 200)
+    expected = documents.group_by_subject(spark.createDataFrame(rows, schema), 200)
+    assert rows_of(got) == rows_of(expected)
+    assert len(got.collect()) == 3
