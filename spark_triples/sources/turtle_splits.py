@@ -11,24 +11,30 @@
 
 Chunks and pieces are written to the shared folder, with explicit places: nothing depends on how a
 file is split when it is read again. A line and a statement are held whole; per file, a task
-sees a short row for each chunk (4 MB) and the directives.
+sees a short row for each chunk (4 MB) and the directives. Of the texts, a task holds a few chunks,
+whatever its share of them is: they are written in small row groups, go to the workers in small
+batches, and stay in place in joins, where the short rows can be broadcast. The triples are
+written too, as the size of a batch is a setting of the job that parses.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spark_triples.operators.skew import can_broadcast, size_of
 from spark_triples.schema import TRIPLE
-from spark_triples.session import stage
+from spark_triples.session import small_batches, small_splits, stage
 from spark_triples.sources import turtle
 
 CHUNK_CHARS = 4 << 20
+# Rows of a row group: of chunks, and of statements that chunks cut, which are short as a rule.
+CHUNK_ROWS, REST_ROWS = 4, 64
 BATCH = 10_000
 # A line begins in a statement, or in a long string of one of two quotes.
 STATES = ("", '"', "'")
@@ -62,36 +68,50 @@ def scan(text: str, state: str = "") -> Iterator[re.Match | str]:
     yield state
 
 
-def borders(text: str, state: str) -> tuple[list[int], str]:
-    """Where the first and the last statement that end in a text end (none: empty), and the state
-    after it."""
-    ends, after = [], ""
+def borders(text: str, state: str) -> tuple[list[int], str, list[str]]:
+    """Where the first and the last statement that end in a text end (none: empty), the state
+    after it, and the directives between these two places."""
+    ends, after, keywords = [], "", []
     for found in scan(text, state):
         if isinstance(found, str):
             after = found
         elif found.lastgroup == "border":
             ends = [ends[0] if ends else found.end(), found.end()]
-    return ends, after
+        elif ends:
+            keywords.append(found)
+    return ends, after, _told(text, (found for found in keywords if found.end() <= ends[1]))
 
 
 def directives(text: str) -> list[str]:
     """The directives of whole statements, each as one statement; an absolute one is not repeated
     while it holds."""
+    found = scan(text) if re.search("prefix|base", text, re.IGNORECASE) else ()
+    return _told(text, (m for m in found if isinstance(m, re.Match) and m.lastgroup == "directive"))
+
+
+def _told(text: str, keywords: Iterable[re.Match]) -> list[str]:
     out, holding = [], {}
-    for found in scan(text) if re.search("prefix|base", text, re.IGNORECASE) else ():
-        if isinstance(found, re.Match) and found.lastgroup == "directive":
-            tokens = turtle.tokens(text, found.start())
-            wanted = 3 if found[0].lower().endswith("prefix") else 2
-            try:
-                kinds, parts = zip(*(next(tokens) for _ in range(wanted)), strict=True)
-            except (ValueError, StopIteration):
-                continue  # malformed: parsing tells
-            if kinds[-1] != "iri":
-                continue
-            name = f"@{parts[0].lower().lstrip('@')} {' '.join(parts[1:-1])}"
-            if holding.get(name) != parts[-1] or not turtle.is_absolute(parts[-1]):
-                out.append(f"{name} <{parts[-1]}> .")
-            holding[name] = parts[-1]
+    written = {}  # how those that hold are written: most that come again look the same
+    for found in keywords:
+        at = found.start()
+        if any(text.startswith(same, at) for same in written.values()):
+            continue
+        tokens = turtle.tokens(text, at)
+        wanted = 3 if found[0].lower().endswith("prefix") else 2
+        try:
+            kinds, parts = zip(*(next(tokens) for _ in range(wanted)), strict=True)
+        except (ValueError, StopIteration):
+            continue  # malformed: parsing tells
+        if kinds[-1] != "iri":
+            continue
+        name, iri = f"@{parts[0].lower().lstrip('@')} {' '.join(parts[1:-1])}", f"<{parts[-1]}>"
+        if holding.get(name) != parts[-1] or not turtle.is_absolute(parts[-1]):
+            out.append(f"{name} {iri} .")
+        holding[name] = parts[-1]
+        written.pop(name, None)
+        start = text.index(iri, at)
+        if turtle.is_absolute(parts[-1]) and text.find("#", at, start) < 0:  # no comment on the way
+            written[name] = text[at : start + len(iri)]
     return out
 
 
@@ -103,8 +123,9 @@ def _chunks(size: int):
         def chunk() -> pd.DataFrame:
             text = "".join(lines)
             found = [borders(text, s) for s in STATES]
-            row = (*key, n, text, [s for _, s in found], [ends for ends, _ in found])
-            return pd.DataFrame([row], columns=["path", "block", "n", "text", "after", "ends"])
+            ends, after, told = (list(of) for of in zip(*found, strict=True))
+            columns = ["path", "block", "n", "text", "after", "ends", "told"]
+            return pd.DataFrame([(*key, n, text, after, ends, told)], columns=columns)
 
         for batch in batches:
             for path, block, value in zip(batch["path"], batch["block"], batch["value"], strict=True):
@@ -124,6 +145,7 @@ def _chunks(size: int):
 
 
 CHUNK = "path string, block long, n long, text string, after array<string>, ends array<array<int>>"
+CHUNK += ", told array<array<string>>"
 STATE = "path string, block long, n long, state string, statement long"
 
 
@@ -139,20 +161,21 @@ def _follow(chunks: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["path", "block", "n", "state", "statement"])
 
 
-PIECE = "path string, block long, n long, kind int, statement long, text string"
+PIECE = "path string, block long, n long, kind int, statement long, text string, found array<string>"
 
 
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["path", "block", "n", "kind", "statement", "text"]
+    columns = ["path", "block", "n", "kind", "statement", "text", "found"]
     for batch in batches:
         for row in batch.itertuples(index=False):
-            ends = list(row.ends[STATES.index(row.state)])
+            state = STATES.index(row.state)
+            ends, told = list(row.ends[state]), list(row.told[state])
             text = row.text.removeprefix("\ufeff") if row.block == row.n == 0 else row.text
             moved = len(row.text) - len(text)
             first, last = (ends[0] - moved, ends[1] - moved) if ends else (len(text), len(text))
-            parts = [(0, row.statement, text[:first])]
+            parts = [(0, row.statement, text[:first], [])]
             if ends:
-                parts += [(1, -1, text[first:last]), (2, row.statement + 1, text[last:])]
+                parts += [(1, -1, text[first:last], told), (2, row.statement + 1, text[last:], [])]
             rows = [(row.path, row.block, row.n, *part) for part in parts if part[2]]
             yield pd.DataFrame(rows, columns=columns)
 
@@ -187,47 +210,58 @@ def _parse(names: list[str]):
     return parse
 
 
+def _beside(texts: DataFrame, rows: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``texts`` with what written rows say of them; the texts move only if these rows are too many."""
+    return texts.join(F.broadcast(rows) if can_broadcast(size_of(rows)) else rows, on, how)
+
+
 def pieces_of(lines: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``lines(path, block, value)``, in the order of their files within a block, as pieces of whole
     statements: (path, block, n, kind, text, found), with their directives."""
-    chunks = lines.select("path", "block", "value").mapInPandas(_chunks(chunk_chars), CHUNK)
-    chunks = stage(chunks, "turtle-chunks")
-    states = chunks.select("path", "block", "n", "after", "ends").groupBy("path").applyInPandas(_follow, STATE)
-    states = stage(states, "turtle-states")
-    cut = chunks.select("path", "block", "n", "text", "ends").join(states, ["path", "block", "n"])
-    cut = stage(cut.mapInPandas(_pieces, PIECE), "turtle-cut")
-    whole = cut.filter("kind = 1").select("path", "block", "n", "kind", "text")
-    # the rests of neighbouring chunks that are one statement
-    parts = F.array_sort(F.collect_list(F.struct("block", "n", "kind", "text")))
-    joined = cut.filter("kind <> 1").groupBy("path", "statement").agg(parts.alias("parts"))
-    first = F.col("parts")[0]
-    joined = joined.select(
-        "path",
-        *[first[c].alias(c) for c in ("block", "n", "kind")],
-        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
-    )
-
-    @F.pandas_udf("array<string>")
-    def found(texts: pd.Series) -> pd.Series:
-        return texts.map(directives)
-
-    return stage(whole.unionByName(joined).withColumn("found", found("text")), "turtle-pieces")
+    spark, place = lines.sparkSession, ["path", "block", "n"]
+    with small_batches(spark):
+        chunks = lines.select("path", "block", "value").mapInPandas(_chunks(chunk_chars), CHUNK)
+        chunks = stage(chunks, "turtle-chunks", group_rows=CHUNK_ROWS)
+        states = chunks.select(*place, "after", "ends").groupBy("path").applyInPandas(_follow, STATE)
+        states = stage(states, "turtle-states")
+    with small_batches(spark), small_splits(spark):
+        cut = _beside(chunks.select(*place, "text", "ends", "told"), states, place)
+        cut = stage(cut.mapInPandas(_pieces, PIECE), "turtle-cut", group_rows=CHUNK_ROWS)
+        # the rests of neighbouring chunks that are one statement
+        parts = F.array_sort(F.collect_list(F.struct("block", "n", "kind", "text")))
+        joined = cut.filter("kind <> 1").groupBy("path", "statement").agg(parts.alias("parts"))
+        first = F.col("parts")[0]
+        joined = joined.select(
+            "path",
+            *[first[c].alias(c) for c in ("block", "n", "kind")],
+            F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
+        )
+
+        @F.pandas_udf("array<string>")
+        def found(texts: pd.Series) -> pd.Series:
+            return texts.map(directives)
+
+        joined = stage(joined.withColumn("found", found("text")), "turtle-joined", group_rows=REST_ROWS)
+    return cut.filter("kind = 1").select(*joined.columns).unionByName(joined)
 
 
 def parse_pieces(pieces: DataFrame, share: float = 1.0) -> DataFrame:
     """The triples of pieces, or of a share of them, by the prefixes that hold there."""
-    place = ["block", "n", "kind"]
+    spark, place = pieces.sparkSession, ["block", "n", "kind"]
     telling = F.when(F.size("found") > 0, 1).otherwise(0)
     before = Window.partitionBy("path").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     numbers = pieces.select("path", *place, F.coalesce(F.sum(telling).over(before), F.lit(0)).alias("number"))
     known = pieces.filter(F.size("found") > 0).select("path", *place, "found")
     known = known.groupBy("path").applyInPandas(_environments, "path string, number long, environment string")
-    if share < 1:
-        pieces = pieces.sample(share, seed=7)
-    pieces = pieces.drop("found").join(numbers, ["path", *place]).join(known, ["path", "number"], "left")
     names = TRIPLE.names[:6]
     schema = ", ".join(f"{name} string" for name in names)
-    return pieces.mapInPandas(_parse(names), schema)
+    with small_batches(spark), small_splits(spark):
+        numbers, known = stage(numbers, "turtle-numbers"), stage(known, "turtle-known")
+        if share < 1:
+            pieces = pieces.sample(share, seed=7)
+        pieces = _beside(pieces.drop("found"), numbers, ["path", *place])
+        pieces = _beside(pieces, known, ["path", "number"], "left")
+        return stage(pieces.mapInPandas(_parse(names), schema), "turtle-triples")
 
 
 def read_turtle(

@@ -5,6 +5,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from spark_triples.sources import files, turtle_splits
 from spark_triples.sources.turtle import parse_turtle
@@ -125,6 +126,65 @@ def test_no_longest_file(spark, tmp_path, monkeypatch):
         files.read_whole_files(spark, [f"{tmp_path}/*.ttl"], parsers={"Turtle": lambda c, p: parse_turtle(c, p)})
 
 
+def test_tasks_hold_few_chunks(spark, monkeypatch):
+    """However many chunks a task has, it writes and reads a few at once, and its worker gets them in small batches."""
+    import pyarrow.parquet as pq
+
+    literal = "x" * 100_000
+    rows = [("f", 0, f'@prefix ex: <urn:ex:> . ex:s{k} ex:p "{k} {literal}" .') for k in range(240)]
+    lines = spark.createDataFrame(rows, "path string, block long, value string").coalesce(1)
+    pieces, parse, stage, staged = turtle_splits._pieces, turtle_splits._parse, turtle_splits.stage, {}
+
+    def small(batches):
+        for batch in batches:
+            if (held := batch["text"].str.len().sum()) > 6 << 20:
+                raise ValueError(f"{len(batch)} texts of {held} characters at once")
+            yield batch
+
+    def noted(df, name, *args, **options):
+        staged[name] = stage(df, name, *args, **options)
+        return staged[name]
+
+    monkeypatch.setattr(turtle_splits, "_pieces", lambda batches: pieces(small(batches)))
+    monkeypatch.setattr(turtle_splits, "_parse", lambda names: lambda batches, run=parse(names): run(small(batches)))
+    monkeypatch.setattr(turtle_splits, "stage", noted)
+    before = spark.conf.getAll
+    triples = turtle_splits.parse_pieces(turtle_splits.pieces_of(lines, 1 << 20))
+    assert spark.conf.getAll == before
+    assert triples.select(F.min(F.length("object")), F.count("*")).first() == (100_002, 240)
+    groups = []
+    for name in ("turtle-chunks", "turtle-cut"):
+        for path in staged[name].inputFiles():
+            found = pq.ParquetFile(path.removeprefix("file:")).metadata
+            groups += [found.row_group(i).total_byte_size for i in range(found.num_row_groups)]
+    assert sum(groups) > 40 << 20
+    assert max(groups) < 6 << 20
+
+
+def test_texts_stay_in_place(spark, monkeypatch):
+    """Joins with short rows do not move the texts, unless these rows are too many; the triples are the same."""
+    expected = without_names(parse_turtle(LONG.encode(), "f"))
+    plans, beside = [], turtle_splits._beside
+
+    def noted(*args):
+        joined = beside(*args)
+        plans.append(joined._jdf.queryExecution().sparkPlan().toString())
+        return joined
+
+    monkeypatch.setattr(turtle_splits, "_beside", noted)
+    assert without_names(tuple(r) for r in in_parts(spark, LONG, 60, (3, 9)).collect()) == expected
+    assert len(plans) == 3
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+    monkeypatch.setattr(turtle_splits, "can_broadcast", lambda size: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert without_names(tuple(r) for r in in_parts(spark, LONG, 60, (3, 9)).collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 6
+    assert all("SortMergeJoin" in p for p in plans[3:])
+
+
 def test_directives():
     found = turtle_splits.directives
     assert found('PREFIX a: <urn:a> a:prefix a:base "@prefix no: <x> ." . # @base <no> .\n') == ["@prefix a: <urn:a> ."]
@@ -132,6 +192,12 @@ def test_directives():
     assert found(text) == [f"@prefix a: <urn:{k}> ." for k in (1, 2, 1)]
     assert len(found("@base <http://b/> . @base <c/> . @base <c/> .\n")) == 3  # each goes deeper
     assert found("no directives .\n") == found("") == []
+    # written alike up to a comment
+    text = "@prefix a: # <urn:1>\n <urn:1> . @prefix a: # <urn:1>\n <urn:2> .\n"
+    assert found(text) == ["@prefix a: <urn:1> .", "@prefix a: <urn:2> ."]
+    # those between the borders of a chunk are found with them
+    text = "ex:a ex:b .\n" + text + "PREFIX c: <urn:c>\n"
+    assert turtle_splits.borders(text, "") == ([11, text.index("PREFIX") - 1], "", found(text)[:2])
 
 
 def test_a_chunk_is_scanned_once(monkeypatch):
