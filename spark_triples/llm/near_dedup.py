@@ -8,7 +8,7 @@
 3. First every class meets the smallest class of each of its posts (a star, not all pairs),
    then, where more than one component is left, one drawn for each post, twice. Pairs whose
    signatures agree in T coordinates are confirmed on their full sets, and linked classes
-   become components.
+   become components. A pair that was compared is not compared again.
 4. Posts that hold one component only are settled: a large group of copies has collapsed by
    then. In the others, shingles that no other component has bound what a class can share:
    a class that could not reach the limit with any class of the post leaves it. What is left is
@@ -269,7 +269,7 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     wanted = stage(reps.join(owners, "cls", "left_semi"), "wanted")
     sets = stage(_sets(docs, wanted, words), "sets")
 
-    links, roots = None, None
+    links, roots, compared = None, None, None
     for draw in (F.lit(0), F.xxhash64("cls", "post"), F.xxhash64("post", "cls")):
         open_posts = _unsettled(prefixes, roots)
         middle = open_posts.groupBy("post").agg(
@@ -281,7 +281,11 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
         pairs = stars.select(
             F.least("cls", "middle.cls").alias("a"), F.greatest("cls", "middle.cls").alias("b")
         ).distinct()
-        found = _confirmed(_agreeing(pairs, wanted, likely), sets, percent)
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        near = _agreeing(pairs, wanted, likely)
+        compared = near if compared is None else compared.unionByName(near)
+        found = _confirmed(near, sets, percent)
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 
@@ -303,7 +307,8 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
             & (_agreement("signature", "signature_b") >= least)
             & (_unequal_bits("bits", "bits_b") <= most_unequal_bits(percent))
         )
-        .select(F.col("cls").alias("a"), F.col("cls_b").alias("b"))
+        .select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
+        .join(compared, ["a", "b"], "left_anti")
     )
     links = links.unionByName(_confirmed(stage(pairs, "near-pairs"), sets, percent))
     roots = components(links)
